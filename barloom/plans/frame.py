@@ -55,6 +55,7 @@ class BarFrame:
     block: int = 4096                 # rows per block (power of two)
     scan_block: int = 512             # rows per scan block (power of two, divides block)
     stats: Stats | None = None
+    depth: int = 0                    # scan stages since the frame was last materialised
 
     # ------------------------------------------------------------------ basics
     @property
@@ -136,6 +137,15 @@ class BarFrame:
         return self.with_df(df)
 
     # ------------------------------------------------------------- linear scan
+    def _stage_input(self) -> DataFrame:
+        """Input of a scan stage.  A stage reads its input twice (window pass and
+        per-block table), so after an earlier stage the frame is written to the
+        reliable checkpoint folder: plans and recomputation stay linear in the
+        number of stages, and a lost executor re-reads instead of recomputing."""
+        if self.depth >= 1:
+            return reliable_checkpoint(self.df)
+        return self.df
+
     def scan(self, out: str, x: Column, d, d_min: float | None = None, d_max: float | None = None,
              unit_rows: int = 0, d_from: int | None = None) -> "BarFrame":
         """``out = y`` with ``y_t = d_t * y_{t-1} + x_t`` and ``y = 0`` before the first row.
@@ -146,71 +156,79 @@ class BarFrame:
         ``d_from``, ``d = 1`` for ``rn < d_from`` (closed form, no extra pass).
         NULL ``x`` counts as 0.
         """
+        return self.scan_many([dict(out=out, x=x, d=d, d_min=d_min, d_max=d_max,
+                                    unit_rows=unit_rows, d_from=d_from)])
+
+    def scan_many(self, specs: list[dict]) -> "BarFrame":
+        """Several independent scans (see :meth:`scan`) in one pass: one window
+        node, one per-block aggregate, one carry fold and one join."""
         key = self.key
         Ls = self.scan_block
-        const = not isinstance(d, Column)
-        if const:
-            d = float(d)
-            d_min = d_max = d
-            if d_from is not None and d_from > 1:
-                unit_rows = max(unit_rows, int(d_from) - 1)
-        if d_min is None or d_max is None:
-            raise ValueError("varying d needs d_min and d_max")
-        if d_min <= 0.0:
-            raise ValueError("d must be > 0; use the input itself for d = 0")
-        if Ls * abs(math.log(d_min)) > MAX_LOG_SPAN:
-            raise ValueError(f"decay {d_min} too fast for scan block {Ls}")
-        xv = F.coalesce(x.cast("double"), F.lit(0.0))
-        df = self.df
+        df = self._stage_input()
         ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
         run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        wt_all = Window.partitionBy(key).orderBy("sblk")
         pos = (F.col("rn") - F.lit(1)) % F.lit(Ls)  # position inside the scan block
-        if const and d == 1.0:
-            df = df.withColumn("_z", F.sum(xv).over(run))
-            tbl = df.groupBy(key, "blk", "sblk").agg(F.sum(xv).alias("_B"))
-            wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(Window.unboundedPreceding, -1)
-            tbl = tbl.select(key, "sblk", F.coalesce(F.sum("_B").over(wt), F.lit(0.0)).alias("_C"))
-            df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-            df = df.withColumn(out, F.col("_z") + F.coalesce(F.col("_C"), F.lit(0.0))).drop("_z", "_C")
-            return self.with_df(df)
-        if const:
-            lnd = math.log(d)
-            if d_from is not None and d_from > 1:
-                bstart = F.col("rn") - pos
-                cnt = F.greatest(F.lit(0).cast("long"),
-                                 F.col("rn") - F.greatest(bstart, F.lit(int(d_from)).cast("long")) + 1)
-                S = cnt.cast("double") * F.lit(lnd)
+        aggs, carries, finals, tmp = [], [], [], []
+        for i, sp in enumerate(specs):
+            out, x, d = sp["out"], sp["x"], sp["d"]
+            d_min, d_max = sp.get("d_min"), sp.get("d_max")
+            unit_rows, d_from = sp.get("unit_rows", 0) or 0, sp.get("d_from")
+            const = not isinstance(d, Column)
+            if const:
+                d = float(d)
+                d_min = d_max = d
+                if d_from is not None and d_from > 1:
+                    unit_rows = max(unit_rows, int(d_from) - 1)
+            if d_min is None or d_max is None:
+                raise ValueError("varying d needs d_min and d_max")
+            if d_min <= 0.0:
+                raise ValueError("d must be > 0; use the input itself for d = 0")
+            if Ls * abs(math.log(d_min)) > MAX_LOG_SPAN:
+                raise ValueError(f"decay {d_min} too fast for scan block {Ls}")
+            xv = F.coalesce(x.cast("double"), F.lit(0.0))
+            S, xe, u, B, D, C = (f"_s{i}_{n}" for n in ("S", "xe", "u", "B", "D", "C"))
+            tmp += [S, xe, u, C]
+            if const and d == 1.0:
+                df = df.withColumn(S, F.lit(0.0)).withColumn(xe, xv)
             else:
-                S = (pos + F.lit(1)).cast("double") * F.lit(lnd)
-            df = df.withColumn("_S", S)
-        else:
-            df = df.withColumn("_S", F.sum(F.log(d.cast("double"))).over(run))
-        df = df.withColumn("_xe", xv * F.exp(-F.col("_S")))
-        df = df.withColumn("_u", F.sum("_xe").over(run))
-        # per scan block: B = y at its end given zero carry, D = product of d over it
-        tbl = (df.groupBy(key, "blk", "sblk")
-               .agg(F.sum("_xe").alias("_u"), F.min("_S").alias("_Sb")))
-        # S is monotone (ln d <= 0), so the block total is its minimum
-        tbl = tbl.select(key, "sblk", (F.exp(F.col("_Sb")) * F.col("_u")).alias("_B"),
-                         F.exp(F.col("_Sb")).alias("_D"))
-        Dmax = d_max ** Ls if d_max < 1.0 else 1.0
-        if Dmax >= 1.0:
-            m = None
-        elif Dmax < 1e-300:
-            m = 1
-        else:
-            m = int(math.ceil(math.log(CARRY_EPS) / math.log(Dmax))) + 1
-        if m is not None:
-            m += int(math.ceil(unit_rows / Ls)) + 1
-        lo = Window.unboundedPreceding if m is None else -m
-        wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(lo, -1)
-        hist = F.collect_list(F.struct(F.col("_B").alias("b"), F.col("_D").alias("d"))).over(wt)
-        carry = F.aggregate(hist, F.lit(0.0), lambda acc, e: acc * e["d"] + e["b"])
-        tbl = tbl.select(key, "sblk", carry.alias("_C"))
+                if const:
+                    lnd = math.log(d)
+                    if d_from is not None and d_from > 1:
+                        bstart = F.col("rn") - pos
+                        cnt = F.greatest(F.lit(0).cast("long"),
+                                         F.col("rn") - F.greatest(bstart, F.lit(int(d_from)).cast("long")) + 1)
+                        df = df.withColumn(S, cnt.cast("double") * F.lit(lnd))
+                    else:
+                        df = df.withColumn(S, (pos + F.lit(1)).cast("double") * F.lit(lnd))
+                else:
+                    df = df.withColumn(S, F.sum(F.log(d.cast("double"))).over(run))
+                df = df.withColumn(xe, xv * F.exp(-F.col(S)))
+            df = df.withColumn(u, F.sum(F.col(xe)).over(run))
+            # per scan block: B = y at its end given zero carry, D = product of d over it
+            aggs += [F.sum(F.col(xe)).alias(f"_a{i}u"), F.min(F.col(S)).alias(f"_a{i}S")]
+            Dmax = d_max ** Ls if d_max < 1.0 else 1.0
+            if Dmax >= 1.0:
+                m = None
+            elif Dmax < 1e-300:
+                m = 1 + int(math.ceil(unit_rows / Ls)) + 1
+            else:
+                m = int(math.ceil(math.log(CARRY_EPS) / math.log(Dmax))) + 2 + int(math.ceil(unit_rows / Ls))
+            Bc = F.exp(F.col(f"_a{i}S")) * F.col(f"_a{i}u")
+            Dc = F.exp(F.col(f"_a{i}S"))
+            if const and d == 1.0:
+                carry = F.sum(Bc).over(wt_all.rowsBetween(Window.unboundedPreceding, -1))
+            else:
+                lo = Window.unboundedPreceding if m is None else -m
+                hist = F.collect_list(F.struct(Bc.alias("b"), Dc.alias("d"))).over(wt_all.rowsBetween(lo, -1))
+                carry = F.aggregate(hist, F.lit(0.0), lambda acc, e: acc * e["d"] + e["b"])
+            carries.append(carry.alias(C))
+            finals.append((out, F.exp(F.col(S)) * (F.col(u) + F.coalesce(F.col(C), F.lit(0.0)))))
+        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", *carries)
         df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-        y = F.exp(F.col("_S")) * (F.col("_u") + F.coalesce(F.col("_C"), F.lit(0.0)))
-        df = df.withColumn(out, y).drop("_S", "_xe", "_u", "_C")
-        return self.with_df(df)
+        for out, val in finals:
+            df = df.withColumn(out, val)
+        return replace(self, df=df.drop(*tmp), depth=self.depth + 1)
 
     def cumsum(self, out: str, x: Column) -> "BarFrame":
         """Running sum from the first row of the key (class C)."""
@@ -227,7 +245,7 @@ class BarFrame:
 
     def _assoc(self, out: str, x: Column, how: str) -> "BarFrame":
         key = self.key
-        df = self.df.withColumn("_x", x)
+        df = self._stage_input().withColumn("_x", x)
         ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
         run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(Window.unboundedPreceding, -1)
@@ -248,7 +266,7 @@ class BarFrame:
             raise ValueError(how)
         df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
         df = df.withColumn(out, res).drop("_x", "_in", "_c")
-        return self.with_df(df)
+        return replace(self, df=df, depth=self.depth + 1)
 
     # ------------------------------------------------------------------ slicing
     def between(self, start=None, end=None) -> DataFrame:
