@@ -456,3 +456,86 @@ recur_case("w71_slope_atr", lambda fr: RC.slope_atr_ratio(fr, n=14),
            _lsql(_DM + [[("sl", G(13, f"regr_slope(close, rn) {W(14)}"))]],
                  [SK.wilder_mean("atr", "pre", "tr", 14, 2)], ["atr"],
                  [[("SLOPE_ATR_14", DIV("sl", "atr", "NULL"))]], ["SLOPE_ATR_14"], 6), ["SLOPE_ATR_14"], 6)
+
+
+# ============================================================ candle patterns
+from barloom.functions import patterns as PT  # noqa: E402
+
+
+def _pattern_sql_ctes(names):
+    """DuckDB helper columns (same meaning as the Spark helpers), then patterns."""
+    base = ("o0 := open, c0 := close, h0 := high, l0 := low")
+    del base
+    ctes = [DAILY_CTES,
+            "ph0 AS (SELECT *, open AS o0, close AS c0, high AS h0, low AS l0, abs(close - open) AS bd0, "
+            "high - greatest(open, close) AS us0, least(open, close) - low AS ls0, high - low AS rg0 FROM bd)",
+            f"ph1 AS (SELECT *, avg(bd0) {WR(10, 1)} AS ab0, avg(rg0) {WR(10, 1)} AS ar0, "
+            f"avg(us0 + ls0) {WR(10, 1)} AS as0, avg(rg0) {WR(5, 1)} AS ar50 FROM ph0 {WINDOW})"]
+    lags = ", ".join(f"lag({b}0, {k}) OVER w AS {b}{k}" for k in range(1, PT.MAXLAG + 1) for b in PT.HELPER_BASE)
+    ctes.append(f"ph2 AS (SELECT *, {lags} FROM ph1 {WINDOW})")
+    prev = "ph2"
+    hk = [n for n in names if n in PT.HIKKAKE]
+    if hk:
+        b0 = ", ".join(f"{PT.HIKKAKE[n][1]} AS _{n}_b0" for n in hk)
+        ctes.append(f"ph3 AS (SELECT *, {b0} FROM ph2)")
+        bl = ", ".join(f"lag(_{n}_b0, {j}) OVER w AS _{n}_b{j}" for n in hk for j in (1, 2, 3))
+        ctes.append(f"ph4 AS (SELECT *, {bl} FROM ph3 {WINDOW})")
+        prev = "ph4"
+    cols = []
+    for n in names:
+        expr = PT.hikkake_confirm(f"_{n}_b", PT.HIKKAKE[n][2]) if n in PT.HIKKAKE else PT.RULES[n][1]
+        cols.append(f"CASE WHEN rn > {PT.lookback(n)} THEN CAST({expr} AS INTEGER) END AS {n}")
+    ctes.append(f"pat AS (SELECT *, {', '.join(cols)} FROM {prev})")
+    return ctes
+
+
+def _pattern_case(qid, name):
+    def q(spark, sf):
+        fr = daily_frame(spark, sf)
+        fr = fr.add(PT.pattern_feats(Win(fr.key, fr.block), [name]))
+        return fr.df.select("symbol", "ts", F.col(name).cast("double").alias(name))
+    SPARK[qid] = q
+    SQL[qid] = f"WITH {', '.join(_pattern_sql_ctes([name]))} SELECT symbol, ts, CAST({name} AS DOUBLE) AS {name} FROM pat"
+
+
+_K_IDS = {  # survey ids K1..K61 in registry order
+    "CDL2CROWS": 1, "CDL3BLACKCROWS": 2, "CDL3INSIDE": 3, "CDL3LINESTRIKE": 4, "CDL3OUTSIDE": 5,
+    "CDL3STARSINSOUTH": 6, "CDL3WHITESOLDIERS": 7, "CDLABANDONEDBABY": 8, "CDLADVANCEBLOCK": 9,
+    "CDLBELTHOLD": 10, "CDLBREAKAWAY": 11, "CDLCLOSINGMARUBOZU": 12, "CDLCONCEALBABYSWALL": 13,
+    "CDLCOUNTERATTACK": 14, "CDLDARKCLOUDCOVER": 15, "CDLDOJI": 16, "CDLDOJISTAR": 17, "CDLDRAGONFLYDOJI": 18,
+    "CDLENGULFING": 19, "CDLEVENINGDOJISTAR": 20, "CDLEVENINGSTAR": 21, "CDLGAPSIDESIDEWHITE": 22,
+    "CDLGRAVESTONEDOJI": 23, "CDLHAMMER": 24, "CDLHANGINGMAN": 25, "CDLHARAMI": 26, "CDLHARAMICROSS": 27,
+    "CDLHIGHWAVE": 28, "CDLHIKKAKE": 29, "CDLHIKKAKEMOD": 30, "CDLHOMINGPIGEON": 31, "CDLIDENTICAL3CROWS": 32,
+    "CDLINNECK": 33, "CDLINVERTEDHAMMER": 34, "CDLKICKING": 35, "CDLKICKINGBYLENGTH": 36, "CDLLADDERBOTTOM": 37,
+    "CDLLONGLEGGEDDOJI": 38, "CDLLONGLINE": 39, "CDLMARUBOZU": 40, "CDLMATCHINGLOW": 41, "CDLMATHOLD": 42,
+    "CDLMORNINGDOJISTAR": 43, "CDLMORNINGSTAR": 44, "CDLONNECK": 45, "CDLPIERCING": 46, "CDLRICKSHAWMAN": 47,
+    "CDLRISEFALL3METHODS": 48, "CDLSEPARATINGLINES": 49, "CDLSHOOTINGSTAR": 50, "CDLSHORTLINE": 51,
+    "CDLSPINNINGTOP": 52, "CDLSTALLEDPATTERN": 53, "CDLSTICKSANDWICH": 54, "CDLTAKURI": 55, "CDLTASUKIGAP": 56,
+    "CDLTHRUSTING": 57, "CDLTRISTAR": 58, "CDLUNIQUE3RIVER": 59, "CDLUPSIDEGAP2CROWS": 60,
+    "CDLXSIDEGAP3METHODS": 61,
+}
+for _n, _i in _K_IDS.items():
+    _pattern_case(f"k{_i:02d}_{_n.lower()}", _n)
+
+
+def _k62_spark(spark, sf):
+    fr = daily_frame(spark, sf)
+    w = Win(fr.key, fr.block)
+    fr = fr.add(PT.pattern_feats(w))
+    fr = fr.add(PT.pattern_wma_feats(w, n=300))
+    cols = [f"{n}_wma300" for n in PT.ALL_PATTERNS]
+    return finish(fr.df.select("symbol", "ts", *cols), 6)
+
+
+def _k62_sql():
+    ctes = _pattern_sql_ctes(PT.ALL_PATTERNS)
+    wm = []
+    for n in PT.ALL_PATTERNS:
+        s1 = f"sum(CAST({n} AS DOUBLE) * rn) {W(300)}"
+        s0 = f"sum(CAST({n} AS DOUBLE)) {W(300)}"
+        wm.append(f"{R(f'CASE WHEN rn > {PT.lookback(n) + 299} THEN ({s1} - (rn - 300) * {s0}) / 45150.0 END', 6)} AS {n}_wma300")
+    return f"WITH {', '.join(ctes)} SELECT symbol, ts, {', '.join(wm)} FROM pat {WINDOW}"
+
+
+SPARK["k62_pattern_wma300"] = _k62_spark
+SQL["k62_pattern_wma300"] = _k62_sql()

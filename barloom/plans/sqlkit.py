@@ -9,7 +9,8 @@ def W(n: int) -> str:
 
 
 def WR(lo: int, hi: int = 0) -> str:
-    hi_s = "CURRENT ROW" if hi == 0 else f"{-hi} PRECEDING"
+    """Frame from ``lo`` rows back to ``hi`` rows back (0 = current row)."""
+    hi_s = "CURRENT ROW" if hi == 0 else f"{int(hi)} PRECEDING"
     return f"OVER (w ROWS BETWEEN {int(lo)} PRECEDING AND {hi_s})"
 
 
