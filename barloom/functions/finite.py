@@ -61,6 +61,12 @@ def sdiv(a: Column, b: Column, zero=0.0) -> Column:
     return F.when(b != 0, a / b).otherwise(z)
 
 
+def pct(a: Column, b: Column, zero=None) -> Column:
+    """100·(a/b − 1), with ``zero`` (a value or None) when b = 0."""
+    z = F.lit(zero) if zero is not None else F.lit(None).cast("double")
+    return F.when(b != 0, (a / b - 1.0) * 100.0).otherwise(z)
+
+
 def _nm(name, default):
     return name or default
 
@@ -169,7 +175,7 @@ def mom(w: Win, x="close", n=10, out=None) -> Feat:
 
 def roc(w: Win, x="close", n=10, out=None) -> Feat:
     prev = w.lag(col(x), n)
-    return Feat([(_nm(out, f"ROC_{n}"), guard(sdiv((col(x) / prev - 1.0) * 100.0, prev), n))], n)
+    return Feat([(_nm(out, f"ROC_{n}"), guard(pct(col(x), prev, 0.0), n))], n)
 
 
 def rocr(w: Win, x="close", n=10, out=None) -> Feat:
@@ -401,7 +407,7 @@ def return_vector(w: Win, h="high", l="low", n=30, out="medret_vec") -> Feat:
     m = (col(h) + col(l)) / 2.0
     r = f"_medret_{n}"
     prev = w.lag(m, 1)
-    return Feat([(r, sdiv((m / prev - 1.0) * 100.0, prev, None)),
+    return Feat([(r, pct(m, prev)),
                  (out, guard(F.collect_list(F.col(r)).over(w.w(n)), n))], n)
 
 

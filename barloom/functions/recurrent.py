@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from barloom.functions.finite import Feat, col, sdiv
+from barloom.functions.finite import Feat, col, pct, sdiv
 from barloom.plans.frame import BarFrame, Win
 
 
@@ -127,7 +127,7 @@ def trix(fr: BarFrame, x="close", n=30, out=None) -> BarFrame:
     e3 = F.col(names[2])
     prev = w.lag(e3, 1)
     lb = 3 * (n - 1) + 1
-    val = F.when(_rn() > lb, sdiv((e3 / prev - 1.0) * 100.0, prev))
+    val = F.when(_rn() > lb, pct(e3, prev, 0.0))
     fr = fr.add(Feat([(out or f"TRIX_{n}", val)], 1))
     return fr.drop(*names)
 

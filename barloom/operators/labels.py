@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.finite import Feat, col, guard, sdiv
+from barloom.functions.finite import Feat, col, guard, pct, sdiv
 from barloom.plans.frame import BarFrame, Win
 
 
@@ -31,7 +31,7 @@ def updown_label(w: Win, h="high", l="low", lookback=30, lookforward=5, up_down_
     have = w.lead(F.col(m), lookforward).isNotNull()
     val = F.when(have, F.when(allup, F.lit(1)).otherwise(F.lit(-1)))
     return Feat([(m, (col(h) + col(l)) / 2.0),
-                 (r, sdiv((F.col(m) / w.lag(F.col(m), 1) - 1.0) * 100.0, w.lag(F.col(m), 1), None)),
+                 (r, pct(F.col(m), w.lag(F.col(m), 1))),
                  (out, guard(val, lookback))], lookback, lookforward)
 
 
@@ -40,7 +40,7 @@ def lagged_returns(w: Win, h="high", l="low", lookback=30, lookforward=5) -> Fea
     m = "_lab5_m"
     r = "_lab5_r"
     steps = [(m, (col(h) + col(l)) / 2.0),
-             (r, sdiv((F.col(m) / w.lag(F.col(m), 1) - 1.0) * 100.0, w.lag(F.col(m), 1), None))]
+             (r, pct(F.col(m), w.lag(F.col(m), 1)))]
     steps.append(("lookback0", F.col(r)))
     for i in range(1, lookback + 1):
         steps.append((f"lookback{i}", w.lag(F.col(r), i)))

@@ -140,7 +140,7 @@ finite_case("w18_w19_apo_ppo", lambda w: [FI.apo(w, fast=7, slow=14), FI.ppo(w,
 
 finite_case("w20_w22_mom_roc_rocr", lambda w: [FI.mom(w, n=7), FI.roc(w, n=7), FI.rocr(w, n=37)],
             [[("MOM_7", G(7, f"close - {LAG('close', 7)}")),
-              ("ROC_7", G(7, DIV(f"(close / {LAG('close', 7)} - 1.0) * 100.0", LAG('close', 7)))),
+              ("ROC_7", G(7, f"CASE WHEN {LAG('close', 7)} <> 0 THEN (close / {LAG('close', 7)} - 1.0) * 100.0 ELSE 0.0 END")),
               ("ROCR_37", G(37, DIV("close", LAG('close', 37))))]],
             ["MOM_7", "ROC_7", "ROCR_37"], 4, {"ROC_7": 6, "ROCR_37": 8})
 
@@ -337,7 +337,7 @@ recur_case("w09_t3", lambda fr: RC.t3(fr, n=5, vfactor=0.7),
 recur_case("w33_trix", lambda fr: RC.trix(fr, n=7),
            _lsql([], [SK.ema("e1", "pre", "close", 7), SK.ema("e2", "e1", "e1", 7, start=7),
                       SK.ema("e3", "e2", "e2", 7, start=13)], ["e3"],
-                 [[("TRIX_7", G(19, DIV(f"(e3 / {LAG('e3', 1)} - 1.0) * 100.0", LAG("e3", 1))))]], ["TRIX_7"]),
+                 [[("TRIX_7", G(19, f"CASE WHEN {LAG('e3', 1)} <> 0 THEN (e3 / {LAG('e3', 1)} - 1.0) * 100.0 ELSE 0.0 END"))]], ["TRIX_7"]),
            ["TRIX_7"], 6)
 
 _kx = "CASE WHEN rn < 10 THEN 0.0 WHEN rn = 10 THEN close ELSE sc * close END"
