@@ -40,10 +40,8 @@ def smooth_many(fr: BarFrame, specs: list[tuple]) -> BarFrame:
         scans.append(dict(out=tmp, x=contrib, d=float(d), d_from=None if d == 1.0 else seed_end + 1))
         posts.append((out, seed_end, tmp))
     fr = fr.scan_many(scans)
-    df = fr.df
-    for out, seed_end, tmp in posts:
-        df = df.withColumn(out, F.when(rn >= seed_end, F.col(tmp))).drop(tmp)
-    return fr.with_df(df)
+    df = fr.df.withColumns({out: F.when(rn >= seed_end, F.col(tmp)) for out, seed_end, tmp in posts})
+    return fr.with_df(df.drop(*[tmp for _, _, tmp in posts]))
 
 
 def smooth(fr: BarFrame, out: str, x: Column, start: int, seed_len: int, d: float,

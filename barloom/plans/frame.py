@@ -105,8 +105,8 @@ class BarFrame:
             ex = df.select("*", F.explode(F.sequence(first_target, last_target)).alias("_tb"))
         else:
             ex = df.withColumn("_tb", F.col("blk"))
-        for name, col in steps:
-            ex = ex.withColumn(name, col)
+        for level in _levels(steps):
+            ex = ex.withColumns(level)
         if halo > 0 or ahead > 0:
             ex = ex.where(F.col("_tb") == F.col("blk"))
         # keep the (key, block) clustering visible to the planner: rename, do not recompute
@@ -131,10 +131,7 @@ class BarFrame:
         return self.with_df(self.df.drop(*cols))
 
     def with_columns(self, **cols) -> "BarFrame":
-        df = self.df
-        for k, v in cols.items():
-            df = df.withColumn(k, v)
-        return self.with_df(df)
+        return self.with_df(self.df.withColumns(cols))
 
     # ------------------------------------------------------------- linear scan
     def _stage_input(self) -> DataFrame:
@@ -170,6 +167,7 @@ class BarFrame:
         wt_all = Window.partitionBy(key).orderBy("sblk")
         pos = (F.col("rn") - F.lit(1)) % F.lit(Ls)  # position inside the scan block
         aggs, carries, finals, tmp = [], [], [], []
+        phase_s, phase_s_win, phase_xe, phase_u = {}, {}, {}, {}
         for i, sp in enumerate(specs):
             out, x, d = sp["out"], sp["x"], sp["d"]
             d_min, d_max = sp.get("d_min"), sp.get("d_max")
@@ -187,10 +185,11 @@ class BarFrame:
             if Ls * abs(math.log(d_min)) > MAX_LOG_SPAN:
                 raise ValueError(f"decay {d_min} too fast for scan block {Ls}")
             xv = F.coalesce(x.cast("double"), F.lit(0.0))
-            S, xe, u, B, D, C = (f"_s{i}_{n}" for n in ("S", "xe", "u", "B", "D", "C"))
+            S, xe, u, C = (f"_s{i}_{n}" for n in ("S", "xe", "u", "C"))
             tmp += [S, xe, u, C]
             if const and d == 1.0:
-                df = df.withColumn(S, F.lit(0.0)).withColumn(xe, xv)
+                phase_s[S] = F.lit(0.0)
+                phase_xe[xe] = xv
             else:
                 if const:
                     lnd = math.log(d)
@@ -198,13 +197,13 @@ class BarFrame:
                         bstart = F.col("rn") - pos
                         cnt = F.greatest(F.lit(0).cast("long"),
                                          F.col("rn") - F.greatest(bstart, F.lit(int(d_from)).cast("long")) + 1)
-                        df = df.withColumn(S, cnt.cast("double") * F.lit(lnd))
+                        phase_s[S] = cnt.cast("double") * F.lit(lnd)
                     else:
-                        df = df.withColumn(S, (pos + F.lit(1)).cast("double") * F.lit(lnd))
+                        phase_s[S] = (pos + F.lit(1)).cast("double") * F.lit(lnd)
                 else:
-                    df = df.withColumn(S, F.sum(F.log(d.cast("double"))).over(run))
-                df = df.withColumn(xe, xv * F.exp(-F.col(S)))
-            df = df.withColumn(u, F.sum(F.col(xe)).over(run))
+                    phase_s_win[S] = F.sum(F.log(d.cast("double"))).over(run)
+                phase_xe[xe] = xv * F.exp(-F.col(S))
+            phase_u[u] = F.sum(F.col(xe)).over(run)
             # per scan block: B = y at its end given zero carry, D = product of d over it
             aggs += [F.sum(F.col(xe)).alias(f"_a{i}u"), F.min(F.col(S)).alias(f"_a{i}S")]
             Dmax = d_max ** Ls if d_max < 1.0 else 1.0
@@ -224,10 +223,12 @@ class BarFrame:
                 carry = F.aggregate(hist, F.lit(0.0), lambda acc, e: acc * e["d"] + e["b"])
             carries.append(carry.alias(C))
             finals.append((out, F.exp(F.col(S)) * (F.col(u) + F.coalesce(F.col(C), F.lit(0.0)))))
+        for phase in (phase_s, phase_s_win, phase_xe, phase_u):
+            if phase:
+                df = df.withColumns(phase)
         tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", *carries)
         df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-        for out, val in finals:
-            df = df.withColumn(out, val)
+        df = df.withColumns(dict(finals))
         return replace(self, df=df.drop(*tmp), depth=self.depth + 1)
 
     def cumsum(self, out: str, x: Column) -> "BarFrame":
@@ -243,6 +244,40 @@ class BarFrame:
         """Running max/min of ``x`` from the first row of the key."""
         return self._assoc(out, x, how)
 
+    def ffill_many(self, cols: dict) -> "BarFrame":
+        """Several forward fills ({out: column}) in one pass."""
+        return self._assoc_many([(o, x, "last") for o, x in cols.items()])
+
+    def _assoc_many(self, specs) -> "BarFrame":
+        key = self.key
+        df = self._stage_input()
+        ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
+        run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(Window.unboundedPreceding, -1)
+        aggs, carries, finals, tmp = [], [], [], []
+        df = df.withColumns({f"_f{i}x": x for i, (_, x, _) in enumerate(specs)})
+        inner = {}
+        for i, (out, x, how) in enumerate(specs):
+            xi, inn, v, c = f"_f{i}x", f"_f{i}in", f"_f{i}v", f"_f{i}c"
+            tmp += [xi, inn, c]
+            if how == "last":
+                inner[inn] = F.last(xi, ignorenulls=True).over(run)
+                aggs.append(F.max_by(xi, F.when(F.col(xi).isNotNull(), F.col("rn"))).alias(v))
+                carries.append(F.last(v, ignorenulls=True).over(wt).alias(c))
+                finals.append((out, F.coalesce(F.col(inn), F.col(c))))
+            else:
+                agg = F.max if how == "max" else F.min
+                comb = F.greatest if how == "max" else F.least
+                inner[inn] = agg(xi).over(run)
+                aggs.append(agg(xi).alias(v))
+                carries.append(agg(v).over(wt).alias(c))
+                finals.append((out, comb(F.col(inn), F.col(c))))
+        df = df.withColumns(inner)
+        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", *carries)
+        df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
+        df = df.withColumns(dict(finals))
+        return replace(self, df=df.drop(*tmp), depth=self.depth + 1)
+
     def _assoc(self, out: str, x: Column, how: str) -> "BarFrame":
         key = self.key
         df = self._stage_input().withColumn("_x", x)
@@ -279,6 +314,23 @@ class BarFrame:
         return df
 
 
+def _levels(steps):
+    """Group ordered (name, Column) steps into batches for ``withColumns``; a new
+    batch starts when a step refers to a column defined in the current batch.
+    Keeps the plan shallow (one projection per batch, not per column)."""
+    import re as _re
+    out, cur = [], {}
+    for name, col in steps:
+        text = str(col)
+        if any(_re.search(r"(?<![A-Za-z0-9_])" + _re.escape(n) + r"(?![A-Za-z0-9_])", text) for n in cur):
+            out.append(cur)
+            cur = {}
+        cur[name] = col
+    if cur:
+        out.append(cur)
+    return out
+
+
 # ---------------------------------------------------------------------- windows
 class Win:
     """Window specs used by finite builders inside :meth:`BarFrame.finite`."""
