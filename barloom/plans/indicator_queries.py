@@ -539,3 +539,33 @@ def _k62_sql():
 
 SPARK["k62_pattern_wma300"] = _k62_spark
 SQL["k62_pattern_wma300"] = _k62_sql()
+
+
+# ======================================================= class N (grouped map)
+from barloom.operators import grouped as GR  # noqa: E402
+
+
+def _q_sar(spark, sf):
+    fr = daily_frame(spark, sf)
+    return finish(GR.parabolic_sar(fr).df.select("symbol", "ts", "SAR", "SAR_exact"), 4)
+
+
+def _q_cycle(spark, sf):
+    fr = daily_frame(spark, sf)
+    cols = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
+            "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "MAMA_mama", "MAMA_fama"]
+    return finish(GR.cycle_indicators(fr).df.select("symbol", "ts", *cols), 6)
+
+
+def _q_exits(spark, sf):
+    fr = daily_frame(spark, sf)
+    w = Win(fr.key, fr.block)
+    fr = fr.add(FI.linearreg_slope(w, n=7, out="sl"))
+    fr = fr.with_columns(gate=F.when(F.col("sl") > 0, 1).when(F.col("sl") < 0, -1).otherwise(0))
+    return GR.path_exits(fr, "gate", size=10.0, max_holding=20, stop_pct=0.05).df.select(
+        "symbol", "ts", "target", "target_exact")
+
+
+SPARK["w13_sar"] = _q_sar
+SPARK["w08_w14_w48_w52_cycle_family_mama"] = _q_cycle
+SPARK["sig4_path_dependent_exits"] = _q_exits
