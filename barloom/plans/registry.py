@@ -8,6 +8,7 @@ _MODULES = [
     ("barloom.plans.queries", "QUERIES", "barloom.plans.oracle", "ORACLE"),
     ("barloom.plans.indicator_queries", "SPARK", "barloom.plans.indicator_queries", "SQL"),
     ("barloom.plans.table_queries", "SPARK", "barloom.plans.table_queries", "SQL"),
+    ("barloom.plans.learning_queries", "SPARK", "barloom.plans.learning_queries", "SQL"),
 ]
 
 
