@@ -9,6 +9,7 @@ _MODULES = [
     ("barloom.plans.indicator_queries", "SPARK", "barloom.plans.indicator_queries", "SQL"),
     ("barloom.plans.table_queries", "SPARK", "barloom.plans.table_queries", "SQL"),
     ("barloom.plans.learning_queries", "SPARK", "barloom.plans.learning_queries", "SQL"),
+    ("barloom.plans.stream_queries", "SPARK", "barloom.plans.stream_queries", "SQL"),
 ]
 
 
