@@ -111,13 +111,18 @@ def _finite_stage(w: Win, lags, bases, patterns: bool, pattern_wma: int):
 
 
 def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool = True, time: bool = True,
-                          cycle: bool = False, pattern_wma: int = 300, dropna: bool = True,
+                          cycle: bool = True, pattern_wma: int = 300, dropna: bool = True,
                           sort: bool = True) -> BarFrame:
     """FP1: every batch feature of the reference for ``lags`` (581 columns for the default lags)."""
     bases = list(bases or (VOLUME + MOMENTUM + MATH))
     want = set(bases)
     w = Win(fr.key, fr.block)
     fr = fr.add(_finite_stage(w, lags, bases, patterns, pattern_wma))
+    if cycle:
+        from barloom.operators.grouped import cycle_indicators
+        fr = cycle_indicators(fr)
+        fr = fr.with_df(fr.df.withColumnsRenamed({"HT_PHASOR_inphase": "HT_PHASORinphase", "HT_SINE_sine": "HT_SINEsine"})
+                        .drop("HT_PHASOR_quadrature", "HT_SINE_leadsine", "MAMA_mama", "MAMA_fama"))
     if time:
         fr = fr.with_columns(**TF.time_features(fr.order[0]))
 
@@ -237,7 +242,7 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
 
 
 # ------------------------------------------------------------------ FP2 / FP3
-NAME_RE = re.compile(r"^(?:(\d+)_)?([A-Z0-9_]+?)(?:_(\d+))?([a-z]+)?$")
+NAME_RE = re.compile(r"^(?:(\d+)_)?([A-Za-z0-9_]+?)(?:_(\d+))?([a-z]+)?$")
 
 
 def parse_feature_names(text: str) -> list[tuple[int | None, str, int | None, str | None]]:

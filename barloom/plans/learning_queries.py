@@ -443,3 +443,33 @@ def q_sel8(spark, sf):
     m = LN.pca_features(df, FEATS, k=3)
     from pyspark.ml.functions import vector_to_array
     return m.transform(df).select("symbol", "ts", vector_to_array("pca").alias("pca"))
+
+
+# ------------------------------------------------------------- FP / SNK
+@reg("fp1_generate_all_features_lags_7_17")
+def q_fp1(spark, sf):
+    """FP1 for two lags (all families, patterns smoothed by WMA(300), time fields), NaN rows dropped."""
+    from barloom.plans import features as FP
+    return FP.generate_all_features(daily_frame(spark, sf), [7, 17]).df.drop("blk", "sblk")
+
+
+@reg("fp2_fp3_features_from_names")
+def q_fp2(spark, sf):
+    """FP2/FP3: build only the features named in a saved name list."""
+    from barloom.plans import features as FP
+    text = "0_RSI_7,1_ADX_17,2_STOCH_7slowk,3_CDLDOJI,4_time_hour,5_LINEARREG_SLOPE_17,"
+    return FP.features_for_names(daily_frame(spark, sf), text, dropna=False).df.drop("blk", "sblk")
+
+
+@reg("snk1_snk5_save_and_reload")
+def q_snk(spark, sf):
+    """SNK1/SNK5: X, y and feature names written under the checkpoint folder and read back."""
+    from barloom.sources import sinks as SK
+    from barloom.streaming.bars import scratch
+    lab = labelled_daily(spark, sf)
+    from barloom.operators.cleanup import split_features_target
+    X, y = split_features_target(lab.select("symbol", "ts", "close", "pos_change_signal", "desired_pos_change"))
+    base = scratch(spark, "snk")
+    SK.save_xy(X, y, base, "2024-01-01")
+    SK.save_feature_names(spark, ["close"], f"{base}/names")
+    return spark.read.parquet(f"{base}/y").select("symbol", "ts", "pos_change_signal", "desired_pos_change")
