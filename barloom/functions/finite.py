@@ -67,6 +67,12 @@ def pct(a: Column, b: Column, zero=None) -> Column:
     return F.when(b != 0, (a / b - 1.0) * 100.0).otherwise(z)
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate expression; NULL (not an error) when a
+    variance is 0 — ``corr`` itself divides by zero under ANSI mode."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def _nm(name, default):
     return name or default
 
@@ -301,7 +307,8 @@ def beta(w: Win, x="high", y="low", n=5, out=None) -> Feat:
     rx, ry = f"_ret_{x}", f"_ret_{y}"
     px, py = w.lag(col(x), 1), w.lag(col(y), 1)
     vx = F.var_pop(F.col(rx)).over(w.w(n))
-    val = F.when(vx > 0, F.regr_slope(F.col(ry), F.col(rx)).over(w.w(n))).otherwise(0.0)
+    slope = F.try_divide(F.covar_pop(F.col(ry), F.col(rx)).over(w.w(n)), vx)
+    val = F.when(vx > 0, slope).otherwise(0.0)
     return Feat([(rx, sdiv(col(x), px, None) - 1.0), (ry, sdiv(col(y), py, None) - 1.0),
                  (_nm(out, f"BETA_{n}"), guard(val, n))], n)
 
@@ -309,14 +316,17 @@ def beta(w: Win, x="high", y="low", n=5, out=None) -> Feat:
 def correl(w: Win, x="high", y="low", n=30, out=None) -> Feat:
     sx = F.stddev_pop(col(x)).over(w.w(n))
     sy = F.stddev_pop(col(y)).over(w.w(n))
-    val = F.when((sx > 0) & (sy > 0), F.corr(col(x), col(y)).over(w.w(n))).otherwise(0.0)
+    cv = F.covar_pop(col(x), col(y)).over(w.w(n))
+    val = F.when((sx > 0) & (sy > 0), F.try_divide(cv, sx * sy)).otherwise(0.0)
     return Feat([(_nm(out, f"CORREL_{n}"), guard(val, n - 1))], n - 1)
 
 
 def _regr(w: Win, x, n):
+    """Least-squares line of x on the block-local position over the last n rows
+    (covariance / variance, so a degenerate window gives NULL, not an error)."""
     p = w.pos
-    slope = F.regr_slope(col(x), p).over(w.w(n))
-    icpt = F.regr_intercept(col(x), p).over(w.w(n))
+    slope = F.try_divide(F.covar_pop(col(x), p).over(w.w(n)), F.var_pop(p).over(w.w(n)))
+    icpt = F.avg(col(x)).over(w.w(n)) - slope * F.avg(p).over(w.w(n))
     return slope, icpt, p
 
 
@@ -442,8 +452,9 @@ def trend_score(w: Win, x="close", n=25, out=None) -> Feat:
     """10000 · slope · R² of x/x_first against 1..n."""
     p = w.pos
     first = F.first(col(x)).over(w.w(n))
-    slope = F.regr_slope(col(x), p).over(w.w(n))
-    r2 = F.regr_r2(col(x), p).over(w.w(n))
+    slope = F.try_divide(F.covar_pop(col(x), p).over(w.w(n)), F.var_pop(p).over(w.w(n)))
+    r2 = F.pow(F.try_divide(F.covar_pop(col(x), p).over(w.w(n)),
+                            F.stddev_pop(col(x)).over(w.w(n)) * F.stddev_pop(p).over(w.w(n))), 2)
     val = sdiv(slope, first, None) * F.coalesce(r2, F.lit(0.0)) * 10000.0
     return Feat([(_nm(out, f"TREND_{n}"), guard(val, n - 1))], n - 1)
 

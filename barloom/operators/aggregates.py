@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.finite import safe_corr
 from barloom.plans.frame import sequence
 
 
@@ -46,7 +47,7 @@ def corr_row(df: DataFrame, target: str, cols: list[str], group: str | None = No
                         F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
                                             for c in cols])).alias("_e"))
     return (stacked.groupBy(*keys, F.col("_e.name").alias("feature"))
-            .agg(F.corr("_t", "_e.v").alias("corr")))
+            .agg(safe_corr(F.col("_t"), F.col("_e.v")).alias("corr")))
 
 
 def corr_by_parameter(df: DataFrame, target: str, columns_by_param: dict, group: str | None = None) -> DataFrame:
@@ -55,7 +56,7 @@ def corr_by_parameter(df: DataFrame, target: str, columns_by_param: dict, group:
     stacked = df.select(*keys, F.col(target).alias("_t"),
                         F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.col(c).cast("double").alias("v"))
                                             for p, c in columns_by_param.items()])).alias("_e"))
-    return stacked.groupBy(*keys, F.col("_e.param").alias("param")).agg(F.corr("_t", "_e.v").alias("corr"))
+    return stacked.groupBy(*keys, F.col("_e.param").alias("param")).agg(safe_corr(F.col("_t"), F.col("_e.v")).alias("corr"))
 
 
 def inverse_normal(p: Column) -> Column:

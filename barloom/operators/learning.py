@@ -22,6 +22,8 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.finite import safe_corr
+
 # ------------------------------------------------------------------ ML1–ML7
 MODEL_COMBOS = {
     "DecisionTree": (DecisionTreeClassifier, DecisionTreeRegressor),            # ML1
@@ -265,7 +267,7 @@ def best_period_by_correlation(df: DataFrame, target: str, candidates: dict, ran
     st = df.select(*keys, F.col(target).alias("_t"), F.explode(F.array(*[
         F.struct(F.lit(ind).alias("indicator"), F.lit(p).alias("period"), F.col(c).cast("double").alias("v"))
         for (ind, p), c in candidates.items()])).alias("e"))
-    c = st.groupBy(*keys, "e.indicator", "e.period").agg(F.corr("_t", "e.v").alias("corr"))
+    c = st.groupBy(*keys, "e.indicator", "e.period").agg(safe_corr(F.col("_t"), F.col("e.v")).alias("corr"))
     rng = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in ranges])
     c = c.select("*", F.explode(rng).alias("r")).where((F.col("period") >= F.col("r.lo")) & (F.col("period") < F.col("r.hi")))
     w = Window.partitionBy(*keys, "indicator", "r").orderBy(F.abs("corr").desc(), "period")
@@ -278,7 +280,7 @@ def prune_correlated(df: DataFrame, cols: list[str], max_corr: float = 0.95) ->
     column order over that small table: drop a column correlated above the limit
     with one already kept."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    r = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else {}
+    r = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else {}
     corr = {pairs[i]: r[f"{i}"] for i in range(len(pairs))}
     kept = []
     for c in cols:

@@ -39,7 +39,8 @@ def main():
         fr = sequence(BS.bars_daily(spark, sf_dir))
         bases = ["ROC", "MOM", "APO", "AROONOSC", "CCI", "STOCH_slowk", "STOCHF_fastk", "PPO", "ULTOSC", "WILLR",
                  "TRANGE", "MFI"] + FP.MATH
-        return FP.generate_all_features(fr, FP.LAGS, bases, patterns=False, time=False, dropna=False).df
+        return FP.generate_all_features(fr, FP.LAGS, bases, patterns=False, time=False, cycle=False,
+                                        dropna=False).df
 
     def recurrences(rn_mode, block_rows):
         def run():
