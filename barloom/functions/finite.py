@@ -70,7 +70,9 @@ def pct(a: Column, b: Column, zero=None) -> Column:
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation as an aggregate expression; NULL (not an error) when a
     variance is 0 — ``corr`` itself divides by zero under ANSI mode."""
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    xm = F.when(y.isNotNull(), x)   # pairwise-complete rows, as corr uses
+    ym = F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
 def _nm(name, default):
@@ -306,8 +308,9 @@ def ultosc(w: Win, h="high", l="low", c="close", p1=7, p2=14, p3=28, out=None) -
 def beta(w: Win, x="high", y="low", n=5, out=None) -> Feat:
     rx, ry = f"_ret_{x}", f"_ret_{y}"
     px, py = w.lag(col(x), 1), w.lag(col(y), 1)
-    vx = F.var_pop(F.col(rx)).over(w.w(n))
-    slope = F.try_divide(F.covar_pop(F.col(ry), F.col(rx)).over(w.w(n)), vx)
+    rxm = F.when(F.col(ry).isNotNull(), F.col(rx))
+    vx = F.var_pop(rxm).over(w.w(n))
+    slope = F.try_divide(F.covar_pop(F.col(ry), rxm).over(w.w(n)), vx)
     val = F.when(vx > 0, slope).otherwise(0.0)
     return Feat([(rx, sdiv(col(x), px, None) - 1.0), (ry, sdiv(col(y), py, None) - 1.0),
                  (_nm(out, f"BETA_{n}"), guard(val, n))], n)
@@ -325,8 +328,9 @@ def _regr(w: Win, x, n):
     """Least-squares line of x on the block-local position over the last n rows
     (covariance / variance, so a degenerate window gives NULL, not an error)."""
     p = w.pos
-    slope = F.try_divide(F.covar_pop(col(x), p).over(w.w(n)), F.var_pop(p).over(w.w(n)))
-    icpt = F.avg(col(x)).over(w.w(n)) - slope * F.avg(p).over(w.w(n))
+    pm = F.when(col(x).isNotNull(), p)   # pairwise-complete rows
+    slope = F.try_divide(F.covar_pop(col(x), pm).over(w.w(n)), F.var_pop(pm).over(w.w(n)))
+    icpt = F.avg(col(x)).over(w.w(n)) - slope * F.avg(pm).over(w.w(n))
     return slope, icpt, p
 
 
@@ -452,9 +456,10 @@ def trend_score(w: Win, x="close", n=25, out=None) -> Feat:
     """10000 · slope · R² of x/x_first against 1..n."""
     p = w.pos
     first = F.first(col(x)).over(w.w(n))
-    slope = F.try_divide(F.covar_pop(col(x), p).over(w.w(n)), F.var_pop(p).over(w.w(n)))
-    r2 = F.pow(F.try_divide(F.covar_pop(col(x), p).over(w.w(n)),
-                            F.stddev_pop(col(x)).over(w.w(n)) * F.stddev_pop(p).over(w.w(n))), 2)
+    pm = F.when(col(x).isNotNull(), p)
+    slope = F.try_divide(F.covar_pop(col(x), pm).over(w.w(n)), F.var_pop(pm).over(w.w(n)))
+    r2 = F.pow(F.try_divide(F.covar_pop(col(x), pm).over(w.w(n)),
+                            F.stddev_pop(col(x)).over(w.w(n)) * F.stddev_pop(pm).over(w.w(n))), 2)
     val = sdiv(slope, first, None) * F.coalesce(r2, F.lit(0.0)) * 10000.0
     return Feat([(_nm(out, f"TREND_{n}"), guard(val, n - 1))], n - 1)
 
