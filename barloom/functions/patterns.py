@@ -327,14 +327,20 @@ HELPER_COLUMNS = [f"{b}{k}" for k in range(0, MAXLAG + 1) for b in HELPER_BASE]
 def pattern_wma_feats(w: Win, names=None, n: int = 300) -> Feat:
     """WMA(n) of each pattern column (class F, lookback pattern LB + n − 1).
 
-    Pattern values are small integers, so the two window sums are exact."""
+    Pattern values are small integers and positions are block-local, so running
+    sums of x and x·position are exact; each window sum is a lag difference
+    (O(1) per row instead of re-reading n rows)."""
+    from pyspark.sql import Window
     names = names or ALL_PATTERNS
     p = w.pos
-    steps = []
+    run = w.o.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps, finals = [], []
     for name in names:
         x = F.col(name).cast("double")
-        s1 = F.sum(x * p).over(w.w(n))
-        s0 = F.sum(x).over(w.w(n))
+        r0, r1 = f"_pw0_{name}", f"_pw1_{name}"
+        steps += [(r0, F.sum(x).over(run)), (r1, F.sum(x * p).over(run))]
+        s0 = F.col(r0) - F.coalesce(F.lag(F.col(r0), n).over(w.o), F.lit(0.0))
+        s1 = F.col(r1) - F.coalesce(F.lag(F.col(r1), n).over(w.o), F.lit(0.0))
         val = (s1 - (p - F.lit(float(n))) * s0) / F.lit(n * (n + 1) / 2.0)
-        steps.append((f"{name}_wma{n}", F.when(F.col("rn") > lookback(name) + n - 1, val)))
-    return Feat(steps, n - 1)
+        finals.append((f"{name}_wma{n}", F.when(F.col("rn") > lookback(name) + n - 1, val)))
+    return Feat(steps + finals, n)

@@ -242,6 +242,12 @@ def _fast_family(w: Win, lags, want, fast: _Fast):
             Rpf, Rnf = fast.R("pf", F.col("_pf")), fast.R("nf", F.col("_nf"))
             P, N = fast.S(Rpf, n), fast.S(Rnf, n)
             out.append((f"MFI_{n}", F.when(rn > n, F.when(P + N < 1.0, F.lit(0.0)).otherwise(P * 100.0 / (P + N)))))
+        if "AROONOSC" in want:
+            # bars since the extreme over n+1 rows (ties → latest): max of (value, rn) structs
+            up = fast.ext("_hk", n + 1, "max").getField("r")
+            dn = fast.ext("_lk", n + 1, "max").getField("r")
+            val = ((F.lit(float(n)) - (rn - up)) - (F.lit(float(n)) - (rn - dn))) * (100.0 / n)
+            out.append((f"AROONOSC_{n}", F.when(rn > n, val)))
         if want & {"WILLR", "STOCH_slowk", "STOCHF_fastk"}:
             hh, ll = fast.ext("high", n, "max"), fast.ext("low", n, "min")
             k = sdiv((F.col("close") - ll) * 100.0, hh - ll)
@@ -256,14 +262,15 @@ def _finite_stage_fast(w: Win, lags, bases, patterns: bool, pattern_wma: int):
     """Class-F features of FP1 with running-sum / doubling forms where the window
     is long; lag-based and small features use the exact builders."""
     want = set(bases)
-    base = _finite_stage(w, lags, [b for b in bases if b in {"ROC", "MOM", "AROONOSC", "CCI", "TRANGE"}],
+    base = _finite_stage(w, lags, [b for b in bases if b in {"ROC", "MOM", "CCI", "TRANGE"}],
                          False, pattern_wma)
     c, h, l, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     pc = w.lag(c, 1)
     tp = (h + l + c) / 3.0
     pre = [("_rx", sdiv(h, w.lag(h, 1), None) - 1.0), ("_ry", sdiv(l, w.lag(l, 1), None) - 1.0),
            ("_bp", c - F.least(l, pc)), ("_tr1", F.greatest(h, pc) - F.least(l, pc)),
-           ("_tpf", tp)]
+           ("_tpf", tp), ("_hk", F.struct(h.alias("v"), _rn().alias("r"))),
+           ("_lk", F.struct((-l).alias("v"), _rn().alias("r")))]
     flows = [("_pf", F.when(F.col("_tpf") > w.lag(F.col("_tpf"), 1), F.col("_tpf") * v).otherwise(0.0)),
              ("_nf", F.when(F.col("_tpf") < w.lag(F.col("_tpf"), 1), F.col("_tpf") * v).otherwise(0.0))]
     fast = _Fast(w)
