@@ -99,3 +99,17 @@ def test_entry_runs(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() >= 0 and "total_pnl" in df.columns
+
+
+def test_identical_three_crows(spark):
+    bars = [(105, 105.2, 103.9, 104), (104, 104.1, 102.95, 103), (103, 103.1, 101.95, 102)]
+    assert _last(spark, bars, "CDLIDENTICAL3CROWS") == -100
+    near = [(105, 105.2, 103.9, 104), (104, 104.1, 102.95, 103), (103.5, 103.6, 101.95, 102)]
+    assert _last(spark, near, "CDLIDENTICAL3CROWS") == 0
+
+
+def test_upside_gap_two_crows(spark):
+    bars = [(100, 102.1, 99.9, 102), (103, 103.2, 102.4, 102.6), (103.5, 103.6, 102.4, 102.5)]
+    assert _last(spark, bars, "CDLUPSIDEGAP2CROWS") == -100
+    near = [(100, 102.1, 99.9, 102), (103, 103.2, 102.4, 102.6), (103.5, 103.6, 101.8, 101.9)]
+    assert _last(spark, near, "CDLUPSIDEGAP2CROWS") == 0
