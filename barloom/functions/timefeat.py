@@ -134,8 +134,8 @@ def calendar_flags(df: DataFrame, key="symbol", ts="ts", minutes=(10, 15, 20, 30
         F.exists(harr, lambda h: (h < day) & F.when(prv.isNull(), h >= F.date_sub(day, 7)).otherwise(h > prv))
         .alias("first_day_after_holiday"))
     out = d.join(sess, [key, "_day"], "left")
-    since = (F.unix_micros(_c(ts).cast("timestamp")) - F.unix_micros(F.col("_open").cast("timestamp"))) / 60e6
-    until = (F.unix_micros(F.col("_close").cast("timestamp")) - F.unix_micros(_c(ts).cast("timestamp"))) / 60e6
+    since = F.timestamp_diff("MICROSECOND", F.col("_open"), _c(ts)) / 60e6
+    until = F.timestamp_diff("MICROSECOND", _c(ts), F.col("_close")) / 60e6
     for m in minutes:
         out = out.withColumn(f"within_open_{m}", since < m).withColumn(f"within_close_{m}", until < m)
     return out.drop("_day", "_open", "_close")

@@ -60,12 +60,17 @@ def drop_duplicate_bars(bars: DataFrame, key: str = "symbol", ts: str = "ts") ->
     return bars.dropDuplicates([c for c in bars.columns])
 
 
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _to_micros(c):
-    return F.unix_micros(c.cast("timestamp"))
+    """Wall-clock microseconds of a timestamp_ntz (independent of the session time zone)."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), c)
 
 
 def _from_micros(c):
-    return F.timestamp_micros(c).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", c, _epoch())
 
 
 def gap_fill(bars: DataFrame, interval: str, key: str = "symbol", ts: str = "ts",

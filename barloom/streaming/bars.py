@@ -48,15 +48,29 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return r.parquet(sf_dir)
 
 
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def event_time(c):
+    """timestamp_ntz wall clock → TIMESTAMP instant read as UTC (session zone does not matter)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
+
+
+def wall_clock(c):
+    """TIMESTAMP instant → timestamp_ntz wall clock in UTC."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
+
+
 def tick_bars(ticks: DataFrame, interval: str = "1 hour", delay: str = "1 hour", key: str = "event_type",
               ts: str = "ts", price: str = "value", order: str = "event_id") -> DataFrame:
     """ST1: tumbling bars; ``withWatermark`` needs a timestamp (not timestamp_ntz) column."""
-    t = ticks.withColumn("_ets", F.col(ts).cast("timestamp")).withWatermark("_ets", delay)
+    t = ticks.withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
     return (t.groupBy(F.col(key).alias("symbol"), F.window("_ets", interval).alias("w"))
             .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
                  F.max_by(price, order).alias("close"), F.count(F.lit(1)).cast("double").alias("volume"))
-            .select("symbol", F.col("w.start").cast("timestamp_ntz").alias("ts"),
-                    F.col("w.end").cast("timestamp_ntz").alias("ts_end"), "open", "high", "low", "close", "volume"))
+            .select("symbol", wall_clock(F.col("w.start")).alias("ts"),
+                    wall_clock(F.col("w.end")).alias("ts_end"), "open", "high", "low", "close", "volume"))
 
 
 def run_to_table(df: DataFrame, name: str, mode: str = "append", partition_by=None) -> str:
@@ -73,7 +87,7 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append", partition_by=No
 
 def dedup_within_watermark(ticks: DataFrame, keys=("event_type", "ts"), delay: str = "1 hour", ts: str = "ts") -> DataFrame:
     """ST7: drop repeated (key, time) rows within the watermark; late rows are dropped."""
-    t = ticks.withColumn("_ets", F.col(ts).cast("timestamp")).withWatermark("_ets", delay)
+    t = ticks.withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
     return t.dropDuplicatesWithinWatermark(list(keys)).drop("_ets")
 
 
@@ -106,7 +120,7 @@ class FeatureStream:
 
     def _write_tail(self, bars: DataFrame):
         from barloom.plans.frame import sequence
-        fr = sequence(bars, key=self.key, order=(self.ts,), rn_mode="window")
+        fr = sequence(bars, key=self.key, order=(self.ts,))
         n = fr.df.groupBy(self.key).agg(F.max("rn").alias("_n"))   # one row per symbol
         tail = fr.df.join(n, self.key).where(F.col("rn") > F.col("_n") - self.buffer).drop("rn", "blk", "sblk", "_n")
         self.version += 1
@@ -123,7 +137,7 @@ class FeatureStream:
             allb = hist.unionByName(new).dropDuplicates([self.key, self.ts])
         else:
             hist, allb = None, new
-        fr = self.build(sequence(allb, key=self.key, order=(self.ts,), rn_mode="window"))
+        fr = self.build(sequence(allb, key=self.key, order=(self.ts,)))
         feats = fr.df.join(new.select(self.key, self.ts), [self.key, self.ts], "left_semi")
         if self.model is not None:
             feats = self.model.transform(feats)
