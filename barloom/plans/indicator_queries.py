@@ -561,11 +561,17 @@ def _q_exits(spark, sf):
     fr = daily_frame(spark, sf)
     w = Win(fr.key, fr.block)
     fr = fr.add(FI.linearreg_slope(w, n=7, out="sl"))
-    fr = fr.with_columns(gate=F.when(F.col("sl") > 0, 1).when(F.col("sl") < 0, -1).otherwise(0))
+    fr = fr.with_columns(gate=F.when(F.col("sl") > 1e-9, 1).when(F.col("sl") < -1e-9, -1).otherwise(0))
     return GR.path_exits(fr, "gate", size=10.0, max_holding=20, stop_pct=0.05).df.select(
-        "symbol", "ts", "target", "target_exact")
+        "symbol", "ts", "target")
 
 
 SPARK["w13_sar"] = _q_sar
 SPARK["w08_w14_w48_w52_cycle_family_mama"] = _q_cycle
 SPARK["sig4_path_dependent_exits"] = _q_exits
+SQL["sig4_path_dependent_exits"] = (
+    f"WITH RECURSIVE {DAILY_CTES}, sl AS (SELECT symbol, rn, ts, close, CASE WHEN rn > 6 THEN regr_slope(close, rn) "
+    f"OVER (PARTITION BY symbol ORDER BY rn ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END AS s FROM bd), "
+    "src AS (SELECT symbol, rn, ts, close, CASE WHEN s > 1e-9 THEN 1 WHEN s < -1e-9 THEN -1 ELSE 0 END AS signal FROM sl), "
+    f"{SK.exits_recursive('ex', 'src', 10.0, 20, 0.05).strip()} "
+    "SELECT src.symbol, src.ts, ex.last AS target FROM ex JOIN src USING (symbol, rn)")

@@ -70,3 +70,22 @@ def wilder_mean(name, src, x, n, start=1):
 
 def wilder_sum(name, src, x, n, start=1):
     return smooth(name, src, x, start, n - 1, (n - 1) / n, 1.0, 1.0)
+
+
+def exits_recursive(name: str, src: str, size: float, max_holding: int, stop_pct: float) -> str:
+    """Path-dependent exits as a row-by-row loop: state (last, entry, bars) per symbol.
+    ``src`` has (symbol, rn, close, signal)."""
+    def step(last, entry, bars):
+        n1 = f"(CASE WHEN s.signal = 1 THEN {size!r} WHEN s.signal = -1 THEN {-size!r} ELSE {last} END)"
+        n2 = f"(CASE WHEN {last} <> 0 AND {bars} >= {max_holding} THEN 0.0 ELSE {n1} END)"
+        n3 = (f"(CASE WHEN {last} > 0 AND s.close <= {entry} * {1 - stop_pct!r} THEN 0.0 "
+              f"WHEN {last} < 0 AND s.close >= {entry} * {1 + stop_pct!r} THEN 0.0 ELSE {n2} END)")
+        opened = f"({n3} <> 0 AND ({last} = 0 OR sign({n3}) <> sign({last})))"
+        return (f"{n3} AS last, CASE WHEN {opened} THEN s.close ELSE {entry} END AS entry, "
+                f"CASE WHEN {opened} THEN 0 WHEN {n3} <> 0 THEN {bars} + 1 ELSE {bars} END AS bars")
+    return f"""
+{name} AS (
+  SELECT s.symbol, s.rn, {step('0.0', '0.0', '0')} FROM {src} s WHERE s.rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, {step('r.last', 'r.entry', 'r.bars')}
+  FROM {name} r JOIN {src} s ON s.symbol = r.symbol AND s.rn = r.rn + 1)"""

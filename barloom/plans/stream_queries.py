@@ -55,7 +55,16 @@ def q_st2(spark, sf):
     return finish(spark.read.parquet(path).select("symbol", "ts", "SMA_7", "MOM_7"), 6)
 
 
-@reg("st4_stateful_exits")
+from barloom.plans.sqlkit import exits_recursive  # noqa: E402
+
+_ST4_SQL = ("WITH RECURSIVE src AS (SELECT event_type AS symbol, ts, value AS close, "
+            "CASE WHEN value > 60 THEN 1 WHEN value < 40 THEN -1 ELSE 0 END AS signal, "
+            "row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events), "
+            f"{exits_recursive('ex', 'src', 10.0, 20, 0.05).strip()} "
+            "SELECT src.symbol, src.ts, ex.last AS target FROM ex JOIN src USING (symbol, rn)")
+
+
+@reg("st4_stateful_exits", _ST4_SQL)
 def q_st4(spark, sf):
     ticks = ST.event_stream(spark, sf).select(F.col("event_type").alias("symbol"), "ts",
                                               F.col("value").alias("close"),
