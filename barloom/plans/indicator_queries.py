@@ -547,7 +547,7 @@ from barloom.operators import grouped as GR  # noqa: E402
 
 def _q_sar(spark, sf):
     fr = daily_frame(spark, sf)
-    return finish(GR.parabolic_sar(fr).df.select("symbol", "ts", "SAR", "SAR_exact"), 4)
+    return finish(GR.parabolic_sar(fr).df.select("symbol", "ts", "SAR"), 4)
 
 
 def _q_cycle(spark, sf):
@@ -567,6 +567,11 @@ def _q_exits(spark, sf):
 
 
 SPARK["w13_sar"] = _q_sar
+SQL["w13_sar"] = (
+    f"WITH RECURSIVE {DAILY_CTES}, src AS (SELECT symbol, rn, ts, high, low, lag(high) OVER (PARTITION BY symbol ORDER BY rn) AS hp, "
+    "lag(low) OVER (PARTITION BY symbol ORDER BY rn) AS lp FROM bd), "
+    f"{SK.sar_recursive('sr', 'src').strip()} "
+    f"SELECT src.symbol, src.ts, {R('sr.sar_out', 4)} AS SAR FROM src LEFT JOIN sr USING (symbol, rn)")
 SPARK["w08_w14_w48_w52_cycle_family_mama"] = _q_cycle
 SPARK["sig4_path_dependent_exits"] = _q_exits
 SQL["sig4_path_dependent_exits"] = (

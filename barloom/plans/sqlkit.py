@@ -89,3 +89,30 @@ def exits_recursive(name: str, src: str, size: float, max_holding: int, stop_pct
   UNION ALL
   SELECT s.symbol, s.rn, {step('r.last', 'r.entry', 'r.bars')}
   FROM {name} r JOIN {src} s ON s.symbol = r.symbol AND s.rn = r.rn + 1)"""
+
+
+def sar_recursive(name: str, src: str, accel: float = 0.02, maximum: float = 0.2) -> str:
+    """Parabolic SAR as a row-by-row loop over (symbol, rn, high, low, hp, lp) where
+    hp/lp are the previous bar's high/low.  State: is_long, next sar, ep, af."""
+    def step(L, S, E, A):
+        rl = f"({L} AND s.low <= {S})"
+        rs = f"((NOT {L}) AND s.high >= {S})"
+        out = f"(CASE WHEN {rl} THEN greatest({E}, s.hp, s.high) WHEN {rs} THEN least({E}, s.lp, s.low) ELSE {S} END)"
+        nl = f"(CASE WHEN {rl} THEN false WHEN {rs} THEN true ELSE {L} END)"
+        grow = f"(({L} AND s.high > {E}) OR ((NOT {L}) AND s.low < {E}))"
+        ne = (f"(CASE WHEN {rl} THEN s.low WHEN {rs} THEN s.high WHEN {L} AND s.high > {E} THEN s.high "
+              f"WHEN (NOT {L}) AND s.low < {E} THEN s.low ELSE {E} END)")
+        na = f"(CASE WHEN {rl} OR {rs} THEN {accel!r} WHEN {grow} THEN least({A} + {accel!r}, {maximum!r}) ELSE {A} END)"
+        raw = f"({out} + {na} * ({ne} - {out}))"
+        nxt = (f"(CASE WHEN {rl} THEN greatest({raw}, s.hp, s.high) WHEN {rs} THEN least({raw}, s.lp, s.low) "
+               f"WHEN {L} THEN least({raw}, s.lp, s.low) ELSE greatest({raw}, s.hp, s.high) END)")
+        return f"{out} AS sar_out, {nl} AS is_long, {nxt} AS sar, {ne} AS ep, {na} AS af"
+    init_long = "(NOT ((s.lp - s.low) > (s.high - s.hp) AND (s.lp - s.low) > 0))"
+    init_s = f"(CASE WHEN {init_long} THEN s.lp ELSE s.hp END)"
+    init_e = f"(CASE WHEN {init_long} THEN s.high ELSE s.low END)"
+    return f"""
+{name} AS (
+  SELECT s.symbol, s.rn, {step(init_long, init_s, init_e, repr(accel))} FROM {src} s WHERE s.rn = 2
+  UNION ALL
+  SELECT s.symbol, s.rn, {step('r.is_long', 'r.sar', 'r.ep', 'r.af')}
+  FROM {name} r JOIN {src} s ON s.symbol = r.symbol AND s.rn = r.rn + 1)"""
