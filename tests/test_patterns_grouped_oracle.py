@@ -113,3 +113,19 @@ def test_upside_gap_two_crows(spark):
     assert _last(spark, bars, "CDLUPSIDEGAP2CROWS") == -100
     near = [(100, 102.1, 99.9, 102), (103, 103.2, 102.4, 102.6), (103.5, 103.6, 101.8, 101.9)]
     assert _last(spark, near, "CDLUPSIDEGAP2CROWS") == 0
+
+
+def test_ladder_bottom(spark):
+    bars = [(103, 103.2, 101.8, 102), (102.5, 102.6, 101.3, 101.5), (102, 102.1, 100.8, 101),
+            (101.5, 102.2, 100.3, 100.5), (101.8, 102.6, 101.7, 102.5)]
+    assert _last(spark, bars, "CDLLADDERBOTTOM") == 100
+    near = bars[:-1] + [(101.8, 102.3, 101.7, 102.1)]
+    assert _last(spark, near, "CDLLADDERBOTTOM") == 0
+
+
+def test_concealing_baby_swallow(spark):
+    bars = [(104, 104.05, 102.95, 103), (103, 103.05, 101.95, 102), (101.5, 102.5, 100.9, 101),
+            (102.8, 102.9, 100.5, 100.7)]
+    assert _last(spark, bars, "CDLCONCEALBABYSWALL") == 100
+    near = bars[:-1] + [(102.3, 102.4, 100.5, 100.7)]
+    assert _last(spark, near, "CDLCONCEALBABYSWALL") == 0
