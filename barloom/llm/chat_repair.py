@@ -32,8 +32,9 @@ STEPS = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT:
 INF = 1 << 40
 
 #: Costs of the repairs (per turn).  A relabelled turn keeps its text but changes its
-#: speaker; an inserted turn is empty; a merge joins two turns of one speaker.
-COSTS = {"merge": 2, "relabel": 5, "relabel_unknown": 1, "insert": 4, "merge_system": 6}
+#: speaker (a little dearer to system); an inserted turn is empty; a merge joins a
+#: turn to the one before.
+COSTS = {"merge": 2, "relabel": 5, "relabel_unknown": 1, "to_system": 1, "insert": 4, "merge_system": 6}
 
 
 def edges(role: str, empty: bool, costs: dict[str, int]) -> list[tuple[int, int, int, str, tuple[int, ...]]]:
@@ -46,7 +47,9 @@ def edges(role: str, empty: bool, costs: dict[str, int]) -> list[tuple[int, int,
     known = role in ROLES[1:]
 
     def change(to: int) -> int:
-        return 0 if ROLES[to] == role else costs["relabel"] if known else costs["relabel_unknown"]
+        if ROLES[to] == role:
+            return 0
+        return costs["relabel" if known else "relabel_unknown"] + costs["to_system"] * (to == SYSTEM)
 
     out = []
     for s in range(4):

@@ -69,7 +69,7 @@ def source_targets(per_source: DataFrame, weights: list[int], share: float, most
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: str = "mix",
-        bucket_rows: int = 512) -> DataFrame:
+        bucket_rows: int = 128) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, taken, epochs, part and the row's content key.
 
     ``taken`` words = ``epochs`` whole copies and, where the source's budget cuts

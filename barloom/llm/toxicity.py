@@ -14,7 +14,7 @@ weight table.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,16 +40,19 @@ IDENTITY_TERMS = {
 
 WORD = re.compile(r"\w+")
 
+#: Lengths of the word beginnings used as features.
+STEMS = (4, 5, 6)
+
 
 @dataclass
 class Model:
-    """Weights of the known words, a bias, and the number of words below which a text is short."""
+    """Weights of the known words and word beginnings, and a bias."""
 
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = 0.0
 
     def score(self, text: str | None) -> float:
-        z = self.bias + sum(map(self.weights.get, words(text) & self.weights.keys()))
+        z = self.bias + sum(map(self.weights.get, features(words(text)) & self.weights.keys()))
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
@@ -58,6 +61,11 @@ def words(text: str | None) -> set[str]:
     return set() if text is None else set(WORD.findall(text.lower()))
 
 
+def features(found: set[str]) -> set[str]:
+    """The words, and the beginnings of longer words (marked by a star), so unseen compounds of a known stem count."""
+    return found | {w[:n] + "*" for n in STEMS for w in found if len(w) > n}
+
+
 def swaps(found: set[str], terms: dict[str, list[str]]) -> list[set[str]]:
     """Counterfactuals of a text's words: each category named in it moves to its other terms in turn.
 
@@ -73,58 +81,69 @@ def swaps(found: set[str], terms: dict[str, list[str]]) -> list[set[str]]:
     return out
 
 
-def fit(texts: list[set[str]], toxic: np.ndarray, terms: dict[str, list[str]] = IDENTITY_TERMS, penalty: float = 20.0,
-        ridge: float = 1.0, min_docs: int = 3, steps: int = 300) -> Model:
-    """Minimise mean log loss + ridge + penalty * mean squared score change under swaps (full-batch Adam).
+def fit(texts: Sequence[set[str]], toxic: np.ndarray, terms: dict[str, list[str]] = IDENTITY_TERMS, penalty: float = 20.0,
+        ridge: float = 10.0, min_docs: int = 3, keep: int = 300) -> Model:
+    """Minimise mean log loss + ridge + penalty * mean squared score change under swaps.
 
-    ``texts``: word sets.  Words in fewer than ``min_docs`` texts are unknown, but
-    all identity terms are known (a swap may lead to a rare one).  One class or no rows
+    ``texts``: word sets.  Features in fewer than ``min_docs`` texts are unknown.
+    A first fit under a strong ridge ranks the features; the ``keep`` strongest
+    and all identity terms are fitted again under a hundredth of it.  One class or no rows
     give the prior alone.
     """
     n = len(texts)
     if n == 0 or toxic.min() == toxic.max():
         p = (float(toxic.sum()) + 0.5) / (n + 1)
         return Model({}, float(np.log(p / (1 - p))))
-    seen: dict[str, int] = {}
-    for t in texts:
-        for w in t:
-            seen[w] = seen.get(w, 0) + 1
-    identity = sorted({t for g in terms.values() for t in g})
-    vocab = sorted({w for w, c in seen.items() if c >= min_docs} | (set(identity) & seen.keys() and set(identity)))
-    at = {w: i for i, w in enumerate(vocab)}
-    rows, cols = _flat(texts, at)
-    # counterfactual differences: only identity words change, so each is a short list of +1 and -1
-    c_row, c_col, c_val, m = [], [], [], 0
-    for t in texts:
-        for s in swaps(t, terms):
-            for w in t - s:
-                c_row.append(m), c_col.append(at[w]), c_val.append(1.0)
-            for w in s - t:
-                c_row.append(m), c_col.append(at[w]), c_val.append(-1.0)
-            m += 1
-    c_row, c_col, c_val = np.array(c_row, "int64"), np.array(c_col, "int64"), np.array(c_val)
+    ids: dict[str, int] = {}
+    rows, cols = _flat((features(t) for t in texts), ids)
+    # counterfactual differences: only features of swapped words change, so each is a short list of +1 and -1
+    pairs = [(features(t), features(s)) for t in texts for s in swaps(t, terms)]
+    gone, come = _flat((a - b for a, b in pairs), ids), _flat((b - a for a, b in pairs), ids)
+    change = (np.r_[gone[0], come[0]], np.r_[gone[1], come[1]], np.r_[np.ones(len(gone[0])), -np.ones(len(come[0]))])
+    names = list(ids)
+    seen = np.bincount(cols, minlength=len(names))
+    always = np.zeros(len(names), bool)
+    always[change[1]] = True
     y = toxic.astype("float64")
-    w, bias = np.zeros(len(vocab)), float(np.log((y.mean()) / (1 - y.mean())))
-    mom, var, step = np.zeros(len(vocab) + 1), np.zeros(len(vocab) + 1), 0.05
+    known = np.flatnonzero((seen >= min_docs) | always)
+    w, bias = _descend(rows, cols, change, len(pairs), y, known, penalty, ridge, steps=120)
+    strong = known[np.lexsort((known, -np.abs(w) * np.sqrt(seen[known])))[:keep]]
+    known = np.union1d(strong, np.flatnonzero(always))
+    w, bias = _descend(rows, cols, change, len(pairs), y, known, penalty, ridge / 100, steps=400)
+    return Model({names[i]: float(x) for i, x in zip(known.tolist(), w)}, float(bias))
+
+
+def _flat(found: Iterable[set[str]], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and feature number of every feature; new features are numbered in sorted order as they come."""
+    lists = [np.array([ids.setdefault(f, len(ids)) for f in sorted(x)], "int32") for x in found]
+    rows = np.repeat(np.arange(len(lists), dtype="int32"), [len(x) for x in lists])
+    return rows, np.concatenate(lists) if lists else np.empty(0, "int32")
+
+
+def _descend(rows: np.ndarray, cols: np.ndarray, change: tuple[np.ndarray, ...], m: int, y: np.ndarray, known: np.ndarray,
+             penalty: float, ridge: float, steps: int) -> tuple[np.ndarray, float]:
+    """Full-batch Adam over the ``known`` features; ``m`` counterfactual pairs."""
+    n, k = len(y), len(known)
+    place = np.full(int(max(cols.max(initial=0), known.max(initial=0), change[1].max(initial=0))) + 1, -1, "int32")
+    place[known] = np.arange(k)
+    use = place[cols] >= 0
+    rows, cols = rows[use], place[cols[use]]
+    use = place[change[1]] >= 0
+    c_row, c_col, c_val = change[0][use], place[change[1][use]], change[2][use]
+    w, bias = np.zeros(k), float(np.log(y.mean() / (1 - y.mean())))
+    mom, var, step = np.zeros(k + 1), np.zeros(k + 1), 0.1
     for i in range(1, steps + 1):
         z = bias + np.bincount(rows, w[cols], minlength=n)
         err = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / n
-        g = np.bincount(cols, err[rows], minlength=len(vocab)) + ridge * w / n
+        g = np.bincount(cols, err[rows], minlength=k) + ridge * w / n
         if m:
-            change = np.bincount(c_row, c_val * w[c_col], minlength=m)
-            g += penalty * 2 / m * np.bincount(c_col, c_val * change[c_row], minlength=len(vocab))
+            moved = np.bincount(c_row, c_val * w[c_col], minlength=m)
+            g += penalty * 2 / m * np.bincount(c_col, c_val * moved[c_row], minlength=k)
         grad = np.r_[g, err.sum()]
         mom, var = 0.9 * mom + 0.1 * grad, 0.999 * var + 0.001 * grad * grad
         move = step * (mom / (1 - 0.9 ** i)) / (np.sqrt(var / (1 - 0.999 ** i)) + 1e-10)
         w, bias = w - move[:-1], bias - move[-1]
-    big = np.abs(w) > 1e-3
-    return Model({v: float(x) for v, x, b in zip(vocab, w, big) if b}, float(bias))
-
-
-def _flat(texts: list[set[str]], at: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    known = [[at[w] for w in t if w in at] for t in texts]
-    rows = np.repeat(np.arange(len(texts)), [len(k) for k in known])
-    return rows, np.array([c for k in known for c in k], "int64")
+    return w, bias
 
 
 def held_out(id_col: str) -> Column:
@@ -133,7 +152,7 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_rows: int = 20_000, **options) -> Model:
+          max_rows: int = 12_000, **options) -> Model:
     """Fit on at most ``max_rows`` labelled rows that are not held out.
 
     The sample is the labelled ids with the smallest hashes, so it does not depend
@@ -155,7 +174,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
             .join(F.broadcast(sample), "id").select("y", "t").mapInArrow(distinct, "y int, w string")
             .orderBy(F.xxhash64("w")).limit(max_rows).collect())
-    return fit([set(r["w"].split()) for r in rows], np.array([r["y"] for r in rows], "int64"), **options)
+    return fit(_Sets([r["w"] for r in rows]), np.array([r["y"] for r in rows], "int64"), **options)
+
+
+class _Sets(Sequence):
+    """Word sets made from joined words one at a time."""
+
+    def __init__(self, joined: list[str]):
+        self.joined = joined
+
+    def __len__(self) -> int:
+        return len(self.joined)
+
+    def __getitem__(self, i: int) -> set[str]:
+        return set(self.joined[i].split())
 
 
 def score(docs: DataFrame, model: Model, cols: list[str], text_col: str = "text") -> DataFrame:

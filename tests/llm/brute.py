@@ -94,7 +94,8 @@ def repair_cost(roles, empty, costs):
         cost, state, ok = 0, "", True
         for i, role in enumerate(roles):
             what, insert = choice[2 * i], choice[2 * i + 1]
-            change = lambda to: 0 if to == role else costs["relabel" if role in steps and role else "relabel_unknown"]
+            change = lambda to: 0 if to == role else (costs["relabel" if role in steps and role else "relabel_unknown"]
+                                                      + costs["to_system"] * (to == "system"))
             if what == "merge":
                 ok &= state != "" and not insert
                 if not ok:
