@@ -1,144 +1,132 @@
 """Non-linear recurrences (class N): parabolic SAR (W13), the Hilbert-transform
 cycle family (W14, W48–W52), MAMA/FAMA (W8) and path-dependent exits (SIG4).
 
-These have no associative form, so a small numpy loop runs per group with
-``applyInPandas``.  Groups are (key, block) with a *warm-up halo* of earlier
-rows, never a whole series: a task holds at most ``block + warmup`` rows.
-The first block of a series is exact; later blocks start from the halo:
-
-* the cycle family and MAMA forget their start geometrically (factors ≤ 0.8
-  per bar for the smoothers, ≥ 0.05 for MAMA), so 512 warm-up rows leave
-  differences far below double precision for the cycle family and ~1e-11 for MAMA;
-* SAR is exact once the halo contains two reversals, the exits once the halo
-  contains a flat bar; ``*_exact`` flags report whether that held.
+These have no associative form, so a small loop runs per (key, block); a task
+never holds a series.  They are exact at any length: a block's loop takes the
+state before its first row and returns the state after its last.  Every block
+first runs from a guess (the state a loop reaches over ``warmup`` earlier rows);
+then each block's end state is compared with the next block's start state, and only
+the blocks that differ run again from the right state, until none does
+(:func:`run_blocks`).  The guess is right almost everywhere, so there are few
+rounds; in the worst case (a position held over many blocks) the right state
+moves on by one block a round.
+
+States are compared to a relative 1e-12, which only matters for the cycle family:
+its start is forgotten geometrically, so equal paths may keep differing in the last bits.
 """
 
 from __future__ import annotations
 
 import math
+from typing import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.plans.frame import BarFrame
+from barloom.session import reliable_checkpoint
 
-# ------------------------------------------------------------------ kernels
+# A kernel: (columns, index of the series' first row relative to row 0, first own row, state or None)
+# -> (outputs from the first own row on, state after the last row).  None: the series starts here.
+Kernel = Callable[[dict, int, int, "list[float] | None"], "tuple[dict, list[float]]"]
 
 
-def sar_kernel(high: np.ndarray, low: np.ndarray, accel: float = 0.02, maximum: float = 0.2):
-    """Wilder parabolic SAR; first direction from −DM vs +DM at bar 1.
-    Returns (sar, reversals) where reversals counts direction changes so far."""
+# ------------------------------------------------------------------ kernels
+def sar_run(high, low, start: int, state, accel: float = 0.02, maximum: float = 0.2):
+    """Wilder parabolic SAR from row ``start``; state (long?, next SAR, extreme, factor).
+    At a series start the first direction comes from −DM against +DM at the second row."""
     n = len(high)
-    out = np.full(n, np.nan)
-    rev = np.zeros(n, dtype=np.int64)
-    if n < 2:
-        return out, rev
-    up, dn = high[1] - high[0], low[0] - low[1]
-    is_long = not (dn > up and dn > 0)
-    af = accel
-    if is_long:
-        ep, sar = high[1], low[0]
+    out = np.full(n - start, np.nan)
+    t0 = start
+    if state is None:
+        if n < 2:
+            return out, [math.nan] * 4
+        up, dn = high[1] - high[0], low[0] - low[1]
+        is_long = not (dn > up and dn > 0)
+        ep, sar, af, t0 = (high[1], low[0], accel, 1) if is_long else (low[1], high[0], accel, 1)
     else:
-        ep, sar = low[1], high[0]
-    count = 0
-    for t in range(1, n):
-        if is_long:
-            if low[t] <= sar:
-                is_long = False
-                count += 1
-                sar = max(ep, high[t - 1], high[t])
-                out[t] = sar
-                af, ep = accel, low[t]
-                sar = sar + af * (ep - sar)
-                sar = max(sar, high[t - 1], high[t])
-            else:
-                out[t] = sar
-                if high[t] > ep:
-                    ep = high[t]
-                    af = min(af + accel, maximum)
-                sar = sar + af * (ep - sar)
-                sar = min(sar, low[t - 1], low[t])
-        else:
-            if high[t] >= sar:
-                is_long = True
-                count += 1
-                sar = min(ep, low[t - 1], low[t])
-                out[t] = sar
-                af, ep = accel, high[t]
-                sar = sar + af * (ep - sar)
-                sar = min(sar, low[t - 1], low[t])
-            else:
-                out[t] = sar
-                if low[t] < ep:
-                    ep = low[t]
-                    af = min(af + accel, maximum)
-                sar = sar + af * (ep - sar)
-                sar = max(sar, high[t - 1], high[t])
-        rev[t] = count
-    return out, rev
-
-
-def _deg_atan(x):
-    return math.degrees(math.atan(x))
-
-
-def ht_kernel(price: np.ndarray) -> dict:
-    """Hilbert-transform cycle measures (Ehlers) of a price series."""
+        is_long, sar, ep, af = state[0] > 0, state[1], state[2], state[3]
+    for t in range(t0, n):
+        hp, lp, h, lo = high[t - 1], low[t - 1], high[t], low[t]
+        turned = lo <= sar if is_long else h >= sar
+        if turned:
+            is_long = not is_long
+            sar = min(ep, lp, lo) if is_long else max(ep, hp, h)
+            af, ep = accel, (h if is_long else lo)
+        elif is_long and h > ep or not is_long and lo < ep:
+            ep = h if is_long else lo
+            af = min(af + accel, maximum)
+        out[t - start] = sar
+        sar = sar + af * (ep - sar)
+        sar = min(sar, lp, lo) if is_long else max(sar, hp, h)
+    return out, [float(is_long), sar, ep, af]
+
+
+def sar_kernel(high, low, accel: float = 0.02, maximum: float = 0.2) -> np.ndarray:
+    """SAR of a whole series."""
+    return sar_run(list(high), list(low), 0, None, accel, maximum)[0]
+
+
+CYCLE = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
+         "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "MAMA_mama", "MAMA_fama"]
+CYCLE_HALO = 64  # earlier prices the loop reads: 50 for a cycle, 3 for their smoothing, 6 for the filters
+_ANGLES = [np.radians(360.0 * np.arange(n) / n) if n else np.zeros(0) for n in range(52)]
+_SIN, _COS = [np.sin(a) for a in _ANGLES], [np.cos(a) for a in _ANGLES]
+
+
+def cycle_run(price: np.ndarray, first: int, start: int, state, fast: float = 0.5, slow: float = 0.05):
+    """Hilbert-transform cycle measures (Ehlers) and MESA adaptive averages from row ``start``.
+
+    ``first``: rows of the series before row 0.  State: six values each of the detrender, quadrature and
+    in-phase parts, three instantaneous trends, the smoothed products, period, phase, trend days, averages.
+    """
     n = len(price)
-    keys = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
-            "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "_I1", "_Q1"]
-    out = {k: np.full(n, np.nan) for k in keys}
-    s = np.zeros(n); de = np.zeros(n); q1 = np.zeros(n); i1 = np.zeros(n); ji = np.zeros(n); jq = np.zeros(n)
-    i2 = q2 = re = im = 0.0
-    per = sp = 0.0
-    itrend = np.zeros(n)
-    prev_phase = 0.0
-    prev_sine = prev_lead = 0.0
-    days_in_trend = 0
-
-    def H(x, t, adj):
-        if t < 6:
-            return 0.0
-        return (0.0962 * x[t] + 0.5769 * x[t - 2] - 0.5769 * x[t - 4] - 0.0962 * x[t - 6]) * adj
-
-    for t in range(n):
-        if t >= 3:
-            s[t] = (4 * price[t] + 3 * price[t - 1] + 2 * price[t - 2] + price[t - 3]) / 10.0
+    s = np.zeros(n)
+    s[3:] = (4 * price[3:] + 3 * price[2:-1] + 2 * price[1:-2] + price[:-3]) / 10.0
+    pad = 6
+    hist = [[0.0] * pad, [0.0] * pad, [0.0] * pad, [0.0] * 3] if state is None else [
+        list(state[0:6]), list(state[6:12]), list(state[12:18]), list(state[18:21])]
+    de, q1, i1, trend_price = hist
+    (i2, q2, re, im, per, sp, prev_phase, prev_sine, prev_lead, days, mama, fama, prev_angle) = (
+        [0.0] * 13 if state is None else state[21:34])
+    out = {k: np.full(n - start, np.nan) for k in CYCLE}
+
+    def hilbert(a, b, c, d, adj):
+        return (0.0962 * a + 0.5769 * b - 0.5769 * c - 0.0962 * d) * adj
+
+    for t in range(start, n):
+        g = first + t  # row number in the series, from 0
         adj = 0.075 * per + 0.54
-        de[t] = H(s, t, adj)
-        q1[t] = H(de, t, adj)
-        i1[t] = de[t - 3] if t >= 3 else 0.0
-        ji[t] = H(i1, t, adj)
-        jq[t] = H(q1, t, adj)
-        i2_new = 0.2 * (i1[t] - jq[t]) + 0.8 * i2
-        q2_new = 0.2 * (q1[t] + ji[t]) + 0.8 * q2
-        re = 0.2 * (i2_new * i2 + q2_new * q2) + 0.8 * re
-        im = 0.2 * (i2_new * q2 - q2_new * i2) + 0.8 * im
-        i2, q2 = i2_new, q2_new
-        prev_per = per
+        full = g >= 6
+        d = hilbert(s[t], s[t - 2], s[t - 4], s[t - 6], adj) if full else 0.0
+        q = hilbert(d, de[-2], de[-4], de[-6], adj) if full else 0.0
+        i = de[-3] if g >= 3 else 0.0
+        ji = hilbert(i, i1[-2], i1[-4], i1[-6], adj) if full else 0.0
+        jq = hilbert(q, q1[-2], q1[-4], q1[-6], adj) if full else 0.0
+        for lst, v in ((de, d), (q1, q), (i1, i)):
+            lst.append(v)
+            del lst[0]
+        i2n, q2n = 0.2 * (i - jq) + 0.8 * i2, 0.2 * (q + ji) + 0.8 * q2
+        re = 0.2 * (i2n * i2 + q2n * q2) + 0.8 * re
+        im = 0.2 * (i2n * q2 - q2n * i2) + 0.8 * im
+        i2, q2 = i2n, q2n
+        before = per
         if im != 0.0 and re != 0.0:
-            a = _deg_atan(im / re)
+            a = math.degrees(math.atan(im / re))
             if a != 0.0:
                 per = 360.0 / a
-        if prev_per > 0:
-            per = min(max(per, 0.67 * prev_per), 1.5 * prev_per)
-        per = min(max(per, 6.0), 50.0)
-        per = 0.2 * per + 0.8 * prev_per
+        if before > 0:
+            per = min(max(per, 0.67 * before), 1.5 * before)
+        per = 0.2 * min(max(per, 6.0), 50.0) + 0.8 * before
         sp = 0.33 * per + 0.67 * sp
-        out["_I1"][t], out["_Q1"][t] = i1[t], q1[t]
         # dominant cycle phase over the smoothed price
-        N = int(sp + 0.5)
-        rp = ip = 0.0
-        for i in range(min(N, t + 1)):
-            ang = math.radians(360.0 * i / N) if N > 0 else 0.0
-            rp += math.sin(ang) * s[t - i]
-            ip += math.cos(ang) * s[t - i]
-        if abs(ip) > 0.001:
-            phase = _deg_atan(rp / ip)
-        else:
-            phase = 90.0 if rp >= 0 else -90.0
+        cycle = int(sp + 0.5)
+        m = min(cycle, g + 1)
+        back = s[t - m + 1:t + 1][::-1]
+        rp, ip = float(_SIN[cycle][:m] @ back), float(_COS[cycle][:m] @ back)
+        phase = math.degrees(math.atan(rp / ip)) if abs(ip) > 0.001 else (90.0 if rp >= 0 else -90.0)
         phase += 90.0
         if sp > 0:
             phase += 360.0 / sp
@@ -148,165 +136,157 @@ def ht_kernel(price: np.ndarray) -> dict:
             phase -= 360.0
         sine, lead = math.sin(math.radians(phase)), math.sin(math.radians(phase + 45.0))
         # instantaneous trend: mean price over the dominant cycle, then WMA(4)
-        m = max(N, 1)
-        itrend[t] = float(np.mean(price[max(0, t - m + 1): t + 1]))
-        trendline = (4 * itrend[t] + 3 * (itrend[t - 1] if t >= 1 else 0) + 2 * (itrend[t - 2] if t >= 2 else 0)
-                     + (itrend[t - 3] if t >= 3 else 0)) / 10.0
-        # trend vs cycle mode
-        trend = 1
-        crossed = (t > 0) and ((sine > lead and prev_sine <= prev_lead) or (sine < lead and prev_sine >= prev_lead))
-        days_in_trend = 0 if crossed else days_in_trend + 1
-        if days_in_trend < 0.5 * sp:
+        now = float(price[t - min(max(cycle, 1), g + 1) + 1:t + 1].mean())
+        line = (4 * now + 3 * trend_price[-1] + 2 * trend_price[-2] + trend_price[-3]) / 10.0
+        trend_price.append(now)
+        del trend_price[0]
+        # trend or cycle mode
+        crossed = g > 0 and ((sine > lead and prev_sine <= prev_lead) or (sine < lead and prev_sine >= prev_lead))
+        days = 0.0 if crossed else days + 1
+        trend = 0 if days < 0.5 * sp else 1
+        if sp > 0 and 0.67 * 360.0 / sp < phase - prev_phase < 1.5 * 360.0 / sp:
             trend = 0
-        dphase = phase - prev_phase
-        if sp > 0 and 0.67 * 360.0 / sp < dphase < 1.5 * 360.0 / sp:
-            trend = 0
-        if trendline != 0 and abs((s[t] - trendline) / trendline) >= 0.015:
+        if line != 0 and abs((s[t] - line) / line) >= 0.015:
             trend = 1
         prev_phase, prev_sine, prev_lead = phase, sine, lead
-        if t >= 32:
-            out["HT_DCPERIOD"][t] = sp
-            out["HT_PHASOR_inphase"][t] = i1[t]
-            out["HT_PHASOR_quadrature"][t] = q1[t]
-        if t >= 63:
-            out["HT_DCPHASE"][t] = phase
-            out["HT_SINE_sine"][t] = sine
-            out["HT_SINE_leadsine"][t] = lead
-            out["HT_TRENDMODE"][t] = trend
-            out["HT_TRENDLINE"][t] = trendline
-    return out
-
-
-def mama_kernel(price: np.ndarray, i1: np.ndarray, q1: np.ndarray, fast: float = 0.5, slow: float = 0.05):
-    """MESA adaptive MA from the Hilbert in-phase/quadrature parts."""
-    n = len(price)
-    mama = np.full(n, np.nan)
-    fama = np.full(n, np.nan)
-    m = f = 0.0
-    prev_ph = 0.0
-    for t in range(n):
-        ph = _deg_atan(q1[t] / i1[t]) if i1[t] != 0 else 0.0
-        delta = max(1.0, prev_ph - ph)
-        alpha = max(fast / delta, slow)
-        m = alpha * price[t] + (1 - alpha) * m if t > 0 else price[t]
-        f = 0.5 * alpha * m + (1 - 0.5 * alpha) * f if t > 0 else price[t]
-        prev_ph = ph
-        if t >= 32:
-            mama[t], fama[t] = m, f
-    return mama, fama
-
-
-def exits_kernel(signal: np.ndarray, close: np.ndarray, size: float, max_holding: int, stop_pct: float):
-    """SIG4: per bar — target from the signal (1 long, −1 short, else keep); flat after
-    ``max_holding`` bars in the position; flat when the close passes the average
-    entry price by ``stop_pct`` against the position.  Returns (target, flat_seen)."""
-    n = len(close)
-    target = np.zeros(n)
-    flat_seen = np.zeros(n, dtype=bool)
-    last = 0.0
-    entry_price = 0.0
-    bars = 0
-    seen = False
-    for t in range(n):
-        new = last
-        if signal[t] == 1:
-            new = size
-        elif signal[t] == -1:
-            new = -size
+        angle = math.degrees(math.atan(q / i)) if i != 0 else 0.0
+        alpha = max(fast / max(1.0, prev_angle - angle), slow)
+        prev_angle = angle
+        mama = alpha * price[t] + (1 - alpha) * mama if g > 0 else price[t]
+        fama = 0.5 * alpha * mama + (1 - 0.5 * alpha) * fama if g > 0 else price[t]
+        if g >= 32:
+            for k, v in (("HT_DCPERIOD", sp), ("HT_PHASOR_inphase", i), ("HT_PHASOR_quadrature", q),
+                         ("MAMA_mama", mama), ("MAMA_fama", fama)):
+                out[k][t - start] = v
+        if g >= 63:
+            for k, v in (("HT_DCPHASE", phase), ("HT_SINE_sine", sine), ("HT_SINE_leadsine", lead),
+                         ("HT_TRENDMODE", trend), ("HT_TRENDLINE", line)):
+                out[k][t - start] = v
+    return out, [float(x) for x in (*de, *q1, *i1, *trend_price, i2, q2, re, im, per, sp, prev_phase, prev_sine,
+                                    prev_lead, days, mama, fama, prev_angle)]
+
+
+def ht_kernel(price) -> dict:
+    """Cycle measures and adaptive averages of a whole series."""
+    return cycle_run(np.asarray(price, float), 0, 0, None)[0]
+
+
+def exits_run(signal, close, start: int, state, size: float, max_holding: int, stop_pct: float):
+    """SIG4 from row ``start``: per bar the target from the signal (1 long, −1 short, else keep); flat after
+    ``max_holding`` bars in the position; flat when the close passes the entry price by ``stop_pct``
+    against the position.  State (position, entry price, bars held); flat has one state."""
+    last, entry, bars = state or (0.0, 0.0, 0.0)
+    target = np.zeros(len(close) - start)
+    for t in range(start, len(close)):
+        c = close[t]
+        new = size if signal[t] == 1 else -size if signal[t] == -1 else last
         if last != 0 and bars >= max_holding:
             new = 0.0
-        if last > 0 and close[t] <= entry_price * (1 - stop_pct):
-            new = 0.0
-        elif last < 0 and close[t] >= entry_price * (1 + stop_pct):
+        if last > 0 and c <= entry * (1 - stop_pct) or last < 0 and c >= entry * (1 + stop_pct):
             new = 0.0
-        if new != 0 and (last == 0 or np.sign(new) != np.sign(last)):
-            entry_price, bars = close[t], 0
-        elif new != 0:
-            bars += 1
         if new == 0:
-            seen = True
-        target[t] = new
-        flat_seen[t] = seen
-        last = new
-    return target, flat_seen
+            entry, bars = 0.0, 0.0
+        elif last == 0 or (new > 0) != (last > 0):
+            entry, bars = c, 0.0
+        else:
+            bars += 1
+        target[t - start] = last = new
+    return target, [float(last), float(entry), float(bars)]
 
 
 # ------------------------------------------------------------- Spark wiring
-def _halo_groups(fr: BarFrame, warmup: int, cols: list[str]):
+def _packed(fr: BarFrame, halo: int, cols: list[str]) -> DataFrame:
+    """One row per (key, block): its rows and ``halo`` earlier ones, in order."""
     L = fr.block
-    r0 = F.col("rn") - F.lit(1)
-    last_target = F.floor((r0 + F.lit(int(warmup))) / F.lit(L)).cast("long")
-    return fr.df.select(fr.key, "rn", "blk", *cols,
-                        F.explode(F.sequence(F.col("blk"), last_target)).alias("_tb"))
+    last = F.floor((F.col("rn") - 1 + int(halo)) / F.lit(L)).cast("long")
+    rows = fr.df.select(fr.key, F.explode(F.sequence(F.col("blk"), last)).alias("_tb"),
+                        F.struct("rn", *[F.col(c).cast("double").alias(c) for c in cols]).alias("r"))
+    return rows.groupBy(fr.key, "_tb").agg(F.array_sort(F.collect_list("r")).alias("rows"))
+
+
+def _same(a: str, b: str) -> Column:
+    """Equal states, to a relative 1e-12 (NaN equals NaN)."""
+    near = F.zip_with(a, b, lambda x, y: F.isnan(x) & F.isnan(y) | (
+        F.abs(x - y) <= F.greatest(F.lit(1.0), F.abs(x), F.abs(y)) * 1e-12))
+    return F.forall(near, lambda x: F.coalesce(x, F.lit(False)))
+
+
+def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int,
+               max_rounds: int | None = None) -> DataFrame:
+    """(key, rn, outs) of a loop over every series, block by block (see the module text)."""
+    key, L = fr.key, fr.block
+    packed = reliable_checkpoint(_packed(fr, warmup, cols))
+    kind = fr.df.schema[key].dataType.simpleString()
+    row = ", ".join(["rn:bigint", *[f"{o}:double" for o in outs]])
+    schema = f"`{key}` {kind}, _tb bigint, start array<double>, end array<double>, out array<struct<{row}>>"
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                one = b.slice(i, 1)
+                flat = one.column(2).flatten()
+                rn = flat.field("rn").to_numpy()
+                data = {c: np.array(flat.field(c).to_pylist(), float) for c in cols}
+                own, first = int(np.searchsorted(rn, one.column(1)[0].as_py() * L + 1)), int(rn[0]) - 1
+                start = one.column(3)[0].as_py() if b.num_columns > 3 else None
+                if start is None and own:
+                    start = kernel({c: v[:own] for c, v in data.items()}, 0, 0, None)[1]
+                got, end = kernel(data, first, own, start)
+                cells = pa.StructArray.from_arrays(
+                    [pa.array(rn[own:]), *[pa.array(got[o], from_pandas=True) for o in outs]], names=["rn", *outs])
+                state = pa.list_(pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [one.column(0), one.column(1), pa.array([start], state), pa.array([end], state),
+                     pa.ListArray.from_arrays(pa.array([0, len(cells)], pa.int32()), cells)],
+                    names=[key, "_tb", "start", "end", "out"])
+
+    versions = [reliable_checkpoint(packed.mapInArrow(run, schema))]
+    states = versions[0].select(key, "_tb", "start", "end", F.lit(0).alias("ver"))
+    while max_rounds is None or len(versions) <= max_rounds:
+        before = states.select(key, (F.col("_tb") + 1).alias("_tb"), F.col("end").alias("want"))
+        todo = reliable_checkpoint(states.join(before, [key, "_tb"]).where(~_same("start", "want"))
+                                   .select(key, "_tb", "want"))
+        if todo.isEmpty():
+            break
+        again = reliable_checkpoint(packed.join(todo, [key, "_tb"]).select(key, "_tb", "rows", "want").mapInArrow(run, schema))
+        versions.append(again)
+        new = again.select(key, "_tb", "start", "end", F.lit(len(versions) - 1).alias("ver"))
+        states = reliable_checkpoint(states.join(new, [key, "_tb"], "left_anti").unionByName(new))
+    cells = None
+    for ver, part in enumerate(versions):
+        part = part.select(key, "_tb", F.lit(ver).alias("ver"), "out")
+        cells = part if cells is None else cells.unionByName(part)
+    if len(versions) > 1:
+        cells = cells.join(states.select(key, "_tb", "ver"), [key, "_tb", "ver"])
+    return cells.select(key, F.explode("out").alias("o")).select(key, "o.*")
 
 
 def cycle_indicators(fr: BarFrame, price: str = "close", warmup: int = 512) -> BarFrame:
-    """Hilbert-transform family and MAMA/FAMA per (key, block) with warm-up."""
-    key = fr.key
-    g = _halo_groups(fr, warmup, [price])
-    names = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
-             "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "MAMA_mama", "MAMA_fama"]
-    schema = T.StructType([T.StructField(key, g.schema[key].dataType), T.StructField("rn", T.LongType())] +
-                          [T.StructField(n, T.DoubleType()) for n in names])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn")
-        p = pdf[price].to_numpy(dtype=float)
-        ht = ht_kernel(p)
-        mama, fama = mama_kernel(p, ht["_I1"], ht["_Q1"])
-        own = (pdf["blk"] == pdf["_tb"]).to_numpy()
-        # the series start is exact: rows before 32/63 stay NULL only there
-        res = pd.DataFrame({key: pdf[key].to_numpy()[own], "rn": pdf["rn"].to_numpy()[own]})
-        for n in names[:-2]:
-            res[n] = ht[n][own]
-        res["MAMA_mama"], res["MAMA_fama"] = mama[own], fama[own]
-        return res
-
-    out = g.groupBy(key, "_tb").applyInPandas(fn, schema)
-    df = fr.df.join(out, [key, "rn"], "left")
-    return fr.with_df(df)
+    """Hilbert-transform family and MAMA/FAMA."""
+    def kernel(data, first, start, state):
+        return cycle_run(data[price], first, start, state)
+
+    out = run_blocks(fr, kernel, [price], CYCLE, max(warmup, CYCLE_HALO))
+    return fr.with_df(fr.df.join(out, [fr.key, "rn"], "left"))
 
 
 def parabolic_sar(fr: BarFrame, accel: float = 0.02, maximum: float = 0.2, warmup: int = 512,
                   out: str = "SAR") -> BarFrame:
-    """Wilder SAR per (key, block) with warm-up; ``SAR_exact`` is false when the
-    warm-up held fewer than two reversals (first block: always exact)."""
-    key = fr.key
-    g = _halo_groups(fr, warmup, ["high", "low"])
-    schema = T.StructType([T.StructField(key, g.schema[key].dataType), T.StructField("rn", T.LongType()),
-                           T.StructField(out, T.DoubleType()), T.StructField(f"{out}_exact", T.BooleanType())])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn")
-        sar, rev = sar_kernel(pdf["high"].to_numpy(float), pdf["low"].to_numpy(float), accel, maximum)
-        own = (pdf["blk"] == pdf["_tb"]).to_numpy()
-        first_is_start = int(pdf["rn"].iloc[0]) == 1
-        exact = np.full(len(pdf), True) if first_is_start else rev >= 2
-        return pd.DataFrame({key: pdf[key].to_numpy()[own], "rn": pdf["rn"].to_numpy()[own],
-                             out: sar[own], f"{out}_exact": exact[own]})
-
-    res = g.groupBy(key, "_tb").applyInPandas(fn, schema)
-    return fr.with_df(fr.df.join(res, [key, "rn"], "left"))
+    """Wilder SAR."""
+    def kernel(data, first, start, state):
+        sar, end = sar_run(data["high"].tolist(), data["low"].tolist(), start, state, accel, maximum)
+        return {out: sar}, end
+
+    res = run_blocks(fr, kernel, ["high", "low"], [out], max(warmup, 2))
+    return fr.with_df(fr.df.join(res, [fr.key, "rn"], "left"))
 
 
 def path_exits(fr: BarFrame, signal: str = "gate", size: float = 1.0, max_holding: int = 20,
                stop_pct: float = 0.02, warmup: int = 512, out: str = "target") -> BarFrame:
-    """SIG4: target position with time exit and stop, per (key, block) with warm-up;
-    ``{out}_exact`` is false until a flat bar was seen in the warm-up."""
-    key = fr.key
-    g = _halo_groups(fr, warmup, [signal, "close"])
-    schema = T.StructType([T.StructField(key, g.schema[key].dataType), T.StructField("rn", T.LongType()),
-                           T.StructField(out, T.DoubleType()), T.StructField(f"{out}_exact", T.BooleanType())])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn")
-        sig = pdf[signal].fillna(0).to_numpy(dtype=float)
-        tgt, flat = exits_kernel(sig, pdf["close"].to_numpy(float), size, max_holding, stop_pct)
-        own = (pdf["blk"] == pdf["_tb"]).to_numpy()
-        first_is_start = int(pdf["rn"].iloc[0]) == 1
-        exact = np.full(len(pdf), True) if first_is_start else flat
-        return pd.DataFrame({key: pdf[key].to_numpy()[own], "rn": pdf["rn"].to_numpy()[own],
-                             out: tgt[own], f"{out}_exact": exact[own]})
-
-    res = g.groupBy(key, "_tb").applyInPandas(fn, schema)
-    return fr.with_df(fr.df.join(res, [key, "rn"], "left"))
+    """SIG4: target position with time exit and stop."""
+    def kernel(data, first, start, state):
+        tgt, end = exits_run(data[signal].tolist(), data["close"].tolist(), start, state, size, max_holding, stop_pct)
+        return {out: tgt}, end
+
+    res = run_blocks(fr, kernel, [signal, "close"], [out], warmup)
+    return fr.with_df(fr.df.join(res, [fr.key, "rn"], "left"))

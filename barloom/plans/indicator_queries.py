@@ -22,6 +22,7 @@ from barloom.plans import sqlkit as SK
 SPARK: dict = {}
 SQL: dict = {}
 
+CLOSE = "close"
 WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY rn)"
 
 
@@ -344,7 +345,7 @@ _kx = "CASE WHEN rn < 10 THEN 0.0 WHEN rn = 10 THEN close ELSE sc * close END"
 _kd = "CASE WHEN rn > 10 THEN 1.0 - sc ELSE 1.0 END"
 recur_case("w07_kama", lambda fr: RC.kama(fr, n=10),
            _lsql([[("ad", f"abs(close - {LAG('close', 1)})")],
-                  [("er", G(10, f"least(1.0, {DIV(f'abs(close - {LAG(chr(99) + 'lose', 10)})', f'sum(ad) {W(10)}', '1.0')})"))],
+                  [("er", G(10, f"least(1.0, {DIV(f'abs(close - {LAG(CLOSE, 10)})', f'sum(ad) {W(10)}', '1.0')})"))],
                   [("sc", f"pow(er * ({2 / 3!r} - {2 / 31!r}) + {2 / 31!r}, 2)")]],
                  [SK.recur("k", "pre", _kx, _kd, "rn > 10")], ["k"],
                  [[("KAMA_10", "k")]], ["KAMA_10"]), ["KAMA_10"], 3)
@@ -460,33 +461,11 @@ recur_case("w71_slope_atr", lambda fr: RC.slope_atr_ratio(fr, n=14),
 
 # ============================================================ candle patterns
 from barloom.functions import patterns as PT  # noqa: E402
+from barloom.plans import pattern_oracle as PO  # noqa: E402
 
 
 def _pattern_sql_ctes(names):
-    """DuckDB helper columns (same meaning as the Spark helpers), then patterns."""
-    base = ("o0 := open, c0 := close, h0 := high, l0 := low")
-    del base
-    ctes = [DAILY_CTES,
-            "ph0 AS (SELECT *, open AS o0, close AS c0, high AS h0, low AS l0, abs(close - open) AS bd0, "
-            "high - greatest(open, close) AS us0, least(open, close) - low AS ls0, high - low AS rg0 FROM bd)",
-            f"ph1 AS (SELECT *, avg(bd0) {WR(10, 1)} AS ab0, avg(rg0) {WR(10, 1)} AS ar0, "
-            f"avg(us0 + ls0) {WR(10, 1)} AS as0, avg(rg0) {WR(5, 1)} AS ar50 FROM ph0 {WINDOW})"]
-    lags = ", ".join(f"lag({b}0, {k}) OVER w AS {b}{k}" for k in range(1, PT.MAXLAG + 1) for b in PT.HELPER_BASE)
-    ctes.append(f"ph2 AS (SELECT *, {lags} FROM ph1 {WINDOW})")
-    prev = "ph2"
-    hk = [n for n in names if n in PT.HIKKAKE]
-    if hk:
-        b0 = ", ".join(f"{PT.HIKKAKE[n][1]} AS _{n}_b0" for n in hk)
-        ctes.append(f"ph3 AS (SELECT *, {b0} FROM ph2)")
-        bl = ", ".join(f"lag(_{n}_b0, {j}) OVER w AS _{n}_b{j}" for n in hk for j in (1, 2, 3))
-        ctes.append(f"ph4 AS (SELECT *, {bl} FROM ph3 {WINDOW})")
-        prev = "ph4"
-    cols = []
-    for n in names:
-        expr = PT.hikkake_confirm(f"_{n}_b", PT.HIKKAKE[n][2]) if n in PT.HIKKAKE else PT.RULES[n][1]
-        cols.append(f"CASE WHEN rn > {PT.lookback(n)} THEN CAST({expr} AS INTEGER) END AS {n}")
-    ctes.append(f"pat AS (SELECT *, {', '.join(cols)} FROM {prev})")
-    return ctes
+    return [DAILY_CTES, *PO.pattern_ctes(list(names), "bd")]
 
 
 def _pattern_case(qid, name):
@@ -528,12 +507,12 @@ def _k62_spark(spark, sf):
 
 
 def _k62_sql():
-    ctes = _pattern_sql_ctes(PT.ALL_PATTERNS)
+    ctes = _pattern_sql_ctes(PO.NAMES)
     wm = []
-    for n in PT.ALL_PATTERNS:
+    for n in PO.NAMES:
         s1 = f"sum(CAST({n} AS DOUBLE) * rn) {W(300)}"
         s0 = f"sum(CAST({n} AS DOUBLE)) {W(300)}"
-        wm.append(f"{R(f'CASE WHEN rn > {PT.lookback(n) + 299} THEN ({s1} - (rn - 300) * {s0}) / 45150.0 END', 6)} AS {n}_wma300")
+        wm.append(f"{R(f'CASE WHEN rn > {PO.bars_of(n) + 308} THEN ({s1} - (rn - 300) * {s0}) / 45150.0 END', 6)} AS {n}_wma300")
     return f"WITH {', '.join(ctes)} SELECT symbol, ts, {', '.join(wm)} FROM pat {WINDOW}"
 
 
@@ -554,7 +533,7 @@ def _q_cycle(spark, sf):
     fr = daily_frame(spark, sf)
     cols = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
             "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "MAMA_mama", "MAMA_fama"]
-    return finish(GR.cycle_indicators(fr).df.select("symbol", "ts", *cols), 6)
+    return finish(GR.cycle_indicators(fr).df.select("symbol", "ts", *cols), 4, {"HT_DCPERIOD": 6, "HT_TRENDLINE": 6})
 
 
 def _q_exits(spark, sf):
@@ -573,6 +552,18 @@ SQL["w13_sar"] = (
     f"{SK.sar_recursive('sr', 'src').strip()} "
     f"SELECT src.symbol, src.ts, {R('sr.sar_out', 4)} AS SAR FROM src LEFT JOIN sr USING (symbol, rn)")
 SPARK["w08_w14_w48_w52_cycle_family_mama"] = _q_cycle
+_CYCLE_OUT = {"HT_DCPERIOD": ("sp", 32, 6), "HT_DCPHASE": ("phase", 63, 4), "HT_PHASOR_inphase": ("inph", 32, 4),
+              "HT_PHASOR_quadrature": ("quad", 32, 4), "HT_SINE_sine": ("sine", 63, 4), "HT_SINE_leadsine": ("lead", 63, 4),
+              "HT_TRENDMODE": ("CAST(trend AS DOUBLE)", 63, 4), "HT_TRENDLINE": ("line", 63, 6), "MAMA_mama": ("mama", 32, 4),
+              "MAMA_fama": ("fama", 32, 4)}
+SQL["w08_w14_w48_w52_cycle_family_mama"] = (
+    f"WITH RECURSIVE {DAILY_CTES}, sm AS (SELECT symbol, rn, ts, close AS price, CASE WHEN rn > 3 THEN (4 * close + 3 * lag(close, 1) OVER w "
+    f"+ 2 * lag(close, 2) OVER w + lag(close, 3) OVER w) / 10.0 ELSE 0.0 END AS s FROM bd {WINDOW}), "
+    "src AS (SELECT symbol, rn, ts, price, list_reverse(list(s) OVER back) AS sl, list_reverse(list(price) OVER back) AS pl FROM sm "
+    "WINDOW back AS (PARTITION BY symbol ORDER BY rn ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)), "
+    f"{SK.cycle_recursive('cy', 'src').strip()} SELECT src.symbol, src.ts, "
+    + ", ".join(f"{R(f'CASE WHEN cy.rn > {lb} THEN {e} END', d)} AS {n}" for n, (e, lb, d) in _CYCLE_OUT.items())
+    + " FROM cy JOIN src USING (symbol, rn)")
 SPARK["sig4_path_dependent_exits"] = _q_exits
 SQL["sig4_path_dependent_exits"] = (
     f"WITH RECURSIVE {DAILY_CTES}, sl AS (SELECT symbol, rn, ts, close, CASE WHEN rn > 6 THEN regr_slope(close, rn) "

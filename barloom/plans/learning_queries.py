@@ -22,6 +22,7 @@ from barloom.sources import tables as TB
 
 SPARK: dict = {}
 SQL: dict = {}
+CLOSE = "close"
 WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY rn)"
 
 
@@ -338,7 +339,7 @@ _SEL1_P = [5, 7, 9, 11, 13, 15, 17]
 
 
 def _sel1_sql():
-    cols = ", ".join(f"{G(p, f'close - {LAG(chr(99) + chr(108) + chr(111) + chr(115) + chr(101), p)}')} AS m{p}" for p in _SEL1_P)
+    cols = ", ".join(f"{G(p, f'close - {LAG(CLOSE, p)}')} AS m{p}" for p in _SEL1_P)
     uni = " UNION ALL ".join(f"SELECT symbol, 'MOM' AS indicator, {p} AS period, corr(fwd, m{p}) AS c FROM a GROUP BY symbol" for p in _SEL1_P)
     return (f"WITH {DAILY_CTES}, a AS (SELECT symbol, lead(close, 10) OVER w / close - 1 AS fwd, {cols} FROM bd {WINDOW}), "
             f"u AS ({uni}), r AS (SELECT * FROM (VALUES (4, 10), (10, 20)) t(lo, hi)), "

@@ -116,3 +116,54 @@ def sar_recursive(name: str, src: str, accel: float = 0.02, maximum: float = 0.2
   UNION ALL
   SELECT s.symbol, s.rn, {step('r.is_long', 'r.sar', 'r.ep', 'r.af')}
   FROM {name} r JOIN {src} s ON s.symbol = r.symbol AND s.rn = r.rn + 1)"""
+
+
+def cycle_recursive(name: str, src: str, fast: float = 0.5, slow: float = 0.05) -> str:
+    """Hilbert-transform cycle measures and MAMA/FAMA as a row-by-row loop.
+
+    ``src``: (symbol, rn, price, sl, pl) with the last 50 smoothed and raw prices, newest
+    first.  State lists hold the values of earlier rows, newest first.
+    """
+    def hilbert(now, past):
+        return f"((0.0962 * {now} + 0.5769 * {past}[2] - 0.5769 * {past}[4] - 0.0962 * {past}[6]) * adj)"
+
+    six, three = "[0.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[]", "[0.0, 0.0, 0.0]::DOUBLE[]"
+    zero = ", ".join(f"0.0::DOUBLE AS {c}" for c in ("i2", "q2", "re", "im", "per", "sp", "phase", "sine", "lead", "days", "mama", "fama",
+                                                     "angle", "inph", "quad", "line"))
+    layers = [
+        f"SELECT s.*, r.* EXCLUDE (symbol, rn), 0.075 * r.per + 0.54 AS adj FROM {name} r JOIN {src} s ON s.symbol = r.symbol AND s.rn = r.rn + 1",
+        "SELECT *, CASE WHEN rn > 6 THEN (0.0962 * sl[1] + 0.5769 * sl[3] - 0.5769 * sl[5] - 0.0962 * sl[7]) * adj ELSE 0.0 END AS d FROM ({})",
+        f"SELECT *, CASE WHEN rn > 6 THEN {hilbert('d', 'de')} ELSE 0.0 END AS q, CASE WHEN rn > 3 THEN de[3] ELSE 0.0 END AS i FROM ({{}})",
+        f"SELECT *, CASE WHEN rn > 6 THEN {hilbert('i', 'il')} ELSE 0.0 END AS ji, CASE WHEN rn > 6 THEN {hilbert('q', 'ql')} ELSE 0.0 END AS jq FROM ({{}})",
+        "SELECT *, 0.2 * (i - jq) + 0.8 * i2 AS i2n, 0.2 * (q + ji) + 0.8 * q2 AS q2n FROM ({})",
+        "SELECT *, 0.2 * (i2n * i2 + q2n * q2) + 0.8 * re AS ren, 0.2 * (i2n * q2 - q2n * i2) + 0.8 * im AS imn FROM ({})",
+        "SELECT *, CASE WHEN imn <> 0 AND ren <> 0 AND degrees(atan(imn / ren)) <> 0 THEN 360.0 / degrees(atan(imn / ren)) ELSE per END AS p1 FROM ({})",
+        "SELECT *, CASE WHEN per > 0 THEN least(greatest(p1, 0.67 * per), 1.5 * per) ELSE p1 END AS p2 FROM ({})",
+        "SELECT *, 0.2 * least(greatest(p2, 6.0), 50.0) + 0.8 * per AS pern FROM ({})",
+        "SELECT *, 0.33 * pern + 0.67 * sp AS spn FROM ({})",
+        "SELECT *, CAST(floor(spn + 0.5) AS INTEGER) AS cyc FROM ({})",
+        "SELECT *, least(cyc, rn) AS m FROM ({})",
+        "SELECT *, coalesce(list_sum([sin(radians(360.0 * k / cyc)) * sl[k + 1] for k in range(0, m)]), 0.0) AS rp, "
+        "coalesce(list_sum([cos(radians(360.0 * k / cyc)) * sl[k + 1] for k in range(0, m)]), 0.0) AS ip, "
+        "list_avg(pl[1:least(greatest(cyc, 1), rn)]) AS trend_now FROM ({})",
+        "SELECT *, CASE WHEN abs(ip) > 0.001 THEN degrees(atan(rp / ip)) WHEN rp >= 0 THEN 90.0 ELSE -90.0 END + 90.0 "
+        "+ CASE WHEN spn > 0 THEN 360.0 / spn ELSE 0.0 END + CASE WHEN ip < 0 THEN 180.0 ELSE 0.0 END AS ph, "
+        "(4 * trend_now + 3 * tp[1] + 2 * tp[2] + tp[3]) / 10.0 AS linen, CASE WHEN i <> 0 THEN degrees(atan(q / i)) ELSE 0.0 END AS anglen FROM ({})",
+        f"SELECT *, CASE WHEN ph > 315 THEN ph - 360.0 ELSE ph END AS phasen, greatest({fast!r} / greatest(1.0, angle - anglen), {slow!r}) AS alpha FROM ({{}})",
+        "SELECT *, sin(radians(phasen)) AS sinen, sin(radians(phasen + 45.0)) AS leadn, "
+        "CASE WHEN rn > 1 THEN alpha * price + (1 - alpha) * mama ELSE price END AS maman FROM ({})",
+        "SELECT *, CASE WHEN rn > 1 AND ((sinen > leadn AND sine <= lead) OR (sinen < leadn AND sine >= lead)) THEN 0.0 ELSE days + 1 END AS daysn, "
+        "CASE WHEN rn > 1 THEN 0.5 * alpha * maman + (1 - 0.5 * alpha) * fama ELSE price END AS faman FROM ({})",
+        "SELECT symbol, rn, [d] || de[1:5] AS de, [q] || ql[1:5] AS ql, [i] || il[1:5] AS il, [trend_now] || tp[1:2] AS tp, "
+        "i2n AS i2, q2n AS q2, ren AS re, imn AS im, pern AS per, spn AS sp, phasen AS phase, sinen AS sine, leadn AS lead, daysn AS days, "
+        "maman AS mama, faman AS fama, anglen AS angle, i AS inph, q AS quad, linen AS line, "
+        "CASE WHEN linen <> 0 AND abs((sl[1] - linen) / linen) >= 0.015 THEN 1 "
+        "WHEN spn > 0 AND phasen - phase > 0.67 * 360.0 / spn AND phasen - phase < 1.5 * 360.0 / spn THEN 0 "
+        "WHEN daysn < 0.5 * spn THEN 0 ELSE 1 END AS trend FROM ({})"]
+    step = layers[0]
+    for layer in layers[1:]:
+        step = layer.format(step)
+    return f"""
+{name} AS (
+  SELECT DISTINCT symbol, CAST(0 AS BIGINT) AS rn, {six} AS de, {six} AS ql, {six} AS il, {three} AS tp, {zero}, 0 AS trend FROM {src}
+  UNION ALL {step})"""

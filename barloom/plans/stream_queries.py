@@ -13,6 +13,7 @@ from barloom.plans.sqlkit import G, LAG, R, W
 from barloom.sources import tables as TB
 from barloom.streaming import bars as ST
 
+CLOSE = "close"
 SPARK: dict = {}
 SQL: dict = {}
 
@@ -46,7 +47,7 @@ def _features(fr):
 
 @reg("st2_st3_st6_stream_features",
      f"WITH b AS ({_CLOSED_BARS}), bd AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM b) "
-     f"SELECT symbol, ts, {R(G(6, f'avg(close) {W(7)}'), 6)} AS SMA_7, {R(G(7, f'close - {LAG(chr(99) + chr(108) + chr(111) + chr(115) + chr(101), 7)}'), 6)} AS MOM_7 "
+     f"SELECT symbol, ts, {R(G(6, f'avg(close) {W(7)}'), 6)} AS SMA_7, {R(G(7, f'close - {LAG(CLOSE, 7)}'), 6)} AS MOM_7 "
      "FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)")
 def q_st2(spark, sf):
     bars = ST.tick_bars(ST.event_stream(spark, sf))

@@ -23,6 +23,7 @@ from barloom.sources import tables as TB
 
 SPARK: dict = {}
 SQL: dict = {}
+CLOSE = "close"
 WINDOW = "WINDOW w AS (PARTITION BY symbol ORDER BY rn)"
 
 
@@ -159,7 +160,7 @@ def q_prj5(spark, sf):
     return finish(CL.renaming(platform_bars(spark, sf)), 6)
 
 
-_PRJ6_X = f"CASE WHEN {LAG('close', 1)} = close THEN 0.0 ELSE {DIV('1.0', f'close - {LAG(chr(99) + chr(108) + chr(111) + chr(115) + chr(101), 1)}', 'NULL')} END"
+_PRJ6_X = f"CASE WHEN {LAG('close', 1)} = close THEN 0.0 ELSE {DIV('1.0', f'close - {LAG(CLOSE, 1)}', 'NULL')} END"
 
 
 @reg("prj6_remove_infs_and_zeros", f"WITH {DAILY_CTES}, a AS (SELECT symbol, ts, {_PRJ6_X} AS x FROM bd {WINDOW}) "
@@ -213,7 +214,7 @@ def q_prj12(spark, sf):
 
 # ==================================================================== filters
 @reg("flt1_dropna", f"WITH {DAILY_CTES}, a AS (SELECT symbol, ts, {G(36, f'avg(close) {W(37)}')} AS SMA_37, "
-     f"{G(7, f'close - {LAG(chr(99) + chr(108) + chr(111) + chr(115) + chr(101), 7)}')} AS MOM_7, "
+     f"{G(7, f'close - {LAG(CLOSE, 7)}')} AS MOM_7, "
      f"{LEAD('close', 10)} AS close_lead10 FROM bd {WINDOW}) "
      f"SELECT symbol, ts, {R('SMA_37', 4)} AS SMA_37, {R('MOM_7', 4)} AS MOM_7, {R('close_lead10', 4)} AS close_lead10 FROM a "
      f"WHERE SMA_37 IS NOT NULL AND MOM_7 IS NOT NULL AND close_lead10 IS NOT NULL")
@@ -346,7 +347,7 @@ def q_agg5(spark, sf):
 
 
 @reg("agg6_corr_by_parameter", f"WITH {DAILY_CTES}, a AS (SELECT symbol, {LEAD('close', 1)} / close - 1 AS fwd, "
-     + ", ".join(f"{G(n, f'close - {LAG(chr(99) + chr(108) + chr(111) + chr(115) + chr(101), n)}')} AS m{n}" for n in (5, 10, 20))
+     + ", ".join(f"{G(n, f'close - {LAG(CLOSE, n)}')} AS m{n}" for n in (5, 10, 20))
      + f" FROM bd {WINDOW}) " + " UNION ALL ".join(
          f"SELECT symbol, {n} AS param, {R(f'corr(fwd, m{n})', 8)} AS corr FROM a GROUP BY symbol" for n in (5, 10, 20)))
 def q_agg6(spark, sf):

@@ -54,12 +54,37 @@ def test_grouped_blocks_match_whole_series(spark):
     p = GR.parabolic_sar(GR.cycle_indicators(fr)).df.select("rn", "close", "high", "low", "SAR", "HT_DCPERIOD",
                                                              "HT_SINE_sine").toPandas().sort_values("rn")
     ht = GR.ht_kernel(p.close.to_numpy())
-    sar, _ = GR.sar_kernel(p.high.to_numpy(), p.low.to_numpy())
+    sar = GR.sar_kernel(p.high.to_numpy(), p.low.to_numpy())
     np.testing.assert_allclose(p.HT_DCPERIOD.to_numpy(), ht["HT_DCPERIOD"], atol=1e-9, equal_nan=True)
     np.testing.assert_allclose(p.HT_SINE_sine.to_numpy(), ht["HT_SINE_sine"], atol=1e-9, equal_nan=True)
     np.testing.assert_allclose(p.SAR.to_numpy(), sar, atol=1e-9, equal_nan=True)
 
 
+@pytest.mark.parametrize("holding,stop,signal", [(20, 0.02, "constant"), (3000, 0.9, "constant"), (700, 0.05, "sparse")])
+def test_exits_equal_one_loop_over_many_blocks(spark, holding, stop, signal):
+    """Positions held across blocks and out-of-phase time exits: every row equals the loop over the whole series."""
+    rng = np.random.default_rng(3)
+    n = 6000
+    close = np.round(100 * np.exp(np.cumsum(rng.normal(0, 0.004, n))), 2)
+    sig = np.ones(n) if signal == "constant" else rng.choice([0, 0, 0, 1, -1], n)
+    pdf = pd.DataFrame(dict(symbol="A", ts=pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(n), unit="m"), close=close, gate=sig))
+    pdf.loc[::1500, "gate"] = np.nan
+    fr = sequence(spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz")), block_rows=512)
+    got = GR.path_exits(fr, "gate", size=2.0, max_holding=holding, stop_pct=stop).df.orderBy("rn").toPandas().target.to_numpy()
+    want, _ = GR.exits_run(pdf.gate.tolist(), close.tolist(), 0, None, 2.0, holding, stop)
+    np.testing.assert_array_equal(got, want)
+
+
+def test_sar_in_a_steady_trend(spark):
+    """No reversal for many blocks: the state still arrives."""
+    n = 3000
+    base = np.linspace(100, 400, n)
+    pdf = pd.DataFrame(dict(symbol="A", ts=pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(n), unit="m"), high=base + 1, low=base - 1))
+    fr = sequence(spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz")), block_rows=512)
+    got = GR.parabolic_sar(fr, warmup=16).df.orderBy("rn").toPandas().SAR.to_numpy()
+    np.testing.assert_allclose(got, GR.sar_kernel(pdf.high, pdf.low), rtol=1e-11, equal_nan=True)
+
+
 SAMPLE = ["flagship_hourly_latch_pnl", "w01_sma", "w02_ema", "w23_rsi", "w40_w41_adx_adxr", "k19_cdlengulfing",
           "agg2_gap_fill", "lab4_quantile_classes", "pnl3_daily_statistics", "tab4_quantile_transform_uniform",
           "cv1_time_series_folds", "st1_stream_tick_bars"]
