@@ -11,6 +11,8 @@ whole token stream by prefix sums over shards.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,45 +21,138 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import small_batches, words_of
+from barloom.llm.common import small_batches
 
-#: Words whose ids a task remembers; beyond it the memory starts anew.
-CACHE_WORDS = 400_000
+#: Words and pieces whose ids a Python worker remembers (the first met, hence the frequent ones).
+CACHE_WORDS = 300_000
+CACHE_PIECES = 300_000
+
+#: Words encoded together, and bytes of a very long text taken at once.
+RUN_WORDS = 200_000
+RUN_BYTES = 1 << 20
+
+#: Characters of the short way: visible ASCII and precomposed Latin letters and signs
+#: (line feeds part the words).  Lower case and composition of these are the same in every library.
+PLAIN = re.compile("[\n\x21-\x7e\xa1-\u012f\u0131-\u024f]*")
+
+#: The split pattern of the tokenizers that take the short way, and the same for lower-case plain
+#: text with its letters and numbers spelled out (line feeds kept); fixed values.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9²³¹¼-¾]|\n|[^\na-zªµºß-öø-ɏ0-9²³¹¼-¾]+")
+
+#: Between two words' ids; no id has these bytes, nor do two neighbours.
+BREAK = b"\xff\xff\xff\xff"
+
+#: Byte-level alphabet: printable Latin-1 stands for itself, the other bytes for U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _SHOWN)}
 
 
 class WordEncoder:
-    """Whole-text encoding through a per-word memory.
+    """Whole-text encoding through the memory of a Python worker.
 
-    Sound for tokenizers whose normaliser and pre-tokenizer never join text
-    across ASCII white space (they drop it): the ids of a text are then those
-    of its words in turn.  ``word_safe`` checks this on the words at hand.
+    Sound for tokenizers whose normaliser and pre-tokenizer drop white space and
+    never join text across it: the ids of a text are those of its words in turn.
+    Where the tokenizer lower-cases, splits by ``SPLIT`` and maps bytes (as its file
+    says), plain words are split here and only pieces never met go to the
+    library's model; every other word goes through the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.memory: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.memory]
-        if len(self.memory) + len(new) > CACHE_WORDS:
-            self.memory.clear()
-            new = list(words)
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.memory.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, got))
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        words = words_of(text)
-        out = []
-        for lo in range(0, len(words), CACHE_WORDS // 4):  # a very long text in runs of words
-            part = words[lo:lo + CACHE_WORDS // 4]
-            self.learn(set(part))
-            out.append(b"".join(map(self.memory.__getitem__, part)))
-        return b"".join(out)
+        spec = json.loads(self.tok.to_str())
+        self.short = _short_way(spec)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.model = self.tok.model
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {"\n": BREAK}
+
+    def piece(self, p: str) -> bytes:
+        shown = p if p.isascii() else "".join(map(BYTE_CHARS.__getitem__, p.encode()))
+        got = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        if len(self.pieces) < CACHE_PIECES:
+            self.pieces[p] = got
+        return got
+
+    def new_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are not remembered."""
+        text = b"\n".join(words).decode("utf-8", "replace")
+        if self.short and PLAIN.fullmatch(text) and not any(t in text for t in self.special):
+            known = self.pieces.get
+            ids = b"".join([known(p) or self.piece(p) for p in PIECES.findall(text.lower())]).split(BREAK)
+        elif len(words) > 1:  # only some of them need the long way
+            half = len(words) // 2
+            return self.new_words(words[:half]) + self.new_words(words[half:])
+        else:
+            ids = [np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        room = CACHE_WORDS - len(self.words)
+        if room > 0:
+            self.words.update(zip(words[:room], ids[:room]))
+        return ids
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        ids = list(map(self.words.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            for i, x in zip(new, self.new_words([words[i] for i in new])):
+                ids[i] = x
+        return ids
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        out = [[] for _ in texts]
+        run, owners = [], []
+        for i, t in enumerate(texts):
+            for words in _runs(t):
+                run += words
+                owners.append((i, len(words)))
+                if len(run) >= RUN_WORDS:
+                    self._deal(run, owners, out)
+                    run, owners = [], []
+        self._deal(run, owners, out)
+        return [b"".join(x) for x in out]
+
+    def _deal(self, run: list[bytes], owners: list[tuple[int, int]], out: list[list[bytes]]) -> None:
+        ids, at = self.word_ids(run), 0
+        for i, n in owners:
+            out[i].append(b"".join(ids[at:at + n]))
+            at += n
+
+
+def _runs(text: str | None) -> Iterator[list[bytes]]:
+    """Words of a text, a stretch of about ``RUN_BYTES`` bytes at a time."""
+    raw, lo = b"" if text is None else text.encode("utf-8", "surrogatepass"), 0
+    while lo < len(raw):
+        space = SPACE.search(raw, lo + RUN_BYTES) if lo + RUN_BYTES < len(raw) else None
+        hi = space.start() if space else len(raw)
+        yield raw[lo:hi].split()
+        lo = hi
+
+
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def _short_way(spec: dict) -> bool:
+    """Whether the tokenizer's file names the steps that the short way repeats."""
+    norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    kinds = [x["type"] for x in norm.get("normalizers", [])], [x["type"] for x in pre.get("pretokenizers", [])]
+    if kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) or spec["model"]["type"] != "BPE":
+        return False
+    split, level = pre["pretokenizers"]
+    return (split["behavior"] == "Removed" and split["invert"] and split["pattern"].get("Regex") == SPLIT
+            and not level["add_prefix_space"] and not level["use_regex"])
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The worker's encoder of a tokenizer file (workers serve many tasks)."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def encode_batches(path: str, eos_id: int | None):
@@ -65,9 +160,9 @@ def encode_batches(path: str, eos_id: int | None):
     end = b"" if eos_id is None else np.array([eos_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(path)
+        enc = encoder(path)
         for b in batches:
-            raw = [enc.encode(t) + end for t in b.column(1).to_pylist()]
+            raw = [ids + end for ids in enc.encode_all(b.column(1).to_pylist())]
             offs = np.zeros(len(raw) + 1, "int32")
             np.cumsum([len(r) // 4 for r in raw], out=offs[1:])
             ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(raw), "<i4")))
