@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import (chat_repair, mixing, packing, pivot_search, repetition, simhash_pivots, site_lines, token_orc,
                          toxicity, window_dedup)
-from barloom.llm.common import scratch_path
+from barloom.llm.common import scratch_path, staged
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,8 +29,8 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = (table(spark, sf_dir, "pages")
-             .select("page_id", site_lines.url_host("url").alias("host"), site_lines.html_lines("html").alias("text")))
+    pages = staged(table(spark, sf_dir, "pages").select(  # the texts are read several times: strip the markup once
+        "page_id", site_lines.url_host("url").alias("host"), site_lines.html_lines("html").alias("text")), "pages")
     out = site_lines.drop_site_lines(pages, "host", "text", ["page_id"])
     return out.select("page_id", "host", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
