@@ -7,14 +7,16 @@ classifier may not learn toxicity from which group is mentioned, which lowers
 false positives on neutral mentions.
 
 The fit uses a bounded, documented number of labelled rows (``max_rows``, those
-with the smallest hashes of their id); scoring covers every row with a fixed-size
+with the smallest hashes of their id); Spark counts their features, the few that
+separate the labels best are fitted by the driver.  Scoring covers every row with a fixed-size
 weight table.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -81,64 +83,27 @@ def swaps(found: set[str], terms: dict[str, list[str]]) -> list[set[str]]:
     return out
 
 
-def fit(texts: Sequence[set[str]], toxic: np.ndarray, terms: dict[str, list[str]] = IDENTITY_TERMS, penalty: float = 20.0,
-        ridge: float = 10.0, min_docs: int = 3, keep: int = 300) -> Model:
-    """Minimise mean log loss + ridge + penalty * mean squared score change under swaps.
+def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n_features: int,
+        penalty: float = 20.0, ridge: float = 0.1, steps: int = 400) -> tuple[np.ndarray, float]:
+    """Minimise mean log loss + ridge + penalty * mean squared score change under swaps (full-batch Adam).
 
-    ``texts``: word sets.  Features in fewer than ``min_docs`` texts are unknown.
-    A first fit under a strong ridge ranks the features; the ``keep`` strongest
-    and all identity terms are fitted again under a hundredth of it.  One class or no rows
-    give the prior alone.
+    ``rows``: feature numbers of each text; ``pairs``: the features that a swap takes
+    away and brings.  Returns the weights and the bias.
     """
-    n = len(texts)
-    if n == 0 or toxic.min() == toxic.max():
-        p = (float(toxic.sum()) + 0.5) / (n + 1)
-        return Model({}, float(np.log(p / (1 - p))))
-    ids: dict[str, int] = {}
-    rows, cols = _flat((features(t) for t in texts), ids)
-    # counterfactual differences: only features of swapped words change, so each is a short list of +1 and -1
-    pairs = [(features(t), features(s)) for t in texts for s in swaps(t, terms)]
-    gone, come = _flat((a - b for a, b in pairs), ids), _flat((b - a for a, b in pairs), ids)
-    change = (np.r_[gone[0], come[0]], np.r_[gone[1], come[1]], np.r_[np.ones(len(gone[0])), -np.ones(len(come[0]))])
-    names = list(ids)
-    seen = np.bincount(cols, minlength=len(names))
-    always = np.zeros(len(names), bool)
-    always[change[1]] = True
-    y = toxic.astype("float64")
-    known = np.flatnonzero((seen >= min_docs) | always)
-    w, bias = _descend(rows, cols, change, len(pairs), y, known, penalty, ridge, steps=120)
-    strong = known[np.lexsort((known, -np.abs(w) * np.sqrt(seen[known])))[:keep]]
-    known = np.union1d(strong, np.flatnonzero(always))
-    w, bias = _descend(rows, cols, change, len(pairs), y, known, penalty, ridge / 100, steps=400)
-    return Model({names[i]: float(x) for i, x in zip(known.tolist(), w)}, float(bias))
-
-
-def _flat(found: Iterable[set[str]], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and feature number of every feature; new features are numbered in sorted order as they come."""
-    lists = [np.array([ids.setdefault(f, len(ids)) for f in sorted(x)], "int32") for x in found]
-    rows = np.repeat(np.arange(len(lists), dtype="int32"), [len(x) for x in lists])
-    return rows, np.concatenate(lists) if lists else np.empty(0, "int32")
-
-
-def _descend(rows: np.ndarray, cols: np.ndarray, change: tuple[np.ndarray, ...], m: int, y: np.ndarray, known: np.ndarray,
-             penalty: float, ridge: float, steps: int) -> tuple[np.ndarray, float]:
-    """Full-batch Adam over the ``known`` features; ``m`` counterfactual pairs."""
-    n, k = len(y), len(known)
-    place = np.full(int(max(cols.max(initial=0), known.max(initial=0), change[1].max(initial=0))) + 1, -1, "int32")
-    place[known] = np.arange(k)
-    use = place[cols] >= 0
-    rows, cols = rows[use], place[cols[use]]
-    use = place[change[1]] >= 0
-    c_row, c_col, c_val = change[0][use], place[change[1][use]], change[2][use]
-    w, bias = np.zeros(k), float(np.log(y.mean() / (1 - y.mean())))
-    mom, var, step = np.zeros(k + 1), np.zeros(k + 1), 0.1
+    n, m, y = len(rows), len(pairs), y.astype("float64")
+    row, col = _flat(rows)
+    gone, come = _flat([a for a, _ in pairs]), _flat([b for _, b in pairs])
+    c_row, c_col = np.r_[gone[0], come[0]], np.r_[gone[1], come[1]]
+    c_val = np.r_[np.ones(len(gone[0])), -np.ones(len(come[0]))]
+    w, bias = np.zeros(n_features), float(np.log(y.mean() / (1 - y.mean())))
+    mom, var, step = np.zeros(n_features + 1), np.zeros(n_features + 1), 0.1
     for i in range(1, steps + 1):
-        z = bias + np.bincount(rows, w[cols], minlength=n)
+        z = bias + np.bincount(row, w[col], minlength=n)
         err = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / n
-        g = np.bincount(cols, err[rows], minlength=k) + ridge * w / n
+        g = np.bincount(col, err[row], minlength=n_features) + ridge * w / n
         if m:
-            moved = np.bincount(c_row, c_val * w[c_col], minlength=m)
-            g += penalty * 2 / m * np.bincount(c_col, c_val * moved[c_row], minlength=k)
+            change = np.bincount(c_row, c_val * w[c_col], minlength=m)
+            g += penalty * 2 / m * np.bincount(c_col, c_val * change[c_row], minlength=n_features)
         grad = np.r_[g, err.sum()]
         mom, var = 0.9 * mom + 0.1 * grad, 0.999 * var + 0.001 * grad * grad
         move = step * (mom / (1 - 0.9 ** i)) / (np.sqrt(var / (1 - 0.999 ** i)) + 1e-10)
@@ -146,48 +111,92 @@ def _descend(rows: np.ndarray, cols: np.ndarray, change: tuple[np.ndarray, ...],
     return w, bias
 
 
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists]).astype("int64")
+    return rows, np.concatenate(lists).astype("int64") if lists else np.empty(0, "int64")
+
+
 def held_out(id_col: str) -> Column:
     """crc32 of the id as text, modulo 4, is 2 (a null id counts as the empty text)."""
     return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4) == 2
 
 
+def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(y, text) to partial counts (feature, texts with it, toxic texts with it)."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(count)), pa.array(list(count.values()), pa.int64()), pa.array([toxic[f] for f in count], pa.int64())],
+            names=["feature", "n", "p"])
+
+    count, toxic = Counter(), Counter()
+    for b in batches:
+        for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = features(words(t))
+            count.update(found)
+            if y:
+                toxic.update(found)
+        if len(count) > 200_000:
+            yield batch()
+            count, toxic = Counter(), Counter()
+    yield batch()
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_rows: int = 12_000, **options) -> Model:
-    """Fit on at most ``max_rows`` labelled rows that are not held out.
+          max_rows: int = 12_000, max_features: int = 300, min_docs: int = 3,
+          terms: dict[str, list[str]] = IDENTITY_TERMS, **options) -> Model:
+    """Fit on at most ``max_rows`` labelled texts that are not held out.
 
     The sample is the labelled ids with the smallest hashes, so it does not depend
-    on the table's order; its size, and so what is broadcast and collected, has
-    a fixed bound.  Ids labelled twice count once (toxic if any label says so);
-    null labels or ids are ignored.  A repeated id in ``docs`` adds its rows up to the bound.
+    on the table's order; its size, and so what is broadcast and collected, has a
+    fixed bound.  Spark counts every feature of the sample by label; the
+    ``max_features`` with the largest chi-square (on ``min_docs`` texts or more) and
+    all identity terms are fitted.  Ids labelled twice count once (toxic if any label
+    says so); null labels or ids are ignored; a repeated id in ``docs`` adds its rows.
+    One class or no rows give the prior alone.
     """
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
              .where(~held_out("id")))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     small_batches(docs.sparkSession)
-
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([" ".join(sorted(words(t))) for t in b.column(1).to_pylist()])], names=["y", "w"])
-
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .join(F.broadcast(sample), "id").select("y", "t").mapInArrow(distinct, "y int, w string")
-            .orderBy(F.xxhash64("w")).limit(max_rows).collect())
-    return fit(_Sets([r["w"] for r in rows]), np.array([r["y"] for r in rows], "int64"), **options)
-
-
-class _Sets(Sequence):
-    """Word sets made from joined words one at a time."""
-
-    def __init__(self, joined: list[str]):
-        self.joined = joined
-
-    def __len__(self) -> int:
-        return len(self.joined)
-
-    def __getitem__(self, i: int) -> set[str]:
-        return set(self.joined[i].split())
+    texts = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+             .join(F.broadcast(sample), "id").select("y", "t"))
+    n, p = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if p == 0 or p == n:
+        odds = (p + 0.5) / (n - p + 0.5)
+        return Model({}, float(np.log(odds)))
+    # chi-square of "has the feature" against "is toxic", from its four counts
+    a, b = F.col("p").cast("double"), (F.col("n") - F.col("p")).cast("double")
+    c, d = F.lit(float(p)) - a, F.lit(float(n - p)) - b
+    chi = F.try_divide(F.pow(a * d - b * c, 2), (a + b) * (c + d))
+    counts = (texts.mapInArrow(_count_features, "feature string, n long, p long")
+              .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).where(F.col("n") >= min_docs))
+    best = counts.orderBy(chi.desc_nulls_last(), "feature").limit(max_features).select("feature").collect()
+    chosen = sorted({r["feature"] for r in best}.union(*(features({t}) for g in terms.values() for t in g)))
+    at = {f: i for i, f in enumerate(chosen)}
+
+    def number(found: set[str]) -> list[int]:
+        return sorted(at[f] for f in found & at.keys())
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            have, gone, come = [], [], []
+            for t in batch.column(1).to_pylist():
+                w = words(t)
+                f = features(w)
+                other = [features(s) for s in swaps(w, terms)]
+                have.append(number(f))
+                gone.append([number(f - o) for o in other])
+                come.append([number(o - f) for o in other])
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(have, ints), pa.array(gone, pa.list_(ints)),
+                                              pa.array(come, pa.list_(ints))], names=["y", "have", "gone", "come"])
+
+    rows = texts.mapInArrow(encode, "y int, have array<int>, gone array<array<int>>, come array<array<int>>").collect()
+    rows.sort(key=lambda r: (r["have"], r["y"]))  # the fit does not depend on the order tasks end in
+    pairs = [(np.array(g, "int64"), np.array(c, "int64")) for r in rows for g, c in zip(r["gone"], r["come"])]
+    w, bias = fit([np.array(r["have"], "int64") for r in rows], np.array([r["y"] for r in rows]), pairs, len(chosen), **options)
+    return Model({f: float(x) for f, x in zip(chosen, w) if x}, float(bias))
 
 
 def score(docs: DataFrame, model: Model, cols: list[str], text_col: str = "text") -> DataFrame:
