@@ -27,15 +27,17 @@ def _rn() -> Column:
 def smooth_many(fr: BarFrame, specs: list[tuple]) -> BarFrame:
     """Several independent seeded smoothers in one scan pass.
 
+    A NULL at or after ``start`` raises: a smoother cannot skip a bar silently.
     Each spec is ``(out, x, start, seed_len, d, w_seed, w_after)``; output is
     defined from ``start + seed_len − 1``."""
     rn = _rn()
     scans, posts = [], []
     for out, x, start, seed_len, d, w_seed, w_after in specs:
         seed_end = start + seed_len - 1
+        known = F.when(col(x).isNull(), F.raise_error(F.lit(f"NULL inside the series of {out}"))).otherwise(col(x))
         contrib = (F.when(rn < start, F.lit(0.0))
-                   .when(rn <= seed_end, col(x) * F.lit(float(w_seed)))
-                   .otherwise(col(x) * F.lit(float(w_after))))
+                   .when(rn <= seed_end, known * F.lit(float(w_seed)))
+                   .otherwise(known * F.lit(float(w_after))))
         tmp = f"_{out}_raw"
         scans.append(dict(out=tmp, x=contrib, d=float(d), d_from=None if d == 1.0 else seed_end + 1))
         posts.append((out, seed_end, tmp))
@@ -145,7 +147,7 @@ def kama(fr: BarFrame, x="close", n=30, out=None) -> BarFrame:
     contrib = F.when(rn < n, F.lit(0.0)).when(rn == n, xc).otherwise(sc * xc)
     d = F.when(rn > n, F.lit(1.0) - sc).otherwise(F.lit(1.0))
     raw = f"_kama_raw_{n}"
-    fr = fr.scan(raw, contrib, d, d_min=1.0 - fast ** 2, d_max=1.0 - slow ** 2, unit_rows=n)
+    fr = fr.scan(raw, contrib, d, d_min=1.0 - fast ** 2)
     return fr.with_df(fr.df.withColumn(out or f"KAMA_{n}", F.when(rn > n, F.col(raw))).drop(ad, er, raw))
 
 

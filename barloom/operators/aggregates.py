@@ -7,13 +7,11 @@ single-partition window.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.finite import safe_corr
-from barloom.plans.frame import sequence
+from barloom.operators.labels import ranked_values, small_table
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:
@@ -26,7 +24,7 @@ def histogram(df: DataFrame, x: str, bins: int = 20, group: str | None = None) -
     keys = [group] if group else []
     if keys:
         rng = df.groupBy(*keys).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
-        j = df.join(rng, keys, "inner")  # one row per group
+        j = df.join(small_table(rng), keys, "inner")  # one row per group
     else:
         r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
         j = df.withColumn("_lo", F.lit(r["lo"])).withColumn("_hi", F.lit(r["hi"]))
@@ -42,21 +40,21 @@ def histogram(df: DataFrame, x: str, bins: int = 20, group: str | None = None) -
 
 def corr_row(df: DataFrame, target: str, cols: list[str], group: str | None = None) -> DataFrame:
     """AGG5: one row of the correlation matrix: corr(target, c) for each c (long form)."""
+    return _corr_table(df, target, [(c, c) for c in cols], "feature", group)
+
+
+def _corr_table(df: DataFrame, target: str, columns: list[tuple], name: str, group: str | None) -> DataFrame:
+    """(group, name, corr): one aggregate with an expression per column, unpivoted afterwards."""
     keys = [group] if group else []
-    stacked = df.select(*keys, F.col(target).alias("_t"),
-                        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
-                                            for c in cols])).alias("_e"))
-    return (stacked.groupBy(*keys, F.col("_e.name").alias("feature"))
-            .agg(safe_corr(F.col("_t"), F.col("_e.v")).alias("corr")))
+    wide = df.groupBy(*keys).agg(F.array(*[
+        F.struct(F.lit(label).alias(name), safe_corr(F.col(target).cast("double"), F.col(c).cast("double")).alias("corr"))
+        for label, c in columns]).alias("_e"))
+    return wide.select(*keys, F.explode("_e").alias("_e")).select(*keys, "_e.*")
 
 
 def corr_by_parameter(df: DataFrame, target: str, columns_by_param: dict, group: str | None = None) -> DataFrame:
     """AGG6: corr(feature(param), target) for each parameter value (columns already built)."""
-    keys = [group] if group else []
-    stacked = df.select(*keys, F.col(target).alias("_t"),
-                        F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.col(c).cast("double").alias("v"))
-                                            for p, c in columns_by_param.items()])).alias("_e"))
-    return stacked.groupBy(*keys, F.col("_e.param").alias("param")).agg(safe_corr(F.col("_t"), F.col("_e.v")).alias("corr"))
+    return _corr_table(df, target, list(columns_by_param.items()), "param", group)
 
 
 def inverse_normal(p: Column) -> Column:
@@ -90,10 +88,13 @@ def inverse_normal(p: Column) -> Column:
 
 def qq_table(df: DataFrame, x: str, group: str = "symbol") -> DataFrame:
     """AGG7: normal Q-Q table — ordered values against Φ⁻¹ of Filliben's plotting
-    positions.  Ranks come from the distributed numbering (no single-task sort)."""
-    vals = df.select(group, F.col(x).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    fr = sequence(vals, key=group, order=("_v",))
-    t = fr.df.join(fr.df.groupBy(group).agg(F.max("rn").alias("_n")), group)
+    positions.  Distinct values are numbered with their counts, so neither a long
+    group nor a value that repeats very often is one task."""
+    t = ranked_values(df, x, group)
+    t = t.withColumn("_c0", F.explode(F.sequence(F.col("_before") + 1, F.col("_upto"), F.lit(100_000).cast("long"))))
+    # a value that repeats very often is dealt out in chunks of its ranks
+    t = t.repartition(group, "_v", "_c0").withColumn(
+        "rn", F.explode(F.sequence(F.col("_c0"), F.least(F.col("_c0") + 99_999, F.col("_upto")))))
     last = F.pow(F.lit(0.5), 1.0 / F.col("_n"))
     m = (F.when(F.col("rn") == F.col("_n"), last)
          .when(F.col("rn") == 1, 1 - last)
@@ -126,10 +127,10 @@ def class_weights(df: DataFrame, cls: str, mode: str = "manual", mapping=MANUAL_
     if mode == "manual":
         m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
         return df.withColumn("weight", F.coalesce(m[F.col(cls)], F.lit(1.0)))
-    counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("_c"))   # one row per class
+    counts = df.groupBy(F.col(cls).alias("_cls")).agg(F.count(F.lit(1)).alias("_c"))   # one row per class, NULL is one
     allw = Window.partitionBy()
-    cw = counts.select(cls, (F.sum("_c").over(allw) / (F.count(F.lit(1)).over(allw) * F.col("_c"))).alias("weight"))
-    return df.join(cw, cls, "left")
+    cw = counts.select("_cls", (F.sum("_c").over(allw) / (F.count(F.lit(1)).over(allw) * F.col("_c"))).alias("weight"))
+    return df.join(small_table(cw), F.col(cls).eqNullSafe(F.col("_cls")), "left").drop("_cls")
 
 
 def data_checks(df: DataFrame, cols: list[str], target: str | None = None) -> DataFrame:
@@ -167,4 +168,3 @@ def latest_per_key(df: DataFrame, key: str = "symbol", order: str = "ts") -> Dat
             .select(key, "_r.*"))
 
 
-_ = math

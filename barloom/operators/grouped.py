@@ -214,6 +214,8 @@ def _same(a: str, b: str) -> Column:
 def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int,
                max_rounds: int | None = None) -> DataFrame:
     """(key, rn, outs) of a loop over every series, block by block (see the module text)."""
+    if fr.resume:
+        raise ValueError("a non-linear recurrence needs its whole series: build it in batch")
     key, L = fr.key, fr.block
     packed = reliable_checkpoint(_packed(fr, warmup, cols))
     kind = fr.df.schema[key].dataType.simpleString()

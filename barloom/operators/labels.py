@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.finite import Feat, col, guard, pct, sdiv
 from barloom.plans.frame import BarFrame, Win
+from barloom.session import reliable_checkpoint
 
 
 def forward_log_return(w: Win, x="close", h=10, out=None) -> Feat:
@@ -63,32 +64,52 @@ CHANGE_CLASSES = ["strong sell", "sell", "meh", "buy", "strong buy"]
 ROLLING_CLASSES = ["short hold", "no hold", "long hold"]
 
 
+def small_table(df: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, counted first, fit ``max_bytes``; else as it is
+    (Spark then joins by shuffle and splits hot keys at run time)."""
+    most = max_bytes // (16 + 24 * len(df.columns))
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def ranked_values(df: DataFrame, x: str, key: str) -> DataFrame:
+    """(key, _v, _before, _upto, _n): every distinct non-null value with its ranks (_before, _upto] of _n.
+
+    Values are counted first and only distinct ones are numbered (by the bar
+    frame's distributed numbering), so a value held by half the rows is one row here.
+    """
+    from barloom.plans.frame import sequence
+
+    counts = (df.select(F.col(key), F.col(x).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+              .groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = reliable_checkpoint(counts)  # read for the numbering, the totals and the picks
+    fr = sequence(counts, key=key, order=("_v",)).cumsum("_cum", F.col("_c"))
+    upto = F.round("_cum").cast("long")
+    rows = fr.df.select(key, "_v", (upto - F.col("_c")).alias("_before"), upto.alias("_upto"))
+    total = counts.groupBy(key).agg(F.sum("_c").alias("_n"))  # one row per key
+    return rows.join(small_table(total), key)
+
+
 def exact_quantiles(df: DataFrame, x: str, qs: list[float], key: str = "symbol") -> DataFrame:
     """Exact interpolated quantiles of ``x`` per key: (key, q_index, value).
 
-    No group is gathered in one task: rows are numbered by value with the bar
-    frame's distributed numbering, the two rows around each position
-    ``q·(n−1)`` are picked by a join with a small positions table, and the
-    cut point is interpolated between them.
+    The cut point of ``q`` lies between the ranks around ``q·(n−1)``; each distinct
+    value (:func:`ranked_values`) keeps the wanted ranks that fall on it, and
+    the two values per quantile are interpolated.  No group is gathered in one task.
     """
-    from barloom.plans.frame import BROADCAST_ROWS, sequence
-
-    vals = df.select(F.col(key), F.col(x).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    fr = sequence(vals, key=key, order=("_v",))
-    counts = fr.df.groupBy(key).agg(F.max("rn").alias("_n"))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    pos = (counts.select(key, "_n", F.posexplode(qarr).alias("_qi", "_q"))
-           .withColumn("_p", F.col("_q") * (F.col("_n") - 1))
-           .withColumn("_lo", F.floor("_p").cast("long") + 1)
-           .withColumn("_fr", F.col("_p") - F.floor("_p")))
-    picks = pos.select(key, "_qi", "_fr", F.explode(F.array(F.col("_lo"), F.least(F.col("_lo") + 1, F.col("_n")))).alias("rn"))
-    n_keys = fr.stats.n_keys if fr.stats else BROADCAST_ROWS
-    small = F.broadcast(picks) if n_keys * len(qs) * 2 <= BROADCAST_ROWS else picks
-    got = fr.df.select(key, "rn", "_v").join(small, [key, "rn"])
-    return (got.groupBy(key, "_qi").agg(F.min_by("_v", "rn").alias("_a"), F.max_by("_v", "rn").alias("_b"),
-                                         F.first("_fr").alias("_fr"))
-            .select(key, F.col("_qi").alias("q_index"),
-                    (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_fr")).alias("value")))
+    rows = ranked_values(df, x, key)
+
+    def ranks(i: int, q: float):
+        low = F.floor(F.lit(float(q)) * (F.col("_n") - 1)) + 1
+        return [F.struct(F.lit(i).alias("qi"), r.cast("long").alias("rank")) for r in (low, F.least(low + 1, F.col("_n")))]
+
+    wanted = F.array(*[r for i, q in enumerate(qs) for r in ranks(i, q)])
+    picks = rows.select(key, "_v", "_n", F.explode(F.filter(
+        wanted, lambda p: (p["rank"] > F.col("_before")) & (p["rank"] <= F.col("_upto")))).alias("p"))
+    q = F.element_at(F.array(*[F.lit(float(v)) for v in qs]), F.col("q_index") + 1)
+    at = q * (F.col("_n") - 1)
+    return (picks.select(key, "_v", "_n", F.col("p.qi").alias("q_index"), "p.rank")
+            .groupBy(key, "q_index").agg(F.min_by("_v", "rank").alias("_a"), F.max_by("_v", "rank").alias("_b"), F.max("_n").alias("_n"))
+            .select(key, "q_index", (F.col("_a") + (F.col("_b") - F.col("_a")) * (at - F.floor(at))).alias("value")))
 
 
 def quantile_classes(df: DataFrame, x: str, names: list[str], key: str = "symbol", out: str | None = None) -> DataFrame:
@@ -99,7 +120,7 @@ def quantile_classes(df: DataFrame, x: str, names: list[str], key: str = "symbol
     cuts = (exact_quantiles(df, x, qs, key).groupBy(key)
             .agg(F.sort_array(F.collect_list(F.struct("q_index", "value"))).alias("_c")))
     cuts = cuts.select(key, F.transform("_c", lambda e: e["value"]).alias("_cuts"))
-    j = df.join(cuts, key, "left")  # one row per key; AQE broadcasts it when small
+    j = df.join(small_table(cuts), key, "left")  # one row per key
     expr = None
     for i in range(k - 1):
         cond = F.col(x) <= F.col("_cuts")[i]
@@ -111,6 +132,3 @@ def quantile_classes(df: DataFrame, x: str, names: list[str], key: str = "symbol
 def add_labels(fr: BarFrame, h: int = 10) -> BarFrame:
     w = Win(fr.key, fr.block)
     return fr.add(forward_log_return(w, h=h))
-
-
-_ = Window  # re-exported for callers building their own specs

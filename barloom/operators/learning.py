@@ -19,10 +19,12 @@ from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembl
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.finite import safe_corr
+from barloom.operators.labels import small_table
+from barloom.session import reliable_checkpoint
 
 # ------------------------------------------------------------------ ML1–ML7
 MODEL_COMBOS = {
@@ -64,39 +66,72 @@ def make_estimator(kind: str, task: str = "classification", features="features",
 
 def adaboost_fit(df: DataFrame, features="features", label="label", n_rounds: int = 10, max_depth: int = 1,
                  n_classes: int | None = None, seed: int = 42):
-    """ML4: SAMME boosting with weighted MLlib decision trees (one distributed fit per round;
-    sample weights are updated with a projection).  Returns [(alpha, model)]."""
+    """ML4: SAMME boosting with weighted MLlib decision trees (one distributed fit per round).
+
+    The weights are written to the checkpoint folder after each round, so a round
+    reads them instead of running all earlier models again.  Returns [(alpha, model)]."""
     k = n_classes or df.agg(F.countDistinct(label)).first()[0]
     cur = df.withColumn("_w", F.lit(1.0))
     models = []
-    for _ in range(n_rounds):
-        m = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth,
-                                   seed=seed, predictionCol="_p", probabilityCol="_pp", rawPredictionCol="_rp").fit(cur)
+    for i in range(n_rounds):
+        m = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth, seed=seed,
+                                   predictionCol=f"_p{i}", probabilityCol=f"_pp{i}", rawPredictionCol=f"_rp{i}").fit(cur)
+        miss = F.col(f"_p{i}") != F.col(label)
         pred = m.transform(cur)
-        r = pred.agg((F.sum(F.when(F.col("_p") != F.col(label), F.col("_w")).otherwise(0.0)) / F.sum("_w")).alias("e")).first()
-        err = min(max(r["e"], 1e-10), 1 - 1e-10)
+        e = pred.agg((F.sum(F.when(miss, F.col("_w")).otherwise(0.0)) / F.sum("_w")).alias("e")).first()["e"]
+        err = min(max(e, 1e-10), 1 - 1e-10)
         alpha = math.log((1 - err) / err) + math.log(k - 1)
         models.append((alpha, m))
         if err >= 1 - 1.0 / k:
             break
-        cur = pred.withColumn("_w", F.when(F.col("_p") != F.col(label), F.col("_w") * math.exp(alpha))
-                              .otherwise(F.col("_w"))).drop("_p", "_pp", "_rp")
+        cur = reliable_checkpoint(pred.withColumn("_w", F.when(miss, F.col("_w") * math.exp(alpha)).otherwise(F.col("_w")))
+                                  .drop(f"_p{i}", f"_pp{i}", f"_rp{i}"))
     return models
 
 
+def _votes(models, df: DataFrame) -> DataFrame:
+    """Every model's prediction as a column of its own (``_p0``, ``_p1``, …): no row is matched to another."""
+    for i, (_, m) in enumerate(models):
+        df = m.transform(df).drop(f"_pp{i}", f"_rp{i}")
+    return df
+
+
 def adaboost_predict(models, df: DataFrame, label_values: list[float], out="prediction") -> DataFrame:
-    votes = None
-    cur = df.withColumn("_rowid", F.monotonically_increasing_id())
-    for i, (alpha, m) in enumerate(models):
-        p = m.transform(cur).select("_rowid", F.col("_p").alias(f"_p{i}"))
-        cur = cur.join(p, "_rowid")
-    score = {v: sum(F.when(F.col(f"_p{i}") == v, F.lit(a)).otherwise(0.0) for i, (a, _) in enumerate(models))
+    """The label with the largest sum of alphas (ties: the first of ``label_values``)."""
+    score = {v: sum((F.when(F.col(f"_p{i}") == v, F.lit(a)).otherwise(0.0) for i, (a, _) in enumerate(models)), F.lit(0.0))
              for v in label_values}
-    best = F.greatest(*score.values())
-    pick = None
-    for v, sc in score.items():
-        pick = F.when(sc == best, F.lit(float(v))) if pick is None else pick.when(sc == best, F.lit(float(v)))
-    return cur.withColumn(out, pick).drop("_rowid", *[f"_p{i}" for i in range(len(models))])
+    best = F.greatest(*score.values(), F.lit(-1.0))
+    pick = F.coalesce(*[F.when(sc == best, F.lit(float(v))) for v, sc in score.items()])
+    return _votes(models, df).withColumn(out, pick).drop(*[f"_p{i}" for i in range(len(models))])
+
+
+def adaboost_regress_fit(df: DataFrame, features="features", label="label", n_rounds: int = 10, max_depth: int = 3, seed: int = 42):
+    """ML4, regression: AdaBoost.R2 (linear loss) with weighted MLlib regression trees.  Returns [(log 1/beta, model)]."""
+    cur, models = df.withColumn("_w", F.lit(1.0)), []
+    for i in range(n_rounds):
+        m = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth, seed=seed,
+                                  predictionCol=f"_p{i}").fit(cur)
+        pred = m.transform(cur).withColumn("_e", F.abs(F.col(f"_p{i}") - F.col(label)))
+        r = pred.agg(F.max("_e").alias("most"), F.sum(F.col("_e") * F.col("_w")).alias("e"), F.sum("_w").alias("w")).first()
+        loss = r["e"] / (r["w"] * r["most"]) if r["most"] else 0.0
+        if loss >= 0.5 and models:
+            break
+        beta = max(loss, 1e-10) / (1 - min(loss, 1 - 1e-10))
+        models.append((math.log(1 / beta), m))
+        if loss <= 0 or loss >= 0.5:
+            break
+        w = F.col("_w") * F.pow(F.lit(beta), 1 - F.col("_e") / r["most"])
+        cur = reliable_checkpoint(pred.withColumn("_w", w).drop("_e", f"_p{i}"))
+    return models
+
+
+def adaboost_regress_predict(models, df: DataFrame, out="prediction") -> DataFrame:
+    """The weighted median of the models' predictions."""
+    half = 0.5 * sum(a for a, _ in models)
+    sorted_ = F.array_sort(F.array(*[F.struct(F.col(f"_p{i}").alias("p"), F.lit(float(a)).alias("a")) for i, (a, _) in enumerate(models)]))
+    pick = F.aggregate(sorted_, F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("double").alias("p")), lambda acc, e: F.struct(
+        (acc["s"] + e["a"]).alias("s"), F.when(acc["p"].isNull() & (acc["s"] + e["a"] >= half), e["p"]).otherwise(acc["p"]).alias("p")))
+    return _votes(models, df).withColumn(out, pick["p"]).drop(*[f"_p{i}" for i in range(len(models))])
 
 
 def class_sample_weights(df: DataFrame, cls: str, mapping: dict | None = None) -> DataFrame:
@@ -106,16 +141,32 @@ def class_sample_weights(df: DataFrame, cls: str, mapping: dict | None = None) -
 
 
 # -------------------------------------------------------------- CV1–CV3 folds
+def fold_bounds(n_rows: int, n_splits: int = 5) -> list[tuple[int, int]]:
+    """CV1: (last train row, last test row) of each expanding split: test size ⌊n/(k+1)⌋, the last split ends at n."""
+    t = n_rows // (n_splits + 1)
+    return [(n_rows - (n_splits - i) * t, n_rows - (n_splits - i - 1) * t) for i in range(n_splits)]
+
+
 def time_series_folds(df: DataFrame, n_splits: int = 5, rn: str = "rn", n_rows: int | None = None) -> DataFrame:
-    """CV1: expanding splits on the row order: test size ⌊n/(k+1)⌋; fold i tests rows
-    (n − (k−i)·t, n − (k−i−1)·t] and trains on all rows before.  Output (rn, fold, role)."""
-    n = n_rows or df.agg(F.max(rn)).first()[0]
-    t = n // (n_splits + 1)
-    starts = [n - (n_splits - i) * t for i in range(n_splits)]
-    arr = F.array(*[F.struct(F.lit(i).alias("fold"), F.lit(s).alias("s")) for i, s in enumerate(starts)])
-    e = df.select("*", F.explode(arr).alias("_f"))
-    role = F.when(F.col(rn) <= F.col("_f.s"), "train").when(F.col(rn) <= F.col("_f.s") + t, "test")
-    return e.withColumn("fold", F.col("_f.fold")).withColumn("role", role).where(F.col("role").isNotNull()).drop("_f")
+    """CV1: ``fold`` = the split that tests the row (NULL for the rows before the first test part).
+    A split trains on all rows before its test part, so one number per row says it all."""
+    bounds = fold_bounds(n_rows or df.agg(F.max(rn)).first()[0], n_splits)
+    fold = F.lit(None).cast("int")
+    for i, (a, b) in enumerate(bounds):
+        fold = F.when((F.col(rn) > a) & (F.col(rn) <= b), F.lit(i)).otherwise(fold)
+    return df.withColumn("fold", fold.cast("int"))
+
+
+def fold_table(df: DataFrame, n_splits: int = 5, rn: str = "rn", n_rows: int | None = None) -> DataFrame:
+    """(fold, role, rows, first_rn, last_rn): counted once per fold, train parts as running sums over the folds."""
+    parts = (time_series_folds(df, n_splits, rn, n_rows).groupBy(F.coalesce("fold", F.lit(-1)).alias("fold"))
+             .agg(F.count(F.lit(1)).alias("rows"), F.min(rn).alias("first_rn"), F.max(rn).alias("last_rn")))
+    before = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)  # one row per fold
+    both = parts.select("fold", F.array(
+        F.struct(F.lit("test").alias("role"), "rows", "first_rn", "last_rn"),
+        F.struct(F.lit("train").alias("role"), F.sum("rows").over(before).alias("rows"), F.min("first_rn").over(before).alias("first_rn"),
+                 F.max("last_rn").over(before).alias("last_rn"))).alias("e"))
+    return both.where("fold >= 0").select("fold", F.explode("e").alias("e")).select("fold", "e.*").where("rows > 0")
 
 
 def stratified_folds(df: DataFrame, cls: str, k: int = 5, order: str = "rn") -> DataFrame:
@@ -123,8 +174,8 @@ def stratified_folds(df: DataFrame, cls: str, k: int = 5, order: str = "rn") ->
     Positions come from the distributed numbering, so a large class is not one task."""
     from barloom.plans.frame import sequence
     fr = sequence(df, key=cls, order=(order,))
-    n = fr.df.groupBy(cls).agg(F.max("rn").alias("_n"))   # one row per class
-    out = fr.df.join(n, cls).withColumn("fold", F.floor((F.col("rn") - 1) * k / F.col("_n")).cast("int"))
+    n = df.groupBy(cls).agg(F.count(F.lit(1)).alias("_n"))   # one row per class
+    out = fr.df.join(small_table(n), cls).withColumn("fold", F.floor((F.col("rn") - 1) * k / F.col("_n")).cast("int"))
     return out.drop("rn", "blk", "sblk", "_n")
 
 
@@ -132,7 +183,7 @@ def ordered_holdout(df: DataFrame, test_fraction: float = 0.2, rn: str = "rn", k
     """CV3: last ⌈fraction·n⌉ rows (per key) are test, the rest train."""
     if key:
         n = df.groupBy(key).agg(F.max(rn).alias("_n"))   # one row per key
-        d = df.join(n, key)
+        d = df.join(small_table(n), key)
     else:
         d = df.withColumn("_n", F.lit(df.agg(F.max(rn)).first()[0]))
     cut = F.col("_n") - F.ceil(F.col("_n") * test_fraction)
@@ -140,16 +191,25 @@ def ordered_holdout(df: DataFrame, test_fraction: float = 0.2, rn: str = "rn", k
 
 
 # ---------------------------------------------------------- EV1, EV2, EV4
+def accuracy_of(label="label", prediction="prediction") -> Column:
+    """EV1 (classification) as an aggregate expression, e.g. per symbol."""
+    return F.avg((F.col(label) == F.col(prediction)).cast("double"))
+
+
+def r2_of(label="label", prediction="prediction") -> Column:
+    """EV1 (regression), 1 − SS_res/SS_tot, as an aggregate expression; NULL for a constant label."""
+    return 1 - F.try_divide(F.sum(F.pow(F.col(label) - F.col(prediction), 2)), F.var_pop(label) * F.count(F.lit(1)))
+
+
 def accuracy(pred: DataFrame, label="label", prediction="prediction") -> float:
     """EV1 (classification)."""
-    return pred.agg(F.avg((F.col(label) == F.col(prediction)).cast("double"))).first()[0]
+    return pred.agg(accuracy_of(label, prediction)).first()[0]
 
 
 def r2(pred: DataFrame, label="label", prediction="prediction") -> float:
-    """EV1 (regression): 1 − SS_res/SS_tot."""
-    r = pred.agg(F.sum(F.pow(F.col(label) - F.col(prediction), 2)).alias("res"),
-                 F.var_pop(label).alias("v"), F.count(F.lit(1)).alias("n")).first()
-    return 1 - r["res"] / (r["v"] * r["n"]) if r["v"] else float("nan")
+    """EV1 (regression); NaN for a constant label."""
+    value = pred.agg(r2_of(label, prediction)).first()[0]
+    return float("nan") if value is None else value
 
 
 def classification_report(pred: DataFrame, label="label", prediction="prediction") -> DataFrame:
@@ -178,17 +238,20 @@ def predict_with_proba(model, df: DataFrame, prob_col="probability") -> DataFram
 def permutation_importance(model, df: DataFrame, feature_cols: list[str], label="label", seed: int = 42,
                            assembler_out="features", key="rn") -> DataFrame:
     """EV3: accuracy drop when one feature is shuffled — the column is re-paired with
-    another row by a seeded random order (a sort + join on position, no collect)."""
+    another row by a seeded random order (a sort + join on position, no collect).
+    ``key``: the column(s) that order all rows uniquely."""
+    from barloom.plans.frame import sequence
     va = VectorAssembler(inputCols=feature_cols, outputCol=assembler_out)
     base = accuracy(model.transform(va.transform(df)), label)
+    # one numbering in row order and one in a seeded random order serve all features
+    orig = sequence(df.withColumn("_k", F.lit(0)), key="_k", order=(key,) if isinstance(key, str) else tuple(key)).df.drop("blk", "sblk", "_k")
+    orig = reliable_checkpoint(orig)
+    mixed = sequence(orig.select(F.lit(0).alias("_k"), *feature_cols, F.xxhash64(F.lit(seed), "rn").alias("_r"), F.col("rn").alias("_o")),
+                     key="_k", order=("_r", "_o")).df.select("rn", *[F.col(c).alias(f"_x_{c}") for c in feature_cols])
+    both = reliable_checkpoint(orig.join(mixed, "rn"))
     rows = []
-    from barloom.plans.frame import sequence
     for c in feature_cols:
-        perm = df.select(F.lit(0).alias("_k"), F.col(c).alias("_v"), F.rand(seed).alias("_r"))
-        pfr = sequence(perm, key="_k", order=("_r",))
-        orig = sequence(df.withColumn("_k", F.lit(0)), key="_k", order=(key,))
-        shuffled = orig.df.drop(c).join(pfr.df.select("rn", F.col("_v").alias(c)), "rn")
-        acc = accuracy(model.transform(va.transform(shuffled.drop("blk", "sblk", "_k"))), label)
+        acc = accuracy(model.transform(va.transform(both.withColumn(c, F.col(f"_x_{c}")))), label)
         rows.append((c, float(base - acc)))
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
@@ -206,44 +269,50 @@ def random_candidates(param_grid: dict, n_iter: int = 100, seed: int = 42) -> li
     return g if len(g) <= n_iter else rnd.sample(g, n_iter)
 
 
-def cross_validate(make, df: DataFrame, folds: DataFrame, candidates: list[dict], label="label",
-                   metric="accuracy") -> DataFrame:
-    """CV4/CV7: fit each candidate on each fold's train rows, score on its test rows.
-    Returns the CV result table: candidate, params, split scores, mean, std, rank.
-    ``folds`` has (rn, fold, role) rows; ``make(**params)`` builds the estimator."""
+def cross_validate(make, df: DataFrame, n_splits: int, candidates: list[dict], label="label",
+                   metric="accuracy", rn: str = "rn", n_rows: int | None = None) -> DataFrame:
+    """CV4/CV7: fit each candidate on each expanding split's train rows, score on its test rows.
+
+    The splits are ranges of the row number (:func:`fold_bounds`), so train and test
+    rows are plain filters.  Returns the CV result table: candidate, params, split
+    scores, mean, std, rank.  ``make(**params)`` builds the estimator."""
     import time as _t
     score = accuracy if metric == "accuracy" else r2
-    n_folds = folds.agg(F.max("fold")).first()[0] + 1
+    bounds = fold_bounds(n_rows or df.agg(F.max(rn)).first()[0], n_splits)
     rows = []
     for ci, params in enumerate(candidates):
         scores, fit_t, score_t = [], [], []
-        for f in range(n_folds):
-            tr = df.join(folds.where((F.col("fold") == f) & (F.col("role") == "train")).select("rn"), "rn")
-            te = df.join(folds.where((F.col("fold") == f) & (F.col("role") == "test")).select("rn"), "rn")
+        for last_train, last_test in bounds:
             t0 = _t.time()
-            m = make(**params).fit(tr)
+            m = make(**params).fit(df.where(F.col(rn) <= last_train))
             t1 = _t.time()
-            scores.append(score(m.transform(te), label))
+            scores.append(score(m.transform(df.where((F.col(rn) > last_train) & (F.col(rn) <= last_test))), label))
             score_t.append(_t.time() - t1)
             fit_t.append(t1 - t0)
-        mean = sum(scores) / len(scores)
-        std = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
         rows.append((ci, str(params), float(sum(fit_t) / len(fit_t)), float(sum(score_t) / len(score_t)),
-                     [float(s) for s in scores], float(mean), float(std)))
-    spark = df.sparkSession
-    t = spark.createDataFrame(rows, "candidate int, params string, mean_fit_time double, mean_score_time double, "
-                                    "split_test_scores array<double>, mean_test_score double, std_test_score double")
+                     [float(s) for s in scores]))
+    t = df.sparkSession.createDataFrame(rows, "candidate int, params string, mean_fit_time double, mean_score_time double, "
+                                              "split_test_scores array<double>")
+    return summarise_cv(t)
+
+
+def summarise_cv(t: DataFrame) -> DataFrame:
+    """CV7: mean, population standard deviation and rank (1 = best mean) of the split scores."""
+    s = F.col("split_test_scores")
+    t = t.withColumn("mean_test_score", F.aggregate(s, F.lit(0.0), lambda a, x: a + x) / F.size(s))
+    t = t.withColumn("std_test_score", F.sqrt(F.aggregate(
+        s, F.lit(0.0), lambda a, x: a + (x - F.col("mean_test_score")) * (x - F.col("mean_test_score"))) / F.size(s)))
     return t.withColumn("rank_test_score", F.rank().over(Window.orderBy(F.col("mean_test_score").desc())).cast("int"))
 
 
-def successive_halving(make, df: DataFrame, folds: DataFrame, candidates: list[dict], label="label",
+def successive_halving(make, df: DataFrame, n_splits: int, candidates: list[dict], label="label",
                        factor: int = 3, min_fraction: float = 1 / 9, seed: int = 42) -> DataFrame:
     """CV6: rounds on growing seeded row samples; each round keeps the best 1/factor."""
     cur, frac, rnd = list(candidates), min_fraction, 0
     result = None
     while cur:
         sample = df.sample(False, min(frac, 1.0), seed + rnd) if frac < 1 else df
-        res = cross_validate(make, sample, folds, cur, label).withColumn("round", F.lit(rnd))
+        res = cross_validate(make, sample, n_splits, cur, label).withColumn("round", F.lit(rnd))
         result = res if result is None else result.unionByName(res)
         if len(cur) == 1 or frac >= 1:
             break
@@ -254,9 +323,9 @@ def successive_halving(make, df: DataFrame, folds: DataFrame, candidates: list[d
     return result
 
 
-def validation_curve(make, df, folds, param: str, values: list, label="label") -> DataFrame:
+def validation_curve(make, df, n_splits: int, param: str, values: list, label="label") -> DataFrame:
     """CV8: CV score for each value of one parameter."""
-    return cross_validate(make, df, folds, [{param: v} for v in values], label)
+    return cross_validate(make, df, n_splits, [{param: v} for v in values], label)
 
 
 # ---------------------------------------------------------- SEL
@@ -264,10 +333,10 @@ def best_period_by_correlation(df: DataFrame, target: str, candidates: dict, ran
     """SEL1: ``candidates`` = {(indicator, period): column}.  For each indicator and
     period range, the period with the largest |Pearson corr| with the target."""
     keys = [key] if key else []
-    st = df.select(*keys, F.col(target).alias("_t"), F.explode(F.array(*[
-        F.struct(F.lit(ind).alias("indicator"), F.lit(p).alias("period"), F.col(c).cast("double").alias("v"))
-        for (ind, p), c in candidates.items()])).alias("e"))
-    c = st.groupBy(*keys, "e.indicator", "e.period").agg(safe_corr(F.col("_t"), F.col("e.v")).alias("corr"))
+    wide = df.groupBy(*keys).agg(F.array(*[
+        F.struct(F.lit(ind).alias("indicator"), F.lit(p).alias("period"), safe_corr(F.col(target).cast("double"), F.col(c).cast("double")).alias("corr"))
+        for (ind, p), c in candidates.items()]).alias("e"))  # one expression per column: rows are not copied
+    c = wide.select(*keys, F.explode("e").alias("e")).select(*keys, "e.*")
     rng = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in ranges])
     c = c.select("*", F.explode(rng).alias("r")).where((F.col("period") >= F.col("r.lo")) & (F.col("period") < F.col("r.hi")))
     w = Window.partitionBy(*keys, "indicator", "r").orderBy(F.abs("corr").desc(), "period")
@@ -276,17 +345,19 @@ def best_period_by_correlation(df: DataFrame, target: str, candidates: dict, ran
 
 
 def prune_correlated(df: DataFrame, cols: list[str], max_corr: float = 0.95) -> list[str]:
-    """SEL2: pairwise |corr| in one aggregate (k² numbers), then a greedy walk in
-    column order over that small table: drop a column correlated above the limit
-    with one already kept."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    r = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else {}
-    corr = {pairs[i]: r[f"{i}"] for i in range(len(pairs))}
-    kept = []
-    for c in cols:
-        if all(abs(corr.get((k, c)) or 0.0) <= max_corr for k in kept):
-            kept.append(c)
-    return kept
+    """SEL2: the correlation matrix of the assembled columns (rows without NULLs; k² numbers),
+    then a greedy walk in column order: drop a column correlated above the limit with
+    one already kept.  A constant column correlates with nothing."""
+    from pyspark.ml.stat import Correlation
+    rows = df.select(*cols).na.drop("any")
+    if len(cols) < 2 or rows.isEmpty():
+        return list(cols)
+    m = Correlation.corr(VectorAssembler(inputCols=cols, outputCol="_v").transform(rows).select("_v"), "_v").first()[0].toArray()
+    kept: list[int] = []
+    for i in range(len(cols)):
+        if all(not abs(m[i][k]) > max_corr for k in kept):
+            kept.append(i)
+    return [cols[i] for i in kept]
 
 
 def acf_top_lags(fr, x: str, step: int, top: int = 5):
@@ -308,7 +379,7 @@ def acf_top_lags(fr, x: str, step: int, top: int = 5):
     return sorted(acf, key=lambda t: (-abs(t[1]), t[0]))[:top]
 
 
-def rfe_cv(df: DataFrame, feature_cols: list[str], label="label", step: int = 5, folds: DataFrame | None = None,
+def rfe_cv(df: DataFrame, feature_cols: list[str], label="label", step: int = 5, n_splits: int | None = None,
            seed: int = 42, num_trees: int = 20, min_features: int = 1):
     """SEL5: recursive elimination: fit a forest, drop the ``step`` least important
     features, score by CV, keep the best set."""
@@ -318,7 +389,7 @@ def rfe_cv(df: DataFrame, feature_cols: list[str], label="label", step: int = 5,
         data = va.transform(df)
         def make(**p):
             return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed)
-        cv = cross_validate(make, data, folds, [{}], label) if folds is not None else None
+        cv = cross_validate(make, data, n_splits, [{}], label) if n_splits else None
         score = cv.first()["mean_test_score"] if cv is not None else 0.0
         if score > best_score:
             best, best_score = list(cur), score
@@ -342,19 +413,26 @@ def select_by_importance(model, feature_cols: list[str], threshold: float | None
 
 
 def mutual_information(df: DataFrame, feature_cols: list[str], label: str, bins: int = 10) -> DataFrame:
-    """SEL7: binned mutual information of each feature with the label (nats):
-    equal-count bins via ntile per feature, a contingency aggregate, Σ p·ln(p/(p_x·p_y))."""
+    """SEL7: binned mutual information of each feature with the label (nats): equal-count
+    bins of the rows in (value, label) order, a contingency aggregate, Σ p·ln(p/(p_x·p_y)).
+
+    Distinct (feature, value, label) triples are counted first; one that spans
+    several bins is divided among them by its ranks, so a value held by many rows
+    is one row here."""
+    from barloom.plans.frame import sequence
     st = df.select(F.col(label).alias("_y"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in feature_cols])).alias("e"))
-    st = st.where(F.col("e.v").isNotNull()).select("_y", "e.feature", "e.v")
-    from barloom.plans.frame import sequence
-    fr = sequence(st, key="feature", order=("v", "_y"))
-    n = F.max("rn").over(Window.partitionBy("feature"))
-    binned = fr.df.withColumn("_n", n).withColumn("_b", F.floor((F.col("rn") - 1) * bins / F.col("_n")).cast("int"))
-    joint = binned.groupBy("feature", "_b", "_y").agg(F.count(F.lit(1)).alias("nxy"))
-    wf = Window.partitionBy("feature")
-    joint = (joint.withColumn("n", F.sum("nxy").over(wf))
-             .withColumn("nx", F.sum("nxy").over(Window.partitionBy("feature", "_b")))
+    counts = (st.where(F.col("e.v").isNotNull()).groupBy("e.feature", "e.v", "_y").agg(F.count(F.lit(1)).alias("_c")))
+    fr = sequence(counts, key="feature", order=("v", "_y")).cumsum("_cum", F.col("_c"))
+    total = counts.groupBy("feature").agg(F.sum("_c").alias("n"))  # one row per feature
+    r = fr.df.join(F.broadcast(total), "feature").withColumn("_hi", F.round("_cum").cast("long"))
+    r = r.withColumn("_lo", F.col("_hi") - F.col("_c"))  # ranks _lo .. _hi - 1
+    first, last = F.floor(F.col("_lo") * bins / F.col("n")), F.floor((F.col("_hi") - 1) * bins / F.col("n"))
+    r = r.withColumn("_b", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    part = (F.least(F.col("_hi"), F.ceil((F.col("_b") + 1) * F.col("n") / bins))
+            - F.greatest(F.col("_lo"), F.ceil(F.col("_b") * F.col("n") / bins)))
+    joint = r.groupBy("feature", "_b", "_y").agg(F.sum(part).alias("nxy"), F.first("n").alias("n"))  # bins x labels rows per feature
+    joint = (joint.withColumn("nx", F.sum("nxy").over(Window.partitionBy("feature", "_b")))
              .withColumn("ny", F.sum("nxy").over(Window.partitionBy("feature", "_y"))))
     term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
     return joint.groupBy("feature").agg(F.sum(term).alias("mutual_information"))

@@ -16,7 +16,7 @@ from barloom.operators.labels import exact_quantiles
 
 
 def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value) long form of numeric columns."""
+    """(column, value) long form of numeric columns (only to give one sort several columns' quantiles)."""
     return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                          for c in cols])).alias("e")).select("e.*")
 
@@ -167,6 +167,26 @@ def apply_ordinal(df: DataFrame, col: str, cats: DataFrame, unknown: int = -1, o
     return dictionary_lookup(df, col, cats, unknown, out or f"{col}_ord")
 
 
+def fit_one_hot(df: DataFrame, col: str, max_categories: int = 1000) -> list[str]:
+    """Sorted categories for one column each; more than ``max_categories`` raise (use :func:`one_hot_vector`)."""
+    rows = df.select(F.col(col).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().limit(max_categories + 1).collect()
+    if len(rows) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories: use one_hot_vector")
+    return sorted(r["v"] for r in rows)
+
+
+def one_hot_vector(df: DataFrame, col: str, cats: DataFrame, out: str | None = None) -> DataFrame:
+    """TAB8 for any number of categories: MLlib's encoder on the joined dictionary code; unseen values get no entry."""
+    from pyspark.ml.feature import OneHotEncoder
+    size = cats.count()
+    coded = apply_ordinal(df, col, cats, size, "_ohe")  # the code after the last stands for unseen
+    enc = OneHotEncoder(inputCol="_ohe", outputCol=out or f"{col}_vec", dropLast=True, handleInvalid="keep")
+    # sizes come from the dictionary: 0..size, and the last (unseen) is dropped to all zeros
+    known = cats.sparkSession.range(size + 1).select(F.col("id").cast("double").alias("_ohe"))
+    model = enc.setHandleInvalid("error").fit(known)
+    return model.transform(coded.withColumn("_ohe", F.col("_ohe").cast("double"))).drop("_ohe")
+
+
 def apply_one_hot(df: DataFrame, col: str, categories: list[str]) -> DataFrame:
     """TAB8: one 0/1 column per fitted category; unseen values get all zeros."""
     return df.withColumns({f"{col}_{v}": (F.col(col) == F.lit(v)).cast("int") for v in categories})
@@ -217,7 +237,7 @@ class TabularTransformer:
         self.qt_ = fit_quantile_transform(imputed, num) if (self.quantile_output and num) else None
         tq = apply_quantile_transform(imputed, self.qt_, self.quantile_output) if self.qt_ else imputed
         self.sc_ = fit_standard_scaler(tq, num) if (self.scaler and num) else None
-        self.ohe_ = {c: [r["value"] for r in fit_categories(df, c).orderBy("code").collect()] for c in self.ohe}
+        self.ohe_ = {c: fit_one_hot(df, c) for c in self.ohe}
         self.ord_ = {c: fit_categories(df, c).cache() for c in self.ordinal}
         self.lab_ = {c: fit_label_encoder(df, c).cache() for c in self.label}
         self.years_ = {c: fit_year_range(df.withColumn(c, parse_date(c, self.date_format)), c) for c in self.dates}

@@ -40,6 +40,10 @@ VOLUME = ["ADOSC", "MFI"]
 MATH = ["BETA", "CORREL", "LINEARREG", "LINEARREG_ANGLE", "LINEARREG_INTERCEPT", "LINEARREG_SLOPE",
         "STDDEV", "TSF", "VAR"]
 CYCLE = ["HT_TRENDLINE", "HT_TRENDMODE", "HT_DCPERIOD", "HT_DCPHASE", "HT_PHASORinphase", "HT_SINEsine"]
+CYCLE_OUTPUTS = [*CYCLE, "HT_PHASORquadrature", "HT_SINEleadsine"]
+EXTRA = ["MACDHIST", "MACDHISTFIX"]  # live names only
+RSI_BASED, ATR_BASED = {"RSI", "CMO", "STOCHRSI_k"}, {"ATR", "NATR"}
+DI_BASED = {"PLUS_DM", "MINUS_DM", "DX", "ADX", "ADXR"}
 TIME = ["time_hour", "time_minute", "time_day_of_week", "time_day_of_month"]
 
 
@@ -55,8 +59,8 @@ def _rn():
     return F.col("rn")
 
 
-def _finite_stage(w: Win, lags, bases, patterns: bool, pattern_wma: int):
-    """Class-F features for all lags plus recurrence inputs (one halo stage)."""
+def _finite_stage(w: Win, lags, at, patterns: list[str], pattern_wma: int | None):
+    """Class-F features (``at(n)``: the bases wanted at lag n) plus recurrence inputs (one halo stage)."""
     c, h, l, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     pc = w.lag(c, 1)
     up = h - w.lag(h, 1)
@@ -67,9 +71,8 @@ def _finite_stage(w: Win, lags, bases, patterns: bool, pattern_wma: int):
              ("_tr", F.when(pc.isNotNull(), F.greatest(h - l, F.abs(h - pc), F.abs(l - pc)))),
              ("_clvv", sdiv((c - l) - (h - c), h - l) * v)]
     feats = [Feat(steps, 1)]
-    want = set(bases)
     for n in lags:
-        half = int(n / 2)
+        half, want = int(n / 2), at(n)
         if "ROC" in want: feats.append(FI.roc(w, n=n, out=f"ROC_{n}"))
         if "MOM" in want: feats.append(FI.mom(w, n=n, out=f"MOM_{n}"))
         if "APO" in want: feats.append(FI.apo(w, fast=n, slow=2 * n, out=f"APO_{n}"))
@@ -96,12 +99,15 @@ def _finite_stage(w: Win, lags, bases, patterns: bool, pattern_wma: int):
         if "TSF" in want: feats.append(FI.tsf(w, n=n, out=f"TSF_{n}"))
         if "VAR" in want: feats.append(FI.var(w, n=n, out=f"VAR_{n}"))
     if patterns:
-        raw = PT.pattern_feats(w)
-        renamed = [(f"_raw_{n}" if n in PT.ALL_PATTERNS else n, col) for n, col in raw.steps]
+        raw = PT.pattern_feats(w, patterns)
+        if pattern_wma is None:
+            feats.append(raw)
+            return FI.combine(*feats)
+        renamed = [(f"_raw_{n}" if n in patterns else n, col) for n, col in raw.steps]
         feats.append(Feat(renamed, raw.halo))
         p = w.pos
         wm = []
-        for name in PT.ALL_PATTERNS:
+        for name in patterns:
             x = F.col(f"_raw_{name}").cast("double")
             s1 = F.sum(x * p).over(w.w(pattern_wma))
             s0 = F.sum(x).over(w.w(pattern_wma))
@@ -166,7 +172,7 @@ class _Fast:
         return out
 
 
-def _fast_family(w: Win, lags, want, fast: _Fast):
+def _fast_family(w: Win, lags, at, fast: _Fast):
     """Fast forms of the sum/moment/extreme based class-F features of FP1."""
     out = []
     pos = w.pos
@@ -188,6 +194,7 @@ def _fast_family(w: Win, lags, want, fast: _Fast):
         return fast.S(r2, n) / float(n) - m * m
 
     for n in lags:
+        want = at(n)
         if want & {"APO", "PPO"}:
             sf, ss = c0 + mean(Rc, n), c0 + mean(Rc, 2 * n)
             if "APO" in want:
@@ -258,12 +265,10 @@ def _fast_family(w: Win, lags, want, fast: _Fast):
     return out
 
 
-def _finite_stage_fast(w: Win, lags, bases, patterns: bool, pattern_wma: int):
+def _finite_stage_fast(w: Win, lags, at, patterns: list[str], pattern_wma: int | None):
     """Class-F features of FP1 with running-sum / doubling forms where the window
     is long; lag-based and small features use the exact builders."""
-    want = set(bases)
-    base = _finite_stage(w, lags, [b for b in bases if b in {"ROC", "MOM", "CCI", "TRANGE"}],
-                         False, pattern_wma)
+    base = _finite_stage(w, lags, lambda n: at(n) & {"ROC", "MOM", "CCI", "TRANGE"}, [], pattern_wma)
     c, h, l, v = F.col("close"), F.col("high"), F.col("low"), F.col("volume")
     pc = w.lag(c, 1)
     tp = (h + l + c) / 3.0
@@ -274,13 +279,13 @@ def _finite_stage_fast(w: Win, lags, bases, patterns: bool, pattern_wma: int):
     flows = [("_pf", F.when(F.col("_tpf") > w.lag(F.col("_tpf"), 1), F.col("_tpf") * v).otherwise(0.0)),
              ("_nf", F.when(F.col("_tpf") < w.lag(F.col("_tpf"), 1), F.col("_tpf") * v).otherwise(0.0))]
     fast = _Fast(w)
-    res = _fast_family(w, lags, want, fast)
+    res = _fast_family(w, lags, at, fast)
     steps = list(base.steps) + pre + flows + fast.steps() + res
     # stochastic smoothing of the fast %K with running sums (values are 0..100)
     fast2 = _Fast(w)
     sm = []
     for n in lags:
-        half = int(n / 2)
+        half, want = int(n / 2), at(n)
         if want & {"STOCH_slowk", "STOCHF_fastk"}:
             Rk = fast2.R(f"fk{n}", F.col(f"_fk{n}"))
             if "STOCHF_fastk" in want:
@@ -290,18 +295,21 @@ def _finite_stage_fast(w: Win, lags, bases, patterns: bool, pattern_wma: int):
     steps += fast2.steps() + sm
     for n in lags:
         half = int(n / 2)
-        if "STOCH_slowk" in want:
+        if "STOCH_slowk" in at(n):
             # slow %K is reported once slow %D (an SMA of it over ``half`` rows) exists
             steps.append((f"STOCH_{n}slowk", F.when(_rn() > n - 1 + 2 * (half - 1), F.col(f"_sk{n}"))))
-    halo = 3 * max(lags) + 1
+    halo = 3 * max(lags, default=0) + 1
     feats = [Feat(steps, max(halo, base.halo))]
     if patterns:
-        raw = PT.pattern_feats(w)
-        renamed = [(f"_raw_{n}" if n in PT.ALL_PATTERNS else n, col) for n, col in raw.steps]
+        raw = PT.pattern_feats(w, patterns)
+        if pattern_wma is None:
+            feats.append(raw)
+            return FI.combine(*feats)
+        renamed = [(f"_raw_{n}" if n in patterns else n, col) for n, col in raw.steps]
         fp = _Fast(w)
         p = w.pos
         wm = []
-        for name in PT.ALL_PATTERNS:
+        for name in patterns:
             x = F.col(f"_raw_{name}").cast("double")
             R0, R1 = fp.R(f"k0_{name}", x), fp.R(f"k1_{name}", x * p)
             s1, s0 = fp.S(R1, pattern_wma), fp.S(R0, pattern_wma)
@@ -311,34 +319,49 @@ def _finite_stage_fast(w: Win, lags, bases, patterns: bool, pattern_wma: int):
     return FI.combine(*feats)
 
 
-def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool = True, time: bool = True,
-                          cycle: bool = True, pattern_wma: int = 300, dropna: bool = True,
-                          sort: bool = True, fast: bool = True) -> BarFrame:
+def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool | list[str] = True, time: bool | list[str] = True,
+                          cycle: bool | list[str] = True, pattern_wma: int | None = 300, dropna: bool = True,
+                          sort: bool = True, fast: bool = True, pairs: list[tuple[str, int]] | None = None) -> BarFrame:
     """FP1: every batch feature of the reference for ``lags`` (581 columns for the default lags).
 
     ``fast``: long sums/moments/extremes by running sums and doubling tables
     (agree with the sliding-frame builders to ~1e-9 relative); ``False`` uses the
-    exact sliding-frame builders throughout."""
-    bases = list(bases or (VOLUME + MOMENTUM + MATH))
-    want = set(bases)
+    exact sliding-frame builders throughout.  ``pairs`` = [(base, lag)] builds just
+    these instead of all bases at all lags; ``patterns``, ``time`` and ``cycle`` may be
+    lists of names; ``pattern_wma=None`` gives the raw pattern values."""
+    if pairs is None:
+        all_bases = set(bases or (VOLUME + MOMENTUM + MATH))
+        by_lag = {n: all_bases for n in lags}
+    else:
+        by_lag = {}
+        for base, n in pairs:
+            by_lag.setdefault(n, set()).add(base)
+        lags = sorted(by_lag)
+    want = set().union(*by_lag.values()) if by_lag else set()
+
+    def at(n: int) -> set[str]:
+        return by_lag[n]
+
+    names = PT.ALL_PATTERNS if patterns is True else list(patterns or [])
     w = Win(fr.key, fr.block)
     stage = _finite_stage_fast if fast else _finite_stage
-    fr = fr.add(stage(w, lags, bases, patterns, pattern_wma))
+    fr = fr.add(stage(w, lags, at, names, pattern_wma))
     if cycle:
-        from barloom.operators.grouped import cycle_indicators
+        from barloom.operators.grouped import CYCLE as CYCLE_RAW, cycle_indicators
         fr = cycle_indicators(fr)
-        fr = fr.with_df(fr.df.withColumnsRenamed({"HT_PHASOR_inphase": "HT_PHASORinphase", "HT_SINE_sine": "HT_SINEsine"})
-                        .drop("HT_PHASOR_quadrature", "HT_SINE_leadsine", "MAMA_mama", "MAMA_fama"))
+        keep_ht = CYCLE if cycle is True else cycle
+        df = fr.df.withColumnsRenamed({c: c.replace("HT_PHASOR_", "HT_PHASOR").replace("HT_SINE_", "HT_SINE") for c in CYCLE_RAW})
+        fr = fr.with_df(df.drop(*[c for c in (*CYCLE_OUTPUTS, "MAMA_mama", "MAMA_fama") if c not in keep_ht]))
     if time:
-        fr = fr.with_columns(**TF.time_features(fr.order[0]))
+        fields = TF.time_features(fr.order[0])
+        fr = fr.with_columns(**{k: v for k, v in fields.items() if time is True or k in time})
 
     # ---- stage 2: first-level recurrences for all lags in one pass
     from barloom.functions.recurrent import smooth_many, _ema_spec, _wmean_spec, _wsum_spec
-    specs = []
-    need_rsi = want & {"RSI", "CMO", "STOCHRSI_k"}
-    need_di = want & {"PLUS_DM", "MINUS_DM", "DX", "ADX", "ADXR"}
-    need_atr = want & {"ATR", "NATR"}
+    specs, everything = [], want
     for n in lags:
+        want = at(n)
+        need_rsi, need_di, need_atr = want & RSI_BASED, want & DI_BASED, want & ATR_BASED
         if need_rsi:
             specs += [_wmean_spec(f"_ag{n}", "_g", n, 2), _wmean_spec(f"_al{n}", "_l", n, 2)]
         if need_di:
@@ -346,12 +369,13 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
                       _wsum_spec(f"_stt{n}", "_tr", n, 2)]
         if need_atr:
             specs.append(_wmean_spec(f"_atr{n}", "_tr", n, 2))
-        if "MACDSIGNAL" in want:
+        if want & {"MACDSIGNAL", "MACDHIST"}:
             f, s = n, 2 * n
             af, as_ = 2.0 / (f + 1), 2.0 / (s + 1)
             specs += [(f"_mes{n}", F.col("close"), 1, s, 1.0 - as_, 1.0 / s, as_),
                       (f"_mef{n}", F.col("close"), s - f + 1, f, 1.0 - af, 1.0 / f, af)]
-    if "MACDSIGNALFIX" in want:
+    want = everything
+    if want & {"MACDSIGNALFIX", "MACDHISTFIX"}:
         specs += [("_mxs", F.col("close"), 1, 26, 1.0 - 0.075, 1.0 / 26, 0.075),
                   ("_mxf", F.col("close"), 15, 12, 1.0 - 0.15, 1.0 / 12, 0.15)]
     if "ADOSC" in want:
@@ -362,7 +386,8 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
     # ---- stage 3: values on the first-level recurrences
     steps = []
     for n in lags:
-        g = _rn() > n
+        want, g = at(n), _rn() > n
+        need_rsi, need_di, need_atr = want & RSI_BASED, want & DI_BASED, want & ATR_BASED
         if need_rsi:
             ag, al = F.col(f"_ag{n}"), F.col(f"_al{n}")
             steps.append((f"_rsi{n}", F.when(ag.isNotNull(), sdiv(ag * 100.0, ag + al))))
@@ -388,27 +413,30 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
                 steps.append((f"ATR_{n}", F.col(f"_atr{n}")))
             if "NATR" in want:
                 steps.append((f"NATR_{n}", sdiv(F.col(f"_atr{n}") * 100.0, F.col("close"))))
-        if "MACDSIGNAL" in want:
+        if want & {"MACDSIGNAL", "MACDHIST"}:
             steps.append((f"_mm{n}", F.col(f"_mef{n}") - F.col(f"_mes{n}")))
-    if "MACDSIGNALFIX" in want:
+    want = everything
+    if want & {"MACDSIGNALFIX", "MACDHISTFIX"}:
         steps.append(("_mmx", F.col("_mxf") - F.col("_mxs")))
     if steps:
         fr = fr.add(Feat(steps, 2 if "STOCHRSI_k" in want else 0))
 
     # ---- stage 4: DX repeats its previous value when the denominator is 0
-    if need_di:
-        fr = fr.ffill_many({f"_dxf{n}": F.col(f"_dxr{n}") for n in lags})
+    di_lags = [n for n in lags if at(n) & DI_BASED]
+    if di_lags:
+        fr = fr.ffill_many({f"_dxf{n}": F.col(f"_dxr{n}") for n in di_lags})
         fr = fr.with_columns(**{f"_dx{n}": F.when(_rn() > n, F.coalesce(F.col(f"_dxf{n}"), F.lit(0.0)))
-                                for n in lags})
+                                for n in di_lags})
 
     # ---- stage 5: second-level recurrences
     specs = []
     for n in lags:
+        want = at(n)
         if want & {"ADX", "ADXR"}:
             specs.append(_wmean_spec(f"_adx{n}", f"_dx{n}", n, n + 1))
-        if "MACDSIGNAL" in want:
+        if want & {"MACDSIGNAL", "MACDHIST"}:
             specs.append(_ema_spec(f"_msg{n}", f"_mm{n}", int(n / 2), start=2 * n))
-        if "MACDSIGNALFIX" in want:
+        if want & {"MACDSIGNALFIX", "MACDHISTFIX"}:
             specs.append(_ema_spec(f"_mxg{n}", "_mmx", n, start=26))
         if "ADOSC" in want:
             fa, sa = 2.0 / (n + 1), 2.0 / (3 * n + 1)
@@ -420,6 +448,7 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
     # ---- stage 6: final columns
     steps, halo = [], 0
     for n in lags:
+        want = at(n)
         if "DX" in want:
             steps.append((f"DX_{n}", F.col(f"_dx{n}")))
         if "ADX" in want:
@@ -431,6 +460,10 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
             steps.append((f"MACDSIGNAL_{n}", F.when(_rn() >= 2 * n + int(n / 2) - 1, F.col(f"_msg{n}"))))
         if "MACDSIGNALFIX" in want:
             steps.append((f"MACDSIGNALFIX_{n}", F.when(_rn() >= 26 + n - 1, F.col(f"_mxg{n}"))))
+        if "MACDHIST" in want:
+            steps.append((f"MACDHIST_{n}", F.when(_rn() >= 2 * n + int(n / 2) - 1, F.col(f"_mm{n}") - F.col(f"_msg{n}"))))
+        if "MACDHISTFIX" in want:
+            steps.append((f"MACDHISTFIX_{n}", F.when(_rn() >= 26 + n - 1, F.col("_mmx") - F.col(f"_mxg{n}"))))
         if "ADOSC" in want:
             steps.append((f"ADOSC_{n}", F.when(_rn() > 3 * n - 1, F.col(f"_aof{n}") - F.col(f"_aos{n}"))))
     if steps:
@@ -439,55 +472,61 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool =
     keep = [fr.key, *fr.order, "rn", "blk", "sblk", "open", "high", "low", "close", "volume"]
     feats = [c for c in fr.df.columns if not c.startswith("_") and c not in keep
              and not re.fullmatch(r"(o|c|h|l|bd|us|ls|rg|ab|ar|as|ar5)\d", c)]
-    df = fr.df.select(*[c for c in keep if c in fr.df.columns], *feats)
+    carried = [c for c in fr.df.columns if c.startswith("_kept_") or c in ("_old", "_last_old")]  # of a resumed frame
+    df = fr.df.select(*[c for c in keep if c in fr.df.columns], *feats, *carried)
     if dropna:
         df = df.na.drop("any", subset=feats)
     if sort:
-        df = df.select(*[c for c in keep if c in df.columns], *sorted(feats))
+        df = df.select(*[c for c in keep if c in df.columns], *sorted(feats), *carried)
     return fr.with_df(df)
 
 
 # ------------------------------------------------------------------ FP2 / FP3
-NAME_RE = re.compile(r"^(?:(\d+)_)?([A-Za-z0-9_]+?)(?:_(\d+))?([a-z]+)?$")
+NAME_RE = re.compile(r"(?:(\d+)_)?(\w+?)")
+LAGGED_RE = re.compile(r"([A-Z_]+?)_(\d+)(slowk|fastk|k)?")
 
 
-def parse_feature_names(text: str) -> list[tuple[int | None, str, int | None, str | None]]:
-    """FP2: ``idx_NAME_lag`` entries (comma or newline separated) → (idx, NAME, lag, output)."""
-    out = []
-    for tok in re.split(r"[,\n]+", text):
-        tok = tok.strip()
-        if not tok:
-            continue
-        m = NAME_RE.match(tok)
+def parse_feature_names(text: str) -> list[str]:
+    """FP2: ``idx_NAME`` entries (comma or newline separated) → column names in the order of idx.
+
+    Without indexes the order is that of the list.  Repeated or mixed indexes raise."""
+    found = []
+    for tok in filter(None, (t.strip() for t in re.split(r"[,\n]+", text))):
+        m = NAME_RE.fullmatch(tok)
         if not m:
             raise ValueError(f"bad feature name {tok!r}")
-        idx, name, lag, sub = m.groups()
-        out.append((int(idx) if idx else None, name, int(lag) if lag else None, sub))
-    return out
-
-
-def plan_for_names(names) -> tuple[list[int], list[str], bool, bool]:
-    """FP3: parameter rules per name → (lags, bases, patterns?, time?) for :func:`generate_all_features`."""
-    lags, bases = set(), set()
-    patterns = time = False
-    for _, name, lag, sub in names:
-        if name.startswith("CDL"):
-            patterns = True
-            continue
-        if name.startswith("TIME") or name.startswith("time"):
-            time = True
-            continue
-        base = {"STOCH": "STOCH_slowk", "STOCHF": "STOCHF_fastk", "STOCHRSI": "STOCHRSI_k"}.get(name, name)
-        bases.add(base)
-        if lag:
-            lags.add(lag)
-    return sorted(lags), sorted(bases), patterns, time
-
-
-def features_for_names(fr: BarFrame, text: str, **kw) -> BarFrame:
-    """Build only the features named in ``text`` (the live list written at training time)."""
-    lags, bases, patterns, time = plan_for_names(parse_feature_names(text))
-    return generate_all_features(fr, lags or LAGS[:1], bases, patterns=patterns, time=time, **kw)
-
-
-_ = pct
+        found.append((int(m[1]) if m[1] else None, m[2]))
+    idx = [i for i, _ in found if i is not None]
+    if len(idx) not in (0, len(found)) or len(set(idx)) != len(idx):
+        raise ValueError("feature indexes must be given for all names or none, each once")
+    return [n for _, n in sorted(found, key=lambda f: f[0] or 0)]
+
+
+def plan_for_names(names: list[str]) -> dict:
+    """FP3: what :func:`generate_all_features` must build for these columns; unknown names raise."""
+    plan = {"pairs": [], "patterns": [], "time": [], "cycle": []}
+    for name in names:
+        if name in PT.ALL_PATTERNS:
+            plan["patterns"].append(name)
+        elif name in TIME:
+            plan["time"].append(name)
+        elif name in CYCLE_OUTPUTS:
+            plan["cycle"].append(name)
+        else:
+            m = LAGGED_RE.fullmatch(name)
+            base = f"{m[1]}_{m[3]}" if m and m[3] else m[1] if m else None
+            if base not in VOLUME + MOMENTUM + MATH + EXTRA or int(m[2]) < 2:
+                raise ValueError(f"unknown feature {name!r}")
+            plan["pairs"].append((base, int(m[2])))
+    return plan
+
+
+def features_for_names(fr: BarFrame, text: str, pattern_wma: int | None = 300, dropna: bool = True) -> BarFrame:
+    """Exactly the features named in ``text`` (the list written at training time), in its order.
+
+    ``pattern_wma=None`` feeds the raw pattern values, as the live path does."""
+    names = parse_feature_names(text)
+    given = [c for c in fr.df.columns]
+    out = generate_all_features(fr, pattern_wma=pattern_wma, dropna=False, sort=False, **plan_for_names(names))
+    df = out.df.select(*[c for c in given if c in out.df.columns], *dict.fromkeys(names))
+    return out.with_df(df.na.drop("any", subset=names) if dropna else df)

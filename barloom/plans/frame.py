@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 
 from barloom.session import default_parallelism, reliable_checkpoint, shuffle_partitions
 
-# Broadcast the per-block tables only below this many rows (checked from frame stats).
-BROADCAST_ROWS = 2_000_000
+# Broadcast a per-block table only below this many bytes (rows from the frame's stats x columns).
+BROADCAST_BYTES = 32 << 20
 # Scan block: in-block weights exp(-S) must stay inside double range: |S| <= 600.
 MAX_LOG_SPAN = 600.0
-CARRY_EPS = 1e-18
+# Blocks whose carries are folded in one row; longer series fold groups of blocks first.
+CARRY_GROUP = 1024
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,8 @@ class BarFrame:
     scan_block: int = 512             # rows per scan block (power of two, divides block)
     stats: Stats | None = None
     depth: int = 0                    # scan stages since the frame was last materialised
+    reach: int = 0                    # earlier rows that all finite stages so far read together
+    resume: bool = False              # rows flagged ``_old`` carry results of earlier scans, see :meth:`resumed`
 
     # ------------------------------------------------------------------ basics
     @property
@@ -74,18 +77,47 @@ class BarFrame:
             return self.df
         return self.df.drop("blk", "sblk")
 
-    def _small_join(self, big: DataFrame, small: DataFrame, on: list[str], est_rows: int,
-                    how: str = "left") -> DataFrame:
-        """Join a per-block table back; broadcast only when its row count is bounded."""
-        if est_rows <= BROADCAST_ROWS:
-            small = F.broadcast(small)
+    def _small_join(self, big: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+        """Join a per-block table back; broadcast only when its bytes are bounded
+        (same rows either way)."""
+        s = self.stats
+        if s is not None:
+            rows = s.n_rows // self.scan_block + s.n_keys + 1
+            if rows * 16 * (len(small.columns) + 2) <= BROADCAST_BYTES:
+                small = F.broadcast(small)
         return big.join(small, on=on, how=how)
 
-    def _est_scan_blocks(self) -> int:
-        s = self.stats
-        if s is None:
-            return BROADCAST_ROWS + 1
-        return s.n_rows // self.scan_block + s.n_keys + 1
+    def _carries(self, tbl: DataFrame, fold: Callable, zero: Column, value: str) -> DataFrame:
+        """(key, sblk, carry): the fold of ``value`` over all earlier blocks of a key.
+
+        ``fold(acc, value)`` must be associative in the sense that folding a group's
+        total equals folding its blocks.  A row holds at most ``CARRY_GROUP``
+        blocks: groups are totalled first, their totals carried the same way, and
+        each group's blocks start from its carry, so no task holds a long series.
+        """
+        key = self.key
+        blocks = (self.stats.max_rows if self.stats else 1 << 62) // self.scan_block + 2
+
+        def level(rows: DataFrame, idx: str, n_blocks: int) -> DataFrame:
+            """rows (key, idx, v) to (key, idx, carry)."""
+            many = n_blocks > CARRY_GROUP
+            group = F.floor(F.col(idx) / CARRY_GROUP).cast("long") if many else F.lit(0).cast("long")
+            packed = (rows.groupBy(key, group.alias("_g"))
+                      .agg(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col("v").alias("v")))).alias("_b")))
+            if many:
+                total = F.aggregate("_b", zero, lambda acc, e: fold(acc, e["v"]))
+                up = level(packed.select(key, "_g", total.alias("v")), "_g", -(-n_blocks // CARRY_GROUP) + 1)
+                packed = packed.join(up.withColumnRenamed("carry", "_s"), [key, "_g"])
+            else:
+                packed = packed.withColumn("_s", zero)
+            run = F.aggregate(
+                "_b", F.struct(F.col("_s").alias("c"), F.slice(F.array(F.struct(F.lit(0).cast("long").alias("i"), F.col("_s").alias("c"))), 1, 0).alias("out")),
+                lambda acc, e: F.struct(fold(acc["c"], e["v"]).alias("c"),
+                                        F.concat(acc["out"], F.array(F.struct(e["i"].alias("i"), acc["c"].alias("c")))).alias("out")))
+            return packed.select(key, F.explode(run["out"]).alias("o")).select(
+                key, F.col("o.i").alias(idx), F.col("o.c").alias("carry"))
+
+        return level(tbl.select(key, "sblk", F.col(value).alias("v")), "sblk", blocks)
 
     # ----------------------------------------------------------- finite windows
     def finite(self, steps: Sequence[tuple[str, Column]], halo: int, ahead: int = 0) -> "BarFrame":
@@ -111,7 +143,7 @@ class BarFrame:
             ex = ex.where(F.col("_tb") == F.col("blk"))
         # keep the (key, block) clustering visible to the planner: rename, do not recompute
         out = ex.drop("blk").withColumnRenamed("_tb", "blk")
-        return self.with_df(out.select(*[c for c in df.columns], *[c for c in out.columns if c not in df.columns]))
+        return replace(self, reach=self.reach + int(halo), df=out.select(*[c for c in df.columns], *[c for c in out.columns if c not in df.columns]))
 
     def add(self, *feats) -> "BarFrame":
         """Add finite features (objects with ``steps``, ``halo``, ``ahead``) in one stage."""
@@ -134,6 +166,28 @@ class BarFrame:
         return self.with_df(self.df.withColumns(cols))
 
     # ------------------------------------------------------------- linear scan
+    def resumed(self) -> "BarFrame":
+        """A frame that goes on where an earlier one ended.
+
+        Rows flagged ``_old`` were seen before; ``_last_old`` flags the last of them per
+        key.  Every scan keeps its result in a column ``_kept_<name>``; where the
+        old rows bring that column, the scan starts from its value on the last old
+        row and old rows keep theirs.  Finite windows need ``reach`` old rows."""
+        return replace(self, resume=True)
+
+    def _start_from_kept(self, df: DataFrame, out: str, x: Column, rest: Column) -> Column:
+        kept = f"_kept_{out}"
+        if not self.resume or kept not in df.columns:
+            return x
+        return F.when(F.col("_last_old"), F.col(kept)).when(F.col("_old"), rest).otherwise(x)
+
+    def _keep(self, df: DataFrame, outs: list[str]) -> DataFrame:
+        if not self.resume:
+            return df
+        have = [o for o in outs if f"_kept_{o}" in df.columns]
+        df = df.withColumns({o: F.when(F.col("_old"), F.col(f"_kept_{o}")).otherwise(F.col(o)) for o in have})
+        return df.withColumns({f"_kept_{o}": F.col(o) for o in outs})
+
     def _stage_input(self) -> DataFrame:
         """Input of a scan stage.  A stage reads its input twice (window pass and
         per-block table), so after an earlier stage the frame is written to the
@@ -143,93 +197,70 @@ class BarFrame:
             return reliable_checkpoint(self.df)
         return self.df
 
-    def scan(self, out: str, x: Column, d, d_min: float | None = None, d_max: float | None = None,
-             unit_rows: int = 0, d_from: int | None = None) -> "BarFrame":
+    def scan(self, out: str, x: Column, d, d_min: float | None = None, d_from: int | None = None) -> "BarFrame":
         """``out = y`` with ``y_t = d_t * y_{t-1} + x_t`` and ``y = 0`` before the first row.
 
-        ``d`` is a float or a Column in (0, 1]; ``d_min``/``d_max`` bound a
-        varying ``d``; ``unit_rows`` bounds the number of rows where ``d = 1``
-        when ``d_max < 1`` otherwise (seed phases).  With a float ``d`` and
-        ``d_from``, ``d = 1`` for ``rn < d_from`` (closed form, no extra pass).
-        NULL ``x`` counts as 0.
+        ``d`` is a float in [0, 1] or a Column in (0, 1] that never falls below
+        ``d_min``.  With a float ``d`` and ``d_from``, ``d = 1`` for ``rn < d_from``
+        (closed form, no extra pass).  NULL ``x`` counts as 0; the smoothers of
+        :mod:`barloom.functions.recurrent` reject NULLs inside a series.
         """
-        return self.scan_many([dict(out=out, x=x, d=d, d_min=d_min, d_max=d_max,
-                                    unit_rows=unit_rows, d_from=d_from)])
+        return self.scan_many([dict(out=out, x=x, d=d, d_min=d_min, d_from=d_from)])
 
     def scan_many(self, specs: list[dict]) -> "BarFrame":
         """Several independent scans (see :meth:`scan`) in one pass: one window
         node, one per-block aggregate, one carry fold and one join."""
-        key = self.key
-        Ls = self.scan_block
+        key, Ls = self.key, self.scan_block
         df = self._stage_input()
-        ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
-        run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wt_all = Window.partitionBy(key).orderBy("sblk")
+        run = Window.partitionBy(key, "blk", "sblk").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         pos = (F.col("rn") - F.lit(1)) % F.lit(Ls)  # position inside the scan block
-        aggs, carries, finals, tmp = [], [], [], []
-        phase_s, phase_s_win, phase_xe, phase_u = {}, {}, {}, {}
+        # d = 0 keeps no memory: y is the input (before ``d_from`` at most the seed row is not 0)
+        direct = {sp["out"]: F.coalesce(sp["x"].cast("double"), F.lit(0.0)) for sp in specs
+                  if not isinstance(sp["d"], Column) and float(sp["d"]) == 0.0}
+        specs = [sp for sp in specs if sp["out"] not in direct]
+        if direct:
+            df = df.withColumns(direct)
+        if not specs:
+            return replace(self, df=df)
+        aggs, maps, finals, tmp = [], [], {}, []
+        logs, log_windows, scaled, sums = {}, {}, {}, {}
         for i, sp in enumerate(specs):
-            out, x, d = sp["out"], sp["x"], sp["d"]
-            d_min, d_max = sp.get("d_min"), sp.get("d_max")
-            unit_rows, d_from = sp.get("unit_rows", 0) or 0, sp.get("d_from")
+            out, d, d_from = sp["out"], sp["d"], sp.get("d_from")
             const = not isinstance(d, Column)
-            if const:
-                d = float(d)
-                d_min = d_max = d
-                if d_from is not None and d_from > 1:
-                    unit_rows = max(unit_rows, int(d_from) - 1)
-            if d_min is None or d_max is None:
-                raise ValueError("varying d needs d_min and d_max")
-            if d_min <= 0.0:
-                raise ValueError("d must be > 0; use the input itself for d = 0")
-            if Ls * abs(math.log(d_min)) > MAX_LOG_SPAN:
-                raise ValueError(f"decay {d_min} too fast for scan block {Ls}")
-            xv = F.coalesce(x.cast("double"), F.lit(0.0))
+            low = float(d) if const else sp.get("d_min")
+            if low is None or low <= 0.0:
+                raise ValueError("a varying d needs a d_min above 0")
+            if Ls * abs(math.log(low)) > MAX_LOG_SPAN:
+                raise ValueError(f"decay {low} too fast for scan block {Ls}")
+            x = F.coalesce(self._start_from_kept(df, out, sp["x"].cast("double"), F.lit(0.0)), F.lit(0.0))
             S, xe, u, C = (f"_s{i}_{n}" for n in ("S", "xe", "u", "C"))
             tmp += [S, xe, u, C]
-            if const and d == 1.0:
-                phase_s[S] = F.lit(0.0)
-                phase_xe[xe] = xv
+            if not const:
+                log_windows[S] = F.sum(F.log(d.cast("double"))).over(run)
+            elif d == 1.0:
+                logs[S] = F.lit(0.0)
+            elif d_from is not None and d_from > 1:
+                first = F.greatest(F.col("rn") - pos, F.lit(int(d_from)).cast("long"))
+                logs[S] = F.greatest(F.lit(0).cast("long"), F.col("rn") - first + 1).cast("double") * F.lit(math.log(d))
             else:
-                if const:
-                    lnd = math.log(d)
-                    if d_from is not None and d_from > 1:
-                        bstart = F.col("rn") - pos
-                        cnt = F.greatest(F.lit(0).cast("long"),
-                                         F.col("rn") - F.greatest(bstart, F.lit(int(d_from)).cast("long")) + 1)
-                        phase_s[S] = cnt.cast("double") * F.lit(lnd)
-                    else:
-                        phase_s[S] = (pos + F.lit(1)).cast("double") * F.lit(lnd)
-                else:
-                    phase_s_win[S] = F.sum(F.log(d.cast("double"))).over(run)
-                phase_xe[xe] = xv * F.exp(-F.col(S))
-            phase_u[u] = F.sum(F.col(xe)).over(run)
-            # per scan block: B = y at its end given zero carry, D = product of d over it
+                logs[S] = (pos + F.lit(1)).cast("double") * F.lit(math.log(d))
+            scaled[xe] = x * F.exp(-F.col(S))
+            sums[u] = F.sum(F.col(xe)).over(run)
+            # per scan block: its map of the carry, y_end = D * carry + B
             aggs += [F.sum(F.col(xe)).alias(f"_a{i}u"), F.min(F.col(S)).alias(f"_a{i}S")]
-            Dmax = d_max ** Ls if d_max < 1.0 else 1.0
-            if Dmax >= 1.0:
-                m = None
-            elif Dmax < 1e-300:
-                m = 1 + int(math.ceil(unit_rows / Ls)) + 1
-            else:
-                m = int(math.ceil(math.log(CARRY_EPS) / math.log(Dmax))) + 2 + int(math.ceil(unit_rows / Ls))
-            Bc = F.exp(F.col(f"_a{i}S")) * F.col(f"_a{i}u")
-            Dc = F.exp(F.col(f"_a{i}S"))
-            if const and d == 1.0:
-                carry = F.sum(Bc).over(wt_all.rowsBetween(Window.unboundedPreceding, -1))
-            else:
-                lo = Window.unboundedPreceding if m is None else -m
-                hist = F.collect_list(F.struct(Bc.alias("b"), Dc.alias("d"))).over(wt_all.rowsBetween(lo, -1))
-                carry = F.aggregate(hist, F.lit(0.0), lambda acc, e: acc * e["d"] + e["b"])
-            carries.append(carry.alias(C))
-            finals.append((out, F.exp(F.col(S)) * (F.col(u) + F.coalesce(F.col(C), F.lit(0.0)))))
-        for phase in (phase_s, phase_s_win, phase_xe, phase_u):
+            D = F.exp(F.col(f"_a{i}S"))
+            maps.append(F.struct((D * F.col(f"_a{i}u")).alias("b"), D.alias("d")))
+            finals[out] = F.exp(F.col(S)) * (F.col(u) + F.coalesce(F.col(C), F.lit(0.0)))
+        for phase in (logs, log_windows, scaled, sums):
             if phase:
                 df = df.withColumns(phase)
-        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", *carries)
-        df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-        df = df.withColumns(dict(finals))
-        return replace(self, df=df.drop(*tmp), depth=self.depth + 1)
+        none = F.array(*[F.struct(F.lit(0.0).alias("b"), F.lit(1.0).alias("d")) for _ in specs])
+        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", F.array(*maps).alias("_v"))
+        carry = self._carries(tbl, lambda acc, v: F.zip_with(acc, v, lambda p, q: F.struct(
+            (p["b"] * q["d"] + q["b"]).alias("b"), (p["d"] * q["d"]).alias("d"))), none, "_v")
+        tbl = carry.select(key, "sblk", *[F.col("carry")[i]["b"].alias(f"_s{i}_C") for i in range(len(specs))])
+        df = self._small_join(df, tbl, [key, "sblk"]).withColumns(finals)
+        return replace(self, df=self._keep(df.drop(*tmp), list(finals)), depth=self.depth + 1)
 
     def cumsum(self, out: str, x: Column) -> "BarFrame":
         """Running sum from the first row of the key (class C)."""
@@ -238,91 +269,82 @@ class BarFrame:
     # ----------------------------------------------------- fill / running extrema
     def ffill(self, out: str, x: Column) -> "BarFrame":
         """Last non-null value of ``x`` up to each row (forward fill), block-wise."""
-        return self._assoc(out, x, "last")
+        return self._assoc_many([(out, x, "last")])
 
     def running(self, out: str, x: Column, how: str = "max") -> "BarFrame":
         """Running max/min of ``x`` from the first row of the key."""
-        return self._assoc(out, x, how)
+        return self._assoc_many([(out, x, how)])
 
     def ffill_many(self, cols: dict) -> "BarFrame":
         """Several forward fills ({out: column}) in one pass."""
         return self._assoc_many([(o, x, "last") for o, x in cols.items()])
 
     def _assoc_many(self, specs) -> "BarFrame":
+        """Running ``last`` (non-null), ``max`` or ``min``: in-block windows, and the carry of earlier blocks."""
         key = self.key
         df = self._stage_input()
-        ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
-        run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(Window.unboundedPreceding, -1)
-        aggs, carries, finals, tmp = [], [], [], []
-        df = df.withColumns({f"_f{i}x": x for i, (_, x, _) in enumerate(specs)})
-        inner = {}
-        for i, (out, x, how) in enumerate(specs):
-            xi, inn, v, c = f"_f{i}x", f"_f{i}in", f"_f{i}v", f"_f{i}c"
+        run = Window.partitionBy(key, "blk", "sblk").orderBy("rn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        merge = {"last": lambda old, new: F.coalesce(new, old), "max": lambda old, new: F.greatest(old, new),
+                 "min": lambda old, new: F.least(old, new)}
+        df = df.withColumns({f"_f{i}x": self._start_from_kept(df, out, x, F.lit(None)) for i, (out, x, _) in enumerate(specs)})
+        inner, aggs, finals, tmp = {}, [], {}, []
+        for i, (out, _, how) in enumerate(specs):
+            xi, inn, c = f"_f{i}x", f"_f{i}in", f"_f{i}c"
             tmp += [xi, inn, c]
             if how == "last":
                 inner[inn] = F.last(xi, ignorenulls=True).over(run)
-                aggs.append(F.max_by(xi, F.when(F.col(xi).isNotNull(), F.col("rn"))).alias(v))
-                carries.append(F.last(v, ignorenulls=True).over(wt).alias(c))
-                finals.append((out, F.coalesce(F.col(inn), F.col(c))))
-            else:
+                aggs.append(F.max_by(xi, F.when(F.col(xi).isNotNull(), F.col("rn"))).alias(f"_f{i}v"))
+            elif how in ("max", "min"):
                 agg = F.max if how == "max" else F.min
-                comb = F.greatest if how == "max" else F.least
                 inner[inn] = agg(xi).over(run)
-                aggs.append(agg(xi).alias(v))
-                carries.append(agg(v).over(wt).alias(c))
-                finals.append((out, comb(F.col(inn), F.col(c))))
+                aggs.append(agg(xi).alias(f"_f{i}v"))
+            else:
+                raise ValueError(how)
+            finals[out] = merge[how](F.col(c), F.col(inn))
         df = df.withColumns(inner)
-        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs).select(key, "sblk", *carries)
-        df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-        df = df.withColumns(dict(finals))
-        return replace(self, df=df.drop(*tmp), depth=self.depth + 1)
-
-    def _assoc(self, out: str, x: Column, how: str) -> "BarFrame":
-        key = self.key
-        df = self._stage_input().withColumn("_x", x)
-        ob = Window.partitionBy(key, "blk", "sblk").orderBy("rn")
-        run = ob.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wt = Window.partitionBy(key).orderBy("sblk").rowsBetween(Window.unboundedPreceding, -1)
-        if how == "last":
-            df = df.withColumn("_in", F.last("_x", ignorenulls=True).over(run))
-            tbl = df.groupBy(key, "blk", "sblk").agg(
-                F.max_by("_x", F.when(F.col("_x").isNotNull(), F.col("rn"))).alias("_v"))
-            tbl = tbl.select(key, "sblk", F.last("_v", ignorenulls=True).over(wt).alias("_c"))
-            res = F.coalesce(F.col("_in"), F.col("_c"))
-        elif how in ("max", "min"):
-            agg = F.max if how == "max" else F.min
-            comb = F.greatest if how == "max" else F.least
-            df = df.withColumn("_in", agg("_x").over(run))
-            tbl = df.groupBy(key, "blk", "sblk").agg(agg("_x").alias("_v"))
-            tbl = tbl.select(key, "sblk", agg("_v").over(wt).alias("_c"))
-            res = comb(F.col("_in"), F.col("_c"))
-        else:
-            raise ValueError(how)
-        df = self._small_join(df, tbl, [key, "sblk"], self._est_scan_blocks())
-        df = df.withColumn(out, res).drop("_x", "_in", "_c")
-        return replace(self, df=df, depth=self.depth + 1)
+        tbl = df.groupBy(key, "blk", "sblk").agg(*aggs)
+        kinds = {f.name: f.dataType for f in tbl.schema}
+        names = [f"_f{i}v" for i in range(len(specs))]
+        tbl = tbl.select(key, "sblk", F.struct(*names).alias("_v"))
+        none = F.struct(*[F.lit(None).cast(kinds[n]).alias(n) for n in names])
+        carry = self._carries(tbl, lambda acc, v: F.struct(*[
+            merge[how](acc[n], v[n]).alias(n) for n, (_, _, how) in zip(names, specs)]), none, "_v")
+        tbl = carry.select(key, "sblk", *[F.col("carry")[n].alias(f"_f{i}c") for i, n in enumerate(names)])
+        df = self._small_join(df, tbl, [key, "sblk"]).withColumns(finals)
+        return replace(self, df=self._keep(df.drop(*tmp), list(finals)), depth=self.depth + 1)
 
     # ------------------------------------------------------------------ slicing
     def between(self, start=None, end=None) -> DataFrame:
-        """Cut to [start, end] after features were built on the full history."""
-        df = self.df
-        if start is not None:
-            df = df.where(F.col(self.order[0]) >= F.lit(start).cast("timestamp_ntz"))
-        if end is not None:
-            df = df.where(F.col(self.order[0]) <= F.lit(end).cast("timestamp_ntz"))
-        return df
+        """Cut to [start, end] after the features were built; an ``end`` without a
+        time of day keeps that whole day.  Scans that should not read all history
+        are cut before, see :func:`barloom.sources.tables.read_range`."""
+        return cut_range(self.df, self.order[0], start, end)
+
+
+def cut_range(df: DataFrame, ts: str, start=None, end=None) -> DataFrame:
+    """Rows of [start, end]; a bare date as ``end`` keeps that whole day."""
+    if start is not None:
+        df = df.where(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        last = F.lit(end).cast("timestamp_ntz")
+        bare = isinstance(end, str) and len(end.strip()) <= 10
+        df = df.where(F.col(ts) < last + F.expr("INTERVAL 1 DAY")) if bare else df.where(F.col(ts) <= last)
+    return df
+
+
+def _reads(col: Column) -> set[str]:
+    """Names of the columns an expression reads (from its SQL text, which is never shortened)."""
+    import re as _re
+    return set(_re.findall(r"[A-Za-z_][A-Za-z0-9_]*", col._jc.node().sql() if hasattr(col, "_jc") else str(col)))
 
 
 def _levels(steps):
     """Group ordered (name, Column) steps into batches for ``withColumns``; a new
     batch starts when a step refers to a column defined in the current batch.
     Keeps the plan shallow (one projection per batch, not per column)."""
-    import re as _re
     out, cur = [], {}
     for name, col in steps:
-        text = str(col)
-        if any(_re.search(r"(?<![A-Za-z0-9_])" + _re.escape(n) + r"(?![A-Za-z0-9_])", text) for n in cur):
+        if cur and not cur.keys().isdisjoint(_reads(col)):
             out.append(cur)
             cur = {}
         cur[name] = col
@@ -419,7 +441,7 @@ def sequence(df: DataFrame, key: str = "symbol", order: Iterable[str] = ("ts",),
         wo = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
         st = st.select(key, "_pid", "_m0", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"))
         # at most one row per (partition, key): P + n_keys rows
-        small = st if (P + stats.n_keys) > BROADCAST_ROWS else F.broadcast(st)
+        small = st if (P + stats.n_keys) * 64 > BROADCAST_BYTES else F.broadcast(st)
         out = (ranged.withColumn("_pid", pid).join(small, [key, "_pid"])
                .withColumn("rn", (F.col("_mid") - F.col("_m0") + F.col("_off") + 1).cast("long"))
                .drop("_pid", "_mid", "_m0", "_off"))
@@ -438,7 +460,3 @@ def from_sequenced(df: DataFrame, key: str = "symbol", order=("ts",), block_rows
     out = df.withColumn("blk", F.floor((F.col("rn") - 1) / F.lit(L)).cast("long"))
     out = out.withColumn("sblk", F.floor((F.col("rn") - 1) / F.lit(Ls)).cast("long"))
     return BarFrame(out, key=key, order=tuple(order), block=L, scan_block=Ls, stats=stats)
-
-
-def apply(fr: BarFrame, fn: Callable[[BarFrame], BarFrame]) -> BarFrame:
-    return fn(fr)

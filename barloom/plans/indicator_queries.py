@@ -533,7 +533,8 @@ def _q_cycle(spark, sf):
     fr = daily_frame(spark, sf)
     cols = ["HT_DCPERIOD", "HT_DCPHASE", "HT_PHASOR_inphase", "HT_PHASOR_quadrature", "HT_SINE_sine",
             "HT_SINE_leadsine", "HT_TRENDMODE", "HT_TRENDLINE", "MAMA_mama", "MAMA_fama"]
-    return finish(GR.cycle_indicators(fr).df.select("symbol", "ts", *cols), 4, {"HT_DCPERIOD": 6, "HT_TRENDLINE": 6})
+    df = GR.cycle_indicators(fr).df.withColumn("HT_TRENDLINE", F.col("HT_TRENDLINE") / F.col("close"))  # a ratio has no decimal ties
+    return finish(df.select("symbol", "ts", *cols), 4, {"HT_DCPERIOD": 6, "HT_TRENDLINE": 9})
 
 
 def _q_exits(spark, sf):
@@ -554,7 +555,7 @@ SQL["w13_sar"] = (
 SPARK["w08_w14_w48_w52_cycle_family_mama"] = _q_cycle
 _CYCLE_OUT = {"HT_DCPERIOD": ("sp", 32, 6), "HT_DCPHASE": ("phase", 63, 4), "HT_PHASOR_inphase": ("inph", 32, 4),
               "HT_PHASOR_quadrature": ("quad", 32, 4), "HT_SINE_sine": ("sine", 63, 4), "HT_SINE_leadsine": ("lead", 63, 4),
-              "HT_TRENDMODE": ("CAST(trend AS DOUBLE)", 63, 4), "HT_TRENDLINE": ("line", 63, 6), "MAMA_mama": ("mama", 32, 4),
+              "HT_TRENDMODE": ("CAST(trend AS DOUBLE)", 63, 4), "HT_TRENDLINE": ("line / price", 63, 9), "MAMA_mama": ("mama", 32, 4),
               "MAMA_fama": ("fama", 32, 4)}
 SQL["w08_w14_w48_w52_cycle_family_mama"] = (
     f"WITH RECURSIVE {DAILY_CTES}, sm AS (SELECT symbol, rn, ts, close AS price, CASE WHEN rn > 3 THEN (4 * close + 3 * lag(close, 1) OVER w "

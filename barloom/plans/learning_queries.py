@@ -16,8 +16,11 @@ from barloom.operators import tabular as TAB
 from barloom.plans.frame import Win, sequence
 from barloom.plans.oracle import DAILY_CTES
 from barloom.plans.queries import daily_frame, finish
+from barloom.plans import pattern_oracle as PO
+from barloom.plans import sqlkit as SK
 from barloom.plans.sqlkit import G, LAG, R, W
 from barloom.plans.table_queries import LAB_CTES, labelled_daily
+from barloom.sources import bars as BS
 from barloom.sources import tables as TB
 
 SPARK: dict = {}
@@ -127,8 +130,7 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     f"CAST(p_type = '{t}' AS INTEGER) AS p_type_{t}" for t in _TYPES) + " FROM part")
 def q_tab8(spark, sf):
     p = TB.table(spark, sf, "part").select("p_partkey", "p_type")
-    cats = [r["value"] for r in TAB.fit_categories(p, "p_type").orderBy("code").collect()]
-    return TAB.apply_one_hot(p, "p_type", cats).drop("p_type")
+    return TAB.apply_one_hot(p, "p_type", TAB.fit_one_hot(p, "p_type")).drop("p_type")
 
 
 @reg("tab9_label_encoding_nan_unk", "WITH f AS (SELECT DISTINCT coalesce(p_brand, '_nan') AS v FROM part WHERE p_size <= 10), "
@@ -163,9 +165,7 @@ def _events_frame(spark, sf):
      "FROM x WHERE role IS NOT NULL GROUP BY fold, role")
 def q_cv1(spark, sf):
     fr = _events_frame(spark, sf)
-    f = LN.time_series_folds(fr.df, 5, n_rows=fr.stats.n_rows)
-    return f.groupBy(F.col("fold").cast("int").alias("fold"), "role").agg(
-        F.count(F.lit(1)).cast("long").alias("rows"), F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"))
+    return LN.fold_table(fr.df, 5, n_rows=fr.stats.n_rows)
 
 
 @reg("cv2_stratified_folds", "SELECT c_custkey, CAST(floor((row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) * 5 "
@@ -225,7 +225,7 @@ SPARK["ml7_logistic_regression"] = _fit_predict("Linear", maxIter=20)
 def q_ml4(spark, sf):
     df = ml_table(spark, sf)
     tr, te = _split(df)
-    models = LN.adaboost_fit(tr.cache(), n_rounds=3, max_depth=2)
+    models = LN.adaboost_fit(tr.cache(), n_rounds=10, max_depth=2)
     labels = [r[0] for r in tr.select("label").distinct().collect()]
     return LN.adaboost_predict(models, te, labels).select("symbol", "ts", "prediction")
 
@@ -239,12 +239,15 @@ def q_ml8(spark, sf):
 
 
 # ------------------------------------------------------------- CV4–CV8
+#: Splits and trees of the registered searches (the reference: 5 splits, 600 trees).
+CV_SPLITS = 5
+
+
 def _cv_setup(spark, sf):
     df = ml_table(spark, sf).drop("rn")
     fr = sequence(df.withColumn("_k", F.lit(0)), key="_k", order=("ts", "symbol"))
     data = fr.df.drop("blk", "sblk", "_k").cache()
-    folds = LN.time_series_folds(data.select("rn"), 2, n_rows=fr.stats.n_rows).cache()
-    return data, folds
+    return data, CV_SPLITS
 
 
 def _rf(**p):
@@ -254,13 +257,13 @@ def _rf(**p):
 @reg("cv4_cv7_grid_search_results")
 def q_cv4(spark, sf):
     data, folds = _cv_setup(spark, sf)
-    return LN.cross_validate(_rf, data, folds, LN.grid({"maxDepth": [3, 5], "numTrees": [10]}))
+    return LN.cross_validate(_rf, data, folds, LN.grid({"maxDepth": [3, 5], "numTrees": [5, 10]}))
 
 
 @reg("cv5_randomized_search")
 def q_cv5(spark, sf):
     data, folds = _cv_setup(spark, sf)
-    return LN.cross_validate(_rf, data, folds, LN.random_candidates({"maxDepth": [2, 3, 4, 5], "numTrees": [5, 10]}, 2, 42))
+    return LN.cross_validate(_rf, data, folds, LN.random_candidates({"maxDepth": [2, 3, 4, 5], "numTrees": [5, 10]}, 5, 42))
 
 
 @reg("cv6_successive_halving")
@@ -272,7 +275,7 @@ def q_cv6(spark, sf):
 @reg("cv8_validation_curve")
 def q_cv8(spark, sf):
     data, folds = _cv_setup(spark, sf)
-    return LN.validation_curve(_rf, data, folds, "maxDepth", [1, 6])
+    return LN.validation_curve(_rf, data, folds, "maxDepth", [1, 2, 3, 4, 5, 6])
 
 
 # ------------------------------------------------------------- EV
@@ -292,7 +295,7 @@ def _preds(spark, sf):
 @reg("ev1_accuracy", f"{_PRED_SQL} SELECT symbol, {R('avg(CAST(label = prediction AS DOUBLE))', 8)} AS accuracy FROM p GROUP BY symbol")
 def q_ev1(spark, sf):
     p = _preds(spark, sf)
-    return finish(p.groupBy("symbol").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy")), 8)
+    return finish(p.groupBy("symbol").agg(LN.accuracy_of().alias("accuracy")), 8)
 
 
 @reg("ev1_r2_score", f"WITH {DAILY_CTES}, p AS (SELECT symbol, close AS y, {G(6, f'avg(close) {W(7)}')} AS yhat FROM bd {WINDOW}) "
@@ -301,9 +304,7 @@ def q_ev1r2(spark, sf):
     fr = daily_frame(spark, sf)
     fr = fr.add(FI.sma(Win(fr.key, fr.block), n=7, out="yhat"))
     p = fr.df.where(F.col("yhat").isNotNull())
-    out = p.groupBy("symbol").agg((1 - F.sum(F.pow(F.col("close") - F.col("yhat"), 2)) /
-                                   (F.var_pop("close") * F.count(F.lit(1)))).alias("r2"))
-    return finish(out, 8)
+    return finish(p.groupBy("symbol").agg(LN.r2_of("close", "yhat").alias("r2")), 8)
 
 
 @reg("ev2_classification_report", f"{_PRED_SQL}, c AS (SELECT label AS l, prediction AS pr, count(*) AS n FROM p GROUP BY 1, 2), "
@@ -323,7 +324,7 @@ def q_ev3(spark, sf):
     df = ml_table(spark, sf)
     tr, te = _split(df)
     m = LN.make_estimator("RandomForest", numTrees=10, maxDepth=4).fit(tr)
-    return LN.permutation_importance(m, te.drop("features"), FEATS, key="rn")
+    return LN.permutation_importance(m, te.drop("features", "rn"), FEATS, key=("ts", "symbol"))
 
 
 @reg("ev4_predict_proba")
@@ -361,7 +362,7 @@ def q_sel1(spark, sf):
 @reg("sel2_prune_correlated")
 def q_sel2(spark, sf):
     df = ml_table(spark, sf)
-    kept = LN.prune_correlated(df, FEATS, 0.95)
+    kept = LN.prune_correlated(df.select("symbol", "ts", *FEATS), FEATS, 0.95)
     return spark.createDataFrame([(c, c in kept) for c in FEATS], "feature string, kept boolean")
 
 
@@ -403,7 +404,7 @@ def q_sel4(spark, sf):
 @reg("sel5_recursive_elimination_cv")
 def q_sel5(spark, sf):
     data, folds = _cv_setup(spark, sf)
-    best, score = LN.rfe_cv(data.drop("features").cache(), FEATS, step=3, folds=folds, num_trees=5, min_features=2)
+    best, score = LN.rfe_cv(data.drop("features").cache(), FEATS, step=1, n_splits=folds, num_trees=5, min_features=2)
     return spark.createDataFrame([(c, c in best) for c in FEATS], "feature string, selected boolean")
 
 
@@ -447,30 +448,125 @@ def q_sel8(spark, sf):
 
 
 # ------------------------------------------------------------- FP / SNK
-@reg("fp1_generate_all_features_lags_7_17")
+@reg("fp1_generate_all_features")
 def q_fp1(spark, sf):
-    """FP1 for two lags (all families, patterns smoothed by WMA(300), time fields), NaN rows dropped."""
+    """FP1: every family at all 15 lags, patterns smoothed by WMA(300), cycle and time fields; rows with a NULL dropped."""
     from barloom.plans import features as FP
-    return FP.generate_all_features(daily_frame(spark, sf), [7, 17]).df.drop("blk", "sblk")
+    return FP.generate_all_features(sequence(BS.bars_daily(spark, sf))).df.drop("blk", "sblk")
+
+
+_FP2_NAMES = "3_LINEARREG_SLOPE_17,0_RSI_7,1_STOCH_7slowk,2_time_day_of_month,4_CDLENGULFING,5_MACDHIST_7,"
+_FP2_K = "CASE WHEN rn > 6 THEN CASE WHEN max(high) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) <> min(low) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) THEN (close - min(low) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) * 100.0 / (max(high) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) - min(low) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) ELSE 0.0 END END"
+
+
+def _fp2_sql():
+    recs = [SK.wilder_mean("ag", "pre", "greatest(dx, 0.0)", 7, 2), SK.wilder_mean("al", "pre", "greatest(-dx, 0.0)", 7, 2),
+            SK.ema("es", "pre", "close", 14), SK.ema("ef", "pre", "close", 7, start=8)]
+    return (f"WITH RECURSIVE {DAILY_CTES}, {', '.join(PO.pattern_ctes(['CDLENGULFING'], 'bd'))}, "
+            f"pre AS (SELECT *, {LAG('close', 1)} AS pc, close - {LAG('close', 1)} AS dx, {_FP2_K} AS k FROM bd {WINDOW}), "
+            + ", ".join(r.strip() for r in recs)
+            + ", mm AS (SELECT pre.symbol, pre.rn, ef.ef - es.es AS m FROM pre JOIN es USING (symbol, rn) JOIN ef USING (symbol, rn)), "
+            + SK.ema("sg", "mm", "m", 3, start=14).strip()
+            + f", j AS (SELECT pre.*, ag.ag, al.al, mm.m, sg.sg, pat.CDLENGULFING AS eng FROM pre JOIN ag USING (symbol, rn) JOIN al USING (symbol, rn) "
+              "JOIN mm USING (symbol, rn) JOIN sg USING (symbol, rn) JOIN pat USING (symbol, rn)), "
+              f"k2 AS (SELECT *, avg(k) {W(3)} AS sk FROM j {WINDOW}) "
+            f"SELECT symbol, ts, {R('CASE WHEN ag IS NOT NULL THEN CASE WHEN ag + al <> 0 THEN ag * 100.0 / (ag + al) ELSE 0.0 END END', 6)} AS RSI_7, "
+            f"{R(G(10, 'sk'), 6)} AS STOCH_7slowk, CAST(day(ts) AS INTEGER) AS time_day_of_month, "
+            f"{R(G(16, f'regr_slope(close, rn) {W(17)}'), 5)} AS LINEARREG_SLOPE_17, CAST(eng AS DOUBLE) AS CDLENGULFING, "
+            f"{R('CASE WHEN rn >= 16 THEN m - sg END', 3)} AS MACDHIST_7 FROM k2 {WINDOW}")
 
 
-@reg("fp2_fp3_features_from_names")
+@reg("fp2_fp3_features_from_names", _fp2_sql())
 def q_fp2(spark, sf):
-    """FP2/FP3: build only the features named in a saved name list."""
+    """FP2/FP3: exactly the features of a saved name list, in its order, pattern values raw as in the live path."""
     from barloom.plans import features as FP
-    text = "0_RSI_7,1_ADX_17,2_STOCH_7slowk,3_CDLDOJI,4_time_hour,5_LINEARREG_SLOPE_17,"
-    return FP.features_for_names(daily_frame(spark, sf), text, dropna=False).df.drop("blk", "sblk")
+    fr = FP.features_for_names(daily_frame(spark, sf), _FP2_NAMES, pattern_wma=None, dropna=False)
+    names = FP.parse_feature_names(_FP2_NAMES)
+    out = fr.df.select("symbol", "ts", *names).withColumn("time_day_of_month", F.col("time_day_of_month").cast("int"))
+    out = out.withColumn("CDLENGULFING", F.col("CDLENGULFING").cast("double"))
+    return finish(out, 6, {"LINEARREG_SLOPE_17": 5, "MACDHIST_7": 3})
 
 
-@reg("snk1_snk5_save_and_reload")
+@reg("snk1_snk5_save_and_reload", f"WITH {LAB_CTES} SELECT symbol, ts, {R('close', 4)} AS close, pos_change_signal, "
+     f"{R('desired_pos_change', 6)} AS desired_pos_change, '0_close,' AS names FROM lab")
 def q_snk(spark, sf):
-    """SNK1/SNK5: X, y and feature names written under the checkpoint folder and read back."""
-    from barloom.sources import sinks as SK
+    """SNK1/SNK5: X, y and feature names written under the checkpoint folder, and all read back."""
+    from barloom.operators.cleanup import split_features_target
+    from barloom.sources import sinks
     from barloom.streaming.bars import scratch
     lab = labelled_daily(spark, sf)
-    from barloom.operators.cleanup import split_features_target
     X, y = split_features_target(lab.select("symbol", "ts", "close", "pos_change_signal", "desired_pos_change"))
     base = scratch(spark, "snk")
-    SK.save_xy(X, y, base, "2024-01-01")
-    SK.save_feature_names(spark, ["close"], f"{base}/names")
-    return spark.read.parquet(f"{base}/y").select("symbol", "ts", "pos_change_signal", "desired_pos_change")
+    sinks.save_xy(X, y, base, "2024-01-01")
+    sinks.save_feature_names(spark, ["close"], f"{base}/names")
+    text = sinks.feature_names_text([r["name"] for r in spark.read.parquet(f"{base}/names").orderBy("idx").collect()])
+    back = spark.read.parquet(f"{base}/X").where("run_date = '2024-01-01'").join(spark.read.parquet(f"{base}/y"), ["symbol", "ts"])
+    return finish(back.select("symbol", "ts", "close", "pos_change_signal", "desired_pos_change", F.lit(text).alias("names")), 6, {"close": 4})
+
+
+_CV_TABLE = ("SELECT CAST(row_number() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS candidate, o_orderpriority AS params, "
+             "[avg(o_totalprice) FILTER (WHERE o_orderkey % 3 = 0) / 1e6, avg(o_totalprice) FILTER (WHERE o_orderkey % 3 = 1) / 1e6, "
+             "avg(o_totalprice) FILTER (WHERE o_orderkey % 3 = 2) / 1e6] AS s FROM orders GROUP BY o_orderpriority")
+
+
+@reg("cv7_snk2_result_table", f"WITH c AS ({_CV_TABLE}), m AS (SELECT *, (s[1] + s[2] + s[3]) / 3 AS m FROM c) "
+     f"SELECT candidate, params, {R('m', 8)} AS mean_test_score, {R('sqrt((pow(s[1] - m, 2) + pow(s[2] - m, 2) + pow(s[3] - m, 2)) / 3)', 8)} AS std_test_score, "
+     "CAST(rank() OVER (ORDER BY m DESC) AS INTEGER) AS rank_test_score FROM m")
+def q_cv7(spark, sf):
+    """CV7/SNK2: the result table of given split scores (three groups of orders as splits, one candidate per priority),
+    saved and read back."""
+    from pyspark.sql import Window
+    from barloom.sources import sinks
+    from barloom.streaming.bars import scratch
+    o = TB.table(spark, sf, "orders")
+    part = [(F.avg(F.when(F.col("o_orderkey") % 3 == i, F.col("o_totalprice"))) / 1e6) for i in range(3)]
+    t = o.groupBy(F.col("o_orderpriority").alias("params")).agg(F.array(*part).alias("split_test_scores"))
+    t = t.withColumn("candidate", (F.row_number().over(Window.orderBy("params")) - 1).cast("int"))  # one row per candidate
+    path = scratch(spark, "cv")
+    sinks.save_cv_results(LN.summarise_cv(t), path)
+    return finish(spark.read.parquet(path).select("candidate", "params", "mean_test_score", "std_test_score", "rank_test_score"), 8)
+
+
+@reg("snk3_run_summary", "SELECT o_orderstatus AS model, " + R("max(o_totalprice)", 4) + " AS best_score, CAST(count(*) AS VARCHAR) AS best_params "
+     "FROM orders GROUP BY o_orderstatus")
+def q_snk3(spark, sf):
+    """SNK3: a run summary (best score and parameters per model; here per order status) saved and read back."""
+    from barloom.sources import sinks
+    from barloom.streaming.bars import scratch
+    o = TB.table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.max("o_totalprice").alias("m"), F.count(F.lit(1)).alias("n"))
+    path = scratch(spark, "summary")
+    sinks.save_run_summary(spark, [(r["o_orderstatus"], float(r["m"]), str(r["n"])) for r in o.collect()], path)  # one row per model
+    return finish(spark.read.parquet(path), 4)
+
+
+@reg("snk4_model_save_load", f"WITH s AS (SELECT avg(p_retailprice) AS m, stddev_samp(p_retailprice) AS sd FROM part) "
+     f"SELECT p_partkey, {R('(p_retailprice - m) / sd', 8)} AS scaled FROM part, s")
+def q_snk4(spark, sf):
+    """SNK4: a fitted pipeline saved, loaded and applied."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import vector_to_array
+    from barloom.sources import sinks
+    from barloom.streaming.bars import scratch
+    p = TB.table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["p_retailprice"], outputCol="v"),
+                             StandardScaler(inputCol="v", outputCol="s", withMean=True)]).fit(p)
+    path = scratch(spark, "model")
+    sinks.save_model(model, path)
+    out = sinks.load_model(path).transform(p)
+    return finish(out.select("p_partkey", vector_to_array("s")[0].alias("scaled")), 8)
+
+
+# ------------------------------------------------------------- regressors and the other model forms
+SPARK["ml1_decision_tree_regressor"] = _fit_predict("DecisionTree", "regression", maxDepth=5)
+SPARK["ml2_random_forest_regressor"] = _fit_predict("RandomForest", "regression", numTrees=20, maxDepth=5)
+SPARK["ml3_extra_trees_regressor"] = _fit_predict("ExtraTrees", "regression", numTrees=20, maxDepth=5)
+SPARK["ml5_gradient_boosting_one_vs_rest"] = _fit_predict("GradientBoosting", multiclass=True, maxIter=3, maxDepth=2)
+SPARK["ml7_linear_regression"] = _fit_predict("Linear", "regression", maxIter=20)
+
+
+@reg("ml4_adaboost_regressor")
+def q_ml4r(spark, sf):
+    tr, te = _split(ml_table(spark, sf))
+    models = LN.adaboost_regress_fit(tr, label="target_10_ret", n_rounds=5)
+    return LN.adaboost_regress_predict(models, te).select("symbol", "ts", "prediction")

@@ -7,9 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.functions import finite as FI
+from barloom.functions import recurrent as RC
 from barloom.plans.frame import Win
 from barloom.plans.queries import finish
+from barloom.plans import sqlkit as SK
 from barloom.plans.sqlkit import G, LAG, R, W
+from barloom.sources import bars as BS
 from barloom.sources import tables as TB
 from barloom.streaming import bars as ST
 
@@ -34,43 +37,76 @@ _CLOSED_BARS = """SELECT event_type AS symbol, time_bucket(INTERVAL 1 HOUR, ts)
   HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
 
 
+def feed(spark, sf):
+    """The events as a stream of several files, two per trigger."""
+    return ST.event_stream(spark, ST.event_files(spark, sf), 2)
+
+
 @reg("st1_stream_tick_bars", f"SELECT symbol, ts, ts_end, {', '.join(f'{R(c, 6)} AS {c}' for c in ['open', 'high', 'low', 'close', 'volume'])} FROM ({_CLOSED_BARS})")
 def q_st1(spark, sf):
-    path = ST.run_to_table(ST.tick_bars(ST.event_stream(spark, sf)), "st1")
+    path = ST.run_to_table(ST.tick_bars(feed(spark, sf)), "st1")
     return finish(spark.read.parquet(path), 6)
 
 
 def _features(fr):
     w = Win(fr.key, fr.block)
-    return fr.add(FI.sma(w, n=7), FI.mom(w, n=7))
-
-
-@reg("st2_st3_st6_stream_features",
-     f"WITH b AS ({_CLOSED_BARS}), bd AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM b) "
-     f"SELECT symbol, ts, {R(G(6, f'avg(close) {W(7)}'), 6)} AS SMA_7, {R(G(7, f'close - {LAG(CLOSE, 7)}'), 6)} AS MOM_7 "
-     "FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)")
+    fr = fr.add(FI.sma(w, n=7), FI.mom(w, n=7))
+    fr = RC.ema(fr, n=37)
+    fr = RC.rsi(fr, n=14)
+    return RC.adx(fr, n=7)
+
+
+_ST2_SQL = (
+    f"WITH RECURSIVE b AS ({_CLOSED_BARS}), bd AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM b), "
+    "d AS (SELECT *, close - lag(close) OVER w AS dx, high - lag(high) OVER w AS up, lag(low) OVER w - low AS dn, lag(close) OVER w AS pc "
+    "FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)), "
+    "pre AS (SELECT *, CASE WHEN up > 0 AND up > dn THEN up ELSE 0.0 END AS pdm, CASE WHEN dn > 0 AND dn > up THEN dn ELSE 0.0 END AS mdm, "
+    "CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr FROM d), "
+    + ", ".join(x.strip() for x in (
+        SK.ema("e", "pre", "close", 37), SK.wilder_mean("ag", "pre", "greatest(dx, 0.0)", 14, 2), SK.wilder_mean("al", "pre", "greatest(-dx, 0.0)", 14, 2),
+        SK.wilder_sum("sp", "pre", "pdm", 7, 2), SK.wilder_sum("sm", "pre", "mdm", 7, 2), SK.wilder_sum("st", "pre", "tr", 7, 2)))
+    + ", di AS (SELECT symbol, rn, CASE WHEN st <> 0 THEN sp * 100.0 / st ELSE 0.0 END AS p, CASE WHEN st <> 0 THEN sm * 100.0 / st ELSE 0.0 END AS m "
+      "FROM sp JOIN sm USING (symbol, rn) JOIN st USING (symbol, rn)), "
+      "dxx AS (SELECT symbol, rn, CASE WHEN rn > 7 THEN coalesce(last_value(CASE WHEN rn > 7 AND p + m <> 0 THEN abs(p - m) * 100.0 / (p + m) END IGNORE NULLS) "
+      "OVER (PARTITION BY symbol ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) END AS dxv FROM di), "
+    + SK.wilder_mean("ax", "dxx", "dxv", 7, 8).strip()
+    + f", f AS (SELECT symbol, rn, ts, {G(6, f'avg(close) {W(7)}')} AS SMA_7, {G(7, f'close - {LAG(CLOSE, 7)}')} AS MOM_7 FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)), "
+      "r AS (SELECT f.*, e.e, ax.ax, CASE WHEN ag IS NOT NULL THEN CASE WHEN ag + al <> 0 THEN ag * 100.0 / (ag + al) ELSE 0.0 END END AS rsi "
+      "FROM f JOIN e USING (symbol, rn) JOIN ag USING (symbol, rn) JOIN al USING (symbol, rn) JOIN ax USING (symbol, rn)) "
+    f"SELECT symbol, ts, {R('SMA_7', 6)} AS SMA_7, {R('MOM_7', 6)} AS MOM_7, {R('e', 6)} AS EMA_37, {R('rsi', 6)} AS RSI_14, {R('ax', 6)} AS ADX_7, "
+    "CASE WHEN rsi > 55 THEN 1.0 WHEN rsi < 45 THEN -1.0 ELSE 0.0 END AS prediction FROM r WHERE ts >= TIMESTAMP '2024-01-07'")
+
+
+@reg("st2_st3_st6_stream_features", _ST2_SQL)
 def q_st2(spark, sf):
-    bars = ST.tick_bars(ST.event_stream(spark, sf))
-    fs = ST.FeatureStream(spark, _features, buffer=300)
+    """Warm-up from the bars before 2024-01-07 (ST6), then every later closed bar from the stream (ST2), scored by a
+    saved pipeline (ST3)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+    rule = SQLTransformer(statement="SELECT *, CASE WHEN RSI_14 > 55 THEN 1D WHEN RSI_14 < 45 THEN -1D ELSE 0D END AS prediction FROM __THIS__")
+    start = F.lit("2024-01-07").cast("timestamp_ntz")
+    history = BS.bars_hourly(spark, sf).where(F.col("ts") < start)
+    fs = ST.FeatureStream(spark, _features, buffer=64, model=Pipeline(stages=[rule]).fit(spark.range(0)), block_rows=512)
+    fs.seed(history)
+    bars = ST.tick_bars(feed(spark, sf).where(F.col("ts") >= start))
     path = fs.run(bars)
-    return finish(spark.read.parquet(path).select("symbol", "ts", "SMA_7", "MOM_7"), 6)
+    return finish(spark.read.parquet(path).select("symbol", "ts", "SMA_7", "MOM_7", "EMA_37", "RSI_14", "ADX_7", "prediction"), 6)
 
 
 from barloom.plans.sqlkit import exits_recursive  # noqa: E402
 
-_ST4_SQL = ("WITH RECURSIVE src AS (SELECT event_type AS symbol, ts, value AS close, "
+_ST4_SQL = ("WITH RECURSIVE src AS (SELECT event_type AS symbol, event_id, ts, value AS close, "
             "CASE WHEN value > 60 THEN 1 WHEN value < 40 THEN -1 ELSE 0 END AS signal, "
             "row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events), "
             f"{exits_recursive('ex', 'src', 10.0, 20, 0.05).strip()} "
-            "SELECT src.symbol, src.ts, ex.last AS target FROM ex JOIN src USING (symbol, rn)")
+            "SELECT src.symbol, src.event_id, src.ts, ex.last AS target FROM ex JOIN src USING (symbol, rn) "
+            "WHERE epoch_ms(src.ts) < (SELECT epoch_ms(max(ts)) FROM events) - 3600000")
 
 
 @reg("st4_stateful_exits", _ST4_SQL)
 def q_st4(spark, sf):
-    ticks = ST.event_stream(spark, sf).select(F.col("event_type").alias("symbol"), "ts",
-                                              F.col("value").alias("close"),
-                                              F.when(F.col("value") > 60, 1).when(F.col("value") < 40, -1)
-                                              .otherwise(0).alias("signal"))
+    ticks = feed(spark, sf).select("event_id", F.col("event_type").alias("symbol"), "ts", F.col("value").alias("close"),
+                                   F.when(F.col("value") > 60, 1).when(F.col("value") < 40, -1).otherwise(0).alias("signal"))
     out = ST.stateful_exits(ticks, "signal", size=10.0, max_holding=20, stop_pct=0.05)
     return spark.read.parquet(ST.run_to_table(out, "st4"))
 
@@ -85,7 +121,7 @@ def q_st5(spark, sf):
     ev = TB.table(spark, sf, "events")
     sig = (ev.groupBy(F.col("event_type").alias("symbol"), F.window("ts", "1 hour").start.alias("ts"))
            .agg((F.avg("value") / 100.0).alias("ret"), F.count(F.lit(1)).alias("n")).where("n >= 3").drop("n"))
-    stream = ST.event_stream(spark, sf).select("event_id", F.col("event_type").alias("symbol"),
+    stream = feed(spark, sf).select("event_id", F.col("event_type").alias("symbol"),
                                                F.window("ts", "1 hour").start.alias("ts"))
     out = ST.signal_lookup_stream(stream, sig).select("event_id", "ret")
     return finish(spark.read.parquet(ST.run_to_table(out, "st5")), 8)
@@ -94,7 +130,7 @@ def q_st5(spark, sf):
 @reg("st7_dedup_within_watermark", "SELECT event_type, CAST(count(*) AS BIGINT) AS kept FROM (SELECT DISTINCT event_type, user_id, "
      "time_bucket(INTERVAL 1 HOUR, ts) AS hour FROM events) GROUP BY event_type")
 def q_st7(spark, sf):
-    s = ST.event_stream(spark, sf).withColumn("hour", F.window("ts", "1 hour").start)
+    s = feed(spark, sf).withColumn("hour", F.window("ts", "1 hour").start)
     d = ST.dedup_within_watermark(s, keys=("event_type", "user_id", "hour"), delay="2 hours")
     t = spark.read.parquet(ST.run_to_table(d.select("event_type", "user_id", "hour"), "st7"))
     return t.groupBy("event_type").agg(F.count(F.lit(1)).cast("long").alias("kept"))

@@ -93,11 +93,58 @@ def q_src2(spark, sf):
      f"FROM bd {WINDOW}) SELECT symbol, ts, {R('SMA_37', 4)} AS SMA_37 FROM f "
      f"WHERE ts BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'")
 def q_src3(spark, sf):
-    fr = daily_frame(spark, sf)
+    fr = sequence(TB.read_range(BS.bars_daily(spark, sf), "1997-01-01", "1997-12-31", rows=36), block_rows=Q_BLOCK)
     fr = fr.add(FI.sma(Win(fr.key, fr.block), n=37))
     return finish(fr.between("1997-01-01", "1997-12-31").select("symbol", "ts", "SMA_37"), 4)
 
 
+@reg("src1_csv_bars", f"SELECT datetime, symbol, {rsel({c: (c, 6) for c in ['open_price', 'high_price', 'low_price', 'close_price', 'volume', 'turnover', 'open_interest']})} FROM ({PLATFORM_SQL})")
+def q_src1(spark, sf):
+    """SRC1: the platform bars written as a CSV with a header and scanned with the explicit schema."""
+    from barloom.streaming.bars import scratch
+    path = scratch(spark, "csv")
+    (platform_bars(spark, sf).select(*[f.name for f in TB.RAW_BAR_SCHEMA.fields])
+     .write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    return finish(TB.read_bar_csv(spark, path).drop("exchange", "interval", "gateway_name"), 6)
+
+
+@reg("src5_signal_table", f"SELECT ts, {R('avg(ln(close / open))', 8)} AS ret FROM ({BARS_DAILY}) GROUP BY ts")
+def q_src5t(spark, sf):
+    """SRC5: a saved (ts, ret) series read back."""
+    from barloom.streaming.bars import scratch
+    path = scratch(spark, "signals")
+    BS.bars_daily(spark, sf).groupBy("ts").agg(F.avg(F.log(F.col("close") / F.col("open"))).alias("ret")).write.parquet(path)
+    return finish(TB.signal_table(spark, path), 8)
+
+
+@reg("agg1_resample_open_interest", "SELECT o_orderpriority AS symbol, time_bucket(INTERVAL 7 DAYS, o_orderdate, TIMESTAMP '1970-01-01') AS ts, "
+     + ", ".join(f"{R(e, 4)} AS {n}" for n, e in (("open", "arg_min(o_totalprice, (o_orderdate, o_orderkey))"), ("high", "max(o_totalprice)"),
+                                                  ("low", "min(o_totalprice)"), ("close", "arg_max(o_totalprice, (o_orderdate, o_orderkey))"),
+                                                  ("volume", "CAST(sum(o_custkey) AS DOUBLE)"),
+                                                  ("open_interest", "CAST(arg_max(o_custkey, (o_orderdate, o_orderkey)) AS DOUBLE)")))
+     + " FROM orders GROUP BY 1, 2")
+def q_agg1oi(spark, sf):
+    """AGG1 with every optional column: volume summed, open interest last."""
+    o = TB.table(spark, sf, "orders")
+    b = BS.resample(o, "7 days", key="o_orderpriority", ts="o_orderdate", order="o_orderkey", open_col="o_totalprice", high="o_totalprice",
+                    low="o_totalprice", close="o_totalprice", volume="o_custkey", open_interest="o_custkey")
+    return finish(b.withColumn("open_interest", F.col("open_interest").cast("double")), 4)
+
+
+@reg("w67_return_vector", f"WITH {DAILY_CTES}, m AS (SELECT *, (high + low) / 2 AS m FROM bd), r AS (SELECT *, CASE WHEN lag(m) OVER w <> 0 "
+     f"THEN (m / lag(m) OVER w - 1.0) * 100.0 END AS r FROM m {WINDOW}), v AS (SELECT *, list(r) {W(30)} AS v FROM r {WINDOW}) "
+     f"SELECT symbol, ts, CASE WHEN rn > 30 THEN CAST(len(v) AS DOUBLE) END AS n, {R('CASE WHEN rn > 30 THEN v[1] END', 8)} AS oldest, "
+     f"{R('CASE WHEN rn > 30 THEN v[30] END', 8)} AS newest, {R('CASE WHEN rn > 30 THEN list_sum(v) END', 6)} AS total FROM v")
+def q_w67(spark, sf):
+    """The last 30 one-bar % returns of the median price as one array per row."""
+    fr = daily_frame(spark, sf)
+    fr = fr.add(FI.return_vector(Win(fr.key, fr.block), n=30))
+    v = F.col("medret_vec")
+    out = fr.df.select("symbol", "ts", F.when(v.isNotNull(), F.size(v)).cast("double").alias("n"), F.get(v, F.lit(0)).alias("oldest"),
+                       F.get(v, F.lit(29)).alias("newest"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    return finish(out, 8, {"total": 6})
+
+
 _EV4H = """SELECT event_type AS symbol, time_bucket(INTERVAL 4 HOUR, ts) AS ts,
   arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
   arg_max(value, (ts, event_id)) AS close, CAST(count(*) AS DOUBLE) AS volume, sum(value) AS turnover
@@ -179,11 +226,15 @@ def q_prj7(spark, sf):
     return finish(CL.sort_columns(BS.bars_daily(spark, sf)), 4)
 
 
-@reg("prj8_concat_columns", f"WITH {DAILY_CTES}, s AS ({_SIG_SQL}) SELECT b.symbol, b.ts, {R('b.close', 4)} AS close, "
+_RET_SQL = f"SELECT symbol, ts, ln(close / open) AS ret FROM ({BARS_DAILY})"
+
+
+@reg("prj8_concat_columns", f"WITH {DAILY_CTES}, s AS ({_RET_SQL}) SELECT b.symbol, b.ts, {R('b.close', 4)} AS close, "
      f"{R('s.ret', 8)} AS ret FROM bd b JOIN s ON s.symbol = b.symbol AND s.ts = b.ts")
 def q_prj8(spark, sf):
     left = BS.bars_daily(spark, sf).select("symbol", "ts", "close")
-    return finish(CL.concat_columns(left, _signals(spark, sf)), 4, {"ret": 8})
+    right = BS.bars_daily(spark, sf).select("symbol", "ts", F.log(F.col("close") / F.col("open")).alias("ret"))
+    return finish(CL.concat_columns(left, right), 4, {"ret": 8})
 
 
 @reg("prj9_to_string", "SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer")
@@ -346,16 +397,31 @@ def q_agg5(spark, sf):
     return finish(AG.corr_row(BS.bars_daily(spark, sf), "close", _A5, group="symbol"), 8)
 
 
-@reg("agg6_corr_by_parameter", f"WITH {DAILY_CTES}, a AS (SELECT symbol, {LEAD('close', 1)} / close - 1 AS fwd, "
-     + ", ".join(f"{G(n, f'close - {LAG(CLOSE, n)}')} AS m{n}" for n in (5, 10, 20))
-     + f" FROM bd {WINDOW}) " + " UNION ALL ".join(
-         f"SELECT symbol, {n} AS param, {R(f'corr(fwd, m{n})', 8)} AS corr FROM a GROUP BY symbol" for n in (5, 10, 20)))
+_AGG6_N = list(range(5, 50))
+_AGG6_SQL = (
+    f"WITH RECURSIVE {DAILY_CTES}, a AS (SELECT symbol, rn, {LEAD('close', 1)} / close - 1 AS fwd, CASE WHEN lag(close) OVER w IS NOT NULL THEN "
+    "greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w)) END AS tr, "
+    + ", ".join(f"{G(n - 1, f'regr_slope(close, rn) {W(n)}')} AS s{n}" for n in _AGG6_N) + f" FROM bd {WINDOW}), "
+    "t AS (SELECT symbol, rn, [0.0::DOUBLE for k in range(45)] AS y FROM a WHERE rn = 1 UNION ALL "
+    "SELECT a.symbol, a.rn, [y[k + 1] * (CASE WHEN a.rn <= k + 6 THEN 1.0 ELSE (k + 4.0) / (k + 5.0) END) + tr / (k + 5.0) for k in range(45)] "
+    "FROM t JOIN a ON a.symbol = t.symbol AND a.rn = t.rn + 1) "
+    + " UNION ALL ".join(f"SELECT symbol, {n} AS param, {R(f'corr(fwd, CASE WHEN rn > {n} AND y[{n - 4}] <> 0 THEN s{n} / y[{n - 4}] END)', 8)} AS corr "
+                         "FROM a JOIN t USING (symbol, rn) GROUP BY symbol" for n in _AGG6_N))
+
+
+@reg("agg6_corr_by_parameter", _AGG6_SQL)
 def q_agg6(spark, sf):
+    """AGG6: correlation of the next bar's return with slope(n)/ATR(n) for n = 5..49."""
+    from barloom.functions import recurrent as RC
     fr = daily_frame(spark, sf)
     w = Win(fr.key, fr.block)
-    fr = fr.add(FI.Feat([("fwd", w.lead(F.col("close"), 1) / F.col("close") - 1)], 0, 1),
-                *[FI.mom(w, n=n, out=f"m{n}") for n in (5, 10, 20)])
-    return finish(AG.corr_by_parameter(fr.df, "fwd", {5: "m5", 10: "m10", 20: "m20"}, group="symbol"), 8)
+    pc = w.lag(F.col("close"), 1)
+    tr = F.when(pc.isNotNull(), F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - pc), F.abs(F.col("low") - pc)))
+    fr = fr.add(FI.Feat([("fwd", w.lead(F.col("close"), 1) / F.col("close") - 1), ("tr", tr)], 1, 1),
+                *[FI.linearreg_slope(w, n=n, out=f"s{n}") for n in _AGG6_N])
+    fr = RC.smooth_many(fr, [(f"a{n}", F.col("tr"), 2, n, (n - 1) / n, 1.0 / n, 1.0 / n) for n in _AGG6_N])
+    df = fr.df.withColumns({f"r{n}": FI.sdiv(F.col(f"s{n}"), F.col(f"a{n}"), None) for n in _AGG6_N})
+    return finish(AG.corr_by_parameter(df, "fwd", {n: f"r{n}" for n in _AGG6_N}, group="symbol"), 8)
 
 
 def _inv_norm_sql(p):
@@ -406,13 +472,7 @@ def q_agg8(spark, sf):
      "FROM lab l JOIN c ON c.pos_change_signal IS NOT DISTINCT FROM l.pos_change_signal, t")
 def q_agg9(spark, sf):
     lab = labelled_daily(spark, sf).select("symbol", "ts", "pos_change_signal")
-    counts = lab.groupBy("pos_change_signal").agg(F.count(F.lit(1)).alias("_c"))
-    from pyspark.sql import Window
-    allw = Window.partitionBy()
-    cw = counts.select(F.col("pos_change_signal").alias("_cls"),
-                       (F.sum("_c").over(allw) / (F.count(F.lit(1)).over(allw) * F.col("_c"))).alias("weight"))
-    return finish(lab.join(cw, lab["pos_change_signal"].eqNullSafe(cw["_cls"]), "left")
-                  .select("symbol", "ts", "pos_change_signal", "weight"), 8)
+    return finish(AG.class_weights(lab, "pos_change_signal", "balanced"), 8)
 
 
 @reg("agg10_data_checks", f"WITH {LAB_CTES} " + " UNION ALL ".join(
@@ -655,6 +715,3 @@ def q_top2(spark, sf):
 def q_top3(spark, sf):
     b = BS.bars_daily(spark, sf).select("symbol", "ts", "close", "volume")
     return finish(AG.latest_per_key(b, "symbol", "ts"), 4)
-
-
-_ = (sequence, Q_BLOCK)

@@ -1,9 +1,9 @@
 """Spark session helpers.
 
 The checkpoint folder is read from the session (``spark.checkpoint.dir`` or the
-SparkContext's checkpoint dir).  Only when neither is set — local tests — a
-folder under the system temp dir is chosen.  On a cluster the setting must name
-a shared, reliable file system.
+SparkContext's checkpoint dir).  Only when neither is set and the master is
+``local`` (tests: one process, one disk) a temp folder is chosen; on a cluster a
+missing setting is an error, because the folder must be on shared storage.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "barloom") -> SparkSession:
+              app_name: str = "barloom", driver_memory: str = "8g") -> SparkSession:
     """Session with settings the library relies on (UTC, AQE, UI off)."""
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -27,7 +27,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", driver_memory))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
@@ -38,14 +38,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only if none is set."""
+    """Return the session's checkpoint folder; set a temp one only if none is set and the master is local."""
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="barloom-ckpt-")  # tests only: no cluster setting
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf = tempfile.mkdtemp(prefix="barloom-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 

@@ -89,6 +89,7 @@ def gap_fill(bars: DataFrame, interval: str, key: str = "symbol", ts: str = "ts"
     chunks = rng.select("_k", "_t0", "_n",
                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1,
                                              F.lit(chunk).cast("long"))).alias("_c0"))
+    chunks = chunks.repartition("_k", "_c0")  # a key's grid is not made by the task of its one row
     grid = chunks.select("_k", "_t0", F.explode(F.sequence(
         F.col("_c0"), F.least(F.col("_c0") + F.lit(chunk - 1), F.col("_n") - 1))).alias("_i"))
     grid = grid.select(F.col("_k").alias(key), _from_micros(F.col("_t0") + F.col("_i") * F.lit(step)).alias(ts),

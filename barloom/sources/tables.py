@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.plans.frame import cut_range
+
 # Bar schema used everywhere in the library (ts is a wall-clock timestamp).
 BAR_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
@@ -60,17 +62,33 @@ def prune_columns(df: DataFrame, drop=("symbol", "exchange", "turnover", "open_i
 def date_range(df: DataFrame, start=None, end=None, ts: str = "ts") -> DataFrame:
     """SRC3: inclusive [start, end] slice on the time column (pushed to the scan).
 
-    Indicators need warm-up rows before ``start``; use
-    :func:`barloom.plans.frame.BarFrame.between` to widen the scan by the plan's
-    lookback and cut after the features are built.
+    A bare date as ``end`` keeps that whole day.  Indicators need warm-up rows
+    before ``start``: see :func:`read_range`.
+    """
+    return cut_range(df, ts, start, end)
+
+
+def read_range(df: DataFrame, start: str, end, rows: int, key: str = "symbol", ts: str = "ts",
+               within_days: int | None = None) -> DataFrame:
+    """SRC3: [start, end] and at least ``rows`` earlier rows of every key in it, without reading all history.
+
+    The scan is cut at ``start`` minus a number of days (first guess: ``within_days``,
+    or twice ``rows``), which reaches the source as a pushed filter; the days are
+    doubled while a key has too few rows after the cut but has older ones.  Finite
+    features with a lookback of ``rows`` then equal those on all history from
+    ``start`` on (cut with :meth:`barloom.plans.frame.BarFrame.between`);
+    recurrences need the whole series.
     """
-    cond: Column | None = None
-    if start is not None:
-        cond = F.col(ts) >= F.lit(start).cast("timestamp_ntz")
-    if end is not None:
-        c2 = F.col(ts) <= F.lit(end).cast("timestamp_ntz")
-        cond = c2 if cond is None else cond & c2
-    return df if cond is None else df.where(cond)
+    first = F.lit(start).cast("timestamp_ntz")
+    days = within_days or max(1, 2 * rows)
+    while True:
+        low = first - F.make_dt_interval(F.lit(days))
+        part = cut_range(df.where(F.col(ts) >= low), ts, None, end)
+        early = part.groupBy(key).agg(F.sum((F.col(ts) < first).cast("long")).alias("n")).where(F.col("n") < rows)
+        older = df.where(F.col(ts) < low).join(early.select(key), key, "left_semi")
+        if older.isEmpty():
+            return part
+        days *= 2
 
 
 def signal_table(spark: SparkSession, path: str) -> DataFrame:

@@ -1,12 +1,12 @@
 """Structured Streaming twins of the batch builders (ST1–ST7).
 
 * ST1  ticks → tumbling bars with a watermark (append mode: closed windows only).
-* ST2/ST3/ST6  features (and scores) of the newest bars: ``foreachBatch`` keeps a
-  bounded tail of the last N bars per symbol in a table; each micro-batch runs the
-  *batch* feature builders on tail + new bars (one definition for batch and stream,
-  FP4) and writes the rows of the new bars; the tail can be seeded from history.
+* ST2/ST3/ST6  features (and scores) of the newest bars: ``foreachBatch`` keeps the
+  last N bars per symbol and the scans' results on them in a table; each micro-batch
+  runs the *batch* feature builders on tail + new bars (one definition for batch and
+  stream, FP4) and writes the rows of the new bars; the tail can be seeded from history.
 * ST4  target position with exits: ``applyInPandasWithState`` with the position,
-  entry price and bars held as the per-symbol state.
+  entry price, bars held and the rows ahead of the watermark as the per-symbol state.
 * ST5  stream–static left join (signal by time, 0 when missing).
 * ST7  ``dropDuplicatesWithinWatermark``; rows later than the watermark are dropped.
 
@@ -19,14 +19,13 @@ from __future__ import annotations
 import os
 import uuid
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from barloom.session import checkpoint_dir
+from barloom.session import checkpoint_dir, reliable_checkpoint
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -40,12 +39,28 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The ``events`` table read as a file stream (new files are new data)."""
-    r = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events*.parquet")
+def event_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """A folder of event files (see :func:`event_files`) as a file stream: new files are new data."""
+    r = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "*.parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    return r.parquet(folder)
+
+
+def event_files(spark: SparkSession, sf_dir: str, parts: int = 5) -> str:
+    """``events`` as a growing folder: ``parts`` files of consecutive days, rows in no order inside a file.
+
+    The files are written one after the other, as a feed would, so a file stream
+    takes them in time order."""
+    from barloom.sources.tables import table
+    ev = table(spark, sf_dir, "events").select(*EVENT_SCHEMA.fieldNames())
+    day = F.datediff(F.col("ts").cast("date"), F.lit(ev.agg(F.min(F.col("ts").cast("date"))).first()[0]))
+    n = ev.agg(F.max(day)).first()[0] + 1
+    path = scratch(spark, "event-files")
+    for i in range(parts):
+        (ev.where((day >= i * n // parts) & (day < (i + 1) * n // parts))
+         .coalesce(1).sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(path))
+    return path
 
 
 def _epoch():
@@ -99,96 +114,128 @@ def signal_lookup_stream(stream: DataFrame, signals: DataFrame, key=("symbol", "
 
 # -------------------------------------------------------- ST2 / ST3 / ST6
 class FeatureStream:
-    """Features of newest bars with the batch builders (``build(BarFrame) -> BarFrame``).
-
-    State: a parquet table with the last ``buffer`` bars per symbol (bounded:
-    symbols × buffer rows), replaced after each micro-batch.  ``model`` (a fitted
-    PipelineModel) scores the new rows (ST3)."""
-
-    def __init__(self, spark: SparkSession, build, buffer: int = 300, model=None, out: str | None = None,
-                 key: str = "symbol", ts: str = "ts"):
+    """Features (and scores) of the newest bars with the batch builders (``build(BarFrame) -> BarFrame``).
+
+    After micro-batch ``k`` the folder ``base/tail/b<k>`` holds the last ``buffer`` bars per
+    symbol with their row numbers and the results of every scan on them; batch ``k``
+    reads ``b<k-1>`` and goes on from there (:meth:`BarFrame.resumed`), so recurrences
+    equal one pass over all bars and finite windows read the buffered bars.  A plan
+    whose windows reach further than the buffer raises.  Features go to
+    ``base/out/batch_id=<k>``: a batch that is run again writes the same files, and a new
+    object on the same ``base`` continues after a restart.  ``model`` (a fitted
+    PipelineModel) scores the new rows (ST3).  Bars must arrive in time order per
+    symbol, as closed windows do; bars not later than the last one seen are dropped.
+    """
+
+    COLUMNS = ("open", "high", "low", "close", "volume")
+
+    def __init__(self, spark: SparkSession, build, buffer: int = 300, model=None, base: str | None = None,
+                 key: str = "symbol", ts: str = "ts", block_rows: int = 4096):
         self.spark, self.build, self.buffer, self.model = spark, build, buffer, model
-        self.key, self.ts = key, ts
-        self.out = out or scratch(spark, "features-out")
-        self.tail_base = scratch(spark, "features-tail")
-        self.version = 0
-        self.tail_path = None
-
-    def seed(self, history: DataFrame):
-        """ST6: warm-up from history (the last ``buffer`` bars per symbol)."""
-        self._write_tail(history)
-
-    def _write_tail(self, bars: DataFrame):
-        from barloom.plans.frame import sequence
-        fr = sequence(bars, key=self.key, order=(self.ts,))
-        n = fr.df.groupBy(self.key).agg(F.max("rn").alias("_n"))   # one row per symbol
-        tail = fr.df.join(n, self.key).where(F.col("rn") > F.col("_n") - self.buffer).drop("rn", "blk", "sblk", "_n")
-        self.version += 1
-        path = f"{self.tail_base}/v{self.version}"
-        tail.write.mode("overwrite").parquet(path)
-        self.tail_path = path
-
-    def process(self, batch: DataFrame, batch_id: int):
-        from barloom.plans.frame import sequence
-        cols = [self.key, self.ts, "open", "high", "low", "close", "volume"]
-        new = batch.select(*cols)
-        if self.tail_path:
-            hist = self.spark.read.parquet(self.tail_path).select(*cols)
-            allb = hist.unionByName(new).dropDuplicates([self.key, self.ts])
+        self.key, self.ts, self.block_rows = key, ts, block_rows
+        self.base = base or scratch(spark, "features")
+        self.out = f"{self.base}/out"
+
+    def _path(self, batch_id: int) -> str:
+        return f"{self.base}/tail/b{batch_id}"
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _tail(self, batch_id: int) -> DataFrame | None:
+        fs, p = self._fs(self._path(batch_id))
+        return self.spark.read.parquet(self._path(batch_id)) if fs.exists(p) else None
+
+    def seed(self, history: DataFrame) -> None:
+        """ST6: warm-up from history: its bars are seen, but no features are written."""
+        self._step(history, -1, write=False)
+
+    def _step(self, bars: DataFrame, batch_id: int, write: bool) -> None:
+        from barloom.plans.frame import from_sequenced, sequence
+        key, ts = self.key, self.ts
+        new = bars.select(key, ts, *self.COLUMNS)
+        tail = self._tail(batch_id - 1)
+        if tail is None:
+            rows = new.withColumns({"_old": F.lit(False), "_before": F.lit(0).cast("long")})
+            seen = None
         else:
-            hist, allb = None, new
-        fr = self.build(sequence(allb, key=self.key, order=(self.ts,)))
-        feats = fr.df.join(new.select(self.key, self.ts), [self.key, self.ts], "left_semi")
-        if self.model is not None:
-            feats = self.model.transform(feats)
-        feats.drop("blk", "sblk").withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.out)
-        self._write_tail(allb)
-
-    def run(self, bars_stream: DataFrame) -> str:
-        ck = scratch(self.spark, "features-ck")
-        q = (bars_stream.writeStream.foreachBatch(self.process).option("checkpointLocation", ck)
-             .trigger(availableNow=True).start())
+            # one row per symbol
+            seen = tail.groupBy(key).agg(F.max(ts).alias("_last"), (F.min("rn") - 1).alias("_off"), F.max("rn").alias("_seen"))
+            fresh = new.join(seen, key, "left").where(F.col("_last").isNull() | (F.col(ts) > F.col("_last")))
+            rows = (tail.withColumn("_old", F.lit(True)).drop("rn")
+                    .unionByName(fresh.select(*new.columns, F.lit(False).alias("_old")), allowMissingColumns=True)
+                    .join(seen.select(key, F.col("_off").alias("_before")), key, "left"))
+        fr = sequence(rows, key=key, order=(ts,), block_rows=self.block_rows)
+        df = fr.df.withColumn("rn", F.col("rn") + F.coalesce("_before", F.lit(0))).drop("_before", "blk", "sblk")
+        last = F.lit(False) if seen is None else F.col("rn") == F.coalesce("_seen", F.lit(-1))
+        if seen is not None:
+            df = df.join(seen.select(key, "_seen"), key, "left")
+        df = df.withColumn("_last_old", last).drop("_seen")
+        made = self.build(from_sequenced(df, key=key, order=(ts,), block_rows=self.block_rows, stats=fr.stats).resumed())
+        if made.reach > self.buffer:
+            raise ValueError(f"the plan reads {made.reach} earlier bars, the buffer holds {self.buffer}")
+        done = reliable_checkpoint(made.df.drop("blk", "sblk", "_last_old"))
+        kept = [c for c in done.columns if c.startswith("_kept_")]
+        if write:
+            feats = done.where(~F.col("_old")).drop("_old", *kept)
+            if self.model is not None:
+                feats = self.model.transform(feats)
+            feats.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+        upto = done.groupBy(key).agg(F.max("rn").alias("_n"))
+        (done.join(upto, key).where(F.col("rn") > F.col("_n") - self.buffer)
+         .select(key, ts, "rn", *self.COLUMNS, *kept).write.mode("overwrite").parquet(self._path(batch_id)))
+        fs, old = self._fs(self._path(batch_id - 2))  # b<k-1> stays for a batch that is run again
+        fs.delete(old, True)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        self._step(batch, batch_id, write=True)
+
+    def run(self, bars_stream: DataFrame, checkpoint: str | None = None) -> str:
+        q = (bars_stream.writeStream.foreachBatch(self.process)
+             .option("checkpointLocation", checkpoint or f"{self.base}/ck").trigger(availableNow=True).start())
         q.awaitTermination()
         return self.out
 
 
 # ------------------------------------------------------------------ ST4
 def stateful_exits(stream: DataFrame, signal: str = "signal", size: float = 1.0, max_holding: int = 20,
-                   stop_pct: float = 0.02, key: str = "symbol", ts: str = "ts") -> DataFrame:
-    """ST4: target position with time exit and stop; state per symbol = (position,
-    entry price, bars held, last ts).  Rows are processed in time order per batch."""
-    out_schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(ts, T.TimestampNTZType()),
-                               T.StructField("target", T.DoubleType())])
-    state_schema = T.StructType([T.StructField("last", T.DoubleType()), T.StructField("entry", T.DoubleType()),
-                                 T.StructField("bars", T.LongType())])
+                   stop_pct: float = 0.02, key: str = "symbol", ts: str = "ts", order: str = "event_id",
+                   delay: str = "1 hour") -> DataFrame:
+    """ST4: target position with time exit and stop.
+
+    State per symbol: (position, entry price, bars held) and the rows that the
+    watermark has not passed.  A row is used once the watermark has passed it, in the
+    order (ts, ``order``), so neither the order of arrival nor the size of Arrow
+    chunks matters; rows later than the watermark are dropped by Spark.  Rows after
+    the last watermark stay in the state (append mode)."""
+    from barloom.operators.grouped import exits_run
+    out_schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(order, T.LongType()),
+                               T.StructField("_us", T.LongType()), T.StructField("target", T.DoubleType())])
+    longs, doubles = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
+    state_schema = T.StructType([T.StructField("path", doubles), T.StructField("us", longs), T.StructField("seq", longs),
+                                 T.StructField("signal", doubles), T.StructField("close", doubles)])
+    cols = ["us", "seq", "signal", "close"]
 
     def fn(k, pdfs, state):
-        last, entry, bars = (state.get if state.exists else (0.0, 0.0, 0))
-        outs = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(ts)
-            tg = np.zeros(len(pdf))
-            for i, (sig, c) in enumerate(zip(pdf[signal].fillna(0).to_numpy(float), pdf["close"].to_numpy(float))):
-                new = last
-                if sig == 1:
-                    new = size
-                elif sig == -1:
-                    new = -size
-                if last != 0 and bars >= max_holding:
-                    new = 0.0
-                if last > 0 and c <= entry * (1 - stop_pct):
-                    new = 0.0
-                elif last < 0 and c >= entry * (1 + stop_pct):
-                    new = 0.0
-                if new != 0 and (last == 0 or np.sign(new) != np.sign(last)):
-                    entry, bars = c, 0
-                elif new != 0:
-                    bars += 1
-                tg[i] = new
-                last = new
-            outs.append(pd.DataFrame({key: pdf[key].to_numpy(), ts: pdf[ts].to_numpy(), "target": tg}))
-        state.update((float(last), float(entry), int(bars)))
-        yield pd.concat(outs) if outs else pd.DataFrame(columns=[key, ts, "target"])
-
-    return stream.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                      GroupStateTimeout.NoTimeout)
+        path, *held = state.get if state.exists else ([0.0, 0.0, 0.0], [], [], [], [])
+        rows = pd.DataFrame(dict(zip(cols, (list(h) for h in held))), columns=cols)
+        parts = [rows] if len(rows) else []
+        parts += [p[["_us", order, signal, "close"]].set_axis(cols, axis=1) for p in pdfs if len(p)]
+        rows = pd.concat(parts, ignore_index=True) if parts else rows
+        mark = state.getCurrentWatermarkMs()
+        ready = rows["us"] // 1000 < mark
+        due = rows[ready].sort_values(["us", "seq"], kind="stable")
+        target, end = exits_run(due["signal"].fillna(0).tolist(), due["close"].astype(float).tolist(), 0, list(path),
+                                size, max_holding, stop_pct)
+        rest = rows[~ready]
+        state.update((list(end), rest["us"].astype("int64").tolist(), rest["seq"].astype("int64").tolist(),
+                      rest["signal"].astype(float).tolist(), rest["close"].astype(float).tolist()))
+        if len(rest):
+            state.setTimeoutTimestamp(max(int(rest["us"].min()) // 1000, mark + 1))
+        yield pd.DataFrame({key: [k[0]] * len(due), order: due["seq"].to_numpy("int64"), "_us": due["us"].to_numpy("int64"), "target": target})
+
+    s = stream.withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
+    s = s.withColumn("_us", F.unix_micros("_ets")).withColumn(signal, F.col(signal).cast("double"))
+    out = s.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(key, order, wall_clock(F.timestamp_micros("_us")).alias(ts), "target")
