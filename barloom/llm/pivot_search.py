@@ -163,7 +163,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 64
     """query_id, rank, vec_id, score of each query's ``k`` largest inner products.
 
     Both frames hold ``vec_id`` long and ``v`` array<double> of integers (null:
-    takes no part).  Only vectors of the query's dimension are candidates;
+    or empty: takes no part).  Only vectors of the query's dimension are candidates;
     every row with the query's own ``vec_id`` is left out.  Ties go to the smaller
     ``vec_id``; candidates repeated under one id count once (best score).
     A query id that occurs twice is asked once, with its smallest vector.  Fewer
@@ -171,8 +171,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 64
     """
     spark = vectors.sparkSession
     small_batches(spark, 64)  # a row of the search holds two blocks
-    rows = vectors.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).select("vec_id", "v")
-    asked = (queries.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull())
+    usable = (F.size("v") > 0) & F.col("vec_id").isNotNull()
+    rows = vectors.where(usable).select("vec_id", "v")
+    asked = (queries.where(usable)
              .groupBy("vec_id").agg(F.min("v").alias("v")))
     out = None
     for dim, in rows.select(F.size("v")).distinct().orderBy(F.size("v")).collect():

@@ -42,7 +42,7 @@ class Rules:
     min_words: int = 20
     window: int = 8
     max_repeat_pct: int = 30
-    max_covered: float = 0.3
+    max_covered: float = 0.4
     max_longest: float = 0.2
     long_words: int = 16
 

@@ -249,7 +249,7 @@ def test_top_k(spark, big):
 
 def test_top_k_awkward(spark):
     e = "vec_id long, embedding array<float>"
-    df = spark.createDataFrame([(0, [0.5, None]), (50, [float("nan"), 1.0]), (100, None), (150, [0.1, 0.2])], e)
+    df = spark.createDataFrame([(0, [0.5, None]), (50, [float("nan"), 1.0]), (100, None), (150, [0.1, 0.2]), (200, [])], e)
     v = df.select("vec_id", pivot_search.grid_vector("embedding").alias("v"))
     assert [r["v"] for r in v.orderBy("vec_id").collect()][:3] == [None] * 3
     assert pivot_search.top_k(v, v).count() == 0
