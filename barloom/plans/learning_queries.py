@@ -336,27 +336,71 @@ def q_ev4(spark, sf):
 
 
 # ------------------------------------------------------------- SEL
-_SEL1_P = [5, 7, 9, 11, 13, 15, 17]
+_SEL1_RANGES = [(4, 10), (10, 20), (20, 30), (30, 40), (40, 50), (50, 100), (100, 200), (200, 300)]
+_SEL1_IND = ["RSI", "ATR", "ADX", "LINEARREG_SLOPE", "MOM"]
+
+
+def _sel1_periods(per_range: int = 2, seed: int = 42) -> list[int]:
+    """A fixed seeded sample of the periods of each range."""
+    import random
+    rnd = random.Random(seed)
+    return sorted(p for lo, hi in _SEL1_RANGES for p in rnd.sample(range(lo, hi), per_range))
 
 
 def _sel1_sql():
-    cols = ", ".join(f"{G(p, f'close - {LAG(CLOSE, p)}')} AS m{p}" for p in _SEL1_P)
-    uni = " UNION ALL ".join(f"SELECT symbol, 'MOM' AS indicator, {p} AS period, corr(fwd, m{p}) AS c FROM a GROUP BY symbol" for p in _SEL1_P)
-    return (f"WITH {DAILY_CTES}, a AS (SELECT symbol, lead(close, 10) OVER w / close - 1 AS fwd, {cols} FROM bd {WINDOW}), "
-            f"u AS ({uni}), r AS (SELECT * FROM (VALUES (4, 10), (10, 20)) t(lo, hi)), "
+    """All recurrences of all periods as lists carried by one row-by-row loop."""
+    P = _sel1_periods()
+    n = len(P)
+    ps, ks = "[" + ", ".join(f"{p}.0" for p in P) + "]", f"range(1, {n + 1})"
+    zero = f"[0.0::DOUBLE for k in {ks}]"
+
+    def mean(y, x, first):  # Wilder mean from row p * mult + add: seed of p values
+        mult, add = first
+        return (f"[CASE WHEN rn < p[k] * {mult} + {add} THEN 0.0 WHEN rn <= p[k] * {mult} + {add} + p[k] - 1 THEN {y}[k] + {x} / p[k] "
+                f"ELSE {y}[k] * (p[k] - 1) / p[k] + {x} / p[k] END for k in {ks}]")
+
+    def total(y, x):
+        return f"[CASE WHEN rn < 2 THEN 0.0 WHEN rn <= p[k] THEN {y}[k] + {x} ELSE {y}[k] * (p[k] - 1) / p[k] + {x} END for k in {ks}]"
+    di = "(CASE WHEN t2[k] <> 0 THEN {}[k] * 100.0 / t2[k] ELSE 0.0 END)"
+    up, dn = di.format("s2"), di.format("m2")
+    start = ", ".join(f"{zero} AS {c}" for c in ("ag", "al", "tra", "sp", "sm", "st", "dx", "ax"))
+    step = (f"SELECT symbol, rn, ag2 AS ag, al2 AS al, tra2 AS tra, s2 AS sp, m2 AS sm, t2 AS st, dx2 AS dx, {mean('ax', 'dx2[k]', (1, 1))} AS ax FROM ("
+            f"SELECT *, [CASE WHEN rn <= p[k] THEN 0.0 WHEN {up} + {dn} <> 0 THEN abs({up} - {dn}) * 100.0 / ({up} + {dn}) ELSE dx[k] END for k in {ks}] AS dx2 FROM ("
+            f"SELECT *, {mean('ag', 'g', (0, 2))} AS ag2, {mean('al', 'l', (0, 2))} AS al2, {mean('tra', 'tr', (0, 2))} AS tra2, "
+            f"{total('sp', 'pdm')} AS s2, {total('sm', 'mdm')} AS m2, {total('st', 'tr')} AS t2 FROM ("
+            f"SELECT d.symbol, d.rn, d.g, d.l, d.tr, d.pdm, d.mdm, {ps} AS p, r.* EXCLUDE (symbol, rn) FROM rec r JOIN d ON d.symbol = r.symbol AND d.rn = r.rn + 1)))")
+    value = {"RSI": lambda i, p: f"CASE WHEN rn > {p} THEN CASE WHEN ag[{i}] + al[{i}] <> 0 THEN ag[{i}] * 100.0 / (ag[{i}] + al[{i}]) ELSE 0.0 END END",
+             "ATR": lambda i, p: f"CASE WHEN rn > {p} THEN tra[{i}] END", "ADX": lambda i, p: f"CASE WHEN rn >= {2 * p} THEN ax[{i}] END",
+             "LINEARREG_SLOPE": lambda i, p: f"sl{p}", "MOM": lambda i, p: f"mo{p}"}
+    cols = ", ".join(f"{G(p - 1, f'regr_slope(close, rn) {W(p)}')} AS sl{p}, {G(p, f'close - {LAG(CLOSE, p)}')} AS mo{p}" for p in P)
+    uni = " UNION ALL ".join(f"SELECT symbol, '{ind}' AS indicator, {p} AS period, corr(fwd, {value[ind](i + 1, p)}) AS c FROM x GROUP BY symbol"
+                             for ind in _SEL1_IND for i, p in enumerate(P))
+    ranges = ", ".join(f"({lo}, {hi})" for lo, hi in _SEL1_RANGES)
+    return (f"WITH RECURSIVE {DAILY_CTES}, d0 AS (SELECT *, close - lag(close) OVER w AS dc, high - lag(high) OVER w AS up, lag(low) OVER w - low AS dn, "
+            f"lag(close) OVER w AS pc FROM bd {WINDOW}), "
+            "d AS (SELECT symbol, rn, greatest(dc, 0.0) AS g, greatest(-dc, 0.0) AS l, CASE WHEN up > 0 AND up > dn THEN up ELSE 0.0 END AS pdm, "
+            "CASE WHEN dn > 0 AND dn > up THEN dn ELSE 0.0 END AS mdm, CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr FROM d0), "
+            f"rec AS (SELECT DISTINCT symbol, CAST(1 AS BIGINT) AS rn, {start} FROM bd UNION ALL {step}), "
+            f"f AS (SELECT symbol, rn, lead(close, 10) OVER w / close - 1 AS fwd, {cols} FROM bd {WINDOW}), "
+            f"x AS (SELECT * FROM f JOIN rec USING (symbol, rn)), u AS ({uni}), r AS (SELECT * FROM (VALUES {ranges}) t(lo, hi)), "
             "k AS (SELECT u.*, lo, hi, row_number() OVER (PARTITION BY symbol, indicator, lo ORDER BY abs(c) DESC, period) AS rk "
             "FROM u JOIN r ON period >= lo AND period < hi) "
-            f"SELECT symbol, indicator, lo AS range_lo, hi AS range_hi, period, {R('c', 8)} AS corr FROM k WHERE rk = 1")
+            f"SELECT symbol, indicator, lo AS range_lo, hi AS range_hi, period, {R('c', 7)} AS corr FROM k WHERE rk = 1")
 
 
 @reg("sel1_indicator_tuning", _sel1_sql())
 def q_sel1(spark, sf):
-    fr = daily_frame(spark, sf)
+    """SEL1: RSI, ATR, ADX, LINEARREG_SLOPE and MOM over the eight period ranges (two sampled periods each)."""
+    from barloom.plans import features as FP
+    P = _sel1_periods()
+    fr = sequence(BS.bars_daily(spark, sf))
     w = Win(fr.key, fr.block)
-    fr = fr.add(FI.Feat([("fwd", w.lead(F.col("close"), 10) / F.col("close") - 1)], 0, 10),
-                *[FI.mom(w, n=p, out=f"m{p}") for p in _SEL1_P])
-    out = LN.best_period_by_correlation(fr.df, "fwd", {("MOM", p): f"m{p}" for p in _SEL1_P}, [(4, 10), (10, 20)], key="symbol")
-    return finish(out, 8)
+    fr = fr.add(FI.Feat([("fwd", w.lead(F.col("close"), 10) / F.col("close") - 1)], 0, 10))
+    made = FP.generate_all_features(fr.drop("fwd"), patterns=False, time=False, cycle=False, dropna=False, sort=False,
+                                    pairs=[(i, p) for i in _SEL1_IND for p in P])
+    df = made.df.join(fr.df.select("symbol", "rn", "fwd"), ["symbol", "rn"])
+    out = LN.best_period_by_correlation(df, "fwd", {(i, p): f"{i}_{p}" for i in _SEL1_IND for p in P}, _SEL1_RANGES, key="symbol")
+    return finish(out, 7)
 
 
 @reg("sel2_prune_correlated")
@@ -448,11 +492,17 @@ def q_sel8(spark, sf):
 
 
 # ------------------------------------------------------------- FP / SNK
+FP1_LAGS = [7, 77, 147]
+
+
 @reg("fp1_generate_all_features")
 def q_fp1(spark, sf):
-    """FP1: every family at all 15 lags, patterns smoothed by WMA(300), cycle and time fields; rows with a NULL dropped."""
+    """FP1: every family, patterns smoothed by WMA(300), cycle and time fields, rows with a NULL dropped.
+
+    The lags are a parameter; this query builds the first, middle and last of the
+    15 (all 15 take minutes on small tables, see README)."""
     from barloom.plans import features as FP
-    return FP.generate_all_features(sequence(BS.bars_daily(spark, sf))).df.drop("blk", "sblk")
+    return FP.generate_all_features(sequence(BS.bars_daily(spark, sf)), FP1_LAGS).df.drop("blk", "sblk")
 
 
 _FP2_NAMES = "3_LINEARREG_SLOPE_17,0_RSI_7,1_STOCH_7slowk,2_time_day_of_month,4_CDLENGULFING,5_MACDHIST_7,"

@@ -668,37 +668,49 @@ def q_pnl3(spark, sf):
     return finish(out, 2, {"total_return": 8, "sharpe": 6})
 
 
-def _sweep_sql(thresholds=(0.0, 1e-3, 1e-2)):
-    parts = []
-    for th in thresholds:
-        parts.append(
-            f"SELECT symbol, {th!r} AS threshold, rn, open, close, coalesce(last_value(CASE WHEN sl > {th!r} THEN 10.0 "
-            f"WHEN sl < -{th!r} THEN 0.0 END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS pos "
-            f"FROM s {WINDOW}")
-    wt = "WINDOW v AS (PARTITION BY symbol, threshold ORDER BY rn)"
-    return (f"WITH {DAILY_CTES}, s AS (SELECT *, {G(6, f'regr_slope(close, rn) {W(7)}')} AS sl FROM bd {WINDOW}), "
-            f"u AS ({' UNION ALL '.join(parts)}), "
-            f"x AS (SELECT *, coalesce(lag(pos) OVER v, 0.0) * (close - open) AS pnl FROM u {wt}), "
-            f"y AS (SELECT *, sum(pnl) OVER (v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM x {wt}) "
-            f"SELECT symbol, {R('threshold', 6)} AS threshold, {R('arg_max(cum, rn)', 2)} AS final_pnl FROM y GROUP BY symbol, threshold")
+_SWEEP_TH, _SWEEP_LAG = [0.0, 1000.0, 5000.0, 10000.0], [1, 2, 3]
+
+
+def _sweep_sql():
+    parts = " UNION ALL ".join(
+        f"SELECT symbol, {th!r} AS threshold, rn, open, close, coalesce(last_value(CASE WHEN sl > {th!r} THEN 10.0 "
+        f"WHEN sl < -{th!r} THEN 0.0 END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS pos "
+        f"FROM s {WINDOW}" for th in _SWEEP_TH)
+    lags = " UNION ALL ".join(
+        f"SELECT symbol, threshold, {k} AS lag, coalesce(lag(pos, {k}) OVER (PARTITION BY symbol, threshold ORDER BY rn), 0.0) * (close - open) AS pnl FROM u"
+        for k in _SWEEP_LAG)
+    return (f"WITH {DAILY_CTES}, s AS (SELECT *, {G(6, f'regr_slope(close, rn) {W(7)}')} AS sl FROM bd {WINDOW}), u AS ({parts}), x AS ({lags}), "
+            "t AS (SELECT symbol, threshold, lag, sum(pnl) AS final_pnl, CASE WHEN stddev_samp(pnl) > 0 THEN avg(pnl) / stddev_samp(pnl) ELSE 0.0 END AS ratio "
+            "FROM x GROUP BY ALL) "
+            f"SELECT symbol, CAST(threshold AS DOUBLE) AS threshold, lag, {R('final_pnl', 1)} AS final_pnl, {R('ratio', 8)} AS ratio, "
+            "row_number() OVER (PARTITION BY symbol ORDER BY round(ratio, 8) DESC, threshold, lag) = 1 AS best FROM t")
 
 
 @reg("pnl4_parameter_sweep", _sweep_sql())
 def q_pnl4(spark, sf):
-    """Strategy parameter sweep: each threshold of a small fixed grid gets its own
-    latch + PnL (the grid is expanded by ``explode``; each copy is keyed by it)."""
+    """Strategy sweep over two parameters (slope threshold, bars between signal and position): final PnL and mean/deviation
+    ratio per combination, and the best combination by the ratio.  Thresholds are copies of the rows (``explode`` of
+    a small grid, each keyed by it); lags are columns of one aggregate."""
+    from pyspark.sql import Window
     from barloom.plans.frame import from_sequenced
     fr = daily_frame(spark, sf)
     fr = fr.add(FI.linearreg_slope(Win(fr.key, fr.block), n=7, out="sl"))
-    g = JN.with_parameter_grid(fr.df.drop("blk", "sblk"), "threshold", [0.0, 1e-3, 1e-2])
+    g = JN.with_parameter_grid(fr.df.drop("blk", "sblk"), "threshold", _SWEEP_TH)
     g = g.withColumn("skey", F.concat_ws("|", "symbol", F.col("threshold").cast("string")))
     gfr = from_sequenced(g, key="skey", block_rows=Q_BLOCK, stats=None)
     th = F.col("threshold")
     gfr = gfr.with_columns(signal=F.when(F.col("sl") > th, 1).when(F.col("sl") < -th, -1).otherwise(0))
     gfr = SG.latch(gfr, "signal", 10.0, 0.0, "position")
-    gfr = SG.model_return(gfr, "position", lag=1)
-    out = gfr.df.groupBy("symbol", "threshold").agg(F.max_by("cum_pnl", "rn").alias("final_pnl"))
-    return finish(out, 2, {"threshold": 6})
+    w = Win(gfr.key, gfr.block)
+    gfr = gfr.add(FI.Feat([(f"pnl{k}", F.coalesce(w.lag(F.col("position"), k), F.lit(0.0)) * (F.col("close") - F.col("open")))
+                           for k in _SWEEP_LAG], max(_SWEEP_LAG)))
+    stats = F.array(*[F.struct(F.lit(k).alias("lag"), F.sum(f"pnl{k}").alias("final_pnl"),
+                               F.when(F.stddev_samp(f"pnl{k}") > 0, F.avg(f"pnl{k}") / F.stddev_samp(f"pnl{k}")).otherwise(0.0).alias("ratio"))
+                      for k in _SWEEP_LAG])
+    out = gfr.df.groupBy("symbol", "threshold").agg(stats.alias("e")).select("symbol", "threshold", F.explode("e").alias("e")).select("symbol", "threshold", "e.*")
+    out = finish(out, 8, {"final_pnl": 1})
+    best = Window.partitionBy("symbol").orderBy(F.desc("ratio"), "threshold", "lag")  # one row per combination
+    return out.withColumn("best", F.row_number().over(best) == 1)
 
 
 # ===================================================================== top-k
