@@ -294,17 +294,24 @@ def q_flt3(spark, sf):
                                     group="symbol")
 
 
-def _holidays_sql(years):
-    hs = [h for y in years for h in TF.us_holidays(y)]
-    return "[" + ", ".join(f"DATE '{h.isoformat()}'" for h in hs) + "]"
-
-
-_FLT4_SQL = f"""
-WITH d AS (SELECT event_id, event_type AS symbol, ts, CAST(ts AS DATE) AS day FROM events),
+# US federal holidays by SQL rule, independent of the engine's calendar
+_HOLIDAYS_SQL = """
+SELECT CASE isodow(d) WHEN 6 THEN d - 1 WHEN 7 THEN d + 1 ELSE d END AS hd
+FROM (SELECT make_date(y, m, k) AS d FROM range(1994, 2027) r(y), (VALUES (1, 1), (6, 19), (7, 4), (11, 11), (12, 25)) f(m, k) WHERE NOT (m = 6 AND y < 2021))
+UNION ALL
+SELECT CAST(make_date(y, m, 1) + CAST((dow - isodow(make_date(y, m, 1)) + 7) % 7 + 7 * (n - 1) AS INTEGER) AS DATE)
+FROM range(1994, 2027) r(y), (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (10, 1, 2), (11, 4, 4)) w(m, dow, n)
+UNION ALL
+SELECT CAST(make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER) AS DATE) FROM range(1994, 2027) r(y)"""
+
+
+def _flt4_sql(source: str) -> str:
+    return f"""
+WITH d AS (SELECT *, CAST(ts AS DATE) AS day FROM ({source})),
 s0 AS (SELECT symbol, day, min(ts) AS op, max(ts) AS cl FROM d GROUP BY symbol, day),
 s AS (SELECT *, lead(day) OVER (PARTITION BY symbol ORDER BY day) AS nx,
                 lag(day) OVER (PARTITION BY symbol ORDER BY day) AS pv FROM s0),
-h AS (SELECT unnest({_holidays_sql(range(2023, 2026))}) AS hd),
+h AS ({_HOLIDAYS_SQL}),
 f AS (SELECT s.*,
    EXISTS (SELECT 1 FROM h WHERE hd = s.day) AS is_holiday,
    EXISTS (SELECT 1 FROM h WHERE hd > s.day AND (CASE WHEN s.nx IS NULL THEN hd <= s.day + 7 ELSE hd < s.nx END)) AS last_day_before_holiday,
@@ -316,14 +323,25 @@ SELECT d.event_id, d.symbol, d.ts, is_holiday, last_day_before_holiday, first_da
 FROM d JOIN f ON f.symbol = d.symbol AND f.day = d.day"""
 
 
-@reg("flt4_calendar_flags", _FLT4_SQL)
-def q_flt4(spark, sf):
-    ev = TB.table(spark, sf, "events").select("event_id", F.col("event_type").alias("symbol"), "ts")
-    out = TF.calendar_flags(ev, "symbol", "ts", minutes=(10, 30))
+def _flags(ticks):
+    out = TF.calendar_flags(ticks, "symbol", "ts", minutes=(10, 30))
     return out.select("event_id", "symbol", "ts", "is_holiday", "last_day_before_holiday", "first_day_after_holiday",
                       "within_open_10", "within_close_10", "within_open_30", "within_close_30")
 
 
+@reg("flt4_calendar_flags", _flt4_sql("SELECT event_id, event_type AS symbol, ts FROM events"))
+def q_flt4(spark, sf):
+    return _flags(TB.table(spark, sf, "events").select("event_id", F.col("event_type").alias("symbol"), "ts"))
+
+
+@reg("flt4_calendar_flags_seven_years", _flt4_sql(
+    "SELECT o_orderkey AS event_id, o_orderpriority || o_orderstatus || CAST(o_custkey % 10 AS VARCHAR) AS symbol, o_orderdate AS ts FROM orders"))
+def q_flt4_orders(spark, sf):
+    """Holiday flags over 1995–2001, with symbols thin enough to miss days around holidays."""
+    key = F.concat("o_orderpriority", "o_orderstatus", (F.col("o_custkey") % 10).cast("string"))
+    return _flags(TB.table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"), key.alias("symbol"), F.col("o_orderdate").alias("ts")))
+
+
 @reg("flt5_row_slice", f"WITH {DAILY_CTES} SELECT symbol, ts, rn, {R('close', 4)} AS close FROM bd WHERE rn > 500 AND rn <= 1000")
 def q_flt5(spark, sf):
     fr = daily_frame(spark, sf)
