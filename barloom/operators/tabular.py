@@ -110,14 +110,15 @@ def _interp(x: Column, xs: list[float], ys: list[float]) -> Column:
 def apply_quantile_transform(df: DataFrame, state: dict, output: str = "uniform") -> DataFrame:
     """Map each value through the fitted quantiles to [0, 1]; ``normal`` then applies
     Φ⁻¹ (clipped away from 0 and 1 as usual)."""
-    out = {}
-    for c, qv in state["quantiles"].items():
-        u = _interp(F.col(c).cast("double"), qv, state["references"])
-        if output == "normal":
-            eps = 1e-7
-            u = inverse_normal(F.least(F.greatest(u, F.lit(eps)), F.lit(1 - eps)))
-        out[c] = F.when(F.col(c).isNotNull(), u)
-    return df.withColumns(out)
+    cols = list(state["quantiles"])
+    df = df.withColumns({c: F.when(F.col(c).isNotNull(), _interp(F.col(c).cast("double"), qv, state["references"]))
+                         for c, qv in state["quantiles"].items()})
+    if output == "normal":  # a projection of its own, so the interpolation is evaluated once
+        eps = 1e-7
+        df = df.withColumns({f"_u_{c}": F.least(F.greatest(F.col(c), F.lit(eps)), F.lit(1 - eps)) for c in cols})
+        df = df.withColumns({c: F.when(F.col(c).isNotNull(), inverse_normal(F.col(f"_u_{c}"))) for c in cols})
+        df = df.drop(*[f"_u_{c}" for c in cols])
+    return df
 
 
 # ---------------------------------------------------------------- TAB5 / TAB6

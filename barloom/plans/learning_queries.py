@@ -19,7 +19,7 @@ from barloom.plans.queries import daily_frame, finish
 from barloom.plans import pattern_oracle as PO
 from barloom.plans import sqlkit as SK
 from barloom.plans.sqlkit import G, LAG, R, W
-from barloom.plans.table_queries import LAB_CTES, labelled_daily
+from barloom.plans.table_queries import LAB_CTES, _inv_norm_sql, labelled_daily
 from barloom.sources import bars as BS
 from barloom.sources import tables as TB
 
@@ -102,6 +102,15 @@ def q_tab4(spark, sf):
     return finish(TAB.apply_quantile_transform(p, st, "uniform"), 8)
 
 
+@reg("tab4_quantile_transform_normal", f"WITH q AS (SELECT quantile_cont(p_retailprice, {_QS}) AS qs FROM part), "
+     f"u AS (SELECT p_partkey, least(greatest({_interp_sql('p_retailprice', 'qs', 100)}, 1e-7), 1 - 1e-7) AS u FROM part, q) "
+     f"SELECT p_partkey, {R(_inv_norm_sql('u'), 6)} AS p_retailprice FROM u")
+def q_tab4n(spark, sf):
+    p = TB.table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    st = TAB.fit_quantile_transform(p, ["p_retailprice"], 100)
+    return finish(TAB.apply_quantile_transform(p, st, "normal"), 6)
+
+
 @reg("tab5_standard_scaler", f"WITH s AS (SELECT avg(p_retailprice) AS m, stddev_pop(p_retailprice) AS sd FROM part) "
      f"SELECT p_partkey, {R('(p_retailprice - m) / sd', 8)} AS p_retailprice FROM part, s")
 def q_tab5(spark, sf):
@@ -133,14 +142,18 @@ def q_tab8(spark, sf):
     return TAB.apply_one_hot(p, "p_type", TAB.fit_one_hot(p, "p_type")).drop("p_type")
 
 
-@reg("tab9_label_encoding_nan_unk", "WITH f AS (SELECT DISTINCT coalesce(p_brand, '_nan') AS v FROM part WHERE p_size <= 10), "
-     "d AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM f), "
-     "m AS (SELECT max(code) AS mx, max(CASE WHEN v = '_nan' THEN 1 ELSE 0 END) AS has_nan FROM d) "
-     "SELECT p_partkey, coalesce(d.code, CASE WHEN m.has_nan = 1 THEN m.mx + 1 ELSE m.mx + 2 END) AS p_brand_code "
-     "FROM part LEFT JOIN d ON d.v = coalesce(p_brand, '_nan'), m")
+_BRANDS = "(SELECT p_partkey, p_size, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS p_brand FROM part)"
+
+
+@reg("tab9_label_encoding_nan_unk", f"WITH b AS {_BRANDS}, f AS (SELECT DISTINCT p_brand AS v FROM b WHERE p_size <= 10 AND p_brand <> (SELECT min(p_brand) FROM part)), "
+     "d AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM f), m AS (SELECT max(code) AS mx FROM d) "
+     "SELECT p_partkey, CASE WHEN p_brand IS NULL THEN mx + 1 WHEN d.code IS NULL THEN mx + 2 ELSE d.code END AS p_brand_code "
+     "FROM b LEFT JOIN d ON d.v = p_brand, m")
 def q_tab9(spark, sf):
-    p = TB.table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
-    enc = TAB.fit_label_encoder(p.where(F.col("p_size") <= 10), "p_brand")
+    """The first brand is never seen when fitting (``_unk``), every seventh brand is missing when applying (``_nan``)."""
+    p = TB.table(spark, sf, "part").select("p_partkey", "p_size", F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).alias("p_brand"))
+    low = TB.table(spark, sf, "part").agg(F.min("p_brand")).first()[0]
+    enc = TAB.fit_label_encoder(p.where((F.col("p_size") <= 10) & (F.col("p_brand") != low)), "p_brand")
     return TAB.apply_label_encoder(p, "p_brand", enc).select("p_partkey", F.col("p_brand_code").cast("int"))
 
 
@@ -403,11 +416,25 @@ def q_sel1(spark, sf):
     return finish(out, 7)
 
 
-@reg("sel2_prune_correlated")
+_SEL2 = ["open", "high", "low", "close", "volume"]
+
+
+def _sel2_sql():
+    """The greedy walk in column order, spelled out: a column stays if no kept one before it correlates above 0.95."""
+    ctes = [f"c AS (SELECT {', '.join(f'abs(corr({a}, {b})) > 0.95 AS x_{a}_{b}' for i, a in enumerate(_SEL2) for b in _SEL2[i + 1:])} FROM bd)"]
+    prev = "c"
+    for i, b in enumerate(_SEL2):
+        clash = " OR ".join(f"(k_{a} AND x_{a}_{b})" for a in _SEL2[:i]) or "FALSE"
+        ctes.append(f"s{i} AS (SELECT *, NOT ({clash}) AS k_{b} FROM {prev})")
+        prev = f"s{i}"
+    return (f"WITH {DAILY_CTES}, {', '.join(ctes)} "
+            + " UNION ALL ".join(f"SELECT '{c}' AS feature, k_{c} AS kept FROM {prev}" for c in _SEL2))
+
+
+@reg("sel2_prune_correlated", _sel2_sql())
 def q_sel2(spark, sf):
-    df = ml_table(spark, sf)
-    kept = LN.prune_correlated(df.select("symbol", "ts", *FEATS), FEATS, 0.95)
-    return spark.createDataFrame([(c, c in kept) for c in FEATS], "feature string, kept boolean")
+    kept = LN.prune_correlated(BS.bars_daily(spark, sf), _SEL2, 0.95)
+    return spark.createDataFrame([(c, c in kept) for c in _SEL2], "feature string, kept boolean")
 
 
 def _sel3_sql(step=10, top=5):
