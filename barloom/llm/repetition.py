@@ -36,14 +36,16 @@ class Rules:
     words in repeated ``window``-word windows.  Method: the union of repeated
     substrings may cover at most ``max_covered`` of the words' characters, and
     the longest repeat at most ``max_longest`` of the words (only counted from
-    ``long_words`` words on, so one short echo never rejects a text).
+    ``long_words`` words on, so one short echo never rejects a text).  Both lie
+    below what a text at the base limit has (30 % covered, so 15 % the longest
+    of two separate occurrences): the method rejects texts that the base keeps.
     """
 
     min_words: int = 20
     window: int = 8
     max_repeat_pct: int = 30
-    max_covered: float = 0.4
-    max_longest: float = 0.2
+    max_covered: float = 0.2
+    max_longest: float = 0.1
     long_words: int = 16
 
 

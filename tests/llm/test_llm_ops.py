@@ -171,6 +171,19 @@ def test_quality_verdict_limits(spark):
     assert sorted(r["doc_id"] for r in repetition.keep_good(df).collect()) == [1, 4]
 
 
+def test_quality_method_rejects_what_the_base_keeps(spark):
+    rng = random.Random(10)
+    a, b = ([f"w{k}x" for k in rng.sample(range(10**6), n)] for n in (24, 400))
+    two = a[:12] + b[:38] + a[:12] + b[38:76]  # 24 of 100 words covered, longest 12
+    run = b[:200] + ["na"] * 50 + b[200:]  # 50 of 450 words covered, longest 49: an overlapping repeat
+    once, small = b[:100], a[:9] + b[:150] + a[:9]  # 18 of 168 words covered
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((two, run, once, small))], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in repetition.quality(df).select("doc_id", "quality.*").collect()}
+    assert [got[i]["n_repeat_words"] for i in range(4)] == [24, 50, 0, 18]
+    assert not any(r["base_failed"] for r in got.values())
+    assert [got[i]["kept"] for i in range(4)] == [False, False, True, True]
+
+
 # ---- 4 packing ---------------------------------------------------------------------------------------------------
 
 def check_bins(rows, capacity):
