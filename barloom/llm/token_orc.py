@@ -33,7 +33,9 @@ RUN_BYTES = 1 << 20
 
 #: Characters of the short way: visible ASCII and precomposed Latin letters and signs
 #: (line feeds part the words).  Lower case and composition of these are the same in every library.
-PLAIN = re.compile("[\n\x21-\x7e\xa1-\u012f\u0131-\u024f]*")
+#: Capitals whose lower case lies beyond U+024F (U+0181, U+018F, ...) are not among them: PIECES has no class for it.
+_LATIN = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250))]
+PLAIN = re.compile(f"[\n{re.escape(''.join(c for c in _LATIN if c.lower() <= chr(0x24F)))}]*")
 
 #: The split pattern of the tokenizers that take the short way, and the same for lower-case plain
 #: text with its letters and numbers spelled out (line feeds kept); fixed values.

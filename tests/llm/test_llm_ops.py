@@ -96,6 +96,18 @@ def test_tokens_lookup_prunes(spark, docs):
     assert "EqualTo(doc_id,5)" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tokens_of_every_plain_character():
+    import public_tokenizers
+
+    enc = token_orc.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert enc.short
+    chars = [chr(c) for c in range(0x21, 0x300) if not chr(c).isspace()]  # the plain range and what follows it
+    words = [w for c in chars for w in (c, c + "li", "ab" + c + "li", "AB" + c, "1" + c + "2", "." + c + "'s", c + c)]
+    got = [np.frombuffer(enc.new_words([w.encode()])[0], "<u4").tolist() for w in words]
+    assert [w for w, ids, want in zip(words, got, whole_ids(words)) if ids + [2] != want] == []
+    assert all(token_orc.PLAIN.fullmatch(c) for c in "aZ0~\xa1\xadß×ÿĀıɏ") and not token_orc.PLAIN.fullmatch("\u018f")
+
+
 def test_tokens_empty_table(spark, empty):
     assert token_orc.read_tokens(spark, write(spark, empty)).count() == 0
 
