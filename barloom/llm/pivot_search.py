@@ -165,16 +165,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 64
     Both frames hold ``vec_id`` long and ``v`` array<double> of integers (null:
     or empty: takes no part).  Only vectors of the query's dimension are candidates;
     every row with the query's own ``vec_id`` is left out.  Ties go to the smaller
-    ``vec_id``; candidates repeated under one id count once (best score).
-    A query id that occurs twice is asked once, with its smallest vector.  Fewer
-    candidates than ``k`` give fewer rows; empty tables give none.
+    ``vec_id``.  Every row counts: a candidate stored n times may hold n ranks, and
+    a query id that occurs n times has one ranking over the scores of all its rows.
+    Fewer candidates than ``k`` give fewer rows; empty tables give none.
     """
     spark = vectors.sparkSession
     small_batches(spark, 64)  # a row of the search holds two blocks
     usable = (F.size("v") > 0) & F.col("vec_id").isNotNull()
     rows = vectors.where(usable).select("vec_id", "v")
-    asked = (queries.where(usable)
-             .groupBy("vec_id").agg(F.min("v").alias("v")))
+    asked = queries.where(usable).select("vec_id", "v")
     out = None
     for dim, in rows.select(F.size("v")).distinct().orderBy(F.size("v")).collect():
         part = _top_k_dim(rows.where(F.size("v") == dim), asked.where(F.size("v") == dim), dim,
@@ -182,11 +181,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, n_pivots: int = 64
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return out
+    return _best(out, k).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(some: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best rows of each query; equal rows each hold a rank."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _top_k_dim(rows: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots: int, sample: int,
                block_rows: int, block_queries: int, first: int) -> DataFrame:
+    """query_id, vec_id, score: rows of one dimension, each query's ``k`` best among them."""
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     top = rows.agg(F.max(square)).first()[0] or 0.0
     # the bounded sample: the rows with the smallest hashes, whatever the table's size
@@ -213,16 +219,11 @@ def _top_k_dim(rows: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots: in
     ring = Window.partitionBy("qb").orderBy("gap", "off", "annulus")
     pairs = staged(pairs.withColumn("ring", F.row_number().over(ring)), "pairs")
 
-    def best(some: DataFrame) -> DataFrame:
-        per_vec = some.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return per_vec.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
     found_schema = "query_id long, vec_id long, score long"
     start = (pairs.where(F.col("ring") <= first).select("qb", "annulus")
              .join(blocks.select("qb", "qids", "qm"), "qb").join(index.select("annulus", "ids", "m"), "annulus")
              .select("qids", "qm", "ids", "m", F.lit(None).cast("array<long>").alias("floor")))
-    found = staged(best(start.mapInArrow(_search(k), found_schema)), "first")
+    found = staged(_best(start.mapInArrow(_search(k), found_schema), k), "first")
     # each query's k-th score so far; in the order of its block
     kth = found.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     ids = blocks.select("qb", F.posexplode("id_list").alias("at", "query_id"))
@@ -238,4 +239,4 @@ def _top_k_dim(rows: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots: in
             .join(blocks.select("qb", "qids", "qm"), "qb").join(index.select("annulus", "ids", "m"), "annulus")
             .select("qids", "qm", "ids", "m", "floor"))
     more = rest.mapInArrow(_search(k), found_schema)
-    return best(found.select("query_id", "vec_id", "score").unionByName(more)).select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "vec_id", "score").unionByName(more)

@@ -272,6 +272,28 @@ def test_top_k(spark, big):
     assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == brute_top(rows, queries, 5)
 
 
+def test_top_k_repeated_rows(spark):
+    import duckdb
+    import pandas as pd
+
+    from barloom.llm.queries import OP5_SQL
+
+    rng = random.Random(4)
+    data = [(i, [rng.randrange(-256, 257) / 256 for _ in range(6)]) for i in range(120)]
+    top = data[7][1]
+    data += [(7, top)] * 9 + [(13, [3 * x for x in top])] * 3 + [(100, top)] * 8  # more than k times; a query among them
+    data += [(50, [-x for x in data[50][1]]), (21, data[22][1]), (21, data[23][1])]  # one id, several vectors
+    rng.shuffle(data)
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<double>").select(
+        "vec_id", pivot_search.grid_vector("embedding").alias("v"))
+    con = duckdb.connect()
+    con.register("embeddings", pd.DataFrame(data, columns=["vec_id", "embedding"]))
+    want = con.execute(OP5_SQL).fetchall()
+    for size in (4, 512):
+        got = pivot_search.top_k(rows, rows.where("vec_id % 50 = 0"), k=5, n_pivots=6, sample=64, block_rows=size, block_queries=2, first=2)
+        assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
 def test_top_k_awkward(spark):
     e = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [0.5, None]), (50, [float("nan"), 1.0]), (100, None), (150, [0.1, 0.2]), (200, [])], e)
