@@ -19,6 +19,9 @@ from barloom.llm.common import scratch_path  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: A source holds more various texts than a site, so its shared lines are on fewer of its documents.
+LINE_RATIO = 0.06
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
@@ -26,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on over a tenth of a source's documents (the source is the host) go; no document does."""
-    out = site_lines.drop_site_lines(docs, "source", "text", ["doc_id"])
+    """Lines on over ``LINE_RATIO`` of a source's documents (the source is the host) go; no document does."""
+    out = site_lines.drop_site_lines(docs, "source", "text", ["doc_id"], max_ratio=LINE_RATIO)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -55,6 +55,15 @@ def test_line_stage(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in after)
 
 
+def test_line_stage_cuts_lines_shared_by_under_a_tenth(spark):
+    import corpus_pipeline as P
+
+    rows = [(i, f"own {i}" + "\nshared" * (i < 8) + "\nrare" * (i < 4), "en", "src", None) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in P.line_dedup(spark, docs, SF).collect()}
+    assert got == {i: f"own {i}" + "\nrare" * (i < 4) for i in range(100)}
+
+
 def test_dedup_stage(stages):
     _, before, after, *_ = stages[2]
     items = [(r["doc_id"], brute.simhash(r["text"])) for r in before]
