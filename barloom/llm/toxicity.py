@@ -45,6 +45,9 @@ WORD = re.compile(r"\w+")
 #: Lengths of the word beginnings used as features.
 STEMS = (4, 5, 6)
 
+#: Features that a task counts before it hands its counts on.
+COUNT_FLUSH = 200_000
+
 
 @dataclass
 class Model:
@@ -125,8 +128,8 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """(y, text) to partial counts (feature, texts with it, toxic texts with it)."""
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(count)), pa.array(list(count.values()), pa.int64()), pa.array([toxic[f] for f in count], pa.int64())],
-            names=["feature", "n", "p"])
+            [pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64()),
+             pa.array([toxic[f] for f in count], pa.int64())], names=["feature", "n", "p"])
 
     count, toxic = Counter(), Counter()
     for b in batches:
@@ -135,10 +138,11 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             count.update(found)
             if y:
                 toxic.update(found)
-        if len(count) > 200_000:
+        if len(count) > COUNT_FLUSH:
             yield batch()
             count, toxic = Counter(), Counter()
-    yield batch()
+    if count:
+        yield batch()
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",

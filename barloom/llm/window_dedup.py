@@ -318,7 +318,7 @@ def _cut(kept_text: bool):
                 if kept_text:
                     kept.append(joined.decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(n)), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest),
+                [*(b.column(i) for i in range(n)), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()),
                  *([pa.array(kept, pa.string())] if kept_text else [])],
                 names=[*b.schema.names[:n], "n_words", "n_removed", "kept_sha256", *(["kept"] if kept_text else [])])
 

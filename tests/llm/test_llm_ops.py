@@ -367,6 +367,23 @@ def test_counterfactual_penalty_cuts_false_positives(spark):
     assert max(gap) < 0.05 and fair.score("f1 f2 idiot") > 0.5
 
 
+def test_toxicity_counts_flushed_with_the_last_batch(spark, monkeypatch):
+    def batches(texts):
+        return [pa.RecordBatch.from_arrays([pa.array([y for y, _ in texts], pa.int32()), pa.array([t for _, t in texts])], names=["y", "t"])]
+
+    monkeypatch.setattr(toxicity, "COUNT_FLUSH", 2)
+    out = list(toxicity._count_features(batches([(1, "bad day"), (0, "good day")])))
+    assert len(out) == 1 and out[0].schema.types == [pa.string(), pa.int64(), pa.int64()]
+    assert dict(zip(out[0].column(0).to_pylist(), zip(*(out[0].column(i).to_pylist() for i in (1, 2))))) == {
+        "bad": (1, 1), "day": (2, 1), "good": (1, 0)}
+    assert list(toxicity._count_features(batches([(0, ""), (1, None)]))) == []
+    monkeypatch.undo()
+    long = " ".join(f"word{i}x" for i in range(210_000))  # flushes, and nothing is left for the end
+    docs = spark.createDataFrame([(0, long), (1, "an idiot"), (3, "an idiot"), (4, "calm"), (6, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (3, 1), (4, 0), (6, 0)], "doc_id long, toxic int")
+    assert 0 <= toxicity.train(docs, labels, min_docs=1, steps=5).score("an idiot") <= 1
+
+
 def test_toxicity_awkward(spark, docs, empty):
     model = toxicity.Model({"bad": 3.0}, -1.0)
     out = toxicity.score(clash(docs), model, ["doc_id", "score"])
