@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import (chat_repair, mixing, packing, pivot_search, repetition, simhash_pivots, site_lines, token_orc,
-                         toxicity, window_dedup)
+from barloom.llm import (chat_repair, mixing, packing, pivot_search, prefix_trie, repetition, secret_scan, simhash_pivots,
+                         site_lines, token_align, token_orc, toxicity, window_dedup)
 from barloom.llm.common import scratch_path, staged
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,29 @@ def op10_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair(table(spark, sf_dir, "conversations"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), share=(100, 6))
+    none = F.sha2(F.lit(""), 256)
+    return (trie.nodes.join(prefix_trie.joined_sha256(trie.ends), "node", "left")
+            .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                    F.coalesce("ends_sha256", none).alias("ends_sha256")))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return found.select("doc_id", *[secret_scan.count_kind(F.col("spans"), k).alias(f"n_{k}") for k in secret_scan.KINDS],
+                        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    got = token_align.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER),
+                            public_tokenizers.path(PIECE_TOKENIZER), lists=False)
+    return got.withColumnRenamed("groups", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +113,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {f.__name__: f for f in (
     op1_token_orc, op2_site_lines, op3_suffix_repeats, op4_best_fit, op5_pivot_top_k, op6_simhash_pivots, op7_toxicity,
-    op8_mix_sources, op9_window_dedup, op10_chat_repair, pipeline)}
+    op8_mix_sources, op9_window_dedup, op10_chat_repair, op11_prefix_trie, op12_secret_scan, op13_token_align, pipeline)}
 
 OP2_SQL = r"""
 WITH t AS (
