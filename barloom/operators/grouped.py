@@ -211,11 +211,15 @@ def _same(a: str, b: str) -> Column:
     return F.forall(near, lambda x: F.coalesce(x, F.lit(False)))
 
 
-def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int,
-               max_rounds: int | None = None) -> DataFrame:
-    """(key, rn, outs) of a loop over every series, block by block (see the module text)."""
+def _settle(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int,
+            max_rounds: int | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """Run a loop over every block until the block borders agree.
+
+    Returns the runs (key, _tb, start, end, out; the first over all blocks, later ones over those that had to
+    run again) and per block its final start and end state with the run (``ver``) it comes from."""
     if fr.resume:
-        raise ValueError("a non-linear recurrence needs its whole series: build it in batch")
+        raise ValueError("a non-linear recurrence needs its whole series: build it in batch, or take its columns from "
+                         "barloom.streaming.live in a stream")
     key, L = fr.key, fr.block
     packed = reliable_checkpoint(_packed(fr, warmup, cols))
     kind = fr.df.schema[key].dataType.simpleString()
@@ -254,6 +258,14 @@ def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], w
         versions.append(again)
         new = again.select(key, "_tb", "start", "end", F.lit(len(versions) - 1).alias("ver"))
         states = reliable_checkpoint(states.join(new, [key, "_tb"], "left_anti").unionByName(new))
+    return versions, states
+
+
+def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int,
+               max_rounds: int | None = None) -> DataFrame:
+    """(key, rn, outs) of a loop over every series, block by block (see the module text)."""
+    key = fr.key
+    versions, states = _settle(fr, kernel, cols, outs, warmup, max_rounds)
     cells = None
     for ver, part in enumerate(versions):
         part = part.select(key, "_tb", F.lit(ver).alias("ver"), "out")
@@ -263,8 +275,18 @@ def run_blocks(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], w
     return cells.select(key, F.explode("out").alias("o")).select(key, "o.*")
 
 
+def end_states(fr: BarFrame, kernel: Kernel, cols: list[str], outs: list[str], warmup: int) -> DataFrame:
+    """(key, end): the loop's state after the last row of every series, found block by block."""
+    states = _settle(fr, kernel, cols, outs, warmup)[1]
+    return states.groupBy(fr.key).agg(F.max_by("end", "_tb").alias("end"))
+
+
 def cycle_indicators(fr: BarFrame, price: str = "close", warmup: int = 512) -> BarFrame:
-    """Hilbert-transform family and MAMA/FAMA."""
+    """Hilbert-transform family and MAMA/FAMA.  Columns that the frame already has (from a
+    stream's state) stay."""
+    if set(CYCLE) <= set(fr.df.columns):
+        return fr
+
     def kernel(data, first, start, state):
         return cycle_run(data[price], first, start, state)
 
@@ -274,7 +296,10 @@ def cycle_indicators(fr: BarFrame, price: str = "close", warmup: int = 512) -> B
 
 def parabolic_sar(fr: BarFrame, accel: float = 0.02, maximum: float = 0.2, warmup: int = 512,
                   out: str = "SAR") -> BarFrame:
-    """Wilder SAR."""
+    """Wilder SAR.  A column that the frame already has (from a stream's state) stays."""
+    if out in fr.df.columns:
+        return fr
+
     def kernel(data, first, start, state):
         sar, end = sar_run(data["high"].tolist(), data["low"].tolist(), start, state, accel, maximum)
         return {out: sar}, end

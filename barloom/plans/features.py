@@ -528,5 +528,7 @@ def features_for_names(fr: BarFrame, text: str, pattern_wma: int | None = 300, d
     names = parse_feature_names(text)
     given = [c for c in fr.df.columns]
     out = generate_all_features(fr, pattern_wma=pattern_wma, dropna=False, sort=False, **plan_for_names(names))
-    df = out.df.select(*[c for c in given if c in out.df.columns], *dict.fromkeys(names))
+    carried = [c for c in out.df.columns if c.startswith("_kept_")]  # of a resumed frame: its scans go on from these
+    df = out.df.select(*[c for c in given if c in out.df.columns and c not in names and c not in carried],
+                       *dict.fromkeys(names), *carried)
     return out.with_df(df.na.drop("any", subset=names) if dropna else df)

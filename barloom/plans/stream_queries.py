@@ -15,6 +15,7 @@ from barloom.plans.sqlkit import G, LAG, R, W
 from barloom.sources import bars as BS
 from barloom.sources import tables as TB
 from barloom.streaming import bars as ST
+from barloom.streaming import live as LV
 
 CLOSE = "close"
 SPARK: dict = {}
@@ -38,8 +39,9 @@ _CLOSED_BARS = """SELECT event_type AS symbol, time_bucket(INTERVAL 1 HOUR, ts)
 
 
 def feed(spark, sf):
-    """The events as a stream of several files, two per trigger."""
-    return ST.event_stream(spark, ST.event_files(spark, sf), 2)
+    """The events as a stream of several slices of days, two per trigger."""
+    path, files = ST.event_files(spark, sf)
+    return ST.event_stream(spark, path, 2 * files)
 
 
 @reg("st1_stream_tick_bars", f"SELECT symbol, ts, ts_end, {', '.join(f'{R(c, 6)} AS {c}' for c in ['open', 'high', 'low', 'close', 'volume'])} FROM ({_CLOSED_BARS})")
@@ -134,3 +136,75 @@ def q_st7(spark, sf):
     d = ST.dedup_within_watermark(s, keys=("event_type", "user_id", "hour"), delay="2 hours")
     t = spark.read.parquet(ST.run_to_table(d.select("event_type", "user_id", "hour"), "st7"))
     return t.groupBy("event_type").agg(F.count(F.lit(1)).cast("long").alias("kept"))
+
+
+_SPLIT = "2024-01-07"
+_LIVE_BD = f"b AS ({_CLOSED_BARS}), bd AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts) AS rn FROM b)"
+_CYCLE_SRC = (
+    "sm AS (SELECT symbol, rn, ts, close AS price, CASE WHEN rn > 3 THEN (4 * close + 3 * lag(close, 1) OVER w "
+    "+ 2 * lag(close, 2) OVER w + lag(close, 3) OVER w) / 10.0 ELSE 0.0 END AS s FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)), "
+    "src AS (SELECT symbol, rn, ts, price, list_reverse(list(s) OVER back) AS sl, list_reverse(list(price) OVER back) AS pl FROM sm "
+    "WINDOW back AS (PARTITION BY symbol ORDER BY rn ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)), "
+    f"{SK.cycle_recursive('cy', 'src').strip()}")
+_SAR_SRC = (
+    "hl AS (SELECT symbol, rn, ts, high, low, lag(high) OVER (PARTITION BY symbol ORDER BY rn) AS hp, "
+    "lag(low) OVER (PARTITION BY symbol ORDER BY rn) AS lp FROM bd), "
+    f"{SK.sar_recursive('sr', 'hl').strip()}")
+#: Column: SQL value, earlier rows it needs, decimals.
+_LIVE_OUT = {"HT_DCPERIOD": ("sp", 32, 6), "HT_DCPHASE": ("phase", 63, 4), "HT_PHASOR_inphase": ("inph", 32, 4),
+             "HT_PHASOR_quadrature": ("quad", 32, 4), "HT_SINE_sine": ("sine", 63, 4), "HT_SINE_leadsine": ("lead", 63, 4),
+             "HT_TRENDMODE": ("CAST(trend AS DOUBLE)", 63, 4), "MAMA_mama": ("mama", 32, 4), "MAMA_fama": ("fama", 32, 4)}
+
+
+@reg("st2_st6_live_cycle_mama_sar", f"WITH RECURSIVE {_LIVE_BD}, {_CYCLE_SRC}, {_SAR_SRC} SELECT src.symbol, src.ts, "
+     + ", ".join(f"{R(f'CASE WHEN cy.rn > {lb} THEN {e} END', d)} AS {n}" for n, (e, lb, d) in _LIVE_OUT.items())
+     + f", {R('sr.sar_out', 4)} AS SAR FROM cy JOIN src USING (symbol, rn) LEFT JOIN sr USING (symbol, rn) WHERE src.ts >= TIMESTAMP '{_SPLIT}'")
+def q_live_loops(spark, sf):
+    """Keyed state that starts from the bars before the split (initial state) and takes every later closed bar."""
+    start = F.lit(_SPLIT).cast("timestamp_ntz")
+    initial = LV.loop_state(BS.bars_hourly(spark, sf).where(F.col("ts") < start), block_rows=512)
+    bars = ST.tick_bars(feed(spark, sf).where(F.col("ts") >= start))
+    with LV.state_store(spark):
+        path = ST.run_to_table(LV.live_loops(bars, initial), "live")
+    return finish(spark.read.parquet(path).select("symbol", "ts", *_LIVE_OUT, "SAR"), 4, {"HT_DCPERIOD": 6})
+
+
+_NAMES = "0_HT_SINEsine,1_RSI_14,2_HT_TRENDMODE,3_MOM_7,4_HT_DCPERIOD,5_HT_PHASORquadrature"
+
+
+@reg("fp4_live_feature_names", f"WITH RECURSIVE {_LIVE_BD}, {_CYCLE_SRC}, "
+     "d AS (SELECT *, close - lag(close) OVER w AS dx, close - lag(close, 7) OVER w AS mom FROM bd WINDOW w AS (PARTITION BY symbol ORDER BY rn)), "
+     f"{SK.wilder_mean('ag', 'd', 'greatest(dx, 0.0)', 14, 2).strip()}, {SK.wilder_mean('al', 'd', 'greatest(-dx, 0.0)', 14, 2).strip()} "
+     f"SELECT d.symbol, d.ts, {R('CASE WHEN d.rn > 63 THEN sine END', 4)} AS HT_SINEsine, "
+     f"{R('CASE WHEN ag IS NOT NULL THEN CASE WHEN ag + al <> 0 THEN ag * 100.0 / (ag + al) ELSE 0.0 END END', 6)} AS RSI_14, "
+     f"{R('CASE WHEN d.rn > 63 THEN CAST(trend AS DOUBLE) END', 4)} AS HT_TRENDMODE, {R('mom', 6)} AS MOM_7, "
+     f"{R('CASE WHEN d.rn > 32 THEN sp END', 6)} AS HT_DCPERIOD, {R('CASE WHEN d.rn > 32 THEN quad END', 4)} AS HT_PHASORquadrature "
+     f"FROM d JOIN cy USING (symbol, rn) JOIN ag USING (symbol, rn) JOIN al USING (symbol, rn) WHERE d.ts >= TIMESTAMP '{_SPLIT}'")
+def q_live_names(spark, sf):
+    """A saved feature list with cycle names, scored bar by bar after a warm-up from history."""
+    start = F.lit(_SPLIT).cast("timestamp_ntz")
+    history = BS.bars_hourly(spark, sf).where(F.col("ts") < start)
+    bars = ST.tick_bars(feed(spark, sf).where(F.col("ts") >= start))
+    fs = LV.named_features(bars, _NAMES, history, buffer=128, block_rows=512)
+    cols = [n.split("_", 1)[1] for n in _NAMES.split(",")]
+    return finish(spark.read.parquet(fs.out).select("symbol", "ts", *cols), 4, {c: 6 for c in ("RSI_14", "MOM_7", "HT_DCPERIOD")})
+
+
+_LATE_PARTS = 4
+_LATE_SQL = f"""WITH d AS (SELECT event_id, ts, date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) AS day,
+    event_id % 10 = 3 AS held, event_id % 7 = 0 AS twice FROM events),
+  n AS (SELECT max(day) + 1 AS n FROM d),
+  w AS (SELECT (epoch_ms(max(ts)) - 7200000) * 1000 AS us FROM d, n WHERE NOT held AND day < {_LATE_PARTS - 1} * n // {_LATE_PARTS})
+SELECT CAST(count(*) FILTER (WHERE NOT held OR epoch_us(ts) > us) AS BIGINT) AS kept,
+  CAST(count(*) FILTER (WHERE twice AND NOT held) AS BIGINT) AS repeated,
+  CAST(count(*) FILTER (WHERE held AND epoch_us(ts) <= us) AS BIGINT) AS late FROM d, w"""
+
+
+@reg("st7_late_and_repeated_counts", _LATE_SQL)
+def q_late(spark, sf):
+    """A feed that sends some rows twice and holds others back to its end: rows kept, dropped as repeated, dropped as late."""
+    path, files = ST.event_files(spark, sf, _LATE_PARTS, held=F.col("event_id") % 10 == 3, twice=F.col("event_id") % 7 == 0)
+    once = ST.dedup_within_watermark(ST.event_stream(spark, path, files), keys=("event_id",), delay="2 hours")
+    out, counts = ST.run_counted(once.select("event_id"), "st7-late")
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("kept")).select(
+        "kept", F.lit(counts["repeated"]).cast("long").alias("repeated"), F.lit(counts["late"]).cast("long").alias("late"))

@@ -8,7 +8,11 @@
 * ST4  target position with exits: ``applyInPandasWithState`` with the position,
   entry price, bars held and the rows ahead of the watermark as the per-symbol state.
 * ST5  stream–static left join (signal by time, 0 when missing).
-* ST7  ``dropDuplicatesWithinWatermark``; rows later than the watermark are dropped.
+* ST7  ``dropDuplicatesWithinWatermark``; rows later than the watermark are dropped, and
+  :func:`run_counted` tells how many.
+
+Non-linear recurrences (cycle family, MAMA, SAR) have their own keyed state, see
+:mod:`barloom.streaming.live`.
 
 Sinks are parquet folders under the session's checkpoint folder (shared storage on
 a cluster), never the driver's memory.
@@ -17,12 +21,15 @@ a cluster), never the driver's memory.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections import Counter, defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from barloom.session import checkpoint_dir, reliable_checkpoint
@@ -47,20 +54,36 @@ def event_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return r.parquet(folder)
 
 
-def event_files(spark: SparkSession, sf_dir: str, parts: int = 5) -> str:
-    """``events`` as a growing folder: ``parts`` files of consecutive days, rows in no order inside a file.
+#: Rows of one file of an event folder.
+FILE_ROWS = 1_000_000
+
+
+def event_files(spark: SparkSession, sf_dir: str, parts: int = 5, held=None, twice=None) -> tuple[str, int]:
+    """``events`` as a growing folder: ``parts`` slices of consecutive days, rows in no order inside one.
 
-    The files are written one after the other, as a feed would, so a file stream
-    takes them in time order."""
+    The slices are written one after the other, as a feed would, so a file stream takes
+    them in time order.  Returns the folder and the files of a slice (as many as its rows
+    ask for; a slice's rows are dealt by the hash of their id).  Rows with ``held`` come late, in one more slice
+    at the end; rows with ``twice`` come twice in their slice."""
     from barloom.sources.tables import table
     ev = table(spark, sf_dir, "events").select(*EVENT_SCHEMA.fieldNames())
     day = F.datediff(F.col("ts").cast("date"), F.lit(ev.agg(F.min(F.col("ts").cast("date"))).first()[0]))
-    n = ev.agg(F.max(day)).first()[0] + 1
+    n, rows = ev.agg(F.max(day) + 1, F.count(F.lit(1))).first()
+    files = -(-rows // (parts * FILE_ROWS)) or 1
     path = scratch(spark, "event-files")
+
+    def write(part: DataFrame) -> None:
+        (part.repartition(files, F.xxhash64("event_id")).sortWithinPartitions(F.xxhash64("event_id"))
+         .write.mode("append").parquet(path))
+
+    prompt = ev if held is None else ev.where(~held)
+    if twice is not None:
+        prompt = prompt.unionByName(prompt.where(twice))
     for i in range(parts):
-        (ev.where((day >= i * n // parts) & (day < (i + 1) * n // parts))
-         .coalesce(1).sortWithinPartitions(F.xxhash64("event_id")).write.mode("append").parquet(path))
-    return path
+        write(prompt.where((day >= i * n // parts) & (day < (i + 1) * n // parts)))
+    if held is not None:
+        write(ev.where(held))
+    return path, files
 
 
 def _epoch():
@@ -100,6 +123,50 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append", partition_by=No
     return out
 
 
+class RowCounts(StreamingQueryListener):
+    """Rows that the stateful operators of each run took in, dropped as late and dropped as repeated."""
+
+    def __init__(self):
+        self.rows: dict[str, Counter] = defaultdict(Counter)
+        self.over: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        count = self.rows[str(p.runId)]
+        count["read"] += max(int(p.numInputRows), 0)
+        for op in p.stateOperators:
+            count["late"] += int(op.numRowsDroppedByWatermark)
+            count["repeated"] += int(op.customMetrics.get("numDroppedDuplicateRows", 0))
+
+    def onQueryTerminated(self, event) -> None:
+        self.over[str(event.runId)].set()
+
+
+def run_counted(df: DataFrame, name: str, mode: str = "append") -> tuple[str, Counter]:
+    """As :func:`run_to_table`, and the counts ``read``, ``late`` and ``repeated`` over all micro-batches of the run.
+
+    A listener adds up every batch's progress, so the counts do not depend on how many the query remembers."""
+    spark = df.sparkSession
+    out, ck = scratch(spark, f"{name}-out"), scratch(spark, f"{name}-ck")
+    counts = RowCounts()
+    spark.streams.addListener(counts)
+    try:
+        q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode(mode)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        if not counts.over[str(q.runId)].wait(60):
+            raise RuntimeError("the query's last progress did not arrive")
+    finally:
+        spark.streams.removeListener(counts)
+    return out, counts.rows[str(q.runId)]
+
+
 def dedup_within_watermark(ticks: DataFrame, keys=("event_type", "ts"), delay: str = "1 hour", ts: str = "ts") -> DataFrame:
     """ST7: drop repeated (key, time) rows within the watermark; late rows are dropped."""
     t = ticks.withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
@@ -125,13 +192,15 @@ class FeatureStream:
     object on the same ``base`` continues after a restart.  ``model`` (a fitted
     PipelineModel) scores the new rows (ST3).  Bars must arrive in time order per
     symbol, as closed windows do; bars not later than the last one seen are dropped.
+    ``extra`` columns of the bars (such as those of :mod:`barloom.streaming.live`) reach ``build`` on
+    new rows; they are null on buffered and seeded ones.
     """
 
     COLUMNS = ("open", "high", "low", "close", "volume")
 
     def __init__(self, spark: SparkSession, build, buffer: int = 300, model=None, base: str | None = None,
-                 key: str = "symbol", ts: str = "ts", block_rows: int = 4096):
-        self.spark, self.build, self.buffer, self.model = spark, build, buffer, model
+                 key: str = "symbol", ts: str = "ts", block_rows: int = 4096, extra: tuple[str, ...] = ()):
+        self.spark, self.build, self.buffer, self.model, self.extra = spark, build, buffer, model, extra
         self.key, self.ts, self.block_rows = key, ts, block_rows
         self.base = base or scratch(spark, "features")
         self.out = f"{self.base}/out"
@@ -147,6 +216,11 @@ class FeatureStream:
         fs, p = self._fs(self._path(batch_id))
         return self.spark.read.parquet(self._path(batch_id)) if fs.exists(p) else None
 
+    def started(self) -> bool:
+        """Whether a query has run on this base before."""
+        fs, p = self._fs(f"{self.base}/ck")
+        return fs.exists(p)
+
     def seed(self, history: DataFrame) -> None:
         """ST6: warm-up from history: its bars are seen, but no features are written."""
         self._step(history, -1, write=False)
@@ -154,7 +228,8 @@ class FeatureStream:
     def _step(self, bars: DataFrame, batch_id: int, write: bool) -> None:
         from barloom.plans.frame import from_sequenced, sequence
         key, ts = self.key, self.ts
-        new = bars.select(key, ts, *self.COLUMNS)
+        new = bars.select(key, ts, *self.COLUMNS, *[
+            F.col(c) if c in bars.columns else F.lit(None).cast("double").alias(c) for c in self.extra])
         tail = self._tail(batch_id - 1)
         if tail is None:
             rows = new.withColumns({"_old": F.lit(False), "_before": F.lit(0).cast("long")})
