@@ -321,14 +321,19 @@ def _finite_stage_fast(w: Win, lags, at, patterns: list[str], pattern_wma: int |
 
 def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool | list[str] = True, time: bool | list[str] = True,
                           cycle: bool | list[str] = True, pattern_wma: int | None = 300, dropna: bool = True,
-                          sort: bool = True, fast: bool = True, pairs: list[tuple[str, int]] | None = None) -> BarFrame:
+                          sort: bool = True, fast: bool = True, pairs: list[tuple[str, int]] | None = None,
+                          arrays: bool | None = None) -> BarFrame:
     """FP1: every batch feature of the reference for ``lags`` (581 columns for the default lags).
 
     ``fast``: long sums/moments/extremes by running sums and doubling tables
     (agree with the sliding-frame builders to ~1e-9 relative); ``False`` uses the
     exact sliding-frame builders throughout.  ``pairs`` = [(base, lag)] builds just
     these instead of all bases at all lags; ``patterns``, ``time`` and ``cycle`` may be
-    lists of names; ``pattern_wma=None`` gives the raw pattern values."""
+    lists of names; ``pattern_wma=None`` gives the raw pattern values.
+
+    ``arrays``: build all lags in a few passes over blocks (:mod:`barloom.plans.feature_arrays`)
+    instead of one expression per indicator and lag; the default does so from four
+    lags on, where planning would take longer than the work.  Resumed frames (streams) use columns."""
     if pairs is None:
         all_bases = set(bases or (VOLUME + MOMENTUM + MATH))
         by_lag = {n: all_bases for n in lags}
@@ -345,7 +350,11 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool |
     names = PT.ALL_PATTERNS if patterns is True else list(patterns or [])
     w = Win(fr.key, fr.block)
     stage = _finite_stage_fast if fast else _finite_stage
-    fr = fr.add(stage(w, lags, at, names, pattern_wma))
+    if arrays is None:
+        arrays = fast and not fr.resume and len(lags) >= 4
+    if arrays and fr.resume:
+        raise ValueError("a resumed frame builds its features by columns")
+    fr = fr.add(stage(w, [] if arrays else lags, at, names, pattern_wma))
     if cycle:
         from barloom.operators.grouped import CYCLE as CYCLE_RAW, cycle_indicators
         fr = cycle_indicators(fr)
@@ -356,6 +365,9 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool |
         fields = TF.time_features(fr.order[0])
         fr = fr.with_columns(**{k: v for k, v in fields.items() if time is True or k in time})
 
+    if arrays:
+        return _finish(_array_stage(fr, w, by_lag), dropna, sort)
+
     # ---- stage 2: first-level recurrences for all lags in one pass
     from barloom.functions.recurrent import smooth_many, _ema_spec, _wmean_spec, _wsum_spec
     specs, everything = [], want
@@ -469,6 +481,32 @@ def generate_all_features(fr: BarFrame, lags=LAGS, bases=None, patterns: bool |
     if steps:
         fr = fr.add(Feat(steps, halo))
 
+    return _finish(fr, dropna, sort)
+
+
+def _array_stage(fr: BarFrame, w: Win, by_lag: dict[int, set[str]]) -> BarFrame:
+    """Columns of all lags from one array a row; windows over recurrences (ADXR, stochastic RSI) come last."""
+    from barloom.plans.feature_arrays import array_features
+
+    got, names = array_features(fr, by_lag)
+    cols = got.selectExpr(f"`{fr.key}`", "rn", *[f"f[{i}] AS `{n}`" for i, n in enumerate(names)])
+    fr = fr.with_df(fr.df.join(cols, [fr.key, "rn"], "left"))
+    steps, halo = [], 0
+    for n, want in by_lag.items():
+        if "ADXR" in want:
+            x = F.col(f"_adx{n}")
+            steps.append((f"ADXR_{n}", F.when(_rn() > 3 * n - 2, (x + w.lag(x, n - 1)) / 2.0)))
+            halo = max(halo, n - 1)
+        if "STOCHRSI_k" in want:
+            r = F.col(f"_rsi{n}")
+            hi, lo = F.max(r).over(w.w(3)), F.min(r).over(w.w(3))
+            steps.append((f"STOCHRSI_{n}k", F.when(_rn() > n + 4, sdiv((r - lo) * 100.0, hi - lo))))
+            halo = max(halo, 2)
+    return fr.add(Feat(steps, halo)) if steps else fr
+
+
+def _finish(fr: BarFrame, dropna: bool, sort: bool) -> BarFrame:
+    """Bars and features only; rows with a NULL dropped and columns in order of name on request."""
     keep = [fr.key, *fr.order, "rn", "blk", "sblk", "open", "high", "low", "close", "volume"]
     feats = [c for c in fr.df.columns if not c.startswith("_") and c not in keep
              and not re.fullmatch(r"(o|c|h|l|bd|us|ls|rg|ab|ar|as|ar5)\d", c)]

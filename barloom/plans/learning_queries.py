@@ -519,17 +519,48 @@ def q_sel8(spark, sf):
 
 
 # ------------------------------------------------------------- FP / SNK
-FP1_LAGS = [7, 77, 147]
-
-
 @reg("fp1_generate_all_features")
 def q_fp1(spark, sf):
-    """FP1: every family, patterns smoothed by WMA(300), cycle and time fields, rows with a NULL dropped.
-
-    The lags are a parameter; this query builds the first, middle and last of the
-    15 (all 15 take minutes on small tables, see README)."""
+    """FP1: all 581 columns of the 15 lags, patterns smoothed by WMA(300), cycle and time fields, rows with a NULL dropped."""
+    from barloom.plans import features as FP
+    return FP.generate_all_features(sequence(BS.bars_daily(spark, sf))).df.drop("blk", "sblk")
+
+
+#: One column of each kind of table behind FP1: SQL over the window ``w``, earlier rows it needs, decimals.
+_FP1_SAMPLE = {
+    "MOM_147": (f"close - {LAG('close', 147)}", 147, 6),
+    **{f"CCI_{n}": (f"CASE WHEN list_sum([abs(x - sm{n}) for x in l{n}]) = 0 OR tp = sm{n} THEN 0.0 "
+                    f"ELSE (tp - sm{n}) / (0.015 * list_sum([abs(x - sm{n}) for x in l{n}]) / {n}.0) END", n - 1, 5) for n in (7, 147)},
+    "WILLR_107": (f"CASE WHEN max(high) {W(107)} <> min(low) {W(107)} THEN -100.0 * (max(high) {W(107)} - close) / (max(high) {W(107)} - min(low) {W(107)}) ELSE 0.0 END", 106, 6),
+    "STDDEV_97": (f"stddev_pop(close) {W(97)}", 96, 3),
+    "APO_127": (f"avg(close) {W(127)} - avg(close) {W(254)}", 253, 6),
+    "LINEARREG_SLOPE_137": (f"regr_slope(close, rn) {W(137)}", 136, 4),
+    "MFI_57": (f"CASE WHEN sum(pf + nf) {W(57)} < 1.0 THEN 0.0 ELSE sum(pf) {W(57)} * 100.0 / sum(pf + nf) {W(57)} END", 57, 5),
+}
+_FP1_RECS = [SK.wilder_mean("ag", "pre", "greatest(dx, 0.0)", 147, 2), SK.wilder_mean("al", "pre", "greatest(-dx, 0.0)", 147, 2),
+             SK.wilder_mean("atr", "pre", "tr", 117, 2), SK.ema("es", "pre", "close", 134), SK.ema("ef", "pre", "close", 67, start=68)]
+_FP1_SQL = (
+    f"WITH RECURSIVE {DAILY_CTES}, p0 AS (SELECT *, (high + low + close) / 3.0 AS tp, {LAG('close', 1)} AS pc FROM bd {WINDOW}), "
+    f"pre AS (SELECT *, close - pc AS dx, CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr, "
+    f"CASE WHEN tp > {LAG('tp', 1)} THEN tp * volume ELSE 0.0 END AS pf, CASE WHEN tp < {LAG('tp', 1)} THEN tp * volume ELSE 0.0 END AS nf, "
+    + ", ".join(f"avg(tp) {W(n)} AS sm{n}, list(tp) {W(n)} AS l{n}" for n in (7, 147)) + f" FROM p0 {WINDOW}), "
+    + ", ".join(r.strip() for r in _FP1_RECS)
+    + ", mm AS (SELECT pre.symbol, pre.rn, ef.ef - es.es AS m FROM pre JOIN es USING (symbol, rn) JOIN ef USING (symbol, rn)), "
+    + SK.ema("sg", "mm", "m", 33, start=134).strip()
+    + ", j AS (SELECT pre.*, ag.ag, al.al, atr.atr, sg.sg FROM pre JOIN ag USING (symbol, rn) JOIN al USING (symbol, rn) "
+      "JOIN atr USING (symbol, rn) JOIN sg USING (symbol, rn)) SELECT symbol, ts, "
+    + ", ".join(f"{R(G(lb, e), d)} AS {n}" for n, (e, lb, d) in _FP1_SAMPLE.items())
+    + f", {R('CASE WHEN ag IS NOT NULL THEN CASE WHEN ag + al <> 0 THEN ag * 100.0 / (ag + al) ELSE 0.0 END END', 6)} AS RSI_147, "
+    f"{R(G(117, 'atr'), 6)} AS ATR_117, {R('CASE WHEN rn >= 166 THEN sg END', 5)} AS MACDSIGNAL_67 FROM j {WINDOW}")
+
+
+@reg("fp1_all_lags_column_sample", _FP1_SQL)
+def q_fp1_sample(spark, sf):
+    """FP1's lag families at all 15 lags (no patterns, rows kept); columns of every kind against SQL."""
     from barloom.plans import features as FP
-    return FP.generate_all_features(sequence(BS.bars_daily(spark, sf)), FP1_LAGS).df.drop("blk", "sblk")
+    fr = FP.generate_all_features(daily_frame(spark, sf), patterns=False, time=False, cycle=False, dropna=False)
+    digits = {n: d for n, (_, _, d) in _FP1_SAMPLE.items()}
+    return finish(fr.df.select("symbol", "ts", *_FP1_SAMPLE, "RSI_147", "ATR_117", "MACDSIGNAL_67"), 6, {**digits, "MACDSIGNAL_67": 5})
 
 
 _FP2_NAMES = "3_LINEARREG_SLOPE_17,0_RSI_7,1_STOCH_7slowk,2_time_day_of_month,4_CDLENGULFING,5_MACDHIST_7,"
