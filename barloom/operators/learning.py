@@ -296,6 +296,30 @@ def cross_validate(make, df: DataFrame, n_splits: int, candidates: list[dict], l
     return summarise_cv(t)
 
 
+def cross_validate_folds(make, df: DataFrame, fold: str, candidates: list[dict], label="label", metric="accuracy",
+                         parallelism: int = 4) -> DataFrame:
+    """CV2 with CV4/CV5: each candidate is fitted on all folds of column ``fold`` but one and scored on that one.
+
+    A row with a null fold trains always.  At most ``parallelism`` fits are submitted at a time, so small
+    trials share the cluster and the driver holds a bounded number of models.  For forests of many draws see
+    :func:`barloom.operators.extra_trees.search`, which grows all of them in the same passes."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    score = accuracy if metric == "accuracy" else r2
+    folds = sorted(r[0] for r in df.select(fold).distinct().collect() if r[0] is not None)
+
+    def trial(job: tuple[int, int]) -> float:
+        params, k = candidates[job[0]], folds[job[1]]
+        model = make(**params).fit(df.where(F.col(fold).isNull() | (F.col(fold) != k)))
+        return float(score(model.transform(df.where(F.col(fold) == k)), label))
+
+    jobs = [(c, k) for c in range(len(candidates)) for k in range(len(folds))]
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = dict(zip(jobs, pool.map(trial, jobs)))
+    rows = [(c, str(p), [scores[c, k] for k in range(len(folds))]) for c, p in enumerate(candidates)]
+    return summarise_cv(df.sparkSession.createDataFrame(rows, "candidate int, params string, split_test_scores array<double>"))
+
+
 def summarise_cv(t: DataFrame) -> DataFrame:
     """CV7: mean, population standard deviation and rank (1 = best mean) of the split scores."""
     s = F.col("split_test_scores")

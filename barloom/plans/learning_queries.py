@@ -234,6 +234,15 @@ SPARK["ml6_gaussian_naive_bayes"] = _fit_predict("GaussianNB")
 SPARK["ml7_logistic_regression"] = _fit_predict("Linear", maxIter=20)
 
 
+@reg("ml3_extra_trees_random_cuts")
+def q_ml3_random_cuts(spark, sf):
+    """ML3 proper: cuts drawn inside the node's box, level by level."""
+    from barloom.operators import extra_trees as ET
+    tr, te = _split(ml_table(spark, sf))
+    forest = ET.fit(tr, FEATS, "label", n_trees=20, max_depth=5)
+    return forest.transform(te.select("symbol", "ts", *FEATS)).select("symbol", "ts", "prediction", "probability")
+
+
 @reg("ml4_adaboost")
 def q_ml4(spark, sf):
     df = ml_table(spark, sf)
@@ -279,6 +288,29 @@ def q_cv5(spark, sf):
     return LN.cross_validate(_rf, data, folds, LN.random_candidates({"maxDepth": [2, 3, 4, 5], "numTrees": [5, 10]}, 5, 42))
 
 
+#: Draws of the randomised search (the reference's number) and the grid they come from.
+CV5_DRAWS = 100
+CV5_GRID = {"max_depth": [1, 2, 3, 4, 5, 6], "n_trees": [5, 10], "max_features": ["sqrt", "log2", "all"], "min_split": [2.0, 10.0, 50.0, 100.0]}
+
+
+@reg("cv2_cv5_search_100_draws_on_stratified_folds")
+def q_cv5_100(spark, sf):
+    """100 draws x 5 stratified folds: all forests grown and scored together on one staged table."""
+    from barloom.operators import extra_trees as ET
+    data, folds = _cv_setup(spark, sf)
+    parts = LN.stratified_folds(data.withColumnRenamed("rn", "at"), "label", folds, "at")
+    return ET.search(parts, FEATS, "label", "fold", LN.random_candidates(CV5_GRID, CV5_DRAWS, 42), seed=42)
+
+
+@reg("cv2_cv4_grid_search_on_stratified_folds")
+def q_cv2_search(spark, sf):
+    """MLlib trees on stratified folds, trials submitted in parallel under a bound."""
+    data, folds = _cv_setup(spark, sf)
+    parts = LN.stratified_folds(data.withColumnRenamed("rn", "at"), "label", folds, "at").cache()
+    make = lambda **p: LN.make_estimator("DecisionTree", "classification", **p)
+    return LN.cross_validate_folds(make, parts, "fold", LN.grid({"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 20]}), parallelism=4)
+
+
 @reg("cv6_successive_halving")
 def q_cv6(spark, sf):
     data, folds = _cv_setup(spark, sf)
