@@ -45,11 +45,13 @@ def test_quality_stage(stages):
 
 
 def test_line_stage(stages):
+    import corpus_pipeline as P
+
     _, before, after, *_ = stages[1]
     per, hosts = Counter(), Counter(r["source"] for r in before)
     for r in before:
         per.update({(r["source"], x.strip(" ")) for x in r["text"].split("\n") if x.strip(" ")})
-    bad = {k for k, n in per.items() if n >= 3 and n > 0.1 * hosts[k[0]]}
+    bad = {k for k, n in per.items() if n >= 3 and n > P.LINE_RATIO * hosts[k[0]]}
     want = {r["doc_id"]: "\n".join(x for x in r["text"].split("\n") if (r["source"], x.strip(" ")) not in bad) for r in before}
     assert {r["doc_id"]: r["text"] for r in after} == want
     assert all(r["n_chars"] == len(r["text"]) for r in after)
