@@ -347,20 +347,84 @@ def successive_halving(make, df: DataFrame, n_splits: int, candidates: list[dict
     return result
 
 
-def validation_curve(make, df, n_splits: int, param: str, values: list, label="label") -> DataFrame:
-    """CV8: CV score for each value of one parameter."""
-    return cross_validate(make, df, n_splits, [{param: v} for v in values], label)
+#: Depth beyond which MLlib grows no tree.
+MLLIB_DEPTH = 30
+
+
+def validation_curve(make, df, n_splits: int, param: str, values: list, label="label", parallelism: int = 4) -> DataFrame:
+    """CV8: CV score for each value of one parameter, over expanding splits; at most ``parallelism`` fits at a time.
+
+    ``maxDepth`` values over MLlib's limit take the score of that limit, which is the same model's as long as none
+    of its trees reaches the limit; where one does, their score is null."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    deepest = lambda m: max(t.depth for t in getattr(m, "trees", [m]))
+    fitted = [min(v, MLLIB_DEPTH) if param == "maxDepth" else v for v in values]
+    bounds = fold_bounds(df.agg(F.max("rn")).first()[0], n_splits)
+
+    def trial(job) -> tuple[float, bool]:
+        value, (last_train, last_test) = job
+        m = make(**{param: value}).fit(df.where(F.col("rn") <= last_train))
+        score = accuracy(m.transform(df.where((F.col("rn") > last_train) & (F.col("rn") <= last_test))), label)
+        return float(score), param == "maxDepth" and deepest(m) >= MLLIB_DEPTH
+
+    jobs = [(v, b) for v in dict.fromkeys(fitted) for b in bounds]
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = dict(zip(jobs, pool.map(trial, jobs)))
+    rows = [(i, str({param: v}), [scores[f, b][0] if v == f or not scores[f, b][1] else None for b in bounds])
+            for i, (v, f) in enumerate(zip(values, fitted))]
+    return summarise_cv(df.sparkSession.createDataFrame(rows, "candidate int, params string, split_test_scores array<double>"))
 
 
 # ---------------------------------------------------------- SEL
-def best_period_by_correlation(df: DataFrame, target: str, candidates: dict, ranges: list[tuple], key=None) -> DataFrame:
-    """SEL1: ``candidates`` = {(indicator, period): column}.  For each indicator and
-    period range, the period with the largest |Pearson corr| with the target."""
-    keys = [key] if key else []
+def _pearson_per_candidate(df: DataFrame, target: str, candidates: dict, keys: list[str]) -> DataFrame:
     wide = df.groupBy(*keys).agg(F.array(*[
         F.struct(F.lit(ind).alias("indicator"), F.lit(p).alias("period"), safe_corr(F.col(target).cast("double"), F.col(c).cast("double")).alias("corr"))
         for (ind, p), c in candidates.items()]).alias("e"))  # one expression per column: rows are not copied
-    c = wide.select(*keys, F.explode("e").alias("e")).select(*keys, "e.*")
+    return wide.select(*keys, F.explode("e").alias("e")).select(*keys, "e.*")
+
+
+def rank_correlations(df: DataFrame, target: str, columns: list[str], keys: list[str] = ()) -> DataFrame:
+    """(keys…, ``at``, ``corr``): Spearman correlation of each column (``at``: its place in ``columns``) with the target.
+
+    Rows where either value is missing are left out for that column; equal values share their mean rank.  All
+    columns, and the target beside each of them, are ranked in one distributed numbering: equal (value, target)
+    pairs are counted first and the distinct values numbered with their counts, so neither a long column nor a
+    frequent value is one task.  A column without spread, or with one row, has no correlation (null)."""
+    from barloom.plans.frame import sequence
+    keys = list(keys)
+    each = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    pairs = (df.select(*keys, F.col(target).cast("double").alias("t"), F.explode(each).alias("e")).select(*keys, "e.at", "e.v", "t")
+             .where("v IS NOT NULL AND t IS NOT NULL AND NOT isnan(v) AND NOT isnan(t)")
+             .groupBy(*keys, "at", "v", "t").agg(F.count(F.lit(1)).alias("n")))
+    group = F.to_json(F.struct(*keys, "at"), {"ignoreNullFields": "false"})
+    pairs = reliable_checkpoint(pairs.select(*keys, "at", group.alias("g"), "v", "t", "n"))
+    sides = F.array(*[F.struct(F.concat("g", F.lit(s)).alias("s"), F.col(s).alias("x")) for s in ("v", "t")])
+    counts = pairs.select("n", F.explode(sides).alias("e")).groupBy("e.s", "e.x").agg(F.sum("n").alias("c"))
+    ranks = sequence(counts, key="s", order=("x",)).cumsum("upto", F.col("c")).df.select("s", "x", (F.col("upto") - (F.col("c") - 1) / 2).alias("r"))
+    for s in ("v", "t"):
+        of = ranks.select(F.col("s").alias(f"_s{s}"), F.col("x").alias(f"_x{s}"), F.col("r").alias(f"r{s}"))
+        pairs = pairs.join(of, (F.concat("g", F.lit(s)) == F.col(f"_s{s}")) & (F.col(s) == F.col(f"_x{s}"))).drop(f"_s{s}", f"_x{s}")
+    sums = pairs.groupBy(*keys, "at").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * a * b).alias(o) for o, a, b in (
+        ("sx", F.col("rv"), F.lit(1.0)), ("sy", F.col("rt"), F.lit(1.0)), ("xx", F.col("rv"), F.col("rv")), ("yy", F.col("rt"), F.col("rt")),
+        ("xy", F.col("rv"), F.col("rt")))])
+    spread = (F.col("xx") - F.col("sx") * F.col("sx") / F.col("n")) * (F.col("yy") - F.col("sy") * F.col("sy") / F.col("n"))
+    corr = F.when(spread > 1e-9, (F.col("xy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(spread))
+    return sums.select(*keys, "at", corr.alias("corr"))
+
+
+def best_period_by_correlation(df: DataFrame, target: str, candidates: dict, ranges: list[tuple], key=None, method: str = "pearson") -> DataFrame:
+    """SEL1: ``candidates`` = {(indicator, period): column}.  For each indicator and
+    period range, the period with the largest absolute correlation with the target:
+    ``method`` "pearson", or "rank" for Spearman's (:func:`rank_correlations`)."""
+    keys = [key] if key else []
+    if method == "pearson":
+        c = _pearson_per_candidate(df, target, candidates, keys)
+    elif method == "rank":
+        names = F.array(*[F.struct(F.lit(ind).alias("indicator"), F.lit(p).alias("period")) for ind, p in candidates])
+        c = rank_correlations(df, target, list(candidates.values()), keys).withColumn("e", names[F.col("at")]).select(*keys, "e.*", "corr")
+    else:
+        raise ValueError(method)
     rng = F.array(*[F.struct(F.lit(a).alias("lo"), F.lit(b).alias("hi")) for a, b in ranges])
     c = c.select("*", F.explode(rng).alias("r")).where((F.col("period") >= F.col("r.lo")) & (F.col("period") < F.col("r.hi")))
     w = Window.partitionBy(*keys, "indicator", "r").orderBy(F.abs("corr").desc(), "period")
@@ -462,6 +526,14 @@ def mutual_information(df: DataFrame, feature_cols: list[str], label: str, bins:
     return joint.groupBy("feature").agg(F.sum(term).alias("mutual_information"))
 
 
+def select_k_best(df: DataFrame, feature_cols: list[str], label: str, k: int = 10, bins: int = 10) -> DataFrame:
+    """SEL7: the ``k`` features with the largest mutual information: (feature, mutual_information, rank from 1).
+    Scores equal to nine decimals are ordered by name; fewer than ``k`` features: all."""
+    score = mutual_information(df, feature_cols, label, bins)   # one row per feature
+    w = Window.orderBy(F.round("mutual_information", 9).desc(), "feature")
+    return score.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def pca_features(df: DataFrame, feature_cols: list[str], k: int = 10, out="pca"):
     """SEL8: centre and scale, then MLlib PCA with k components."""
     va = VectorAssembler(inputCols=feature_cols, outputCol="_raw")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.aggregates import inverse_normal
 from barloom.operators.labels import exact_quantiles
+from barloom.session import reliable_checkpoint
 
 
 def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -68,26 +69,49 @@ def apply_imputer(df: DataFrame, fills: dict, add_indicator: bool = True) -> Dat
 
 
 # ---------------------------------------------------------------- TAB3
-def iterative_impute(df: DataFrame, cols: list[str], rounds: int = 2, seed: int = 42,
-                     num_trees: int = 20, max_depth: int = 5) -> DataFrame:
-    """TAB3: round-robin imputation — each column with gaps is predicted from the
-    others by a tree ensemble (MLlib RandomForestRegressor; the reference uses
-    extra trees), starting from mean imputation, for a fixed number of rounds."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-    miss = {c: F.col(c).isNull() for c in cols}
-    base = df.withColumns({f"_miss_{c}": m for c, m in miss.items()})
-    cur = apply_imputer(base, fit_imputer(df, cols, "mean"), add_indicator=False)
-    for _ in range(rounds):
-        for c in cols:
-            others = [o for o in cols if o != c]
-            va = VectorAssembler(inputCols=others, outputCol="_fv")
-            train = va.transform(cur.where(~F.col(f"_miss_{c}")))
-            model = RandomForestRegressor(featuresCol="_fv", labelCol=c, predictionCol="_pred", numTrees=num_trees,
-                                          maxDepth=max_depth, seed=seed).fit(train)
-            cur = model.transform(va.transform(cur)).withColumn(
-                c, F.when(F.col(f"_miss_{c}"), F.col("_pred")).otherwise(F.col(c))).drop("_fv", "_pred")
-    return cur.drop(*[f"_miss_{c}" for c in cols])
+def iterative_impute(df: DataFrame, cols: list[str], rounds: int = 10, tol: float = 1e-3, seed: int = 42,
+                     num_trees: int = 20, max_depth: int = 5, log: list | None = None) -> DataFrame:
+    """TAB3: chained imputation: each column with gaps is predicted from all others by extra trees.
+
+    Starts from the means; columns go from the smallest to the largest share of gaps.  A column's new values are
+    written before the next column is fitted, so work and lineage grow linearly with rounds times columns.  The
+    rounds end after ``rounds``, or once no imputed value moved by more than ``tol`` times the largest observed
+    absolute value of its column (a shrinking step, not a limit on rows); ``log`` takes each round's largest move.
+    Given values stay as they are (as doubles); NaN is a gap.  A column without any value stays null and predicts
+    nothing; a column alone has its mean; a table without rows gives none."""
+    from barloom.operators import extra_trees as ET
+    gap = {c: F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in cols}
+    told = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(gap[c].cast("long")).alias(f"g{i}") for i, c in enumerate(cols)],
+                  *[F.avg(F.when(~gap[c], F.col(c).cast("double"))).alias(f"m{i}") for i, c in enumerate(cols)],
+                  *[F.max(F.when(~gap[c], F.abs(F.col(c).cast("double")))).alias(f"x{i}") for i, c in enumerate(cols)]).first()
+    place = {c: i for i, c in enumerate(cols)}
+    known = [c for c in cols if told[f"m{place[c]}"] is not None]
+    gaps = sorted((c for c in known if told[f"g{place[c]}"]), key=lambda c: (told[f"g{place[c]}"], place[c]))
+    mark = "_"
+    while any(c.startswith((f"{mark}gap", f"{mark}was", f"{mark}guess")) for c in df.columns):
+        mark += "_"
+    flag, was = ({c: f"{mark}{n}{place[c]}" for c in gaps} for n in ("gap", "was"))
+    cur = df.withColumns({flag[c]: gap[c] for c in gaps})
+    cur = cur.withColumns({c: F.when(gap[c], F.lit(told[f"m{place[c]}"])).otherwise(F.col(c).cast("double")) for c in cols})
+    if gaps and len(known) > 1:
+        cur = reliable_checkpoint(cur)
+        for _ in range(rounds):
+            cur = cur.withColumns({was[c]: F.col(c) for c in gaps})
+            for c in gaps:
+                others = [o for o in known if o != c]
+                forest = ET.fit(cur.where(~F.col(flag[c])), others, c, regression=True, n_trees=num_trees, max_depth=max_depth,
+                                max_features="all", seed=seed)
+                cur = (forest.transform(cur, f"{mark}guess")
+                       .withColumn(c, F.when(F.col(flag[c]), F.col(f"{mark}guess")).otherwise(F.col(c))).drop(f"{mark}guess"))
+                cur = reliable_checkpoint(cur)
+            moves = cur.agg(*[F.max(F.when(F.col(flag[c]), F.abs(F.col(c) - F.col(was[c])))).alias(c) for c in gaps]).first()
+            far = max(moves[c] / (told[f"x{place[c]}"] or 1.0) for c in gaps)
+            cur = cur.drop(*was.values())
+            if log is not None:
+                log.append(far)
+            if far < tol:
+                break
+    return cur.select(*df.columns)
 
 
 # ---------------------------------------------------------------- TAB4

@@ -79,7 +79,7 @@ def q_tab2(spark, sf):
 def q_tab3(spark, sf):
     c = customers(spark, sf).select("c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey"),
                                     "c_acctbal", F.length("c_mktsegment").cast("double").alias("seg_len"))
-    return TAB.iterative_impute(c, ["c_acctbal", "c_nationkey", "seg_len"], rounds=1, num_trees=10)
+    return TAB.iterative_impute(c, ["c_acctbal", "c_nationkey", "seg_len"], num_trees=10)
 
 
 def _interp_sql(x, qcol, n):
@@ -199,6 +199,11 @@ def q_cv3(spark, sf):
 FEATS = ["RSI_14", "ROC_7", "MOM_7", "WILLR_14", "LINEARREG_SLOPE_14"]
 
 
+_FEAT_SQL = (f"close, volume, {G(7, f'CASE WHEN {LAG(CLOSE, 7)} <> 0 THEN (close / {LAG(CLOSE, 7)} - 1.0) * 100.0 ELSE 0.0 END')} AS ROC_7, "
+             f"{G(7, f'close - {LAG(CLOSE, 7)}')} AS MOM_7, "
+             f"{G(13, f'CASE WHEN max(high) {W(14)} <> min(low) {W(14)} THEN -100.0 * (max(high) {W(14)} - close) / (max(high) {W(14)} - min(low) {W(14)}) ELSE 0.0 END')} AS WILLR_14")
+
+
 def ml_table(spark, sf):
     fr = daily_frame(spark, sf)
     w = Win(fr.key, fr.block)
@@ -230,7 +235,6 @@ SPARK["ml1_decision_tree"] = _fit_predict("DecisionTree", maxDepth=5)
 SPARK["ml2_random_forest"] = _fit_predict("RandomForest", numTrees=20, maxDepth=5)
 SPARK["ml3_extra_trees"] = _fit_predict("ExtraTrees", numTrees=20, maxDepth=5)
 SPARK["ml5_gradient_boosting_regressor"] = _fit_predict("GradientBoosting", "regression", maxIter=10, maxDepth=3)
-SPARK["ml6_gaussian_naive_bayes"] = _fit_predict("GaussianNB")
 SPARK["ml7_logistic_regression"] = _fit_predict("Linear", maxIter=20)
 
 
@@ -243,6 +247,70 @@ def q_ml3_random_cuts(spark, sf):
     return forest.transform(te.select("symbol", "ts", *FEATS)).select("symbol", "ts", "prediction", "probability")
 
 
+def _ml_ctes():
+    """ml_table in SQL: ``x`` (features, class number ``label``, target, role of the ordered hold-out) and its train rows ``tr``."""
+    recs = [SK.wilder_mean("ag", "pre", "greatest(dx, 0.0)", 14, 2), SK.wilder_mean("al", "pre", "greatest(-dx, 0.0)", 14, 2)]
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in [*FEATS, "pos_change_signal", "target_10_ret"])
+    return (f"{LAB_CTES}, pre AS (SELECT *, close - {LAG(CLOSE, 1)} AS dx FROM bd {WINDOW}), " + ", ".join(r.strip() for r in recs)
+            + f", f AS (SELECT symbol, ts, rn, {_FEAT_SQL}, {G(13, f'regr_slope(close, rn) {W(14)}')} AS LINEARREG_SLOPE_14 FROM bd {WINDOW}), "
+            "m0 AS (SELECT f.*, pos_change_signal, target_10_ret, CASE WHEN ag.ag IS NOT NULL THEN CASE WHEN ag.ag + al.al <> 0 "
+            "THEN ag.ag * 100.0 / (ag.ag + al.al) ELSE 0.0 END END AS RSI_14 FROM f JOIN lab USING (symbol, ts) "
+            "JOIN ag ON ag.symbol = f.symbol AND ag.rn = f.rn JOIN al ON al.symbol = f.symbol AND al.rn = f.rn), "
+            f"m1 AS (SELECT *, dense_rank() OVER (ORDER BY pos_change_signal) - 1.0 AS label, max(rn) OVER (PARTITION BY symbol) AS n FROM m0 WHERE {whole}), "
+            "x AS (SELECT *, rn > n - ceil(n * 0.35) AS held FROM m1), tr AS (SELECT * FROM x WHERE NOT held)")
+
+
+def _nb_sql():
+    """Gaussian naive Bayes: class means and variances (a billionth of the largest feature variance added), then Bayes' rule."""
+    stat = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in FEATS)
+    eps = "greatest(" + ", ".join(f"var_pop({c})" for c in FEATS) + ")"
+    dens = " + ".join(f"(ln(2 * pi() * (v_{c} + e)) + pow(x.{c} - m_{c}, 2) / (v_{c} + e))" for c in FEATS)
+    return (f"WITH RECURSIVE {_ml_ctes()}, e AS (SELECT 1e-9 * {eps} AS e FROM tr), "
+            f"c AS (SELECT label AS cls, ln(count(*) / (SELECT count(*) FROM tr)) AS prior, {stat} FROM tr GROUP BY label), "
+            f"s AS (SELECT x.symbol, x.ts, cls, prior - 0.5 * ({dens}) AS lp FROM x, c, e WHERE held), "
+            "p AS (SELECT symbol, ts, cls, exp(lp - max(lp) OVER (PARTITION BY symbol, ts)) AS q FROM s) "
+            f"SELECT symbol, ts, max_by(cls, q) AS prediction, {R('max(q) / sum(q)', 6)} AS proba FROM p GROUP BY symbol, ts")
+
+
+@reg("ml6_gaussian_naive_bayes", _nb_sql())
+def q_ml6(spark, sf):
+    """ML6 with EV4: the class and its probability (EV4), against Bayes' rule in SQL."""
+    tr, te = _split(ml_table(spark, sf))
+    m = LN.make_estimator("GaussianNB").fit(tr)
+    return finish(LN.predict_with_proba(m, te).select("symbol", "ts", "prediction", "proba"), 6)
+
+
+def _normal_equations_sql():
+    """Least squares by elimination on the centred covariances of the train rows, one step a CTE."""
+    k = len(FEATS)
+    cov = ", ".join([f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) AS a{i}_{j}" for i, a in enumerate(FEATS) for j, b in enumerate(FEATS)]
+                    + [f"covar_pop({a}, target_10_ret) / stddev_pop({a}) AS a{i}_{k}" for i, a in enumerate(FEATS)]
+                    + [f"avg({a}) AS m{i}, stddev_pop({a}) AS d{i}" for i, a in enumerate(FEATS)] + ["avg(target_10_ret) AS my"])
+    ctes, last, rest = [f"g0 AS (SELECT {cov} FROM tr)"], "g0", ", ".join([f"m{i}, d{i}" for i in range(k)] + ["my"])
+    for p in range(k):  # column p goes from every row but p
+        cells = [f"a{i}_{j} - a{i}_{p} / a{p}_{p} * a{p}_{j} AS a{i}_{j}" if i != p else f"a{i}_{j}" for i in range(k) for j in range(k + 1)]
+        ctes.append(f"g{p + 1} AS (SELECT {', '.join(cells)}, {rest} FROM {last})")
+        last = f"g{p + 1}"
+    fit = " + ".join(f"a{i}_{k} / a{i}_{i} * (x.{c} - m{i}) / d{i}" for i, c in enumerate(FEATS))
+    return f"WITH RECURSIVE {_ml_ctes()}, {', '.join(ctes)} SELECT symbol, ts, {R(f'my + {fit}', 7)} AS prediction FROM x, {last} WHERE held"
+
+
+@reg("ml7_linear_regression", _normal_equations_sql())
+def q_ml7_linear(spark, sf):
+    tr, te = _split(ml_table(spark, sf))
+    m = LN.make_estimator("Linear", "regression", label="target_10_ret").fit(tr)
+    return finish(m.transform(te).select("symbol", "ts", "prediction"), 7)
+
+
+@reg("ml5_softmax_boosting")
+def q_ml5_softmax(spark, sf):
+    """ML5 for all classes at once: histograms, one softmax."""
+    from barloom.operators import boosting as GB
+    tr, te = _split(ml_table(spark, sf))
+    model = GB.fit(tr, FEATS, "label", rounds=20, max_depth=3)
+    return model.transform(te.select("symbol", "ts", *FEATS)).select("symbol", "ts", "prediction", "probability")
+
+
 @reg("ml4_adaboost")
 def q_ml4(spark, sf):
     df = ml_table(spark, sf)
@@ -320,7 +388,7 @@ def q_cv6(spark, sf):
 @reg("cv8_validation_curve")
 def q_cv8(spark, sf):
     data, folds = _cv_setup(spark, sf)
-    return LN.validation_curve(_rf, data, folds, "maxDepth", [1, 2, 3, 4, 5, 6])
+    return LN.validation_curve(_rf, data, folds, "maxDepth", list(range(1, 47, 5)))
 
 
 # ------------------------------------------------------------- EV
@@ -448,6 +516,35 @@ def q_sel1(spark, sf):
     return finish(out, 7)
 
 
+def _sel1_rank_sql():
+    """Spearman by SQL's own ranks: rows with both values, mean rank of equal values, Pearson of the ranks."""
+    P = _sel1_periods()
+    cols = ", ".join(f"{G(p, f'close - {LAG(CLOSE, p)}')} AS MOM_{p}, "
+                     f"{G(p, f'CASE WHEN {LAG(CLOSE, p)} <> 0 THEN (close / {LAG(CLOSE, p)} - 1.0) * 100.0 ELSE 0.0 END')} AS ROC_{p}" for p in P)
+    uni = " UNION ALL ".join(f"SELECT symbol, '{i}' AS indicator, {p} AS period, {i}_{p} AS v, fwd FROM f WHERE {i}_{p} IS NOT NULL AND fwd IS NOT NULL"
+                             for i in ("MOM", "ROC") for p in P)
+    mean = ("rank() OVER (PARTITION BY symbol, indicator, period ORDER BY {0}) + (count(*) OVER (PARTITION BY symbol, indicator, period, {0}) - 1) / 2.0 AS r{0}")
+    ranges = ", ".join(f"({lo}, {hi})" for lo, hi in _SEL1_RANGES)
+    return (f"WITH {DAILY_CTES}, f AS (SELECT symbol, rn, lead(close, 10) OVER w / close - 1 AS fwd, {cols} FROM bd {WINDOW}), l AS ({uni}), "
+            f"q AS (SELECT *, {mean.format('v')}, {mean.format('fwd')} FROM l), u AS (SELECT symbol, indicator, period, corr(rv, rfwd) AS c FROM q GROUP BY ALL), "
+            f"r AS (SELECT * FROM (VALUES {ranges}) t(lo, hi)), "
+            "k AS (SELECT u.*, lo, hi, row_number() OVER (PARTITION BY symbol, indicator, lo ORDER BY round(abs(c), 9) DESC, period) AS rk "
+            "FROM u JOIN r ON period >= lo AND period < hi) "
+            f"SELECT symbol, indicator, lo AS range_lo, hi AS range_hi, period, {R('c', 7)} AS corr FROM k WHERE rk = 1")
+
+
+@reg("sel1_rank_correlation", _sel1_rank_sql())
+def q_sel1_rank(spark, sf):
+    """SEL1 with rank correlation: MOM and ROC over the eight period ranges, all candidates ranked in one numbering."""
+    P = _sel1_periods()
+    fr = sequence(BS.bars_daily(spark, sf))
+    w = Win(fr.key, fr.block)
+    fr = fr.add(FI.Feat([("fwd", w.lead(F.col("close"), 10) / F.col("close") - 1)], 0, 10))
+    fr = fr.add(*[make(w, n=p) for p in P for make in (FI.mom, FI.roc)])
+    out = LN.best_period_by_correlation(fr.df, "fwd", {(i, p): f"{i}_{p}" for i in ("MOM", "ROC") for p in P}, _SEL1_RANGES, key="symbol", method="rank")
+    return finish(out, 7)
+
+
 _SEL2 = ["open", "high", "low", "close", "volume"]
 
 
@@ -519,10 +616,13 @@ def q_sel6(spark, sf):
     return spark.createDataFrame([(c, c in names) for c in FEATS], "feature string, selected boolean")
 
 
-def _sel7_sql(bins=10):
-    uni = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, pos_change_signal AS y FROM x" for c in ["ROC_7", "MOM_7"])
-    return (f"WITH {LAB_CTES}, f AS (SELECT symbol, ts, {G(7, 'CASE WHEN lag(close, 7) OVER w <> 0 THEN (close / lag(close, 7) OVER w - 1.0) * 100.0 ELSE 0.0 END')} AS ROC_7, "
-            f"{G(7, 'close - lag(close, 7) OVER w')} AS MOM_7 FROM bd {WINDOW}), "
+#: Features that both sides compute by the same operations (equal bits, so equal bins).
+_SEL7_ALL = ["ROC_7", "MOM_7", "WILLR_14", "volume", "close"]
+
+
+def _sel7_sql(names, bins=10):
+    uni = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS v, pos_change_signal AS y FROM x" for c in names)
+    return (f"WITH {LAB_CTES}, f AS (SELECT symbol, ts, {_FEAT_SQL} FROM bd {WINDOW}), "
             "x AS (SELECT f.*, pos_change_signal FROM f JOIN lab USING (symbol, ts) WHERE pos_change_signal IS NOT NULL), "
             f"s AS ({uni}), b AS (SELECT feature, y, CAST(floor((row_number() OVER (PARTITION BY feature ORDER BY v, y) - 1) * {bins} "
             "/ count(*) OVER (PARTITION BY feature)) AS INTEGER) AS bin FROM s WHERE v IS NOT NULL), "
@@ -532,14 +632,25 @@ def _sel7_sql(bins=10):
             f"SELECT feature, {R('sum(nxy / n * ln(nxy * n / (nx * ny)))', 8)} AS mutual_information FROM k GROUP BY feature")
 
 
-@reg("sel7_mutual_information", _sel7_sql())
-def q_sel7(spark, sf):
+def _sel7_table(spark, sf):
     fr = daily_frame(spark, sf)
     w = Win(fr.key, fr.block)
-    fr = fr.add(FI.roc(w, n=7), FI.mom(w, n=7))
+    fr = fr.add(FI.roc(w, n=7), FI.mom(w, n=7), FI.willr(w, n=14))
     lab = labelled_daily(spark, sf).select("symbol", "ts", "pos_change_signal").where(F.col("pos_change_signal").isNotNull())
-    df = fr.df.select("symbol", "ts", "ROC_7", "MOM_7").join(lab, ["symbol", "ts"])
-    return finish(LN.mutual_information(df, ["ROC_7", "MOM_7"], "pos_change_signal", 10), 8)
+    return fr.df.join(lab, ["symbol", "ts"])
+
+
+@reg("sel7_mutual_information", _sel7_sql(["ROC_7", "MOM_7"]))
+def q_sel7(spark, sf):
+    return finish(LN.mutual_information(_sel7_table(spark, sf), ["ROC_7", "MOM_7"], "pos_change_signal", 10), 8)
+
+
+@reg("sel7_k_best", f"WITH mi AS ({_sel7_sql(_SEL7_ALL)}) SELECT feature, mutual_information, "
+     "CAST(row_number() OVER (ORDER BY mutual_information DESC, feature) AS INTEGER) AS rank FROM mi QUALIFY rank <= 3")
+def q_sel7_k(spark, sf):
+    """SEL7 in full: the three features that tell most about the class."""
+    out = LN.select_k_best(_sel7_table(spark, sf), _SEL7_ALL, "pos_change_signal", 3)
+    return finish(out, 8)
 
 
 @reg("sel8_pca")
@@ -702,7 +813,6 @@ SPARK["ml1_decision_tree_regressor"] = _fit_predict("DecisionTree", "regression"
 SPARK["ml2_random_forest_regressor"] = _fit_predict("RandomForest", "regression", numTrees=20, maxDepth=5)
 SPARK["ml3_extra_trees_regressor"] = _fit_predict("ExtraTrees", "regression", numTrees=20, maxDepth=5)
 SPARK["ml5_gradient_boosting_one_vs_rest"] = _fit_predict("GradientBoosting", multiclass=True, maxIter=3, maxDepth=2)
-SPARK["ml7_linear_regression"] = _fit_predict("Linear", "regression", maxIter=20)
 
 
 @reg("ml4_adaboost_regressor")
