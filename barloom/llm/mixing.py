@@ -4,14 +4,17 @@ Every document gets a hash-random key; inside its source, documents are ordered
 by key, and distributed prefix sums of their sizes cut the order at the source's
 exact budget.  A budget above the source's size repeats whole epochs first.
 
-The prefix sums are two-level: equal ranges of the key space are buckets of about
-``bucket_rows`` documents of the largest source, their sums are chained per
-source over the (small) bucket table, and a window inside each bucket adds the
-rest.  A source with a third of all rows is many buckets, never one window.
+The prefix sums have three levels: equal ranges of the key space are buckets of about
+``bucket_rows`` documents of the largest source, as many neighbouring buckets as
+their root make a group; group sums are chained per source, bucket sums per group,
+and a window inside each bucket adds the rest.  A source with a third of all rows is
+many buckets, never one window, and the chain over its groups grows with the root.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,8 +94,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     per_source = per_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))
     targets = source_targets(per_source, list(weights), share, most).select(
         F.isnull("source").alias("none"), F.coalesce("source", F.lit("")).alias("name"), "source_size", "target", "budget")
-    chain = Window.partitionBy("none", "name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (per_bucket.select("none", "name", "bucket", F.coalesce(F.sum("bucket_size").over(chain), F.lit(0)).alias("base"))
+    per_bucket = per_bucket.withColumn("group", F.floor(F.col("bucket") / math.isqrt(buckets)).cast("long"))
+    per_group = per_bucket.groupBy("none", "name", "group").agg(F.sum("bucket_size").alias("group_size"))
+    chain = Window.partitionBy("none", "name").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_group.select("none", "name", "group", F.coalesce(F.sum("group_size").over(chain), F.lit(0)).alias("before"))
+    in_group = Window.partitionBy("none", "name", "group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (per_bucket.withColumn("inner", F.coalesce(F.sum("bucket_size").over(in_group), F.lit(0)))
+              .join(before, ["none", "name", "group"])
+              .select("none", "name", "bucket", (F.col("before") + F.col("inner")).alias("base"))
               .join(targets, ["none", "name"]))
     inside = (Window.partitionBy("none", "name", "bucket").orderBy("key", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
