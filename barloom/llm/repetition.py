@@ -2,10 +2,11 @@
 
 Every text's words get a suffix array (prefix doubling, vectorised over a run of
 whole documents).  Neighbouring suffixes' longest common prefixes form LCP
-intervals; an interval of ``min_words`` or more is a repeated substring, maximal
-where the words before its occurrences differ.  The union of all occurrences'
-spans gives the covered share of the text, the largest value the longest repeat;
-both are limited, beside plain counts.  No shuffle: a document is judged alone.
+intervals; an interval of ``window`` or more words is a repeated substring, maximal
+where the words before its occurrences differ.  The verdict limits two figures of
+the maximal ones: the share of the text that the union of their occurrences covers
+(those with ``least_times`` occurrences, or of ``twice_words`` words: one short line
+said twice is no boilerplate) and the longest.  No shuffle: a document is judged alone.
 """
 
 from __future__ import annotations
@@ -33,12 +34,13 @@ class Rules:
     """Limits of the verdict.
 
     base: fewer than ``min_words`` words, or more than ``max_repeat_pct`` % of the
-    words in repeated ``window``-word windows.  Method: the union of repeated
-    substrings may cover at most ``max_covered`` of the words' characters, and
-    the longest repeat at most ``max_longest`` of the words (only counted from
-    ``long_words`` words on, so one short echo never rejects a text).  Both lie
-    below what a text at the base limit has (30 % covered, so 15 % the longest
-    of two separate occurrences): the method rejects texts that the base keeps.
+    words in repeated ``window``-word windows.  Method: the union of the maximal
+    repeats with ``least_times`` or more occurrences, or of ``twice_words`` words or
+    more, may cover at most ``max_covered`` of the words' characters, and the longest
+    maximal repeat of ``long_words`` words or more may have at most ``max_longest``
+    of the words: one short echo never rejects a text.  Both lie below what a text
+    at the base limit has (30 % covered, so 15 % the longest of two separate
+    occurrences): the method rejects texts that the base keeps.
     """
 
     min_words: int = 20
@@ -47,6 +49,8 @@ class Rules:
     max_covered: float = 0.2
     max_longest: float = 0.1
     long_words: int = 16
+    least_times: int = 3
+    twice_words: int = 12
 
 
 def suffix_array(words: np.ndarray, doc: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -123,8 +127,38 @@ def lcp_intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def repeats(texts: list[list[bytes]], window: int) -> pd.DataFrame:
-    """Per text: words in repeated windows, their characters, longest repeat, maximal repeats."""
+def innermost(intervals: list[tuple[int, int, int]], n: int) -> np.ndarray:
+    """Length of the innermost interval around each of ``n`` suffixes (none: 0).
+
+    ``intervals`` are nested or apart, inner ones first.  Every suffix is set once:
+    an outer interval jumps over those inside it.
+    """
+    reach = np.zeros(n, "int64")
+    after = {}
+    for lo, hi, length in intervals:
+        i = lo
+        while i <= hi:
+            j = after.get(i)
+            if j is None:
+                reach[i] = length
+                i += 1
+            else:
+                i = j
+        after[lo] = hi + 1
+    return reach
+
+
+def _covered(reach: np.ndarray) -> np.ndarray:
+    """Words in the union of the spans [i, i + reach[i])."""
+    edge = np.zeros(len(reach) + 1, "int64")
+    starts = np.flatnonzero(reach)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + reach[starts], -1)
+    return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+
+def repeats(texts: list[list[bytes]], window: int, least_times: int = 3, twice_words: int = 12) -> pd.DataFrame:
+    """Per text: words in repeated windows, characters the counted repeats cover, longest and number of maximal repeats."""
     count = np.array([len(t) for t in texts], "int64")
     out = {k: np.zeros(len(texts), "int64") for k in ("covered", "covered_chars", "longest", "n_maximal")}
     flat = [w for t in texts for w in t]
@@ -134,32 +168,31 @@ def repeats(texts: list[list[bytes]], window: int) -> pd.DataFrame:
     doc = np.repeat(np.arange(len(texts)), count)
     end = np.repeat(np.cumsum(count), count)
     order, levels = suffix_array(codes, doc, end)
-    lcp = neighbour_lcp(order, levels, end)
-    n = len(flat)
-    reach = np.zeros(n, "int64")  # longest repeat that starts at each word: the innermost interval of its suffix
-    reach[order] = np.maximum(lcp, np.r_[lcp[1:], 0])
-    long_enough = reach >= window
-    if not long_enough.any():
+    found = lcp_intervals(neighbour_lcp(order, levels, end), window)
+    if not found:
         return pd.DataFrame(out)
-    edge = np.zeros(n + 1, "int64")
-    starts = np.flatnonzero(long_enough)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + reach[starts], -1)
-    covered = np.cumsum(edge[:-1]) > 0
-    hit = np.flatnonzero(covered)
-    chars = np.array([len(flat[i].decode("utf-8", "replace")) for i in hit.tolist()], "int64")
-    np.add.at(out["covered"], doc[hit], 1)
-    np.add.at(out["covered_chars"], doc[hit], chars)
-    np.maximum.at(out["longest"], doc[starts], reach[starts])
+    reach = np.zeros(len(flat), "int64")
+    reach[order] = innermost(found, len(flat))
+    np.add.at(out["covered"], doc[_covered(reach)], 1)
+    # maximal: some occurrence has another word before it, so the repeat cannot be widened to the left
     before = np.where((order > 0) & (doc[order] == doc[order - 1]), codes[order - 1], -1)
     change = np.cumsum(np.r_[0, (before[1:] != before[:-1]) | (before[1:] < 0)])
-    for lo, hi, _ in lcp_intervals(lcp, window):
-        if change[hi] > change[lo]:  # some occurrence has another word before it: cannot be widened
-            out["n_maximal"][doc[order[lo]]] += 1
+    counted = []
+    for lo, hi, length in found:
+        if change[hi] > change[lo]:
+            d = doc[order[lo]]
+            out["n_maximal"][d] += 1
+            out["longest"][d] = max(out["longest"][d], length)
+            if hi - lo + 1 >= least_times or length >= twice_words:
+                counted.append((lo, hi, length))
+    reach[order] = innermost(counted, len(flat))
+    hit = _covered(reach)
+    chars = np.array([len(flat[i].decode("utf-8", "replace")) for i in hit.tolist()], "int64")
+    np.add.at(out["covered_chars"], doc[hit], chars)
     return pd.DataFrame(out)
 
 
-def text_facts(texts: list[str | None], window: int) -> pd.DataFrame:
+def text_facts(texts: list[str | None], rules: Rules) -> pd.DataFrame:
     """Counts of every text: words, characters, symbols, lines and repeats."""
     words = [words_of(t) for t in texts]
     size = [len(w) for w in words]
@@ -169,9 +202,9 @@ def text_facts(texts: list[str | None], window: int) -> pd.DataFrame:
         while hi < len(texts) and total + size[hi] <= RUN_WORDS:
             total += size[hi]
             hi += 1
-        got.append(repeats(words[lo:hi], window))
+        got.append(repeats(words[lo:hi], rules.window, rules.least_times, rules.twice_words))
         lo = hi
-    facts = pd.concat(got, ignore_index=True) if got else repeats([], window)
+    facts = pd.concat(got, ignore_index=True) if got else repeats([], rules.window)
     facts["n_words"] = np.array(size, "int64")
     facts["word_chars"] = np.array([0 if t is None else len(t) - sum(map(t.count, SPACE_CHARS)) for t in texts], "int64")
     facts["n_symbols"] = np.array([0 if t is None else sum(map(t.count, SYMBOLS)) for t in texts], "int64")
@@ -217,7 +250,7 @@ def quality(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            facts = verdict(text_facts(b.column(len(cols)).to_pylist(), rules.window), rules)
+            facts = verdict(text_facts(b.column(len(cols)).to_pylist(), rules), rules)
             facts = facts.rename(columns={"covered": "n_repeat_words", "covered_chars": "repeat_chars",
                                           "longest": "longest_repeat", "n_maximal": "n_maximal_repeats"})
             q = pa.StructArray.from_arrays([pa.array(facts[k].values) for k in FACTS], names=list(FACTS))

@@ -45,6 +45,21 @@ def longest_repeat(w, least):
     return best, hit
 
 
+def maximal_repeats(w, least):
+    """Word sequences of ``least`` or more words at two or more places that no word before or after all of them widens: {sequence: places}."""
+    found = {}
+    for n in range(least, len(w)):
+        places = {}
+        for i in range(len(w) - n + 1):
+            places.setdefault(tuple(w[i:i + n]), []).append(i)
+        for seq, at in places.items():
+            before = {w[i - 1] if i else (i,) for i in at}
+            after = {w[i + n] if i + n < len(w) else (i,) for i in at}
+            if len(at) > 1 and len(before) > 1 and len(after) > 1:
+                found[seq] = at
+    return found
+
+
 def simhash(text, shingle=4):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text)) if text is not None else []
     if not w:

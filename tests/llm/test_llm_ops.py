@@ -162,6 +162,30 @@ def test_suffix_array_and_lcp_against_sorting():
             assert (facts["longest"][i], facts["covered"][i]) == (best, len(hit))
 
 
+def test_maximal_repeats_against_brute_force():
+    rng = random.Random(6)
+    for _ in range(60):
+        texts = [[b"%d" % (10 ** rng.randrange(3)) for _ in range(rng.randrange(0, 25))] for _ in range(4)] + [[b"7"] * 20, []]
+        facts = repetition.repeats(texts, 3, 3, 5)
+        for i, t in enumerate(texts):
+            found = brute.maximal_repeats(t, 3)
+            hit = {j for seq, at in found.items() if len(at) >= 3 or len(seq) >= 5 for k in at for j in range(k, k + len(seq))}
+            assert facts["n_maximal"][i] == len(found)
+            assert facts["longest"][i] == max(map(len, found), default=0)
+            assert facts["covered_chars"][i] == sum(len(t[j]) for j in hit)
+
+
+def test_quality_keeps_one_short_line_said_twice(spark):
+    rng = random.Random(11)
+    a = [f"w{k}x" for k in rng.sample(range(10**6), 90)]
+    twice = a[:9] + a[10:60] + a[:9]  # 18 of 68 words
+    thrice = a[:8] + a[10:45] + a[:8] + a[45:85] + a[:8]  # 24 of 99 words
+    df = spark.createDataFrame([(1, " ".join(twice)), (2, " ".join(thrice))], "doc_id int, text string")
+    got = {r["doc_id"]: r for r in repetition.quality(df).select("doc_id", "quality.*").collect()}
+    assert not got[1]["base_failed"] and not got[2]["base_failed"]
+    assert (got[1]["kept"], got[2]["kept"]) == (True, False)
+
+
 def test_suffix_order():
     words = np.array([2, 1, 2, 1, 2, 0, 1, 0], "int64")
     doc, end = np.array([0] * 5 + [1] * 3), np.array([5] * 5 + [8] * 3)
