@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,27 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def sliced(run: Callable, rows: int = ARROW_ROWS) -> Callable:
+    """``run`` on slices of at most ``rows`` rows; the session's batch size stays as it is."""
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows))
+
+    return few
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most ``rows`` rows a batch for the jobs run inside; the setting is restored."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    small_batches(spark, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the session's shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import SPACE_CHARS, free_name, small_batches, words_of
+from barloom.llm.common import SPACE_CHARS, free_name, sliced, words_of
 
 #: Characters counted as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -242,7 +242,6 @@ def quality(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
     are judged alike; nothing is dropped here.  The struct's name gets
     underscores when the input has that column.
     """
-    small_batches(docs.sparkSession)
     cols = docs.columns if keep_cols is None else keep_cols
     name = free_name(docs, "quality")
     at = docs.columns.index(text_col)
@@ -258,7 +257,7 @@ def quality(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
 
     src = docs.select(*cols, F.col(docs.columns[at]).alias(free_name(docs, "_text")))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*cols).schema)
-    return src.mapInArrow(run, f"{kinds}, {name} struct<{inner}>")
+    return src.mapInArrow(sliced(run), f"{kinds}, {name} struct<{inner}>")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -> DataFrame:

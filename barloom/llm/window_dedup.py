@@ -15,9 +15,16 @@ Each task first counts its own rows, a stretch of ``RUN_WORDS`` words at a time:
 windows repeated in a stretch are decided at once, and a decided run is sent only
 once by a task.  The inside of a passage on a third of all documents therefore
 costs a few rows a task.  Windows across its edges are all different but share
-its anchors; anchors on more than ``HOT_SHARE`` of the documents are found on a
-bounded sample beforehand, and their windows are dealt by the window's own hash
-instead.  Which anchors count as hot changes where windows meet, never whether.
+its anchors.  Two ways keep such an anchor from filling a task:
+
+* anchors on more than ``HOT_SHARE`` of the documents are found on a bounded sample
+  beforehand, and their windows are dealt by the window's own hash; the runs of any
+  other anchor are then less than that share of the documents, a few runs each;
+* a task holds at most ``KEY_ROWS`` runs of one anchor (and a batch).  The windows
+  of an anchor with more are not counted there: each goes on alone, dealt once more
+  by anchor and window hash, and is counted from the sorted rows as they pass.
+
+Both change where windows meet, never whether.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import content_key, free_name, grouped_batches, small_batches, words_of
+from barloom.llm.common import content_key, free_name, sliced, words_of
 
 #: Words of an anchor.
 GRAM = 8
@@ -53,6 +60,9 @@ LOW48 = (1 << 48) - 1
 SAMPLE_DOCS = 20_000
 HOT_SHARE = 1 / 400
 
+#: Runs of one anchor that a task holds at once.
+KEY_ROWS = 20_000
+
 RUNS = "key long, k1 long, k2 long, at int, seen binary, hashes binary"
 
 
@@ -179,7 +189,7 @@ def hot_anchors(docs: DataFrame, id_col: str, text_col: str, width: int) -> np.n
     n = docs.count()
     key = F.xxhash64(F.lit("sample"), id_col, text_col)
     some = docs.where(F.pmod(key, F.lit(max(1, n // SAMPLE_DOCS))) == 0)
-    often = (some.select(text_col).mapInArrow(_text_anchors(width), "anchor long")
+    often = (some.select(text_col).mapInArrow(sliced(_text_anchors(width)), "anchor long")
              .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(8, HOT_SHARE * min(n, SAMPLE_DOCS))))
     return np.array(sorted(r["anchor"] for r in often.select("anchor").collect()), "int64").view("uint64")
 
@@ -251,50 +261,122 @@ def _merge_decided(rows, w: Windows, k1: np.ndarray, k2: np.ndarray, number: np.
          pa.array(seen, pa.binary()), pa.array(hashes, pa.binary())], names=["key", "k1", "k2", "at", "seen", "hashes"])
 
 
-def _count(width: int):
-    """Runs sorted by anchor to (k1, k2, first, last) intervals of repeated windows' words."""
+def key_pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Table, bool]]:
+    """Rows sorted by ``key``: tables of whole keys (False), and pieces of a key with over ``limit`` rows (True).
+
+    Holds at most ``limit`` rows of a key and two batches.
+    """
+    held: list[pa.RecordBatch] = []
+    n_held, last, split = 0, None, False
+    for b in batches:
+        key = b.column(0).to_numpy()
+        if split and len(key):
+            more = int(np.searchsorted(key, last, "right"))
+            if more:
+                yield pa.Table.from_batches([b.slice(0, more)]), True
+            b, key = b.slice(more), key[more:]
+        if not len(key):
+            continue
+        split = False
+        if held and last != key[0]:
+            yield pa.Table.from_batches(held), False
+            held, n_held = [], 0
+        last = key[-1]
+        cut = int(np.searchsorted(key, last))  # first row of the last key
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)]), False
+            held, n_held = [], 0
+        held.append(b.slice(cut))
+        n_held += b.num_rows - cut
+        if n_held > limit:
+            yield pa.Table.from_batches(held), True
+            held, n_held, split = [], 0, True
+    if held:
+        yield pa.Table.from_batches(held), False
+
+
+FOUND = "k1 long, k2 long, first int, last int, alone long, low long"
+
+
+def _count(width: int, key_rows: int):
+    """Runs sorted by anchor to (k1, k2, first, last) intervals of repeated windows' words.
+
+    Rows with ``alone`` are single windows of a key with too many runs, not counted yet.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped_batches(batches, "key"):
+        for t, split in key_pieces(batches, key_rows):
             key = t.column("key").to_numpy()
+            k1, k2, at = (t.column(c).to_numpy() for c in ("k1", "k2", "at"))
             seen = [np.frombuffer(s, "u1") for s in t.column("seen").to_pylist()]
             raw = t.column("hashes").to_pylist()
             size = np.array([len(s) for s in seen], "int64")
             row = np.repeat(np.arange(len(key)), size)
+            begin = np.cumsum(size) - size
             flag = np.concatenate(seen) > 0
             counted = np.repeat(np.array([r is not None for r in raw]), size)
             h = np.zeros(len(row), "uint64")
             h[counted] = np.concatenate([_unpack48(r) for r in raw if r is not None] or [np.empty(0, "uint64")])
-            # only anchors met in two rows, or windows marked, can repeat
-            often = np.r_[False, key[1:] == key[:-1]]
-            often = often | np.r_[often[1:], False]
-            look = np.flatnonzero(counted & often[row])
-            flag[look] |= _repeated(h[look], key[row[look]].view("uint64"))
+            if split:
+                look = np.flatnonzero(counted)
+                r, word = row[look], at[row[look]] + (look - begin[row[look]])
+                alone = _mix(key[r].view("uint64") ^ h[look]).view("int64")
+                yield _found(k1[r], k2[r], word, word + width, alone, h[look].view("int64"))
+            else:
+                # only anchors met in two rows, or windows marked, can repeat
+                often = np.r_[False, key[1:] == key[:-1]]
+                often = often | np.r_[often[1:], False]
+                look = np.flatnonzero(counted & often[row])
+                flag[look] |= _repeated(h[look], key[row[look]].view("uint64"))
             hit = np.flatnonzero(flag)
             if not len(hit):
                 continue
-            begin = np.cumsum(size) - size
-            word = t.column("at").to_numpy()[row[hit]] + (hit - begin[row[hit]])
+            word = at[row[hit]] + (hit - begin[row[hit]])
             cut = np.flatnonzero(np.r_[True, (row[hit][1:] != row[hit][:-1]) | (word[1:] > word[:-1] + 1)])
             last = np.r_[cut[1:], len(hit)] - 1
             r = row[hit[cut]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(t.column("k1").to_numpy()[r]), pa.array(t.column("k2").to_numpy()[r]),
-                 pa.array(word[cut].astype("int32")), pa.array((word[last] + width).astype("int32"))],
-                names=["k1", "k2", "first", "last"])
+            yield _found(k1[r], k2[r], word[cut], word[last] + width)
 
     return run
 
 
-def repeated_intervals(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+def _found(k1, k2, first, last, alone=None, low=None) -> pa.RecordBatch:
+    none = pa.nulls(len(k1), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(first.astype("int32")), pa.array(last.astype("int32")),
+         none if alone is None else pa.array(alone), none if low is None else pa.array(low)],
+        names=["k1", "k2", "first", "last", "alone", "low"])
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Intervals, and of the single windows (sorted by ``alone``, ``low``) those that occur twice; holds one row."""
+    tail, sent = None, False
+    for b in batches:
+        keep = ["k1", "k2", "first", "last"]
+        single = b.filter(b.column("alone").is_valid())
+        if single.num_rows < b.num_rows:
+            yield b.filter(b.column("alone").is_null()).select(keep)
+        if not single.num_rows:
+            continue
+        t = pa.Table.from_batches([single] if tail is None else [tail, single]).combine_chunks()
+        alone, low = t.column("alone").to_numpy(), t.column("low").to_numpy()
+        same = (alone[1:] == alone[:-1]) & (low[1:] == low[:-1])
+        twice = np.r_[same, False] | np.r_[False, same]
+        out = twice.copy()
+        out[0] &= tail is None or not sent
+        yield from t.filter(pa.array(out)).select(keep).to_batches()
+        tail, sent = t.slice(len(t) - 1).to_batches()[0], bool(twice[-1])
+
+
+def repeated_intervals(docs: DataFrame, id_col: str, text_col: str, width: int, key_rows: int = KEY_ROWS) -> DataFrame:
     """(k1, k2, spans): per text with repeats, intervals [first, last) of words; their union is what goes."""
-    small_batches(docs.sparkSession)
     rows = docs.select(*content_key(id_col, text_col), F.col(text_col).alias("t")).mapInArrow(
-        _send(width, hot_anchors(docs, id_col, text_col, width)), RUNS)
-    found = (rows.repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_count(width), "k1 long, k2 long, first int, last int"))
+        sliced(_send(width, hot_anchors(docs, id_col, text_col, width))), RUNS)
+    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_count(width, key_rows), FOUND)
+    met = (found.repartition(F.coalesce("alone", F.xxhash64("k1", "k2"))).sortWithinPartitions("alone", "low")
+           .mapInArrow(_settle, "k1 long, k2 long, first int, last int"))
     spans = F.collect_set(F.struct("first", "last"))
-    return found.groupBy("k1", "k2").agg(spans.alias("spans"))
+    return met.groupBy("k1", "k2").agg(spans.alias("spans"))
 
 
 def _cut(kept_text: bool):
@@ -326,21 +408,21 @@ def _cut(kept_text: bool):
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 35,
-                 kept_text: bool = False) -> DataFrame:
+                 kept_text: bool = False, key_rows: int = KEY_ROWS) -> DataFrame:
     """Per row: the id, n_words, n_removed, kept_sha256 and, on request, the kept text.
 
     A word goes if a ``width``-word window that covers it also starts somewhere else
     (same text included; judged on the input).  Kept words are joined by one
     space.  Null and empty texts have no words.  Repeated rows are texts of
     their own: from ``width`` words on they remove each other.  Extra columns are ignored.
+    ``key_rows`` bounds the runs of one anchor that a task holds, not the result.
     """
     if width < 1:
         raise ValueError("a window has at least one word")
-    small_batches(docs.sparkSession)
-    spans = repeated_intervals(docs, id_col, text_col, width)
+    spans = repeated_intervals(docs, id_col, text_col, width, key_rows)
     k1, k2 = content_key(id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), k1, k2, F.col(text_col).alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * kept_text
     return (rows.join(spans, ["k1", "k2"], "left").select("doc_id", "t", "spans")
-            .mapInArrow(_cut(kept_text), schema))
+            .mapInArrow(sliced(_cut(kept_text)), schema))
