@@ -318,6 +318,25 @@ def test_top_k_repeated_rows(spark):
         assert sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
 
 
+def test_top_k_prunes_clusters_and_ignores_other_columns(spark):
+    rng = random.Random(14)
+    centres = [[rng.uniform(-1, 1) for _ in range(8)] for _ in range(20)]
+    data = [(i, [float(round(256 * (x + rng.gauss(0, 0.01)))) for x in centres[i % 20]]) for i in range(4000)]
+    df = spark.createDataFrame(data, "vec_id long, v array<double>").selectExpr(
+        "*", "1 AS pivot", "'x' AS score", "2 AS rank", "3 AS qb", "4 AS annulus", "5 AS gap", "6 AS query_id")
+    report = []
+    got = pivot_search.top_k(df, df.where("vec_id % 97 = 0"), k=3, n_pivots=24, block_rows=32, block_queries=4, first=1, report=report)
+    x = np.array([v for _, v in data], "int64")
+    want = []
+    for q in range(0, 4000, 97):
+        scores = x @ x[q]
+        order = [i for i in np.lexsort((np.arange(4000), -scores)).tolist() if i != q][:3]
+        want += [(q, r + 1, i, int(scores[i])) for r, i in enumerate(order)]
+    assert bag(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+    (dim, read, pairs), = report
+    assert dim == 8 and 0 < read < 0.5 * pairs
+
+
 def test_top_k_awkward(spark):
     e = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [0.5, None]), (50, [float("nan"), 1.0]), (100, None), (150, [0.1, 0.2]), (200, [])], e)
@@ -494,6 +513,47 @@ def test_window_dedup_over_stretches_and_hot_anchors(spark, monkeypatch):
     assert seen == {(n, j): 1 for n, t in enumerate(texts) for j in range(len(t) - 34)}
 
 
+@pytest.mark.parametrize("key_rows", [0, 1, 7])
+def test_window_dedup_splits_keys_by_rows(spark, docs, rows, monkeypatch, key_rows):
+    monkeypatch.setattr(window_dedup, "HOT_SHARE", 1.0)  # no anchor is dealt by window beforehand
+    rng = random.Random(12)
+    passage = prose(rng, 50, 5000)
+    texts = [f"{prose(rng, rng.randrange(0, 60), 5000)} {passage} {prose(rng, 20, 5000)}" if i % 3 else prose(rng, 90, 2) for i in range(48)]
+    texts += [texts[1]] * 3 + [r[1] for r in rows]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    want = [(i, *x) for i, x in enumerate(brute.window_dedup(texts, 35))]
+    got = window_dedup.drop_repeats(df, key_rows=key_rows)
+    assert bag(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=repr)
+
+
+def test_key_pieces_bound_what_is_held():
+    rng = random.Random(13)
+    for _ in range(100):
+        keys = sorted(rng.choices(range(-3, 4), [1, 1, 1, 9, 1, 2, 1], k=rng.randrange(0, 60)))
+        t = pa.table({"key": pa.array(keys, pa.int64()), "at": pa.array(range(len(keys)), pa.int64())})
+        batches = [b for b in t.to_batches(max_chunksize=rng.randrange(1, 9))]
+        pieces = list(window_dedup.key_pieces(iter(batches), 5))
+        assert [x for p, _ in pieces for x in p["at"].to_pylist()] == list(range(len(keys)))
+        for k in set(keys):
+            held = [(p["key"].to_pylist().count(k), split) for p, split in pieces if k in p["key"].to_pylist()]
+            assert len(held) == 1 or all(split for _, split in held)  # counted whole, or not at all
+        assert all(len(set(p["key"].to_pylist())) == 1 for p, split in pieces if split)
+
+
+def test_operators_leave_batch_setting(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "9999")
+    try:
+        window_dedup.drop_repeats(docs).count()
+        repetition.quality(docs).count()
+        vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "vec_id long, v array<double>")
+        pivot_search.top_k(vecs, vecs).count()
+        assert spark.conf.get(key) == "9999"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_window_dedup_kept_text_and_empty(docs, empty):
     out = window_dedup.drop_repeats(docs, width=35, kept_text=True).where("n_removed = 0 AND n_words > 0")
     by = {r["doc_id"]: r["kept"] for r in out.collect()}
