@@ -113,10 +113,22 @@ def _cut_annuli(block_rows: int, pivots: np.ndarray, top: float):
 def _query_blocks(pivots: np.ndarray, block_queries: int):
     """Queries sorted by nearest pivot to blocks, with each pivot's distance interval."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
         for b in batches:
-            for lo in range(0, b.num_rows, block_queries):
-                part = b.slice(lo, block_queries)
+            while b.num_rows:
+                room = block_queries - sum(h.num_rows for h in held)
+                held.append(b.slice(0, room))
+                b = b.slice(min(room, b.num_rows))
+                if sum(h.num_rows for h in held) == block_queries:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held = []
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in blocks(batches):
+            for part in t.to_batches():
                 q = _matrix(part.column(part.schema.get_field_index("v"))).astype("<f8")
                 ids = part.column(part.schema.get_field_index("vec_id")).to_numpy().astype("<i8")
                 d = _distance(np.c_[q, np.zeros(len(q))], pivots)
@@ -262,7 +274,8 @@ def _top_k_dim(rows: DataFrame, asked: DataFrame, dim: int, k: int, n_pivots: in
         .withColumn("annulus", F.monotonically_increasing_id()), "annuli")
     near = (asked.mapInArrow(_key_rows(pivots, None), "pivot int, dist double, vec_id long, v array<double>")
             .repartitionByRange("pivot", "dist", "vec_id").sortWithinPartitions("pivot", "dist", "vec_id"))
-    blocks = staged(near.select("vec_id", "v").mapInArrow(
+    tasks = max(1, asked.count() // block_queries)  # a task has a block's queries at least
+    blocks = staged(near.select("vec_id", "v").coalesce(tasks).mapInArrow(
         _query_blocks(pivots, block_queries),
         "qids binary, qm binary, near array<double>, far array<double>, q_sq double, id_list array<long>")
         .withColumn("qb", F.monotonically_increasing_id()), "queries")

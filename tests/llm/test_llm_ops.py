@@ -259,6 +259,24 @@ def test_pack(spark):
     assert by and packing.pack(df.limit(0), "n", "source", "cl").count() == 0
 
 
+def test_best_fit_against_scanning_all_bins():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        n, capacity = int(rng.integers(0, 80)), 50
+        size = np.sort(rng.integers(1, capacity + 1, n))[::-1] if rng.random() < 0.5 else rng.integers(1, capacity + 1, n)
+        source, cluster = rng.integers(-1, 6, n), rng.integers(-1, 9, n)
+        bins, offsets = packing.best_fit(size, source, cluster, capacity)
+        free: list = []  # residual, sources, clusters
+        for i, (m, s, c) in enumerate(zip(size.tolist(), source.tolist(), cluster.tolist())):
+            fits = [(left, b) for b, (left, ss, cc) in enumerate(free) if left >= m and (s < 0 or s not in ss) and (c < 0 or c not in cc)]
+            b = min(fits)[1] if fits else len(free)
+            if not fits:
+                free.append((capacity, set(), set()))
+            left, ss, cc = free[b]
+            assert (bins[i], offsets[i]) == (b, capacity - left)
+            free[b] = (left - m, ss | {s}, cc | {c})
+
+
 def test_best_fit_takes_tightest_compatible():
     size = np.array([60, 50, 45, 40, 35, 10])
     source = np.array([0, 1, 2, 1, 0, 0])
