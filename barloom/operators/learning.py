@@ -19,7 +19,7 @@ from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembl
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.finite import safe_corr
@@ -542,5 +542,20 @@ def pca_features(df: DataFrame, feature_cols: list[str], k: int = 10, out="pca")
     return Pipeline(stages=[va, sc, p]).fit(df)
 
 
+def pca_components(model, feature_cols: list[str]) -> DataFrame:
+    """component (from 1), feature, loading, explained_variance of a fitted :func:`pca_features`.
+
+    A component's sign is arbitrary: its largest loading is made positive.
+    """
+    pca = model.stages[-1]
+    load, share = pca.pc.toArray(), pca.explainedVariance.toArray()
+    rows = []
+    for c in range(load.shape[1]):
+        v = load[:, c]
+        v = v if v[abs(v).argmax()] > 0 else -v
+        rows += [(c + 1, f, float(x), float(share[c])) for f, x in zip(feature_cols, v)]
+    return SparkSession.getActiveSession().createDataFrame(rows, "component int, feature string, loading double, explained_variance double")
+
+
 def label_indexer(col: str, out: str = "label"):
     return StringIndexer(inputCol=col, outputCol=out, handleInvalid="keep", stringOrderType="alphabetAsc")

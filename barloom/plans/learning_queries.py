@@ -157,12 +157,35 @@ def q_tab9(spark, sf):
     return TAB.apply_label_encoder(p, "p_brand", enc).select("p_partkey", F.col("p_brand_code").cast("int"))
 
 
-@reg("tab10_tabular_transformer")
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _circle_sql(name, part, period):
+    return ", ".join(f"{R(f'{f}(2 * pi() * {part} / {period}.0)', 6)} AS since_{name}_{f}" for f in ("sin", "cos"))
+
+
+_TAB10_SQL = (
+    "WITH c AS (SELECT * REPLACE (CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal), "
+    "make_date(CAST(1990 + c_nationkey AS INTEGER), CAST(c_custkey % 12 + 1 AS INTEGER), 1) AS d FROM customer), "
+    "m AS (SELECT avg(c_acctbal) AS m FROM c), i AS (SELECT c.*, c_acctbal IS NULL AS gap, coalesce(c_acctbal, m) AS x FROM c, m), "
+    f"q AS (SELECT quantile_cont(x, {_QS}) AS qs FROM i), "
+    f"p AS (SELECT i.*, least(greatest({_interp_sql('x', 'qs', 100)}, 1e-7), 1 - 1e-7) AS u FROM i, q), "
+    f"z AS (SELECT p.*, {_inv_norm_sql('u')} AS normal FROM p), s AS (SELECT avg(normal) AS zm, stddev_pop(normal) AS zs FROM z), "
+    "k AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS v FROM customer)), "
+    "y AS (SELECT min(year(d)) AS y0, max(year(d)) AS y1 FROM c) "
+    f"SELECT z.* EXCLUDE (d, gap, x, u, normal) REPLACE ({R('(normal - zm) / zs', 6)} AS c_acctbal), strftime(d, '%d/%m/%Y') AS since, "
+    "gap AS missingindicator_c_acctbal, " + ", ".join(f"CAST(c_mktsegment = '{v}' AS INTEGER) AS c_mktsegment_{v}" for v in _SEGMENTS)
+    + ", code AS c_nationkey_code, " + _circle_sql("day", "day(d)", 31) + ", " + _circle_sql("dayofweek", "(isodow(d) - 1)", 6) + ", "
+    + _circle_sql("month", "month(d)", 12) + f", {R('(year(d) - y0) / CAST(y1 - y0 AS DOUBLE)', 6)} AS since_year "
+    "FROM z JOIN k ON k.v = CAST(c_nationkey AS VARCHAR), s, y")
+
+
+@reg("tab10_tabular_transformer", _TAB10_SQL)
 def q_tab10(spark, sf):
     c = customers(spark, sf).withColumn("since", F.date_format(F.make_date(
         F.lit(1990) + F.col("c_nationkey"), (F.col("c_custkey") % 12) + 1, F.lit(1)), "dd/MM/yyyy"))
     tt = TAB.TabularTransformer(numeric=["c_acctbal"], ohe=["c_mktsegment"], label=["c_nationkey"], dates=["since"]).fit(c)
-    return tt.transform(c)
+    return finish(tt.transform(c), 6)
 
 
 # ------------------------------------------------------------- folds (CV1–CV3)
@@ -661,6 +684,34 @@ def q_sel8(spark, sf):
     return m.transform(df).select("symbol", "ts", vector_to_array("pca").alias("pca"))
 
 
+def _pca_sql(names, k):
+    """Leading components of the correlation matrix: squared until one direction is left, then taken off and again."""
+    n, t = len(names), len(names) ** 2
+    square = f"[list_sum([m[(t // {n}) * {n} + j + 1] * m[j * {n} + t % {n} + 1] for j in range({n})]) for t in range({t})]"
+    steps = [f"a0 AS (SELECT [{', '.join(f'corr({a}, {b})' for a in names for b in names)}] AS a FROM x)"]
+    for c in range(1, k + 1):
+        steps += [f"p{c} AS (SELECT 0 AS step, a AS m FROM a{c - 1} UNION ALL SELECT step + 1, "
+                  f"[v / list_sum([sq[j * {n + 1} + 1] for j in range({n})]) for v in sq] FROM (SELECT step, {square} AS sq FROM p{c} WHERE step < 16))",
+                  f"e{c} AS (SELECT m, list_sum([a[t + 1] * m[t + 1] for t in range({t})]) AS l, "
+                  f"list_position([m[j * {n + 1} + 1] for j in range({n})], list_max([m[j * {n + 1} + 1] for j in range({n})])) - 1 AS top "
+                  f"FROM p{c}, a{c - 1} WHERE step = 16)",
+                  f"a{c} AS (SELECT [a[t + 1] - l * m[t + 1] for t in range({t})] AS a FROM a{c - 1}, e{c})"]
+    rows = " UNION ALL ".join(f"SELECT {c} AS component, '{f}' AS feature, {R(f'm[{i * n} + top + 1] / sqrt(m[top * {n + 1} + 1])', 5)} AS loading, "
+                              f"{R(f'l / {n}.0', 6)} AS explained_variance FROM e{c}" for c in range(1, k + 1) for i, f in enumerate(names))
+    live = " AND ".join(f"{c} IS NOT NULL" for c in names)
+    return (f"WITH RECURSIVE {DAILY_CTES}, f AS (SELECT symbol, ts, {_FEAT_SQL} FROM bd {WINDOW}), x AS (SELECT * FROM f WHERE {live}), "
+            + ", ".join(steps) + f" SELECT * FROM ({rows})")
+
+
+@reg("sel8_pca_components", _pca_sql(_SEL7_ALL, 3))
+def q_sel8_components(spark, sf):
+    """SEL8 by its closed form: loadings (the largest of a component positive) and shares of the variance."""
+    fr = daily_frame(spark, sf)
+    w = Win(fr.key, fr.block)
+    df = fr.add(FI.roc(w, n=7), FI.mom(w, n=7), FI.willr(w, n=14)).df.dropna(subset=_SEL7_ALL)
+    return finish(LN.pca_components(LN.pca_features(df, _SEL7_ALL, k=3), _SEL7_ALL), 6, {"loading": 5})
+
+
 # ------------------------------------------------------------- FP / SNK
 @reg("fp1_generate_all_features")
 def q_fp1(spark, sf):
