@@ -91,6 +91,27 @@ def test_mix_and_pack_stages(stages):
         assert len({r["doc_id"] for r in b}) == len({source[r["doc_id"]] for r in b}) == len(b)
 
 
+def test_stages_on_empty_tables_and_other_columns(spark):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, f in P.STAGES:
+        assert f(spark, docs.limit(0), SF).count() == 0
+    more = docs.where("doc_id <= 60").selectExpr("*", "1 AS fp", "2 AS k1", "3 AS quality", "4 AS size", "5 AS bin_id", "6 AS n_words",
+                                                 "7 AS root", "8 AS host", "9 AS taken", "10 AS line")
+    long = spark.createDataFrame([(10**7, "\n".join(f"word{i} own{i * 7 % 50021}" for i in range(60_000)), "en", "src0", None)] * 2, docs.schema)
+    more = more.unionByName(long, allowMissingColumns=True)
+    for name, f in P.STAGES[:-1]:
+        out = f(spark, more, SF).cache()
+        assert out.columns == more.columns and out.count() > 0, name
+        assert out.where("doc_id <= 60 AND (fp <> 1 OR root <> 7 OR line <> 10)").count() == 0
+        assert out.where("doc_id > 60").count() >= 1
+        if name == "simhash near-dedup":
+            assert out.where("doc_id > 60").count() == 1
+    packed = P.pack_bins(spark, more, SF)
+    assert packed.where("doc_id > 60").agg(F.sum("size")).first()[0] == 2 * 120_000
+
+
 def test_run_writes_every_stage(spark):
     import corpus_pipeline as P
 
