@@ -5,8 +5,8 @@ whole documents).  Neighbouring suffixes' longest common prefixes form LCP
 intervals; an interval of ``window`` or more words is a repeated substring, maximal
 where the words before its occurrences differ.  The verdict limits two figures of
 the maximal ones: the share of the text that the union of their occurrences covers
-(those with ``least_times`` occurrences, or of ``twice_words`` words: one short line
-said twice is no boilerplate) and the longest.  No shuffle: a document is judged alone.
+(those with ``least_times`` occurrences, or of more than ``twice_chars`` characters: a
+line said twice is no boilerplate) and the longest.  No shuffle: a document is judged alone.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ class Rules:
 
     base: fewer than ``min_words`` words, or more than ``max_repeat_pct`` % of the
     words in repeated ``window``-word windows.  Method: the union of the maximal
-    repeats with ``least_times`` or more occurrences, or of ``twice_words`` words or
-    more, may cover at most ``max_covered`` of the words' characters, and the longest
+    repeats with ``least_times`` or more occurrences, or of more than ``twice_chars``
+    characters of words (a line of text), may cover at most ``max_covered`` of the words' characters, and the longest
     maximal repeat of ``long_words`` words or more may have at most ``max_longest``
     of the words: one short echo never rejects a text.  Both lie below what a text
     at the base limit has (30 % covered, so 15 % the longest of two separate
@@ -50,7 +50,7 @@ class Rules:
     max_longest: float = 0.1
     long_words: int = 16
     least_times: int = 3
-    twice_words: int = 12
+    twice_chars: int = 80
 
 
 def suffix_array(words: np.ndarray, doc: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -157,7 +157,12 @@ def _covered(reach: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge[:-1]) > 0)
 
 
-def repeats(texts: list[list[bytes]], window: int, least_times: int = 3, twice_words: int = 12) -> pd.DataFrame:
+def _longer(words: list[bytes], limit: int) -> bool:
+    """Whether words have more than ``limit`` characters together (each has one at least)."""
+    return len(words) > limit or sum(len(w.decode("utf-8", "replace")) for w in words) > limit
+
+
+def repeats(texts: list[list[bytes]], window: int, least_times: int = 3, twice_chars: int = 80) -> pd.DataFrame:
     """Per text: words in repeated windows, characters the counted repeats cover, longest and number of maximal repeats."""
     count = np.array([len(t) for t in texts], "int64")
     out = {k: np.zeros(len(texts), "int64") for k in ("covered", "covered_chars", "longest", "n_maximal")}
@@ -183,7 +188,7 @@ def repeats(texts: list[list[bytes]], window: int, least_times: int = 3, twice_w
             d = doc[order[lo]]
             out["n_maximal"][d] += 1
             out["longest"][d] = max(out["longest"][d], length)
-            if hi - lo + 1 >= least_times or length >= twice_words:
+            if hi - lo + 1 >= least_times or _longer(flat[order[lo]:order[lo] + length], twice_chars):
                 counted.append((lo, hi, length))
     reach[order] = innermost(counted, len(flat))
     hit = _covered(reach)
@@ -202,7 +207,7 @@ def text_facts(texts: list[str | None], rules: Rules) -> pd.DataFrame:
         while hi < len(texts) and total + size[hi] <= RUN_WORDS:
             total += size[hi]
             hi += 1
-        got.append(repeats(words[lo:hi], rules.window, rules.least_times, rules.twice_words))
+        got.append(repeats(words[lo:hi], rules.window, rules.least_times, rules.twice_chars))
         lo = hi
     facts = pd.concat(got, ignore_index=True) if got else repeats([], rules.window)
     facts["n_words"] = np.array(size, "int64")
