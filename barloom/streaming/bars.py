@@ -5,8 +5,8 @@
   last N bars per symbol and the scans' results on them in a table; each micro-batch
   runs the *batch* feature builders on tail + new bars (one definition for batch and
   stream, FP4) and writes the rows of the new bars; the tail can be seeded from history.
-* ST4  target position with exits: ``applyInPandasWithState`` with the position,
-  entry price, bars held and the rows ahead of the watermark as the per-symbol state.
+* ST4  target position with exits: ``transformWithStateInPandas`` with the position,
+  entry price, bars held and, by hour, the rows ahead of the watermark as the per-symbol state.
 * ST5  stream–static left join (signal by time, 0 when missing).
 * ST7  ``dropDuplicatesWithinWatermark``; rows later than the watermark are dropped, and
   :func:`run_counted` tells how many.
@@ -20,17 +20,19 @@ a cluster), never the driver's memory.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import threading
 import uuid
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from barloom.session import checkpoint_dir, reliable_checkpoint
 
@@ -111,15 +113,31 @@ def tick_bars(ticks: DataFrame, interval: str = "1 hour", delay: str = "1 hour",
                     wall_clock(F.col("w.end")).alias("ts_end"), "open", "high", "low", "close", "volume"))
 
 
+@contextlib.contextmanager
+def state_store(spark: SparkSession):
+    """Queries started inside use the RocksDB state store, which keyed state needs; the session's setting is put back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def run_to_table(df: DataFrame, name: str, mode: str = "append", partition_by=None) -> str:
-    """Run a streaming DataFrame with ``availableNow`` into a parquet folder; return its path."""
+    """Run a streaming DataFrame with ``availableNow`` into a parquet folder, state in RocksDB; return its path."""
     spark = df.sparkSession
     out, ck = scratch(spark, f"{name}-out"), scratch(spark, f"{name}-ck")
     w = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
+    with state_store(spark):
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
     return out
 
 
@@ -274,6 +292,103 @@ class FeatureStream:
 
 
 # ------------------------------------------------------------------ ST4
+#: Waiting rows as they lie in the state.
+HELD = np.dtype([("us", "i8"), ("none", "?"), ("seq", "i8"), ("signal", "f8"), ("close", "f8")])
+#: Rows of a symbol that a task gathers before they go to the state, and results before they leave.
+HELD_ROWS = 100_000
+HOUR_MS = 3_600_000
+
+
+class Exits(StatefulProcessor):
+    """The loop of one symbol.  Rows wait in the state in pieces, each of one hour; due hours are read one after the other."""
+
+    def __init__(self, key: str, order: str, size: float, max_holding: int, stop_pct: float):
+        self.key, self.order, self.rule = key, order, (size, max_holding, stop_pct)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # end of the loop so far, and the hour and number of every piece held
+        self.at = handle.getValueState("at", "path array<double>, hours array<long>, pieces array<long>")
+        self.held = handle.getMapState("held", "hour long, piece long", "rows binary")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        path, index = self._now()
+        parts, n = [], 0
+        for p in rows:
+            if not len(p):
+                continue
+            part = np.empty(len(p), HELD)
+            for name, col in zip(HELD.names, ("row_us", "no_seq", "row_seq", "row_signal", "row_close")):
+                part[name] = p[col].to_numpy()
+            parts.append(part)
+            n += len(part)
+            if n >= HELD_ROWS:
+                self._hold(np.concatenate(parts), index)
+                parts, n = [], 0
+        if n:
+            self._hold(np.concatenate(parts), index)
+        yield from self._due(key, timerValues.getCurrentWatermarkInMs(), path, index)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._due(key, timerValues.getCurrentWatermarkInMs(), *self._now())
+
+    def _now(self) -> tuple[list[float], dict[int, list[int]]]:
+        """The loop's end and the pieces of every hour."""
+        path, hours, pieces = self.at.get() if self.at.exists() else ([0.0, 0.0, 0.0], [], [])
+        index: dict[int, list[int]] = {}
+        for h, i in zip(hours, pieces):
+            index.setdefault(int(h), []).append(int(i))
+        return [float(x) for x in path], index
+
+    def _hold(self, rows: np.ndarray, index: dict[int, list[int]]) -> None:
+        hour = rows["us"] // (1000 * HOUR_MS)
+        at = np.argsort(hour, kind="stable")
+        rows, hour = rows[at], hour[at]
+        starts = np.flatnonzero(np.r_[True, hour[1:] != hour[:-1]])
+        for h, part in zip(hour[starts].tolist(), np.split(rows, starts[1:])):
+            own = index.setdefault(h, [])
+            own.append(own[-1] + 1 if own else 0)
+            self.held.updateValue((h, own[-1]), (part.tobytes(),))
+
+    def _due(self, key, mark: int, path: list[float], index: dict[int, list[int]]) -> Iterator[pd.DataFrame]:
+        """Use the rows before the watermark in the order (ts, ``order``); the others stay, with a timer on the first of them."""
+        from barloom.operators.grouped import exits_run
+        done, n, wake = [], 0, None
+        for h in sorted(index):
+            if h * HOUR_MS >= mark:
+                wake = h * HOUR_MS
+                break
+            rows = np.concatenate([np.frombuffer(self.held.getValue((h, i))[0], HELD) for i in index[h]])
+            rows = rows[np.lexsort((rows["seq"], rows["none"], rows["us"]))]
+            n_due = int(np.searchsorted(rows["us"], 1000 * mark, "left"))
+            due, rest = rows[:n_due], rows[n_due:]
+            if n_due:
+                target, path = exits_run(due["signal"].tolist(), due["close"].tolist(), 0, path, *self.rule)
+                done.append((due[["us", "none", "seq"]], target))
+                n += n_due
+                for i in index.pop(h):
+                    self.held.removeKey((h, i))
+                if len(rest):
+                    self._hold(rest, index)
+            if len(rest):
+                wake = int(rest["us"][0]) // 1000
+                break
+            if n >= HELD_ROWS:
+                yield self._rows(key, done)
+                done, n = [], 0
+        if n:
+            yield self._rows(key, done)
+        self.at.update(([float(x) for x in path], [h for h, own in index.items() for _ in own], [i for own in index.values() for i in own]))
+        if wake is not None:  # a timer fires once the watermark is there, a row is due once it is beyond
+            self.handle.registerTimer(wake + 1)
+
+    def _rows(self, key, done) -> pd.DataFrame:
+        at = np.concatenate([a for a, _ in done])
+        seq = pd.Series(at["seq"].astype("int64")).astype("Int64").mask(at["none"])
+        return pd.DataFrame({self.key: [key[0]] * len(at), self.order: seq, "us": at["us"].astype("int64"),
+                             "target": np.concatenate([t for _, t in done])})
+
+
 def stateful_exits(stream: DataFrame, signal: str = "signal", size: float = 1.0, max_holding: int = 20,
                    stop_pct: float = 0.02, key: str = "symbol", ts: str = "ts", order: str = "event_id",
                    delay: str = "1 hour") -> DataFrame:
@@ -283,34 +398,14 @@ def stateful_exits(stream: DataFrame, signal: str = "signal", size: float = 1.0,
     watermark has not passed.  A row is used once the watermark has passed it, in the
     order (ts, ``order``), so neither the order of arrival nor the size of Arrow
     chunks matters; rows later than the watermark are dropped by Spark.  Rows after
-    the last watermark stay in the state (append mode)."""
-    from barloom.operators.grouped import exits_run
-    out_schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(order, T.LongType()),
-                               T.StructField("_us", T.LongType()), T.StructField("target", T.DoubleType())])
-    longs, doubles = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
-    state_schema = T.StructType([T.StructField("path", doubles), T.StructField("us", longs), T.StructField("seq", longs),
-                                 T.StructField("signal", doubles), T.StructField("close", doubles)])
-    cols = ["us", "seq", "signal", "close"]
-
-    def fn(k, pdfs, state):
-        path, *held = state.get if state.exists else ([0.0, 0.0, 0.0], [], [], [], [])
-        rows = pd.DataFrame(dict(zip(cols, (list(h) for h in held))), columns=cols)
-        parts = [rows] if len(rows) else []
-        parts += [p[["_us", order, signal, "close"]].set_axis(cols, axis=1) for p in pdfs if len(p)]
-        rows = pd.concat(parts, ignore_index=True) if parts else rows
-        mark = state.getCurrentWatermarkMs()
-        ready = rows["us"] // 1000 < mark
-        due = rows[ready].sort_values(["us", "seq"], kind="stable")
-        target, end = exits_run(due["signal"].fillna(0).tolist(), due["close"].astype(float).tolist(), 0, list(path),
-                                size, max_holding, stop_pct)
-        rest = rows[~ready]
-        state.update((list(end), rest["us"].astype("int64").tolist(), rest["seq"].astype("int64").tolist(),
-                      rest["signal"].astype(float).tolist(), rest["close"].astype(float).tolist()))
-        if len(rest):
-            state.setTimeoutTimestamp(max(int(rest["us"].min()) // 1000, mark + 1))
-        yield pd.DataFrame({key: [k[0]] * len(due), order: due["seq"].to_numpy("int64"), "_us": due["us"].to_numpy("int64"), "target": target})
-
-    s = stream.withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
-    s = s.withColumn("_us", F.unix_micros("_ets")).withColumn(signal, F.col(signal).cast("double"))
-    out = s.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
-    return out.select(key, order, wall_clock(F.timestamp_micros("_us")).alias(ts), "target")
+    the last watermark stay in the state (append mode); rows without a time never come due.  A task has ``HELD_ROWS`` rows or
+    one hour of a symbol in memory, however many rows a micro-batch brings.  Needs :func:`state_store`, which :func:`run_to_table` sets."""
+    kind = stream.schema[key].dataType.simpleString()
+    s = stream.where(F.col(ts).isNotNull()).withColumn("_ets", event_time(F.col(ts))).withWatermark("_ets", delay)
+    s = s.select(key, "_ets", F.unix_micros("_ets").alias("row_us"), F.col(order).isNull().alias("no_seq"),
+                 F.coalesce(F.col(order).cast("long"), F.lit(0)).alias("row_seq"), F.coalesce(F.col(signal).cast("double"), F.lit(0.0)).alias("row_signal"),
+                 F.coalesce(F.col("close").cast("double"), F.lit(float("nan"))).alias("row_close"))
+    out = s.groupBy(key).transformWithStateInPandas(
+        Exits(key, order, size, max_holding, stop_pct), outputStructType=f"`{key}` {kind}, `{order}` long, us long, target double",
+        outputMode="Append", timeMode="EventTime")
+    return out.select(key, order, wall_clock(F.timestamp_micros("us")).alias(ts), "target")

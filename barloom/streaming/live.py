@@ -13,19 +13,18 @@ with ``HT_``, MAMA or SAR names gives in a stream what it gives in batch.
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from barloom.operators.grouped import CYCLE, CYCLE_HALO, cycle_run, end_states, sar_run
 from barloom.plans.frame import sequence
-from barloom.streaming.bars import FeatureStream, event_time, wall_clock
+from barloom.streaming.bars import FeatureStream, event_time, state_store, wall_clock
 
 PRICES = ("open", "high", "low", "close", "volume")
 OUTPUTS = (*CYCLE, "SAR")
@@ -133,21 +132,6 @@ def live_loops(bars: DataFrame, initial: DataFrame | None = None, key: str = "sy
                       *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in OUTPUTS], "rn", "late")
 
 
-@contextlib.contextmanager
-def state_store(spark: SparkSession):
-    """Queries started inside use the RocksDB state store, which keyed state needs; the session's setting is put back."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def named_features(bars: DataFrame, names: str, history: DataFrame | None = None, buffer: int = 600, model=None,
                    base: str | None = None, block_rows: int = 4096, pattern_wma: int | None = 300) -> FeatureStream:
     """FP4: the features of a saved name list (FP2) for every new bar of a stream, scored by ``model``.

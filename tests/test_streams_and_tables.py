@@ -96,6 +96,50 @@ def test_stateful_exits_in_small_chunks(spark):
     assert got.sort_index().tolist() == want.sort_index().tolist()
 
 
+def test_exits_hold_bounded_arrays(spark, monkeypatch):
+    """A symbol's rows go to the state and leave it in bounded pieces, whatever a micro-batch brings; gaps in ids, times and values."""
+    assert ST.HELD_ROWS <= 1_000_000 and not hasattr(ST, "GroupStateTimeout")
+    monkeypatch.setattr(ST, "HELD_ROWS", 100)
+    sent = []
+    handle = type("Handle", (), {"registerTimer": lambda self, t: None})()
+    store: dict = {}
+    state = type("State", (), {"updateValue": lambda self, k, v: (sent.append(len(v[0]) // ST.HELD.itemsize), store.__setitem__(k, v)),
+                               "getValue": lambda self, k: store[k], "removeKey": lambda self, k: store.pop(k)})()
+    end = type("End", (), {"exists": lambda self: "at" in store, "get": lambda self: store["at"], "update": lambda self, v: store.__setitem__("at", v)})()
+    p = ST.Exits("symbol", "event_id", 1.0, 7, 0.03)
+    p.handle, p.held, p.at = handle, state, end
+    rng = np.random.default_rng(6)
+    n = 5000
+    df = pd.DataFrame(dict(row_us=rng.integers(0, 90, n) * 600_000_000, no_seq=False, row_seq=rng.permutation(n), row_signal=rng.integers(-1, 2, n) * 1.0,
+                           row_close=50 + np.cumsum(rng.normal(0, 1, n))))
+    times = lambda ms: type("Times", (), {"getCurrentWatermarkInMs": lambda self: ms})()
+    chunks = lambda d: iter([d[i:i + 30] for i in range(0, len(d), 30)])
+    out = [*p.handleInputRows(("x",), chunks(df), times(0))]
+    assert not out and max(sent) <= 130
+    for mark in (7_200_000, 30_000_000, 30_600_000, 1 << 40):
+        out += p.handleExpiredTimer(("x",), times(mark), None)
+    assert max(map(len, out)) <= 100 + max(np.bincount(df.row_us // 3_600_000_000))
+    got = pd.concat(out)
+    s = df.sort_values(["row_us", "row_seq"])
+    assert got.event_id.tolist() == s.row_seq.tolist() and got.us.tolist() == s.row_us.tolist()
+    assert got.target.tolist() == GR.exits_run(s.row_signal.tolist(), s.row_close.tolist(), 0, None, 1.0, 7, 0.03)[0].tolist()
+
+
+def test_exits_with_gaps(spark):
+    """Rows without a time never come due, rows without an id come last at their time, a missing signal keeps the position."""
+    t = lambda h: pd.Timestamp("2024-01-01") + pd.Timedelta(hours=h)
+    rows = [(1, t(1), 60.0), (None, t(1), 30.0), (2, None, 70.0), (3, t(2), None), (4, t(2), 55.0), (5, t(9), 1.0), (None, t(3), 70.0)]
+    folder = ST.scratch(spark, "gaps")
+    (spark.createDataFrame([(i, None if s is None else s.to_pydatetime(), 1, "x", v, "") for i, s, v in rows],
+                           "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+     .withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(folder))
+    ticks = ST.event_stream(spark, folder, 1).select("event_id", F.col("event_type").alias("symbol"), "ts", F.col("value").alias("close"),
+                                                     F.when(F.col("value") > 50, 1).when(F.col("value") < 40, -1).alias("signal"))
+    out = spark.read.parquet(ST.run_to_table(ST.stateful_exits(ticks, max_holding=9, stop_pct=0.9), "gaps"))
+    got = {(r["event_id"], r["ts"].hour): r["target"] for r in out.collect()}
+    assert got == {(1, 1): 1.0, (None, 1): -1.0, (3, 2): -1.0, (4, 2): 1.0, (None, 3): 1.0}
+
+
 def test_carries_over_groups_of_blocks(spark, monkeypatch):
     """One symbol over many small groups of blocks, three levels deep."""
     monkeypatch.setattr(FRAME, "CARRY_GROUP", 3)
