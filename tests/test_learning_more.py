@@ -91,3 +91,26 @@ def test_validation_curve_beyond_the_limit(spark, monkeypatch):
     curve = {r["params"]: r for r in LN.validation_curve(make, df, 2, "maxDepth", [1, 46]).collect()}
     assert curve["{'maxDepth': 1}"]["mean_test_score"] > 0.9
     assert curve["{'maxDepth': 46}"]["split_test_scores"] == [None, None] and curve["{'maxDepth': 46}"]["mean_test_score"] is None
+
+
+def test_fits_are_dealt_by_rows(spark, monkeypatch):
+    """A fit's passes have as many tasks as the train rows ask for, not the ML table's partitions; a bootstrap keeps its partitions."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
+    from barloom.operators import learning as LN
+    from barloom.plans import learning_queries as LQ
+    rows = spark.range(1, 401).select(F.lit("A").alias("symbol"), F.col("id").alias("rn"), F.col("id").alias("ts"), (F.col("id") % 7).cast("double").alias("a"),
+                                      (F.col("id") % 3).cast("double").alias("label"))
+    data = VectorAssembler(inputCols=["a"], outputCol="features").transform(rows).repartition(30).cache()
+    monkeypatch.setattr(LQ, "ml_table", lambda spark, sf: data)
+    dealt, make = [], LN.make_estimator
+
+    def spy(*a, **p):
+        est = make(*a, **p)
+        fit = est.fit
+        est.fit = lambda df: dealt.append(df.rdd.getNumPartitions()) or fit(df)
+        return est
+    monkeypatch.setattr(LN, "make_estimator", spy)
+    for kind, more in (("GradientBoosting", dict(multiclass=True)), ("DecisionTree", {}), ("RandomForest", {})):
+        assert LQ._fit_predict(kind, maxDepth=2, **more)(spark, "").count() == 140
+    assert dealt == [1, 1, 30]
