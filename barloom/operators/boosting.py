@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.extra_trees import _matrix, descend
-from barloom.session import reliable_checkpoint
+from barloom.session import dealt_by_rows, reliable_checkpoint, shuffle_partitions
 
 #: Histogram numbers of one pass in a task.
 PASS_CELLS = 2_000_000
+#: Rows of one task of a pass; a small table is not dealt over the session's shuffle partitions.
+TASK_ROWS = 10_000
 #: Rounds after which the raw scores are written again.
 STAGE_ROUNDS = 10
 MAX_DEPTH, MAX_CLASSES, MAX_BINS = 12, 200, 255
@@ -148,9 +150,10 @@ def fit(df: DataFrame, features: list[str], label: str, rounds: int = 20, max_de
     cols = [F.col(f).cast("double").alias(f) for f in features]
     rows = df.where(F.col(label).isNotNull()).select(*cols, F.col(label).cast("double").alias("_y"),
                                                      (F.lit(1.0) if weight is None else F.col(weight).cast("double")).alias("_w"))
-    shares = rows.groupBy("_y").agg(F.sum("_w").alias("w")).where("w > 0").limit(MAX_CLASSES + 1).collect()
+    shares = rows.groupBy("_y").agg(F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n")).where("w > 0").limit(MAX_CLASSES + 1).collect()
     if len(shares) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
+    n_rows = sum(r["n"] for r in shares)
     shares = sorted((r["_y"], r["w"]) for r in shares)
     classes = [y for y, _ in shares]
     total = sum(w for _, w in shares)
@@ -166,7 +169,7 @@ def fit(df: DataFrame, features: list[str], label: str, rounds: int = 20, max_de
             x, y, w = x[w > 0], y[w > 0], w[w > 0]
             yield _rows(_bins(x, cuts), np.searchsorted(known, y), w, np.tile(start, (len(x), 1)))
 
-    data = reliable_checkpoint(rows.mapInArrow(first, STAGED))
+    data = reliable_checkpoint(dealt_by_rows(rows, TASK_ROWS, n_rows).mapInArrow(first, STAGED))
     fresh: list[list[Tree]] = []  # rounds that the staged scores do not hold yet
     for r in range(rounds):
         trees = [Tree.leaf(max_depth) for _ in classes]
@@ -278,7 +281,8 @@ def _grow(data: DataFrame, cuts: list[np.ndarray], fresh: list[list[Tree]], tree
         return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([node], pa.int32()), pa.array([f], pa.int32()), pa.array([j], pa.int32()),
                                            pa.array([sides.tolist()], pa.list_(pa.float64()))], names=["k", "node", "f", "j", "sides"])
 
-    found = (data.mapInArrow(count, "k int, node int, s binary").repartition("k", "node").sortWithinPartitions("k", "node")
+    tasks = min(len(opened), shuffle_partitions(data.sparkSession))
+    found = (data.mapInArrow(count, "k int, node int, s binary").repartition(tasks, "k", "node").sortWithinPartitions("k", "node")
              .mapInArrow(decide, "k int, node int, f int, j int, sides array<double>").collect())  # one cut per open node
     children = []
     for r in found:

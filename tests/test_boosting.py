@@ -85,3 +85,17 @@ def test_odd_tables(spark):
     assert flat.transform(spark.createDataFrame([(5.0, None, None)], kinds)).first()["probability"] == pytest.approx([0.5, 0.5])
     with pytest.raises(ValueError):
         GB.fit(spark.createDataFrame(rows, kinds), ["a"], "y", max_depth=99)
+
+
+def test_passes_are_dealt_by_rows(spark, monkeypatch):
+    """The tasks of a pass follow the table's rows, not how it came or the session's shuffle partitions; the model stays."""
+    pdf = table()
+    kept, dealt = GB.reliable_checkpoint, []
+    monkeypatch.setattr(GB, "reliable_checkpoint", lambda df: dealt.append(df.rdd.getNumPartitions()) or kept(df))
+    few = GB.fit(spark.createDataFrame(pdf).repartition(40), NAMES, "y", rounds=2, max_depth=2, weight="w")
+    assert dealt == [1]
+    monkeypatch.setattr(GB, "TASK_ROWS", 150)
+    many = GB.fit(spark.createDataFrame(pdf).repartition(40), NAMES, "y", rounds=2, max_depth=2, weight="w")
+    assert dealt == [1, 4]
+    x = pdf[NAMES].to_numpy()
+    assert np.allclose(few.losses, many.losses) and np.allclose(few.scores(x), many.scores(x))
