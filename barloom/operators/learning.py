@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.finite import safe_corr
 from barloom.operators.labels import small_table
-from barloom.session import dealt_by_rows, reliable_checkpoint
+from barloom.session import dealt_by_rows, default_parallelism, reliable_checkpoint
 
 #: Rows of one task of an MLlib fit's passes.
 FIT_ROWS = 100_000
@@ -38,6 +38,11 @@ MODEL_COMBOS = {
 }
 
 
+def fit_rows(df: DataFrame) -> DataFrame:
+    """The rows of a fit, dealt by their number over two tasks a core or more.  Not for bootstraps, which draw by partition."""
+    return dealt_by_rows(df, FIT_ROWS, at_least=2 * default_parallelism(df.sparkSession))
+
+
 def make_estimator(kind: str, task: str = "classification", features="features", label="label",
                    weight: str | None = None, seed: int = 42, **params):
     """An MLlib estimator for a reference model name.
@@ -74,7 +79,7 @@ def adaboost_fit(df: DataFrame, features="features", label="label", n_rounds: in
     The weights are written to the checkpoint folder after each round, so a round
     reads them instead of running all earlier models again.  Returns [(alpha, model)]."""
     k = n_classes or df.agg(F.countDistinct(label)).first()[0]
-    cur = dealt_by_rows(df, FIT_ROWS).withColumn("_w", F.lit(1.0))
+    cur = fit_rows(df).withColumn("_w", F.lit(1.0))
     models = []
     for i in range(n_rounds):
         m = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth, seed=seed,
@@ -110,7 +115,7 @@ def adaboost_predict(models, df: DataFrame, label_values: list[float], out="pred
 
 def adaboost_regress_fit(df: DataFrame, features="features", label="label", n_rounds: int = 10, max_depth: int = 3, seed: int = 42):
     """ML4, regression: AdaBoost.R2 (linear loss) with weighted MLlib regression trees.  Returns [(log 1/beta, model)]."""
-    cur, models = dealt_by_rows(df, FIT_ROWS).withColumn("_w", F.lit(1.0)), []
+    cur, models = fit_rows(df).withColumn("_w", F.lit(1.0)), []
     for i in range(n_rounds):
         m = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth, seed=seed,
                                   predictionCol=f"_p{i}").fit(cur)

@@ -20,7 +20,6 @@ from barloom.plans import pattern_oracle as PO
 from barloom.plans import sqlkit as SK
 from barloom.plans.sqlkit import G, LAG, R, W
 from barloom.plans.table_queries import LAB_CTES, _inv_norm_sql, labelled_daily
-from barloom.session import dealt_by_rows
 from barloom.sources import bars as BS
 from barloom.sources import tables as TB
 
@@ -251,7 +250,7 @@ def _fit_predict(kind, task="classification", **params):
         label = "label" if task == "classification" else "target_10_ret"
         tr, te = _split(df)
         if kind != "RandomForest":  # its bootstrap draws rows by partition
-            tr = dealt_by_rows(tr, LN.FIT_ROWS)
+            tr = LN.fit_rows(tr)
         m = LN.make_estimator(kind, task, label=label, **params).fit(tr)
         return m.transform(te).select("symbol", "ts", "prediction")
     return q

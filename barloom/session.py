@@ -63,13 +63,13 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def dealt_by_rows(df: DataFrame, rows_per_task: int, rows: int | None = None) -> DataFrame:
-    """``df`` dealt over one partition per ``rows_per_task`` rows, at most the session's shuffle partitions.
+def dealt_by_rows(df: DataFrame, rows_per_task: int, rows: int | None = None, at_least: int = 1) -> DataFrame:
+    """``df`` dealt over one partition per ``rows_per_task`` rows, if these are fewer than the session's shuffle partitions.
 
     For tables that many passes read: a pass costs tasks, and every task's report goes to the driver, so their
     number follows the rows and not the session's setting.  ``rows``: the count, if known."""
-    n = df.count() if rows is None else rows
-    return df.repartition(max(1, min(-(-n // rows_per_task), shuffle_partitions(df.sparkSession))))
+    n = max(at_least, -(-(df.count() if rows is None else rows) // rows_per_task))
+    return df.repartition(n) if n < shuffle_partitions(df.sparkSession) else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

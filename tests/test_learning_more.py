@@ -111,6 +111,7 @@ def test_fits_are_dealt_by_rows(spark, monkeypatch):
         est.fit = lambda df: dealt.append(df.rdd.getNumPartitions()) or fit(df)
         return est
     monkeypatch.setattr(LN, "make_estimator", spy)
+    monkeypatch.setattr(LN, "default_parallelism", lambda spark: 1)
     for kind, more in (("GradientBoosting", dict(multiclass=True)), ("DecisionTree", {}), ("RandomForest", {})):
         assert LQ._fit_predict(kind, maxDepth=2, **more)(spark, "").count() == 140
-    assert dealt == [1, 1, 30]
+    assert dealt == [2, 2, 30]
